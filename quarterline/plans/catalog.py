@@ -89,6 +89,10 @@ class Fixtures:
     def obs(self) -> DataFrame:
         return self._get("obs", lambda: testdata.fx_obs(self.spark, self.sf_dir, self.grain, long=self.long))
 
+    @property
+    def raw(self) -> DataFrame:
+        return self._get("raw", lambda: testdata.fx_raw(self.long))
+
     @property
     def segments(self) -> DataFrame:
         return self._get("segments", lambda: testdata.fx_segments(self.spark, self.sf_dir, self.grain))

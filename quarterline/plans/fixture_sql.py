@@ -150,3 +150,18 @@ def with_all(*names: str, extra: list[tuple[str, str]] | None = None) -> str:
     if not names:
         return "WITH " + ",\n".join(parts)
     return ",\n".join(parts)
+
+
+_cte("fx_raw", ["fx_long"], """
+SELECT entity_id, CASE WHEN variant = 3 THEN 'other_income' ELSE metric END AS metric, sec_metric,
+  CAST(start_date AS VARCHAR) AS start_date, CAST(end_date AS VARCHAR) AS end_date,
+  CAST(fiscal_year AS VARCHAR) AS fiscal_year, fiscal_period,
+  CASE WHEN entity_id % 6 = 0 AND q = 2 THEN 'n/a' WHEN entity_id % 6 = 1 AND q = 3 THEN '0'
+       ELSE CAST(value AS VARCHAR) END AS value,
+  CASE WHEN variant = 1 AND entity_id % 10 = 2 AND fiscal_year = 2001 AND q = 2 THEN NULL ELSE form END AS form,
+  CAST(filed_date AS VARCHAR) AS filed_date, accession_number
+FROM fx_long, (VALUES (1), (2), (3)) v(variant)
+WHERE CASE WHEN variant = 1 THEN NOT (entity_id % 9 = 0 AND fiscal_year = 2000 AND q = 3 AND metric = 'gross_profit')
+           WHEN variant = 2 THEN entity_id % 4 = 0 AND fiscal_year = 1999 AND q = 1
+           ELSE entity_id % 8 = 3 AND fiscal_year = 2000 AND q = 1 AND metric = 'net_income' END
+""")

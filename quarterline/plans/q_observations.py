@@ -222,9 +222,9 @@ def q_concept_profile(spark, sf_dir):
 
 @register("concept_search", sql="""
 SELECT p_partkey, p_name, p_type FROM part
-WHERE strpos(lower(concat_ws(' ', p_name, p_type, p_brand)), 'green') > 0""")
+WHERE strpos(lower(concat_ws(' ', p_name, p_type, p_brand)), 'gear') > 0""")
 def q_concept_search(spark, sf_dir):
     """H1: case-insensitive substring search over name, label and description text."""
     part = Fixtures(spark, sf_dir).table("part")
     hay = F.lower(F.concat_ws(" ", "p_name", "p_type", "p_brand"))
-    return part.where(hay.contains(F.lower(F.lit("Green")))).select("p_partkey", "p_name", "p_type")
+    return part.where(hay.contains(F.lower(F.lit("Gear")))).select("p_partkey", "p_name", "p_type")

@@ -201,3 +201,47 @@ def fx_obs(spark: SparkSession, sf_dir: str, grain: str = "nation", long: DataFr
         F.when(seq >= 7, "10-K").otherwise("10-Q").alias("form"),
         filed.cast("string").alias("filed"),
     )
+
+
+# Fixture rules for the dirty text copy of the long facts.
+NA_MOD, NA_REM, NA_Q = 6, 0, 2  # value 'n/a'
+ZERO_MOD, ZERO_REM, ZERO_Q = 6, 1, 3  # value '0'
+DUP_MOD, DUP_YEAR, DUP_Q = 4, 1999, 1  # duplicated key
+DROP_MOD, DROP_YEAR, DROP_Q, DROP_METRIC = 9, 2000, 3, "gross_profit"  # dropped key
+EXTRA_MOD, EXTRA_REM, EXTRA_YEAR, EXTRA_Q = 8, 3, 2000, 1  # unexpected metric 'other_income'
+NULL_MOD, NULL_REM, NULL_YEAR, NULL_Q = 10, 2, 2001, 2  # NULL form
+
+
+def fx_raw(long: DataFrame) -> DataFrame:
+    """All-text long facts with the dirt a quality check must find.
+
+    Same columns as the loaded table (entity_id BIGINT, the rest STRING), as
+    an all-text CSV scan would give them.  Variants come from a generator.
+    """
+    x = long.select("*", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("variant"))
+    ent, fy, q, metric, var = F.col("entity_id"), F.col("fiscal_year"), F.col("q"), F.col("metric"), F.col("variant")
+    keep = (
+        F.when(var == 1, ~((ent % DROP_MOD == 0) & (fy == DROP_YEAR) & (q == DROP_Q) & (metric == DROP_METRIC)))
+        .when(var == 2, (ent % DUP_MOD == 0) & (fy == DUP_YEAR) & (q == DUP_Q))
+        .otherwise((ent % EXTRA_MOD == EXTRA_REM) & (fy == EXTRA_YEAR) & (q == EXTRA_Q) & (metric == "net_income"))
+    )
+    value = (
+        F.when((ent % NA_MOD == NA_REM) & (q == NA_Q), F.lit("n/a"))
+        .when((ent % ZERO_MOD == ZERO_REM) & (q == ZERO_Q), F.lit("0"))
+        .otherwise(F.col("value").cast("string"))
+    )
+    form = F.when((var == 1) & (ent % NULL_MOD == NULL_REM) & (fy == NULL_YEAR) & (q == NULL_Q), F.lit(None)) \
+        .otherwise(F.col("form"))
+    return x.where(keep).select(
+        "entity_id",
+        F.when(var == 3, F.lit("other_income")).otherwise(metric).alias("metric"),
+        "sec_metric",
+        F.col("start_date").cast("string").alias("start_date"),
+        F.col("end_date").cast("string").alias("end_date"),
+        fy.cast("string").alias("fiscal_year"),
+        "fiscal_period",
+        value.alias("value"),
+        form.cast("string").alias("form"),
+        F.col("filed_date").cast("string").alias("filed_date"),
+        "accession_number",
+    )
