@@ -93,6 +93,10 @@ class Fixtures:
     def raw(self) -> DataFrame:
         return self._get("raw", lambda: testdata.fx_raw(self.long))
 
+    @property
+    def packets(self) -> dict[str, DataFrame]:
+        return self._get("packets", lambda: testdata.fx_packets(self.wide, self.segments))
+
     @property
     def segments(self) -> DataFrame:
         return self._get("segments", lambda: testdata.fx_segments(self.spark, self.sf_dir, self.grain))

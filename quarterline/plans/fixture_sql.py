@@ -165,3 +165,85 @@ WHERE CASE WHEN variant = 1 THEN NOT (entity_id % 9 = 0 AND fiscal_year = 2000 A
            WHEN variant = 2 THEN entity_id % 4 = 0 AND fiscal_year = 1999 AND q = 1
            ELSE entity_id % 8 = 3 AND fiscal_year = 2000 AND q = 1 AND metric = 'net_income' END
 """)
+
+
+def half_up_div(num: str, den: str, scale: int) -> str:
+    """Exact ``round(num / den, scale)`` half away from zero, as DOUBLE (den != 0)."""
+    n = f"CAST(({num}) AS HUGEINT)"
+    d = f"CAST(({den}) AS HUGEINT)"
+    k = 10 ** scale
+    return (f"(sign({n}) * sign({d}) * ((abs({n}) * {2 * k} + abs({d})) // (2 * abs({d}))) / {float(k)})")
+
+
+def _sid(kind: str, alias: str = "") -> str:
+    a = f"{alias}." if alias else ""
+    return (f"('e' || CAST({a}entity_id AS VARCHAR) || '-fy' || CAST({a}fiscal_year AS VARCHAR) || '-' || "
+            f"{a}fiscal_period || '-{kind}')")
+
+
+_cte("pk_head", ["fx_wide"], """
+SELECT c.entity_id, c.fiscal_year, 'Q' || CAST(c.q AS VARCHAR) AS fiscal_period, c.q, c.revenue,
+       p.revenue AS prior_revenue, CASE WHEN c.entity_id % 17 = 2 THEN 1 ELSE 0 END AS derived_metric_count
+FROM fx_wide c JOIN fx_wide p ON c.entity_id = p.entity_id AND p.fiscal_year + 1 = c.fiscal_year AND p.q = c.q
+""")
+
+_cte("pk_sources", ["pk_head"], """
+SELECT entity_id, fiscal_year, fiscal_period,
+  'e' || CAST(entity_id AS VARCHAR) || '-fy' || CAST(fiscal_year AS VARCHAR) || '-' || fiscal_period || '-'
+      || t.source_type AS source_id,
+  CAST(CASE WHEN t.source_type = 'metrics' AND entity_id % 19 = 6 THEN fiscal_year - 1 ELSE fiscal_year END
+       AS INTEGER) AS source_fiscal_year,
+  fiscal_period AS source_fiscal_period, t.source_type,
+  'Entity ' || CAST(entity_id AS VARCHAR) || ' FY' || CAST(fiscal_year AS VARCHAR) || ' ' || fiscal_period || ' '
+      || t.source_type AS title,
+  'https://investor.example.com/e' || CAST(entity_id AS VARCHAR) || '/fy' || CAST(fiscal_year AS VARCHAR) || '-'
+      || lower(fiscal_period) || '/' || t.source_type AS url
+FROM pk_head, (VALUES ('press_release'), ('metrics'), ('earnings_call')) t(source_type)
+""")
+
+_cte("pk_facts", ["pk_head"], f"""
+SELECT entity_id, fiscal_year, fiscal_period, kind, pos, metric, label, value, unit,
+       'reported' AS classification, source_ids FROM (
+  SELECT entity_id, fiscal_year, fiscal_period, 'reported_fact' AS kind, 0 AS pos, 'revenue' AS metric,
+         'Revenue' AS label,
+         CAST(revenue + CASE WHEN entity_id % 7 = 3 THEN 1 ELSE 0 END AS DECIMAL(38,6)) AS value, 'usd' AS unit,
+         CASE WHEN entity_id % 11 = 5 THEN [{_sid('press_release')}, 'unapproved-source']
+              ELSE [{_sid('press_release')}] END AS source_ids
+  FROM pk_head
+  UNION ALL SELECT entity_id, fiscal_year, fiscal_period, 'reported_fact', 1, 'prior_year_quarter_revenue',
+         'Prior-year-quarter revenue', CAST(prior_revenue AS DECIMAL(38,6)), 'usd', [{_sid('press_release')}]
+  FROM pk_head
+  UNION ALL SELECT entity_id, fiscal_year, fiscal_period, 'reported_fact', 2, 'revenue_increase', 'Revenue increase',
+         CAST(revenue - prior_revenue AS DECIMAL(38,6)), 'usd', [{_sid('press_release')}]
+  FROM pk_head
+  UNION ALL SELECT entity_id, fiscal_year, fiscal_period, 'product_indicator', 0, 'revenue_growth_pct',
+         'Revenue growth', CAST({pct('revenue - prior_revenue', 'prior_revenue')} AS DECIMAL(38,6)), 'percent',
+         [{_sid('metrics')}]
+  FROM pk_head WHERE prior_revenue <> 0
+  UNION ALL SELECT entity_id, fiscal_year, fiscal_period, 'product_indicator', 1, 'revenue', 'Revenue (indicator)',
+         CAST(revenue + 1000 AS DECIMAL(38,6)), 'usd', [{_sid('metrics')}]
+  FROM pk_head WHERE entity_id % 13 = 4
+) f
+""")
+
+_cte("pk_segments", ["fx_segments", "pk_head"], f"""
+SELECT entity_id, fiscal_year, 'Q' || CAST(q AS VARCHAR) AS fiscal_period, segment,
+  CAST(coalesce(cur, 0) AS BIGINT) AS current_revenue, CAST(coalesce(pri, 0) AS BIGINT) AS prior_year_revenue,
+  CAST(CASE WHEN coalesce(pri, 0) = 0 THEN 0
+       ELSE {half_up_div('100 * (coalesce(cur, 0) - coalesce(pri, 0))', 'coalesce(pri, 0)', 0)} END
+       AS DECIMAL(38,6)) AS reported_growth_pct,
+  'reported' AS classification,
+  ['e' || CAST(entity_id AS VARCHAR) || '-fy' || CAST(fiscal_year AS VARCHAR) || '-Q' || CAST(q AS VARCHAR)
+   || '-press_release'] AS source_ids
+FROM (SELECT entity_id, segment, fiscal_year, q, revenue AS cur FROM fx_segments) c
+FULL OUTER JOIN (SELECT entity_id, segment, fiscal_year + 1 AS fiscal_year, q, revenue AS pri FROM fx_segments) p
+  USING (entity_id, segment, fiscal_year, q)
+WHERE (entity_id, fiscal_year, q) IN (SELECT (entity_id, fiscal_year, q) FROM pk_head)
+""")
+
+_cte("pk_explanations", ["pk_head"], f"""
+SELECT entity_id, fiscal_year, fiscal_period, x.explanation_id, x.statement, 'Entity management' AS attribution,
+       'management_explanation' AS classification, [{_sid('earnings_call')}] AS source_ids
+FROM pk_head, (VALUES ('demand', 'Management said customer demand supported the quarter.'),
+                      ('pricing', 'Management said pricing changes affected revenue.')) x(explanation_id, statement)
+""")

@@ -245,3 +245,103 @@ def fx_raw(long: DataFrame) -> DataFrame:
         F.col("filed_date").cast("string").alias("filed_date"),
         "accession_number",
     )
+
+
+# Fixture rules for approved business-driver packets.
+BROKEN_TOTAL_MOD, BROKEN_TOTAL_REM = 7, 3  # reported revenue off by one dollar
+UNKNOWN_SOURCE_MOD, UNKNOWN_SOURCE_REM = 11, 5  # revenue fact cites an unapproved source
+OVERRIDE_MOD, OVERRIDE_REM = 13, 4  # product indicator 'revenue' overrides the reported fact
+DERIVED_MOD, DERIVED_REM = 17, 2  # a stored derived metric (not allowed)
+STALE_SOURCE_MOD, STALE_SOURCE_REM = 19, 6  # metrics source dated one year earlier
+SOURCE_TYPES = ["press_release", "metrics", "earnings_call"]
+URL_PREFIX = "https://investor.example.com/"
+ATTRIBUTION = "Entity management"
+
+
+def _sid(kind: str):
+    return F.concat(F.lit("e"), F.col("entity_id").cast("string"), F.lit("-fy"), F.col("fiscal_year").cast("string"),
+                    F.lit("-"), F.col("fiscal_period"), F.lit("-" + kind))
+
+
+def fx_packets(wide: DataFrame, segments: DataFrame) -> dict[str, DataFrame]:
+    """Approved packets for every (entity, quarter) whose prior-year quarter exists.
+
+    Returned as exploded child tables keyed by (entity_id, fiscal_year,
+    fiscal_period): ``head``, ``sources``, ``facts`` (reported facts and
+    product indicators), ``segments`` and ``explanations``.
+    """
+    cur = wide.select("entity_id", "fiscal_year", "q", "revenue")
+    prior = wide.select("entity_id", (F.col("fiscal_year") + 1).alias("fiscal_year"), "q",
+                        F.col("revenue").alias("prior_revenue"))
+    head = cur.join(prior, ["entity_id", "fiscal_year", "q"]).select(
+        "entity_id", "fiscal_year", F.concat(F.lit("Q"), F.col("q").cast("string")).alias("fiscal_period"), "q",
+        "revenue", "prior_revenue",
+        F.when(F.col("entity_id") % DERIVED_MOD == DERIVED_REM, 1).otherwise(0).alias("derived_metric_count"),
+    )
+    keys = ["entity_id", "fiscal_year", "fiscal_period"]
+    ent = F.col("entity_id")
+    stype = F.explode(F.array(*[F.lit(t) for t in SOURCE_TYPES])).alias("source_type")
+    sources = head.select(*keys, stype).select(
+        *keys,
+        F.concat(F.lit("e"), ent.cast("string"), F.lit("-fy"), F.col("fiscal_year").cast("string"), F.lit("-"),
+                 F.col("fiscal_period"), F.lit("-"), F.col("source_type")).alias("source_id"),
+        F.when((F.col("source_type") == "metrics") & (ent % STALE_SOURCE_MOD == STALE_SOURCE_REM),
+               F.col("fiscal_year") - 1).otherwise(F.col("fiscal_year")).cast("int").alias("source_fiscal_year"),
+        F.col("fiscal_period").alias("source_fiscal_period"),
+        "source_type",
+        F.concat_ws(" ", F.lit("Entity"), ent.cast("string"), F.concat(F.lit("FY"), F.col("fiscal_year").cast("string")),
+                    F.col("fiscal_period"), F.col("source_type")).alias("title"),
+        F.concat(F.lit(URL_PREFIX), F.lit("e"), ent.cast("string"), F.lit("/fy"), F.col("fiscal_year").cast("string"),
+                 F.lit("-"), F.lower(F.col("fiscal_period")), F.lit("/"), F.col("source_type")).alias("url"),
+    )
+    press = _sid("press_release")
+    metrics = _sid("metrics")
+    increase = F.col("revenue") - F.col("prior_revenue")
+    growth = F.round(F.lit(100).cast("decimal(3,0)") * increase.cast("decimal(20,0)")
+                     / F.nullif(F.col("prior_revenue").cast("decimal(20,0)"), F.lit(0)), 2)
+    fact = lambda kind, pos, metric, label, value, unit, srcs, keep=F.lit(True): F.struct(
+        F.lit(kind).alias("kind"), F.lit(pos).alias("pos"), F.lit(metric).alias("metric"),
+        F.lit(label).alias("label"), value.cast("decimal(38,6)").alias("value"), F.lit(unit).alias("unit"),
+        srcs.alias("source_ids"), keep.alias("keep"))
+    revenue_sources = F.when(ent % UNKNOWN_SOURCE_MOD == UNKNOWN_SOURCE_REM,
+                             F.array(press, F.lit("unapproved-source"))).otherwise(F.array(press))
+    rows = F.array(
+        fact("reported_fact", 0, "revenue", "Revenue",
+             F.col("revenue") + F.when(ent % BROKEN_TOTAL_MOD == BROKEN_TOTAL_REM, 1).otherwise(0), "usd",
+             revenue_sources),
+        fact("reported_fact", 1, "prior_year_quarter_revenue", "Prior-year-quarter revenue",
+             F.col("prior_revenue"), "usd", F.array(press)),
+        fact("reported_fact", 2, "revenue_increase", "Revenue increase", increase, "usd", F.array(press)),
+        fact("product_indicator", 0, "revenue_growth_pct", "Revenue growth", growth, "percent", F.array(metrics),
+             growth.isNotNull()),
+        fact("product_indicator", 1, "revenue", "Revenue (indicator)", F.col("revenue") + 1000, "usd",
+             F.array(metrics), ent % OVERRIDE_MOD == OVERRIDE_REM),
+    )
+    facts = head.select(*keys, F.explode(rows).alias("f")).where(F.col("f.keep")).select(
+        *keys, "f.kind", "f.pos", "f.metric", "f.label", "f.value", "f.unit",
+        F.lit("reported").alias("classification"), "f.source_ids")
+    seg_cur = segments.select("entity_id", "segment", "fiscal_year", "q", F.col("revenue").alias("cur"))
+    seg_pri = segments.select("entity_id", "segment", (F.col("fiscal_year") + 1).alias("fiscal_year"), "q",
+                              F.col("revenue").alias("pri"))
+    seg = seg_cur.join(seg_pri, ["entity_id", "segment", "fiscal_year", "q"], "full_outer").join(
+        head.select("entity_id", "fiscal_year", "q", "fiscal_period"), ["entity_id", "fiscal_year", "q"], "left_semi")
+    cur_v = F.coalesce(F.col("cur"), F.lit(0)).cast("bigint")
+    pri_v = F.coalesce(F.col("pri"), F.lit(0)).cast("bigint")
+    seg_growth = F.when(pri_v == 0, F.lit(0)).otherwise(
+        F.round(F.lit(100).cast("decimal(3,0)") * (cur_v - pri_v).cast("decimal(20,0)") / pri_v.cast("decimal(20,0)"), 0))
+    segs = seg.select(
+        "entity_id", "fiscal_year", F.concat(F.lit("Q"), F.col("q").cast("string")).alias("fiscal_period"),
+        "segment", cur_v.alias("current_revenue"), pri_v.alias("prior_year_revenue"),
+        seg_growth.cast("decimal(38,6)").alias("reported_growth_pct"), F.lit("reported").alias("classification"),
+    ).withColumn("source_ids", F.array(press))
+    expl = F.array(
+        F.struct(F.lit("demand").alias("explanation_id"),
+                 F.lit("Management said customer demand supported the quarter.").alias("statement")),
+        F.struct(F.lit("pricing").alias("explanation_id"),
+                 F.lit("Management said pricing changes affected revenue.").alias("statement")),
+    )
+    explanations = head.select(*keys, F.explode(expl).alias("x")).select(
+        *keys, "x.explanation_id", "x.statement", F.lit(ATTRIBUTION).alias("attribution"),
+        F.lit("management_explanation").alias("classification"),
+        F.array(_sid("earnings_call")).alias("source_ids"))
+    return {"head": head, "sources": sources, "facts": facts, "segments": segs, "explanations": explanations}
