@@ -18,7 +18,7 @@ decide.  All of it is lazy DataFrame code; the work grows with the tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarterline.functions.metrics import CONCEPT_OF_METRIC, CORE_METRICS
@@ -345,3 +345,107 @@ def fx_packets(wide: DataFrame, segments: DataFrame) -> dict[str, DataFrame]:
         F.lit("management_explanation").alias("classification"),
         F.array(_sid("earnings_call")).alias("source_ids"))
     return {"head": head, "sources": sources, "facts": facts, "segments": segs, "explanations": explanations}
+
+
+# Fixture rules for generated briefings.
+PERIOD_SLIP_MOD, PERIOD_SLIP_REM = 23, 1  # Q2 briefings claim the previous fiscal year
+EXTRA_DECLARED_MOD, EXTRA_DECLARED_REM = 29, 3  # declares a source nobody approved
+UNKNOWN_EXPL_MOD, UNKNOWN_EXPL_REM = 31, 4  # cites an unknown management explanation
+DUP_CATEGORY_MOD, DUP_CATEGORY_REM = 37, 5  # Q1 briefings repeat a category
+FIGURE_METRIC_ORDER = ["revenue", "gross_profit", "operating_income", "net_income", "revenue_qoq_growth_pct",
+                       "revenue_yoy_growth_pct", "gross_margin_pct", "operating_margin_pct", "net_margin_pct"]
+ROLE_INSIGHT = {"current": 0, "previous": 2, "prior_year": 3, "annual": 4}
+INSIGHT_CATEGORIES = ["overall_performance", "primary_drivers", "headwinds", "profitability_context", "attention",
+                      "investigate_next"]
+
+
+def _lit_map(d: dict) -> "F.Column":
+    return F.create_map(*[x for k, v in d.items() for x in (F.lit(k), F.lit(v))])
+
+
+def fx_briefings(figures: DataFrame, approved: DataFrame, valid_packets: DataFrame) -> dict[str, DataFrame]:
+    """Briefing documents for every grounded period, as long tables.
+
+    ``figure_claims`` restate grounded figures with a perturbation chosen by
+    key (exact, +1 / +0.01, +0.011, wrong unit, unknown source, duplicate);
+    ``business_claims`` restate approved claims (exact, wrong classification,
+    wrong unit, extra source, +1, unknown metric).
+    """
+    doc = ["entity_id", "fiscal_year", "fiscal_period"]
+    ent = F.col("entity_id")
+    ipos = F.element_at(_lit_map(ROLE_INSIGHT), F.col("role"))
+    mord = F.element_at(_lit_map({m: i for i, m in enumerate(FIGURE_METRIC_ORDER)}), F.col("metric"))
+    f = figures.select("*", ipos.alias("insight_pos"), mord.alias("metric_ord"))
+    v = (ent * 7 + F.col("fiscal_year") * 3 + F.col("insight_pos") * 5 + F.col("metric_ord")) % 8
+    val = F.col("value").cast("decimal(38,6)")
+    usd = F.col("unit") == "usd"
+    claimed = (F.when(v == 3, F.when(usd, val + 1).otherwise(val + F.lit("0.01").cast("decimal(38,6)")))
+               .when((v == 4) & ~usd, val + F.lit("0.011").cast("decimal(38,6)")).otherwise(val))
+    fig_claims = f.select(
+        *doc, "insight_pos", "metric", "metric_ord",
+        claimed.cast("decimal(38,6)").alias("value"),
+        F.when(v == 5, F.when(usd, "percent").otherwise("usd")).otherwise(F.col("unit")).alias("unit"),
+        F.when(v == 6, F.concat(F.lit("unknown:"), F.col("period_id"))).otherwise(F.col("source_id")).alias("source_id"),
+        F.explode(F.when(v == 7, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
+    ).select(*doc, "insight_pos", (F.col("metric_ord") + F.col("copy") * 100).cast("int").alias("claim_pos"),
+             "metric", "value", "unit", "source_id")
+
+    pos = F.row_number().over(Window.partitionBy(*doc).orderBy("metric"))
+    a = approved.withColumn("claim_pos", pos)
+    w = (ent + F.col("claim_pos")) % 7
+    biz_claims = a.select(
+        *doc, F.lit(1).alias("insight_pos"), F.col("claim_pos").cast("int").alias("claim_pos"),
+        F.when(w == 6, F.concat(F.col("metric"), F.lit(".unknown"))).otherwise(F.col("metric")).alias("metric"),
+        F.when(w == 5, F.col("value") + 1).otherwise(F.col("value")).cast("decimal(38,6)").alias("value"),
+        F.when(w == 3, F.when(F.col("unit") == "percent", "usd").otherwise("percent")).otherwise(F.col("unit"))
+        .alias("unit"),
+        F.when(w == 2, F.when(F.col("classification") == "reported", "derived").otherwise("reported"))
+        .otherwise(F.col("classification")).alias("classification"),
+        F.when(w == 4, F.array_union(F.col("source_ids"), F.array(F.lit("extra-source"))))
+        .otherwise(F.col("source_ids")).alias("source_ids"),
+    )
+
+    roles = figures.groupBy(*doc).agg(*[
+        F.max(F.when(F.col("role") == r, F.col("source_id"))).alias(f"src_{r}") for r in ROLE_INSIGHT])
+    roles = roles.join(valid_packets.select(*doc).withColumn("_valid", F.lit(True)), doc, "left")
+    packet_src = F.when(F.col("_valid").isNotNull(), F.array(
+        F.concat(F.lit("e"), ent.cast("string"), F.lit("-fy"), F.col("fiscal_year").cast("string"), F.lit("-"),
+                 F.col("fiscal_period"), F.lit("-press_release")),
+        F.concat(F.lit("e"), ent.cast("string"), F.lit("-fy"), F.col("fiscal_year").cast("string"), F.lit("-"),
+                 F.col("fiscal_period"), F.lit("-metrics")))).otherwise(F.array().cast("array<string>"))
+
+    def one(c: str):
+        return F.when(F.col(c).isNotNull(), F.array(F.col(c))).otherwise(F.array().cast("array<string>"))
+
+    no_ids = F.array().cast("array<string>")
+    expl = F.when(ent % UNKNOWN_EXPL_MOD == UNKNOWN_EXPL_REM,
+                  F.array(F.lit("demand"), F.lit("unknown_expl"))).otherwise(F.array(F.lit("demand")))
+    last_cat = F.when((ent % DUP_CATEGORY_MOD == DUP_CATEGORY_REM) & (F.col("fiscal_period") == "Q1"),
+                      "attention").otherwise("investigate_next")
+    def insight(pos: int, category, sources, expl_ids):
+        cat = F.lit(category) if isinstance(category, str) else category
+        return F.struct(F.lit(pos).alias("insight_pos"), cat.alias("category"), sources.alias("source_ids"),
+                        expl_ids.alias("management_explanation_ids"))
+
+    ins = F.array(
+        insight(0, "overall_performance", one("src_current"), no_ids),
+        insight(1, "primary_drivers", packet_src, no_ids),
+        insight(2, "headwinds", one("src_previous"), no_ids),
+        insight(3, "profitability_context", one("src_prior_year"), no_ids),
+        insight(4, "attention", one("src_annual"), no_ids),
+        insight(5, last_cat, one("src_current"), expl),
+    )
+    insights = roles.select(*doc, F.explode(ins).alias("i")).select(
+        *doc, F.col("i.insight_pos").alias("insight_pos"), F.col("i.category").alias("category"),
+        F.col("i.source_ids").alias("source_ids"), F.col("i.management_explanation_ids").alias("management_explanation_ids"))
+    declared = F.concat(
+        F.filter(F.array(*[F.col(f"src_{r}") for r in ROLE_INSIGHT]), lambda x: x.isNotNull()),
+        packet_src,
+        F.when(ent % EXTRA_DECLARED_MOD == EXTRA_DECLARED_REM, F.array(F.lit("unknown-declared"))).otherwise(no_ids))
+    heads = roles.select(
+        *doc,
+        F.when((ent % PERIOD_SLIP_MOD == PERIOD_SLIP_REM) & (F.col("fiscal_period") == "Q2"), F.col("fiscal_year") - 1)
+        .otherwise(F.col("fiscal_year")).cast("int").alias("claimed_fiscal_year"),
+        F.col("fiscal_period").alias("claimed_fiscal_period"),
+        declared.alias("source_ids"))
+    return {"heads": heads, "insights": insights, "figure_claims": fig_claims, "business_claims": biz_claims}
