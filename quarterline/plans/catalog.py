@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quarterline.session import materialize
 from quarterline.sources import testdata
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +66,8 @@ class Fixtures:
     spark: SparkSession
     sf_dir: str
     grain: str = "nation"
+    # write the fact tables once when many consumers share them (see session.materialize)
+    materialized: bool = False
 
     def __post_init__(self) -> None:
         self._cache: dict[str, DataFrame] = {}
@@ -77,9 +80,12 @@ class Fixtures:
     def table(self, name: str) -> DataFrame:
         return self._get("t_" + name, lambda: testdata.read_table(self.spark, self.sf_dir, name))
 
+    def _maybe(self, df: DataFrame, name: str) -> DataFrame:
+        return materialize(df, f"fx_{name}") if self.materialized else df
+
     @property
     def wide(self) -> DataFrame:
-        return self._get("wide", lambda: testdata.fx_wide(self.spark, self.sf_dir, self.grain))
+        return self._get("wide", lambda: self._maybe(testdata.fx_wide(self.spark, self.sf_dir, self.grain), "wide"))
 
     @property
     def long(self) -> DataFrame:
@@ -99,4 +105,5 @@ class Fixtures:
 
     @property
     def segments(self) -> DataFrame:
-        return self._get("segments", lambda: testdata.fx_segments(self.spark, self.sf_dir, self.grain))
+        return self._get("segments", lambda: self._maybe(
+            testdata.fx_segments(self.spark, self.sf_dir, self.grain), "segments"))

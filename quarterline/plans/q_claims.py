@@ -11,6 +11,7 @@ from quarterline.plans import q_drivers as QD
 from quarterline.plans import q_grounding as QG
 from quarterline.plans.catalog import Fixtures, register
 from quarterline.plans.fixture_sql import with_all
+from quarterline.session import materialize
 from quarterline.sources import testdata
 
 K = "entity_id, fiscal_year, fiscal_period"
@@ -180,15 +181,16 @@ class Bundle:
     """All intermediate frames of the claim checks for one builder call."""
 
     def __init__(self, spark, sf_dir):
-        fx = Fixtures(spark, sf_dir)
-        self.p = fx.packets
-        self.recon = D.reconciliation(self.p)
+        fx = Fixtures(spark, sf_dir, materialized=True)
+        self.p = {k: materialize(v, f"packet_{k}") for k, v in fx.packets.items()}
+        self.recon = materialize(D.reconciliation(self.p), "packet_recon")
         self.contrib = D.contributions(self.p, self.recon)
-        self.approved = C.approved_claims(self.p, self.recon, self.contrib)
+        self.approved = materialize(C.approved_claims(self.p, self.recon, self.contrib), "approved_claims")
         self.ctx = QG.contexts(fx)
-        self.figures = G.grounded_figures(self.ctx)
+        self.figures = materialize(G.grounded_figures(self.ctx), "grounded_figures")
         valid = self.recon.where(F.col("valid")).select(*D.PACKET)
-        self.docs = testdata.fx_briefings(self.figures, self.approved, valid)
+        self.docs = {k: materialize(v, f"briefing_{k}")
+                     for k, v in testdata.fx_briefings(self.figures, self.approved, valid).items()}
 
     def fig_status(self):
         return C.figure_claim_status(self.docs["figure_claims"], self.figures)

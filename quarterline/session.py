@@ -51,3 +51,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder (reliable, not local)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
+
+    Used where one intermediate feeds many consumers: the plan of every
+    consumer starts at a small scan instead of re-inlining (and re-running)
+    the whole lineage, and the written table survives executor loss.
+    """
+    import uuid
+
+    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/quarterline/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
