@@ -449,3 +449,89 @@ def fx_briefings(figures: DataFrame, approved: DataFrame, valid_packets: DataFra
         F.col("fiscal_period").alias("claimed_fiscal_period"),
         declared.alias("source_ids"))
     return {"heads": heads, "insights": insights, "figure_claims": fig_claims, "business_claims": biz_claims}
+
+
+# The question bank (routed questions, an unsupported one, blank and too long).
+QUESTION_BANK = [
+    "What does revenue mean?",
+    "What is the difference between QoQ and YoY?",
+    "Did Microsoft perform well?",
+    "What drove Microsoft's growth?",
+    "What was the main headwind?",
+    "Are Microsoft's margins strong?",
+    "What should I investigate next?",
+    "Explain this quarter like I do not know finance.",
+    "What is the main headwind?",
+    "How will the share price move next year?",
+    "   ",
+    "x" * 501,
+    "Should I buy the stock?",
+]
+SESSION_ENTITIES = 25  # sessions are spread over the 25 nation entities by conv_id % 25
+# Appended phrases that exercise the advice filter, by doc_id % 10.
+ADVICE_PHRASES = {0: " We recommend you buy shares.", 1: " Our forecast is strong.", 2: " This is a holding pattern.",
+                  3: " Price targets were raised.", 4: " Reinvestment continued."}
+
+
+def fx_questions(conversations: DataFrame, periods: DataFrame) -> DataFrame:
+    """User turns of ``conversations`` as questions about each entity's latest grounded quarter.
+
+    ``periods``: (entity_id, fiscal_year, fiscal_period) of grounded periods.
+    """
+    bank = F.array(*[F.lit(q) for q in QUESTION_BANK])
+    idx = ((F.col("conv_id") * 7 + F.col("turn")) % len(QUESTION_BANK) + 1).cast("int")
+    q = conversations.where(F.col("role") == "user").select(
+        F.col("conv_id").alias("session_id"), F.col("turn").cast("int").alias("turn"),
+        F.element_at(bank, idx).alias("question"),
+        (F.col("conv_id") % SESSION_ENTITIES).cast("bigint").alias("entity_id"))
+    w = Window.partitionBy("entity_id").orderBy(F.col("fiscal_year").desc(), F.col("fiscal_period").desc())
+    latest = periods.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    return q.join(latest, "entity_id")
+
+
+def fx_advice_text(documents: DataFrame) -> DataFrame:
+    """Documents with a phrase appended by ``doc_id % 10`` (some prohibited, some near misses)."""
+    phrase = F.element_at(F.create_map(*[x for k, v in ADVICE_PHRASES.items() for x in (F.lit(k), F.lit(v))]),
+                          (F.col("doc_id") % 10).cast("int"))
+    return documents.select("doc_id", F.concat(F.col("text"), F.coalesce(phrase, F.lit(""))).alias("text"))
+
+
+def fx_answers(requests: DataFrame, figures: DataFrame, valid_packets: DataFrame) -> dict[str, DataFrame]:
+    """Provider answers for every provider request, as (answers, claims) long tables.
+
+    Claims restate the current revenue and net margin and cite the packet's
+    'demand' explanation, perturbed by ``(session_id + turn) % 6``.
+    """
+    doc = ["entity_id", "fiscal_year", "fiscal_period"]
+    cur = figures.where(F.col("role") == "current").groupBy(*doc).agg(
+        F.first("source_id").alias("src"),
+        F.max(F.when(F.col("metric") == "revenue", F.col("value"))).alias("revenue"),
+        F.max(F.when(F.col("metric") == "net_margin_pct", F.col("value"))).alias("net_margin_pct"))
+    r = requests.join(cur, doc).join(valid_packets.select(*doc).withColumn("_valid", F.lit(True)), doc, "left")
+    p = (F.col("session_id") + F.col("turn")) % 6
+    call = F.concat(F.lit("e"), F.col("entity_id").cast("string"), F.lit("-fy"), F.col("fiscal_year").cast("string"),
+                    F.lit("-"), F.col("fiscal_period"), F.lit("-earnings_call"))
+    dec = lambda c: F.col(c).cast("decimal(38,6)")
+    def claim(pos, metric, cls, value, unit, srcs, expl):
+        return F.struct(F.lit(pos).alias("claim_pos"), F.lit(metric).alias("metric"), cls.alias("classification"),
+                        value.cast("decimal(38,6)").alias("value"), unit.cast("string").alias("unit"),
+                        srcs.alias("source_ids"), expl.cast("string").alias("management_explanation_id"))
+
+    claims = F.array(
+        claim(0, "revenue",
+              F.when(p == 2, "derived_metric").when(p == 4, "ai_interpretation").otherwise("reported_fact"),
+              F.when(p == 1, dec("revenue") + 1).otherwise(dec("revenue")),
+              F.when(p == 5, "percent").otherwise("usd"),
+              F.when(p == 3, F.array(F.lit("unknown:source"))).otherwise(F.array(F.col("src"))), F.lit(None)),
+        claim(1, "net_margin_pct", F.lit("derived_metric"),
+              dec("net_margin_pct") + F.lit("0.01").cast("decimal(38,6)"), F.lit("percent"),
+              F.array(F.col("src")), F.lit(None)),
+        claim(2, "demand", F.lit("management_explanation"), F.lit(None), F.lit(None), F.array(call), F.lit("demand")),
+    )
+    text = F.when(p % 2 == 0, F.lit("Revenue was reported, and management cited demand."))\
+        .otherwise(F.lit("Revenue grew; we recommend you buy."))
+    answers = r.select("session_id", "turn", *doc, text.alias("answer"),
+                       F.array_distinct(F.flatten(F.transform(claims, lambda c: c["source_ids"]))).alias("source_ids"))
+    claim_rows = r.select("session_id", "turn", *doc, F.explode(claims).alias("c")).select(
+        "session_id", "turn", *doc, "c.*")
+    return {"answers": answers, "claims": claim_rows}
