@@ -106,8 +106,8 @@ def parse_period(text: Column | str) -> Column:
     """B10 strict parse -> struct(fiscal_year, fiscal_period) or NULL."""
     t = _c(text)
     ok = t.rlike(PERIOD_PATTERN)
-    year = F.regexp_extract(t, PERIOD_PATTERN, 1).cast("int")
-    valid = ok & year.between(1900, 9999)
+    year = F.regexp_extract(t, PERIOD_PATTERN, 1).try_cast("int")
+    valid = ok & F.coalesce(year.between(1900, 9999), F.lit(False))
     return F.when(
         valid,
         F.struct(year.alias("fiscal_year"), F.regexp_extract(t, PERIOD_PATTERN, 2).alias("fiscal_period")),
