@@ -194,3 +194,15 @@ def display_selection(periods: DataFrame, complete: DataFrame, recon: DataFrame)
               .when(~good, "A validated AI briefing is not available.")
               .otherwise("Validated against approved financial and business-driver sources."))
     return x.select(*DOC, mode.alias("mode"), status.alias("status"))
+
+
+def revalidate(stored: DataFrame, figure_claims: DataFrame, current_figures: DataFrame) -> DataFrame:
+    """A10: re-check stored briefings against *current* grounded figures; a briefing
+    whose figure claims no longer all match is stale (a stored flag is never trusted)."""
+    claims = figure_claims.join(stored.select(*DOC), DOC, "left_semi")
+    st = figure_claim_status(claims, current_figures)
+    errs = st.groupBy(*DOC).agg(F.sum(F.when(F.col("status") != "match", 1).otherwise(0)).alias("claim_errors"))
+    x = stored.select(*DOC).join(errs, DOC, "left")
+    n = F.coalesce(F.col("claim_errors"), F.lit(0)).cast("bigint")
+    return x.select(*DOC, n.alias("claim_errors"), (n == 0).alias("revalidated"),
+                    F.when(n == 0, "approved").otherwise("stale").alias("status"))

@@ -241,3 +241,35 @@ def q_margin_series(spark, sf_dir):
         fiscal_label("fiscal_year", "fiscal_period").alias("period_label"),
         F.element_at(label, F.col("series")).alias("series"), "value",
     )
+
+
+def _export_sql() -> str:
+    from quarterline.sources.exports import ONE_PER_ENTITY
+
+    views = {"latest_quarter": "(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY "
+                               "fiscal_year DESC, quarter_number DESC) AS rn FROM qa) WHERE rn = 1)",
+             "quarterly_analytics": "qa", "annual_financials": "an", "quarterly_financials": "w"}
+    parts = []
+    for name, src in views.items():
+        rule = "max(n) = 1" if name in ONE_PER_ENTITY else "true"
+        parts.append(
+            f"SELECT '{name}' AS export_name, '' AS missing_columns, CAST(coalesce(sum(n), 0) AS BIGINT) AS rows, "
+            f"count(*) AS entities, CAST(coalesce(max(n), 0) AS BIGINT) AS max_rows_per_entity, "
+            f"CAST(coalesce(sum(s), 0) AS BIGINT) AS scoped_rows, {rule} AS row_rule_ok, "
+            f"coalesce(sum(n), 0) > 0 AND {rule} AND coalesce(sum(s), 0) > 0 AS ok "
+            f"FROM (SELECT entity_id, count(*) AS n, sum(CASE WHEN fiscal_year >= {SCOPE_MIN_FISCAL_YEAR} THEN 1 "
+            f"ELSE 0 END) AS s FROM {src} x GROUP BY entity_id) e")
+    return _sql(("w", _WIDE), ("l", _LAGGED), ("qa", _ANALYTICS), ("atot", _ANNUAL_TOTALS), ("an", _ANNUAL),
+                select=" UNION ALL ".join(parts))
+
+
+@register("export_contract_report", sql=_export_sql())
+def q_export_contract_report(spark, sf_dir):
+    """Required columns, row counts, one latest row per entity, scoped rows."""
+    from quarterline.sources.exports import contract_report
+
+    wide = A.quarterly_wide(Fixtures(spark, sf_dir).long)
+    qa = A.quarterly_analytics(wide)
+    frames = {"latest_quarter": A.latest_quarter(qa), "quarterly_analytics": qa,
+              "annual_financials": A.annual_financials(A.annual_totals(wide)), "quarterly_financials": wide}
+    return contract_report(frames, SCOPE_MIN_FISCAL_YEAR)

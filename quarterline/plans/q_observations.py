@@ -228,3 +228,39 @@ def q_concept_search(spark, sf_dir):
     part = Fixtures(spark, sf_dir).table("part")
     hay = F.lower(F.concat_ws(" ", "p_name", "p_type", "p_brand"))
     return part.where(hay.contains(F.lower(F.lit("Gear")))).select("p_partkey", "p_name", "p_type")
+
+
+@register("quarter_ordinal", sql=with_all("fx_obs") + """
+SELECT entity_id, concept, seq, fp, CAST(CASE fp WHEN 'Q1' THEN 1 WHEN 'Q2' THEN 2 WHEN 'Q3' THEN 3 WHEN 'Q4' THEN 4
+  END AS INTEGER) AS quarter_number FROM fx_obs""")
+def q_quarter_ordinal(spark, sf_dir):
+    """Period label -> ordinal; anything else (here 'FY') is NULL and left to the quality report."""
+    from quarterline.functions.periods import quarter_number
+
+    obs = Fixtures(spark, sf_dir).obs
+    return obs.select("entity_id", "concept", "seq", "fp", quarter_number("fp").alias("quarter_number"))
+
+
+_PID_TEXT = "CASE WHEN seq = 2 THEN lower('FY' || CAST(fy AS VARCHAR) || '-' || fp) WHEN seq = 8 THEN ' FY' || " \
+            "CAST(fy AS VARCHAR) || '-' || fp ELSE 'FY' || CAST(fy AS VARCHAR) || '-' || fp END"
+
+
+@register("period_parse", sql=with_all("fx_obs") + f"""
+SELECT entity_id, concept, seq, t AS period_text,
+  CASE WHEN ok THEN y END AS fiscal_year, CASE WHEN ok THEN regexp_extract(t, '^FY(\\d{{4}})-(Q[1-4])$', 2) END
+    AS fiscal_period
+FROM (SELECT *, regexp_full_match(t, '^FY(\\d{{4}})-(Q[1-4])$')
+          AND coalesce(y BETWEEN 1900 AND 9999, false) AS ok
+      FROM (SELECT *, TRY_CAST(regexp_extract(t, '^FY(\\d{{4}})-(Q[1-4])$', 1) AS INTEGER) AS y
+            FROM (SELECT *, {_PID_TEXT} AS t FROM fx_obs) a) b) c""")
+def q_period_parse(spark, sf_dir):
+    """Strict, case-sensitive, whole-string identifier parse of texts built from the
+    filings (comparative rows lower-cased, instants with a leading blank, 'FY' periods)."""
+    from quarterline.functions.periods import parse_period
+
+    obs = Fixtures(spark, sf_dir).obs
+    base = F.concat(F.lit("FY"), F.col("fy").cast("string"), F.lit("-"), F.col("fp"))
+    text = F.when(F.col("seq") == 2, F.lower(base)).when(F.col("seq") == 8, F.concat(F.lit(" "), base)).otherwise(base)
+    x = obs.select("entity_id", "concept", "seq", text.alias("period_text"))
+    p = parse_period(F.col("period_text"))
+    return x.select("*", p["fiscal_year"].alias("fiscal_year"), p["fiscal_period"].alias("fiscal_period"))

@@ -352,6 +352,7 @@ PERIOD_SLIP_MOD, PERIOD_SLIP_REM = 23, 1  # Q2 briefings claim the previous fisc
 EXTRA_DECLARED_MOD, EXTRA_DECLARED_REM = 29, 3  # declares a source nobody approved
 UNKNOWN_EXPL_MOD, UNKNOWN_EXPL_REM = 31, 4  # cites an unknown management explanation
 DUP_CATEGORY_MOD, DUP_CATEGORY_REM = 37, 5  # Q1 briefings repeat a category
+PERTURB_MOD = 3  # claims are perturbed only when (entity_id + fiscal_year) % 3 = 0
 FIGURE_METRIC_ORDER = ["revenue", "gross_profit", "operating_income", "net_income", "revenue_qoq_growth_pct",
                        "revenue_yoy_growth_pct", "gross_margin_pct", "operating_margin_pct", "net_margin_pct"]
 ROLE_INSIGHT = {"current": 0, "previous": 2, "prior_year": 3, "annual": 4}
@@ -376,7 +377,9 @@ def fx_briefings(figures: DataFrame, approved: DataFrame, valid_packets: DataFra
     ipos = F.element_at(_lit_map(ROLE_INSIGHT), F.col("role"))
     mord = F.element_at(_lit_map({m: i for i, m in enumerate(FIGURE_METRIC_ORDER)}), F.col("metric"))
     f = figures.select("*", ipos.alias("insight_pos"), mord.alias("metric_ord"))
-    v = (ent * 7 + F.col("fiscal_year") * 3 + F.col("insight_pos") * 5 + F.col("metric_ord")) % 8
+    perturbed = (ent + F.col("fiscal_year")) % PERTURB_MOD == 0
+    v = F.when(perturbed, (ent * 7 + F.col("fiscal_year") * 3 + F.col("insight_pos") * 5 + F.col("metric_ord")) % 8) \
+        .otherwise(0)
     val = F.col("value").cast("decimal(38,6)")
     usd = F.col("unit") == "usd"
     claimed = (F.when(v == 3, F.when(usd, val + 1).otherwise(val + F.lit("0.01").cast("decimal(38,6)")))
@@ -392,7 +395,7 @@ def fx_briefings(figures: DataFrame, approved: DataFrame, valid_packets: DataFra
 
     pos = F.row_number().over(Window.partitionBy(*doc).orderBy("metric"))
     a = approved.withColumn("claim_pos", pos)
-    w = (ent + F.col("claim_pos")) % 7
+    w = F.when((ent + F.col("fiscal_year")) % PERTURB_MOD == 0, (ent + F.col("claim_pos")) % 7).otherwise(0)
     biz_claims = a.select(
         *doc, F.lit(1).alias("insight_pos"), F.col("claim_pos").cast("int").alias("claim_pos"),
         F.when(w == 6, F.concat(F.col("metric"), F.lit(".unknown"))).otherwise(F.col("metric")).alias("metric"),
