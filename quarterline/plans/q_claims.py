@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import functions as F
 
 from quarterline.operators import claims as C
@@ -179,22 +181,50 @@ def _sql(select: str) -> str:
 
 
 class Bundle:
-    """All intermediate frames of the claim checks for one builder call."""
+    """Intermediate frames of the claim checks, built lazily and written once each
+    (``session.materialize``) so every consumer starts from a small scan."""
 
     def __init__(self, spark, sf_dir):
-        fx = Fixtures(spark, sf_dir, materialized=True)
-        self.p = {k: materialize(v, f"packet_{k}") for k, v in fx.packets.items()}
-        self.recon = materialize(D.reconciliation(self.p), "packet_recon")
-        self.contrib = D.contributions(self.p, self.recon)
-        self.approved = materialize(C.approved_claims(self.p, self.recon, self.contrib), "approved_claims")
-        self.ctx = QG.contexts(fx)
-        self.figures = materialize(G.grounded_figures(self.ctx), "grounded_figures")
+        self.fx = Fixtures(spark, sf_dir, materialized=True)
+
+    @cached_property
+    def p(self):
+        return {k: materialize(v, f"packet_{k}") for k, v in self.fx.packets.items()}
+
+    @cached_property
+    def recon(self):
+        return materialize(D.reconciliation(self.p), "packet_recon")
+
+    @cached_property
+    def contrib(self):
+        return D.contributions(self.p, self.recon)
+
+    @cached_property
+    def approved(self):
+        return materialize(C.approved_claims(self.p, self.recon, self.contrib), "approved_claims")
+
+    @cached_property
+    def ctx(self):
+        return QG.contexts(self.fx)
+
+    @cached_property
+    def figures(self):
+        return materialize(G.grounded_figures(self.ctx), "grounded_figures")
+
+    @cached_property
+    def figure_claims(self):
+        return materialize(testdata.fx_figure_claims(self.figures), "briefing_figure_claims")
+
+    @cached_property
+    def docs(self):
         valid = self.recon.where(F.col("valid")).select(*D.PACKET)
-        self.docs = {k: materialize(v, f"briefing_{k}")
-                     for k, v in testdata.fx_briefings(self.figures, self.approved, valid).items()}
+        parts = testdata.fx_briefings(self.figures, self.approved, valid)
+        out = {k: materialize(v, f"briefing_{k}") for k, v in parts.items() if k != "figure_claims"}
+        out["figure_claims"] = self.figure_claims
+        return out
 
     def fig_status(self):
-        return C.figure_claim_status(self.docs["figure_claims"], self.figures)
+        return C.figure_claim_status(self.figure_claims, self.figures)
 
     def biz_status(self):
         return C.business_claim_status(self.docs["business_claims"], self.approved)
@@ -270,7 +300,7 @@ def q_display_selection(spark, sf_dir):
 SELECT {K}, CAST(n_insights AS BIGINT) AS insights,
   n_insights BETWEEN 1 AND 6 AS insight_count_ok,
   CAST(bad_categories AS BIGINT) AS bad_categories,
-  CAST(claims_outside_insight AS BIGINT) AS claims_outside_insight_sources,
+  CAST(coalesce(claims_outside_insight, 0) AS BIGINT) AS claims_outside_insight_sources,
   len(h.source_ids) <> len(list_distinct(h.source_ids)) AS duplicate_declared_sources
 FROM heads h
 JOIN (SELECT {K}, count(*) AS n_insights, sum(CASE WHEN category NOT IN ('current_performance', 'change',
@@ -323,4 +353,4 @@ def q_briefing_revalidate(spark, sf_dir):
     annual = A.complete_annual(A.annual_financials(A.annual_totals(wide)), A.complete_years(wide),
                                SCOPE_MIN_FISCAL_YEAR)
     current = G.grounded_figures(G.grounding_contexts(analytics, annual))
-    return C.revalidate(stored, b.docs["figure_claims"], current)
+    return C.revalidate(stored, b.figure_claims, current)

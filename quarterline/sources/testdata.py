@@ -119,8 +119,14 @@ def fx_long(spark: SparkSession, sf_dir: str, grain: str = "nation", wide: DataF
 
 
 def fx_segments(spark: SparkSession, sf_dir: str, grain: str = "nation") -> DataFrame:
-    """Segment revenue per (entity_id, segment = p_brand, fiscal_year, q)."""
-    lines = _line_measures(read_table(spark, sf_dir, "lineitem"))
+    """Segment revenue per (entity_id, segment = p_brand, fiscal_year, q).
+
+    Lines are first summed per (part, supplier, fiscal_year, q) -- partial
+    aggregation combines a hot part's lines map side -- so the dimension
+    joins see pre-aggregated rows, not line items.
+    """
+    lines = _line_measures(read_table(spark, sf_dir, "lineitem")).groupBy(
+        "l_partkey", "l_suppkey", "fiscal_year", "q").agg(F.sum("m_revenue").alias("m_revenue"))
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     joined = lines.join(part, lines.l_partkey == part.p_partkey)
     if grain == "nation":
@@ -364,14 +370,8 @@ def _lit_map(d: dict) -> "F.Column":
     return F.create_map(*[x for k, v in d.items() for x in (F.lit(k), F.lit(v))])
 
 
-def fx_briefings(figures: DataFrame, approved: DataFrame, valid_packets: DataFrame) -> dict[str, DataFrame]:
-    """Briefing documents for every grounded period, as long tables.
-
-    ``figure_claims`` restate grounded figures with a perturbation chosen by
-    key (exact, +1 / +0.01, +0.011, wrong unit, unknown source, duplicate);
-    ``business_claims`` restate approved claims (exact, wrong classification,
-    wrong unit, extra source, +1, unknown metric).
-    """
+def fx_figure_claims(figures: DataFrame) -> DataFrame:
+    """Figure claims restating grounded figures, perturbed by key (see ``fx_briefings``)."""
     doc = ["entity_id", "fiscal_year", "fiscal_period"]
     ent = F.col("entity_id")
     ipos = F.element_at(_lit_map(ROLE_INSIGHT), F.col("role"))
@@ -392,6 +392,20 @@ def fx_briefings(figures: DataFrame, approved: DataFrame, valid_packets: DataFra
         F.explode(F.when(v == 7, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
     ).select(*doc, "insight_pos", (F.col("metric_ord") + F.col("copy") * 100).cast("int").alias("claim_pos"),
              "metric", "value", "unit", "source_id")
+    return fig_claims
+
+
+def fx_briefings(figures: DataFrame, approved: DataFrame, valid_packets: DataFrame) -> dict[str, DataFrame]:
+    """Briefing documents for every grounded period, as long tables.
+
+    ``figure_claims`` restate grounded figures with a perturbation chosen by
+    key (exact, +1 / +0.01, +0.011, wrong unit, unknown source, duplicate);
+    ``business_claims`` restate approved claims (exact, wrong classification,
+    wrong unit, extra source, +1, unknown metric).
+    """
+    doc = ["entity_id", "fiscal_year", "fiscal_period"]
+    ent = F.col("entity_id")
+    fig_claims = fx_figure_claims(figures)
 
     pos = F.row_number().over(Window.partitionBy(*doc).orderBy("metric"))
     a = approved.withColumn("claim_pos", pos)
