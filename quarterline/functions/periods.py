@@ -29,7 +29,7 @@ def _c(col: Column | str) -> Column:
 def iso_date(text: Column | str) -> Column:
     """Strict ISO ``YYYY-MM-DD`` parse; anything else is NULL (never raises)."""
     t = _c(text)
-    return F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(t, "yyyy-MM-dd"))
+    return F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}$"), t.try_cast("date"))
 
 
 def duration_days(start: Column | str, end: Column | str) -> Column:

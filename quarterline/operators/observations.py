@@ -58,19 +58,24 @@ def classify(obs: DataFrame, position: str = "seq") -> DataFrame:
     ``obs`` columns: entity_id, concept, unit, <position>, start_date, end_date,
     val, accn, fy, fp, form, filed (dates as ISO text as in the documents).
     """
-    s = iso_date(F.col("start_date"))
-    e = iso_date(F.col("end_date"))
-    typed = obs.where(F.col("unit") == "USD").select(
+    parsed = obs.where(F.col("unit") == "USD").select(
         "entity_id",
         metric_of_concept(F.col("concept")).alias("metric"),
         F.col("concept").alias("sec_metric"),
         F.col(position).alias("pos"),
-        s.alias("start_d"),
-        e.alias("end_d"),
+        "start_date", "end_date",
+        iso_date(F.col("start_date")).alias("start_d"),
+        iso_date(F.col("end_date")).alias("end_d"),
+        iso_date(F.col("filed")).alias("filed_d"),
         F.col("val").cast("bigint").alias("val"),
         "accn", "fy", "fp", "form", "filed",
-        fiscal_year_of(e).alias("fiscal_year"),
-        fiscal_period_of(e).alias("derived_period"),
+    )
+    # every derived column below reads the parsed columns: each date is parsed once per row
+    typed = parsed.select(
+        "*",
+        fiscal_year_of(F.col("end_d")).alias("fiscal_year"),
+        fiscal_period_of(F.col("end_d")).alias("derived_period"),
+        duration_days("start_d", "end_d").alias("duration"),
     ).where(
         F.col("metric").isNotNull()
         & (F.coalesce(F.col("start_date"), F.lit("")) != "")
@@ -78,10 +83,10 @@ def classify(obs: DataFrame, position: str = "seq") -> DataFrame:
         & F.col("val").isNotNull()
         & F.col("fiscal_year").isNotNull()
     )
-    form, fy, fp, year = F.col("form"), F.col("fy"), F.col("fp"), F.col("fiscal_year")
-    dur_q = duration_between("start_d", "end_d", *QUARTER_DAYS)
-    dur_9 = duration_between("start_d", "end_d", *NINE_MONTH_DAYS)
-    dur_y = duration_between("start_d", "end_d", *FULL_YEAR_DAYS)
+    form, fy, fp, year, d = F.col("form"), F.col("fy"), F.col("fp"), F.col("fiscal_year"), F.col("duration")
+    dur_q = F.coalesce(d.between(*QUARTER_DAYS), F.lit(False))
+    dur_9 = F.coalesce(d.between(*NINE_MONTH_DAYS), F.lit(False))
+    dur_y = F.coalesce(d.between(*FULL_YEAR_DAYS), F.lit(False))
     slot = (
         F.when((form == "10-Q") & dur_q,
                F.when(F.col("derived_period").isNotNull() & own_period(fy, fp, year, F.col("derived_period")),
@@ -89,7 +94,7 @@ def classify(obs: DataFrame, position: str = "seq") -> DataFrame:
         .when((form == "10-Q") & dur_9, F.when(own_period(fy, fp, year, "Q3"), F.lit("9M")))
         .when((form == "10-K") & dur_y, F.when(own_period(fy, fp, year, "FY"), F.lit("FY")))
     )
-    return typed.withColumn("slot", slot).where(F.col("slot").isNotNull())
+    return typed.withColumn("slot", slot).where(F.col("slot").isNotNull()).drop("start_date", "end_date", "duration")
 
 
 def _obs_struct() -> Column:
@@ -101,7 +106,7 @@ def _obs_struct() -> Column:
 
 def _pick(condition: Column, by_date: bool) -> Column:
     """max_by over the rows meeting ``condition``; later filed wins, first seen on ties."""
-    filed = F.coalesce(iso_date(F.col("filed")), F.lit("0001-01-01").cast("date")) if by_date \
+    filed = F.coalesce(F.col("filed_d"), F.lit("0001-01-01").cast("date")) if by_date \
         else F.coalesce(F.col("filed"), F.lit(""))
     order = F.struct(filed.alias("f"), (-F.col("pos")).alias("p"))
     return F.max_by(F.when(condition, _obs_struct()), F.when(condition, order))

@@ -23,6 +23,11 @@ LOCAL_CONF = {
     "spark.ui.showConsoleProgress": "false",
     "spark.driver.memory": "8g",
     "spark.sql.ansi.enabled": "true",
+    # The JVM does not JIT-compile methods above 8000 bytes of bytecode; with the
+    # default limit (65535) a wide whole-stage-codegen method stays interpreted
+    # (2-3x slower on the observation classifier).  At 8000 Spark splits or falls
+    # back instead.  Set the same on the cluster.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
