@@ -472,10 +472,10 @@ def fx_briefings(figures: DataFrame, approved: DataFrame, valid_packets: DataFra
 QUESTION_BANK = [
     "What does revenue mean?",
     "What is the difference between QoQ and YoY?",
-    "Did Microsoft perform well?",
-    "What drove Microsoft's growth?",
+    "Did the company perform well?",
+    "What drove the company's growth?",
     "What was the main headwind?",
-    "Are Microsoft's margins strong?",
+    "Are the company's margins strong?",
     "What should I investigate next?",
     "Explain this quarter like I do not know finance.",
     "What is the main headwind?",

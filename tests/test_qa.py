@@ -7,10 +7,10 @@ from quarterline.operators import qa as Q
 ROUTED = {
     "What does revenue mean?": "glossary",
     "What is the difference between QoQ and YoY?": "glossary",
-    "Did Microsoft perform well?": "performance",
-    "What drove Microsoft's growth?": "drivers",
+    "Did the company perform well?": "performance",
+    "What drove the company's growth?": "drivers",
     "What was the main headwind?": "headwind",
-    "Are Microsoft's margins strong?": "margin",
+    "Are the company's margins strong?": "margin",
     "What should I investigate next?": "investigate",
     "Explain this quarter like I do not know finance.": "explain",
     "What is the main headwind?": "glossary",
