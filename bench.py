@@ -43,7 +43,7 @@ def part_grain(spark, sf_dir):
         return O.facts_from_observations(fx().obs)
 
     def contrib():
-        p = fx().packets
+        p = Fixtures(spark, sf_dir, grain="part", materialized=True).packets
         return D.contributions(p, D.reconciliation(p))
 
     def asof():

@@ -66,7 +66,9 @@ def _sql(select: str) -> str:
 
 
 def _packets(spark, sf_dir):
-    return Fixtures(spark, sf_dir).packets
+    """Packet tables over the fact tables written once (each packet table reads them
+    several times; without the cut every read would re-scan the line items)."""
+    return Fixtures(spark, sf_dir, materialized=True).packets
 
 
 @register("segment_reconcile", sql=_sql("SELECT * FROM recon"))
@@ -136,7 +138,7 @@ FROM (SELECT DISTINCT entity_id, fiscal_year, fiscal_period FROM fx_long
 LEFT JOIN recon r USING ({K})""")
 def q_packet_availability(spark, sf_dir):
     """A5: every requested period gets an explicit available / unavailable / invalid state."""
-    fx = Fixtures(spark, sf_dir)
+    fx = Fixtures(spark, sf_dir, materialized=True)
     periods = A.scoped(A.quarterly_wide(fx.long), SCOPE_MIN_FISCAL_YEAR).select(*D.PACKET)
     recon = D.reconciliation(fx.packets).withColumn("_has", F.lit(True))
     x = periods.join(recon, D.PACKET, "left")

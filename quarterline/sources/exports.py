@@ -87,7 +87,8 @@ def publish_exports(frames: dict[str, DataFrame], target: str, min_fiscal_year:
             fs.delete(dst, True)
         fs.rename(jvm.org.apache.hadoop.fs.Path(f"{stage}/{name}"), dst)
     fs.delete(jvm.org.apache.hadoop.fs.Path(stage), True)
-    return report
+    published = {name: spark.read.parquet(f"{target.rstrip('/')}/{name}") for name in frames}
+    return contract_report(published, min_fiscal_year)
 
 
 def publish_briefings(documents: DataFrame, complete: DataFrame, path: str) -> None:
