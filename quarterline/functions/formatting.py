@@ -67,7 +67,9 @@ def signed_percent(value: Column | str) -> Column:
 
 def signed_billions(value: Column | str) -> Column:
     """``+$9.428B`` / ``-$0.597B`` (sign before the dollar, half-even to 3 places)."""
-    v = _c(value).cast("decimal(38,6)")
+    # decimal(29,6) / decimal(10,0) keeps 15 fractional digits, i.e. the exact quotient;
+    # a wider input would cut the quotient to 6 digits first and round twice
+    v = _c(value).cast("decimal(29,6)")
     b = F.bround(F.abs(v) / F.lit(1000000000).cast("decimal(10,0)"), 3).cast("decimal(38,3)").cast("string")
     sign = F.when(v > 0, F.lit("+")).when(v < 0, F.lit("-")).otherwise(F.lit(""))
     return F.concat(sign, F.lit("$"), b, F.lit("B"))

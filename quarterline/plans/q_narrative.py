@@ -75,21 +75,105 @@ def _scoped(fx):
     return QG.scoped_inputs(fx)
 
 
-@register("format_kpis")
+# ------------------------------------------------------------- text oracles
+def _fb(x: str) -> str:
+    return (f"(CASE WHEN {x} IS NULL OR isnan(CAST({x} AS DOUBLE)) THEN 'Not available' ELSE "
+            f"'$' || format('{{:,.1f}}', CAST({x} AS DOUBLE) / 1e9) || 'B' END)")
+
+
+def _fp(x: str, sign: bool = False) -> str:
+    s = f"CASE WHEN CAST({x} AS DOUBLE) > 0 THEN '+' ELSE '' END || " if sign else ""
+    return (f"(CASE WHEN {x} IS NULL OR isnan(CAST({x} AS DOUBLE)) THEN 'Not available' ELSE "
+            f"{s}format('{{:,.1f}}', CAST({x} AS DOUBLE)) || '%' END)")
+
+
+def _dir(x: str) -> str:
+    return (f"(CASE WHEN {x} IS NULL THEN 'was unavailable' WHEN {x} > 0 THEN 'increased' "
+            f"WHEN {x} < 0 THEN 'declined' ELSE 'was unchanged' END)")
+
+
+def _cap(x: str) -> str:
+    return f"(upper(left({x}, 1)) || lower(substr({x}, 2)))"
+
+
+_LATEST = ("(SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY fiscal_year "
+           "DESC, quarter_number DESC) AS rn FROM pm) x WHERE rn = 1)")
+_PM = ("SELECT *, LAG(gross_margin_pct) OVER w AS p_g, LAG(operating_margin_pct) OVER w AS p_o, "
+       "LAG(net_margin_pct) OVER w AS p_n FROM sq WINDOW w AS (PARTITION BY entity_id ORDER BY fiscal_year, "
+       "quarter_number)")
+
+
+def _text_sql(select: str) -> str:
+    return with_all("fx_long", extra=QG.GROUNDING_CTES[:8] + [("pm", _PM)]) + "\n" + select
+
+
+_KPI_SQL = _text_sql(f"""
+SELECT entity_id, fiscal_year, fiscal_period, 'FY' || CAST(fiscal_year AS VARCHAR) || ' ' || fiscal_period AS period_label,
+  {_fb('revenue')} AS revenue_text, {_fb('net_income')} AS net_income_text,
+  {_fp('revenue_qoq_growth_pct', True)} AS qoq_text, {_fp('revenue_yoy_growth_pct', True)} AS yoy_text,
+  {_fp('gross_margin_pct')} AS gross_margin_text, {_fp('operating_margin_pct')} AS operating_margin_text,
+  {_fp('net_margin_pct')} AS net_margin_text, {_dir('revenue_qoq_change')} AS qoq_direction,
+  {_dir('revenue_yoy_change')} AS yoy_direction,
+  CASE WHEN revenue_yoy_growth_pct > 0 THEN 'positive' WHEN revenue_yoy_growth_pct < 0 THEN 'negative'
+       ELSE 'neutral' END AS yoy_tone
+FROM {_LATEST} l""")
+
+_REPORT_SQL = _text_sql(f"""
+SELECT entity_id, 'FY' || CAST(fiscal_year AS VARCHAR) AS "Fiscal year", {_fb('revenue')} AS "Revenue",
+  {_fp('revenue_yoy_growth_pct')} AS "Revenue growth", {_fb('gross_profit')} AS "Gross profit",
+  {_fb('operating_income')} AS "Operating income", {_fb('net_income')} AS "Net income",
+  {_fp('gross_margin_pct')} AS "Gross margin", {_fp('operating_margin_pct')} AS "Operating margin",
+  {_fp('net_margin_pct')} AS "Net margin"
+FROM sa""")
+
+
+def _growth_sql(v: str, cmp: str) -> str:
+    return (f"(CASE WHEN {v} IS NULL THEN 'Revenue growth {cmp} was unavailable' ELSE 'revenue ' || {_dir(v)} "
+            f"|| ' ' || {_fp(f'abs({v})')} || ' {cmp}' END)")
+
+
+def _mdir(cur: str, prev: str, label: str) -> str:
+    return (f"CASE WHEN {cur} IS NULL OR {prev} IS NULL THEN NULL WHEN abs({cur} - {prev}) < 0.05 THEN "
+            f"'{label} margin held steady' WHEN {cur} - {prev} > 0 THEN '{label} margin improved' "
+            f"ELSE '{label} margin declined' END")
+
+
+_PARTS = (f"list_filter([{_mdir('gross_margin_pct', 'p_g', 'gross')}, {_mdir('operating_margin_pct', 'p_o', 'operating')}, "
+          f"{_mdir('net_margin_pct', 'p_n', 'net')}], lambda x: x IS NOT NULL)")
+_INSIGHTS_SQL = _text_sql(f"""
+SELECT * FROM (
+  SELECT entity_id, fiscal_year, fiscal_period, 0 AS pos, 'Current scale' AS title,
+    'Entity ' || CAST(entity_id AS VARCHAR) || ' reported ' || {_fb('revenue')} || ' in revenue for FY'
+      || CAST(fiscal_year AS VARCHAR) || ' ' || fiscal_period || '.' AS body FROM lt
+  UNION ALL SELECT entity_id, fiscal_year, fiscal_period, 1, 'Growth momentum',
+    {_cap(_growth_sql('revenue_yoy_growth_pct', 'year over year'))} || ' and '
+      || {_growth_sql('revenue_qoq_growth_pct', 'from the prior quarter')} || '.' FROM lt
+  UNION ALL SELECT entity_id, fiscal_year, fiscal_period, 2, 'Profitability',
+    'Gross margin was ' || {_fp('gross_margin_pct')} || ', operating margin was ' || {_fp('operating_margin_pct')}
+      || ', and net margin was ' || {_fp('net_margin_pct')} || '.' FROM lt
+  UNION ALL SELECT entity_id, fiscal_year, fiscal_period, 3, 'What deserves attention',
+    CASE WHEN len(parts) = 0 THEN NULL WHEN len(parts) = 1 THEN {_cap('parts[1]')} || '.'
+         ELSE {_cap("array_to_string(list_slice(parts, 1, len(parts) - 1), ', ')")} || ', and ' || parts[len(parts)]
+              || ' versus the prior quarter.' END
+    FROM (SELECT *, {_PARTS} AS parts FROM lt) m
+) x WHERE body IS NOT NULL""").replace("\nSELECT * FROM (", ", lt AS (SELECT * FROM " + _LATEST + ")\nSELECT * FROM (", 1)
+
+
+@register("format_kpis", sql=_KPI_SQL)
 def q_format_kpis(spark, sf_dir):
     """KPI text of every entity's latest quarter (exact strings tested in pytest)."""
     analytics, _ = _scoped(Fixtures(spark, sf_dir))
     return N.kpis(A.latest_quarter(analytics))
 
 
-@register("annual_report_table")
+@register("annual_report_table", sql=_REPORT_SQL)
 def q_annual_report_table(spark, sf_dir):
     """Formatted annual report table of complete years."""
     _, annual = _scoped(Fixtures(spark, sf_dir))
     return N.report_table(annual)
 
 
-@register("executive_insights")
+@register("executive_insights", sql=_INSIGHTS_SQL)
 def q_executive_insights(spark, sf_dir):
     """H2: deterministic executive insights per entity."""
     analytics, _ = _scoped(Fixtures(spark, sf_dir))
@@ -168,7 +252,48 @@ def q_driver_signals(spark, sf_dir):
     return _presentation(spark, sf_dir).groupBy(*D.PACKET, "section").agg(F.count(F.lit(1)).alias("items"))
 
 
-@register("driver_presentation")
+def _signed_billions_sql(v: str) -> str:
+    """Integral USD -> billions to 3 places, half-even, in exact integer arithmetic."""
+    a = f"abs(CAST({v} AS HUGEINT))"
+    t = (f"({a} // 1000000 + CASE WHEN {a} % 1000000 > 500000 OR ({a} % 1000000 = 500000 "
+         f"AND ({a} // 1000000) % 2 = 1) THEN 1 ELSE 0 END)")
+    b = f"(CAST({t} // 1000 AS VARCHAR) || '.' || lpad(CAST({t} % 1000 AS VARCHAR), 3, '0'))"
+    return (f"(CASE WHEN {v} > 0 THEN '+' WHEN {v} < 0 THEN '-' ELSE '' END || '$' || {b} || 'B')")
+
+
+def _trim_sql(v: str) -> str:
+    s = f"CAST(CAST({v} AS DECIMAL(38,6)) AS VARCHAR)"
+    return f"(CASE WHEN contains({s}, '.') THEN regexp_replace(regexp_replace({s}, '0+$', ''), '\\.$', '') ELSE {s} END)"
+
+
+_SIG_CASE = "CASE metric " + " ".join(f"WHEN '{m}' THEN {i + 1}" for i, m in enumerate(N.PRIORITY_SIGNAL_METRICS)) + " END"
+_EXP_CASE = "CASE explanation_id " + " ".join(
+    f"WHEN '{e}' THEN {i + 1}" for i, e in enumerate(N.PRIORITY_EXPLANATION_IDS)) + " END"
+_VALID_K = f"({K}) IN (SELECT ({K}) FROM recon WHERE valid)"
+_PRESENTATION_SQL = _sql(f"""
+SELECT {K}, CASE WHEN direction = 'positive' THEN 'contributor' ELSE 'headwind' END AS section,
+  CAST(rank AS INTEGER) AS pos, segment AS label,
+  {_signed_billions_sql('absolute_revenue_change')} || ' | '
+    || CAST(CAST(contribution_pct AS DECIMAL(38,2)) AS VARCHAR) || '%' AS value, direction AS tone
+FROM rnk
+UNION ALL
+SELECT {K}, 'signal', CAST({_SIG_CASE} AS INTEGER), label,
+  CASE WHEN unit = 'percent' THEN CASE WHEN value > 0 THEN '+' ELSE '' END || {_trim_sql('value')} || '%'
+       WHEN unit = 'usd' THEN {_signed_billions_sql('value')} ELSE {_trim_sql('value')} END,
+  CASE WHEN unit = 'percent' THEN CASE WHEN value > 0 THEN 'positive' WHEN value < 0 THEN 'negative'
+       ELSE 'neutral' END ELSE 'neutral' END
+FROM (SELECT {K}, metric, arg_max(label, pos) AS label, arg_max(value, pos) AS value, arg_max(unit, pos) AS unit
+      FROM pk_facts WHERE kind = 'product_indicator' AND {_VALID_K} GROUP BY ALL) i
+WHERE {_SIG_CASE} IS NOT NULL
+UNION ALL
+SELECT {K}, 'explanation', CAST({_EXP_CASE} AS INTEGER), attribution, statement, 'neutral'
+FROM pk_explanations WHERE {_VALID_K} AND {_EXP_CASE} IS NOT NULL
+UNION ALL
+SELECT {K}, 'source', CAST(row_number() OVER (PARTITION BY {K} ORDER BY source_id) AS INTEGER), title, url, 'neutral'
+FROM pk_sources WHERE {_VALID_K}""")
+
+
+@register("driver_presentation", sql=_PRESENTATION_SQL)
 def q_driver_presentation(spark, sf_dir):
     """The presentation rows themselves (signed billions, shares, signals)."""
     return _presentation(spark, sf_dir)

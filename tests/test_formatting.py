@@ -40,3 +40,14 @@ def test_direction_tone_capitalize(spark):
     assert [r.d for r in out] == ["increased", "declined", "was unchanged", "was unavailable"]
     assert [r.o for r in out] == ["positive", "negative", "neutral", "neutral"]
     assert [r.c for r in out] == ["Gross margin improved", "Net margin", "X", ""]
+
+
+def test_signed_billions_rounds_once(spark):
+    vals = ["-40500200", "40500000", "41500000", "637500001", "-117500000"]
+    df = spark.createDataFrame([(Decimal(v),) for v in vals], "v decimal(38,6)")
+    got = [r[0] for r in df.select(fmt.signed_billions("v")).collect()]
+    want = []
+    for v in vals:
+        b = Decimal(v) / Decimal("1000000000")
+        want.append(("+" if b > 0 else "-" if b < 0 else "") + f"${abs(b):.3f}B")
+    assert got == want
