@@ -337,7 +337,41 @@ def q_doc_schema_violations(spark, sf_dir):
                     (F.size("source_ids") != F.size(F.array_distinct("source_ids"))).alias("duplicate_declared_sources"))
 
 
-@register("briefing_revalidate")
+def _renamed(ctes: list[tuple[str, str]], names: list[str], prefix: str = "", suffix: str = "",
+             source: tuple[str, str] | None = None) -> list[tuple[str, str]]:
+    """The same CTE chain under new names (references follow FROM / JOIN)."""
+    import re
+
+    pat = re.compile(r"\b(FROM|JOIN)\s+(" + "|".join(map(re.escape, names)) + r")\b")
+    out = []
+    for name, sql in ctes:
+        sql = pat.sub(lambda m: f"{m.group(1)} {prefix}{m.group(2)}{suffix}", sql)
+        if source:
+            sql = sql.replace(f"FROM {source[0]}", f"FROM {source[1]}")
+        out.append((f"{prefix}{name}{suffix}" if name in names else name, sql))
+    return out
+
+
+def _revalidate_sql() -> str:
+    from quarterline.plans import q_observations as QO
+
+    pipe_names = [n for n, _ in QO._PIPE]
+    pipe = _renamed(QO._PIPE, pipe_names, prefix="o_")
+    g_names = [n for n, _ in QG.GROUNDING_CTES]
+    grounding_now = _renamed(QG.GROUNDING_CTES, g_names, suffix="_r", source=("fx_long", "o_facts"))
+    st = _FST.replace("FROM bfig) c", "FROM bfig WHERE (entity_id, fiscal_year, fiscal_period) IN "
+                                      "(SELECT (entity_id, fiscal_year, fiscal_period) FROM stored)) c") \
+        .replace("LEFT JOIN gf g", "LEFT JOIN gf_r g")
+    extra = QG.GROUNDING_CTES + CLAIM_CTES + pipe + grounding_now + [
+        ("stored", f"SELECT {K} FROM compl WHERE complete"), ("fst_r", st)]
+    return with_all("fx_long", "fx_obs", *QD._PK, extra=extra) + f"""
+SELECT s.entity_id, s.fiscal_year, s.fiscal_period, CAST(coalesce(e.n, 0) AS BIGINT) AS claim_errors,
+  coalesce(e.n, 0) = 0 AS revalidated, CASE WHEN coalesce(e.n, 0) = 0 THEN 'approved' ELSE 'stale' END AS status
+FROM stored s LEFT JOIN (SELECT {K}, sum(CASE WHEN status <> 'match' THEN 1 ELSE 0 END) AS n FROM fst_r
+                         GROUP BY ALL) e USING ({K})"""
+
+
+@register("briefing_revalidate", sql=_revalidate_sql())
 def q_briefing_revalidate(spark, sf_dir):
     """A10: stored (complete) briefings re-validated against figures grounded on the
     facts derived from the filings, where restatements have since been applied."""
