@@ -145,23 +145,30 @@ def figure_rules(figures: DataFrame) -> DataFrame:
 
 
 def prompt_context_json(contexts: DataFrame) -> DataFrame:
-    """H9: deterministic context JSON per period -- keys in alphabetical order,
-    numbers as text, NULL fields kept."""
+    """H9: deterministic context JSON per period -- keys in alphabetical order at
+    every level, numbers as text, NULL fields kept."""
+    def sorted_struct(fields: dict[str, Column]) -> Column:
+        return F.struct(*[fields[k].alias(k) for k in sorted(fields)])
+
+    def num(c: Column) -> Column:
+        return F.when(c.isNotNull(), c.cast("decimal(38,2)").cast("string"))
+
     def role_struct(role: str, metrics: list[str]) -> Column:
         r = F.col(role)
-        fields = sorted(metrics)
-        return F.when(r.isNotNull(), F.struct(
-            *[F.when(r[m].isNotNull(), r[m].cast("decimal(38,2)").cast("string")).alias(m) for m in fields],
-            period_identifier(r["fiscal_year"], r["fiscal_period"]).alias("period_id")))
+        fields = {m: num(r[m]) for m in metrics}
+        fields["period_id"] = period_identifier(r["fiscal_year"], r["fiscal_period"])
+        return F.when(r.isNotNull(), sorted_struct(fields))
 
-    cur = F.struct(*[F.col(m).cast("decimal(38,2)").cast("string").alias(m) for m in sorted(PERIOD_METRICS)],
-                   period_identifier("fiscal_year", "fiscal_period").alias("period_id"))
+    cur = {m: num(F.col(m)) for m in PERIOD_METRICS}
+    cur["period_id"] = period_identifier("fiscal_year", "fiscal_period")
     a = F.col("annual")
-    ann = F.when(a.isNotNull(), F.struct(
-        *[a[m].cast("decimal(38,2)").cast("string").alias(m) for m in sorted(ANNUAL_METRICS)],
-        F.concat(F.lit("FY"), a["fiscal_year"].cast("string")).alias("period_id")))
-    doc = F.struct(ann.alias("annual_context"), cur.alias("current_period"),
-                   role_struct("previous", COMPARISON_METRICS).alias("previous_quarter"),
-                   role_struct("prior_year", COMPARISON_METRICS).alias("prior_year_quarter"),
-                   period_identifier("fiscal_year", "fiscal_period").alias("requested_period"))
+    ann = {m: num(a[m]) for m in ANNUAL_METRICS}
+    ann["period_id"] = F.concat(F.lit("FY"), a["fiscal_year"].cast("string"))
+    doc = sorted_struct({
+        "annual_context": F.when(a.isNotNull(), sorted_struct(ann)),
+        "current_period": sorted_struct(cur),
+        "previous_quarter": role_struct("previous", COMPARISON_METRICS),
+        "prior_year_quarter": role_struct("prior_year", COMPARISON_METRICS),
+        "requested_period": period_identifier("fiscal_year", "fiscal_period"),
+    })
     return contexts.select(*PERIOD, F.to_json(doc, {"ignoreNullFields": "false"}).alias("context_json"))

@@ -39,3 +39,19 @@ def test_figures_and_rules(spark):
     assert roles == {"current", "previous", "annual"}
     assert q4.where("role = 'annual'").select("source_id").distinct().collect()[0][0] == "annual_financials:FY2024"
     assert G.figure_rules(figs).where("violations <> 0").count() == 0
+
+
+def test_prompt_context_json_is_deterministic(spark):
+    import json
+
+    periods = [(2024, q) for q in ("Q1", "Q2", "Q3", "Q4")] + [(2025, "Q1")]
+    qa, annual, wide = _analytics(spark, periods)
+    ctx = G.grounding_contexts(qa, A.complete_annual(annual, A.complete_years(wide), 2000))
+    docs = {(r.fiscal_year, r.fiscal_period): r.context_json for r in G.prompt_context_json(ctx).collect()}
+    d = json.loads(docs[(2024, "Q1")])
+    assert list(d) == sorted(d)
+    assert d["previous_quarter"] is None and d["annual_context"] is None  # nulls kept, not dropped
+    assert list(d["current_period"]) == sorted(d["current_period"])
+    assert d["current_period"]["revenue"] == "2024001.00" and d["requested_period"] == "FY2024-Q1"
+    later = json.loads(docs[(2025, "Q1")])
+    assert later["annual_context"]["period_id"] == "FY2024" and later["previous_quarter"]["period_id"] == "FY2024-Q4"
