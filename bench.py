@@ -50,8 +50,7 @@ def part_grain(spark, sf_dir):
         f = fx()
         wide = A.quarterly_wide(f.long)
         qa = A.scoped(A.quarterly_analytics(wide), SCOPE_MIN_FISCAL_YEAR)
-        an = A.complete_annual(A.annual_financials(A.annual_totals(wide)), A.complete_years(wide),
-                               SCOPE_MIN_FISCAL_YEAR)
+        an = A.annual_complete_scoped(wide, SCOPE_MIN_FISCAL_YEAR)
         return G.grounded_figures(G.grounding_contexts(qa, an))
 
     return {"quarterly_analytics_part": analytics, "derive_q4_part": derive,

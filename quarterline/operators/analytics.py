@@ -98,7 +98,7 @@ def annual_totals(wide: DataFrame) -> DataFrame:
     )
 
 
-def annual_financials(totals: DataFrame) -> DataFrame:
+def annual_financials(totals: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """Annual LAG(1) of revenue, operating and net income -> growth columns."""
     w = Window.partitionBy(ENTITY).orderBy("fiscal_year")
     lagged = totals.select(
@@ -115,6 +115,7 @@ def annual_financials(totals: DataFrame) -> DataFrame:
         *[pct(F.col(num), F.col("revenue")).alias(name) for name, num in MARGINS.items()],
         pct(F.col("operating_income") - F.col("_prev_oi"), F.col("_prev_oi")).alias("operating_income_yoy_growth_pct"),
         pct(F.col("net_income") - F.col("_prev_ni"), F.col("_prev_ni")).alias("net_income_yoy_growth_pct"),
+        *extra,
     )
 
 
@@ -146,3 +147,19 @@ def last_n_years(df: DataFrame, n: int = 3) -> DataFrame:
     """Rows of each entity's last ``n`` distinct fiscal years (dense_rank)."""
     w = Window.partitionBy(ENTITY).orderBy(F.col("fiscal_year").desc())
     return df.withColumn("_r", F.dense_rank().over(w)).where(F.col("_r") <= n).drop("_r")
+
+
+def annual_complete_scoped(wide: DataFrame, min_fiscal_year: int) -> DataFrame:
+    """C6 + D3 + D11 + E3 in one aggregate: annual totals and the complete-year
+    test come from the same ``groupBy(entity, fiscal_year)``, so completeness is
+    a filter after the annual window instead of a semi-join (no extra exchange)."""
+    all_present = F.lit(True)
+    for m in CORE_METRICS:
+        all_present = all_present & F.col(m).isNotNull()
+    quarters = F.array(*[F.lit(q) for q in ("Q1", "Q2", "Q3", "Q4")])
+    totals = wide.groupBy(ENTITY, "fiscal_year").agg(
+        *[F.sum(m).cast("bigint").alias(m) for m in CORE_METRICS],
+        ((F.array_sort(F.collect_set("fiscal_period")) == quarters) & F.bool_and(all_present)).alias("_complete"),
+    )
+    annual = annual_financials(totals, extra=("_complete",))
+    return annual.where(F.col("_complete") & (F.col("fiscal_year") >= min_fiscal_year)).drop("_complete")

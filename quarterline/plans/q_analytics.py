@@ -164,10 +164,7 @@ def q_complete_years(spark, sf_dir):
                                              f"(SELECT (entity_id, fiscal_year) FROM c) "
                                              f"AND fiscal_year >= {SCOPE_MIN_FISCAL_YEAR}"))
 def q_complete_annual(spark, sf_dir):
-    fx = Fixtures(spark, sf_dir)
-    wide = A.quarterly_wide(fx.long)
-    return A.complete_annual(A.annual_financials(A.annual_totals(wide)), A.complete_years(wide),
-                             SCOPE_MIN_FISCAL_YEAR)
+    return A.annual_complete_scoped(A.quarterly_wide(Fixtures(spark, sf_dir).long), SCOPE_MIN_FISCAL_YEAR)
 
 
 @register("scoped_quarters", sql=_sql(("w", _WIDE), ("l", _LAGGED), ("qa", _ANALYTICS),

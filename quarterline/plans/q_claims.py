@@ -384,7 +384,6 @@ def q_briefing_revalidate(spark, sf_dir):
     facts = O.facts_from_observations(Fixtures(spark, sf_dir).obs)
     wide = A.quarterly_wide(facts)
     analytics = A.scoped(A.quarterly_analytics(wide), SCOPE_MIN_FISCAL_YEAR)
-    annual = A.complete_annual(A.annual_financials(A.annual_totals(wide)), A.complete_years(wide),
-                               SCOPE_MIN_FISCAL_YEAR)
+    annual = A.annual_complete_scoped(wide, SCOPE_MIN_FISCAL_YEAR)
     current = G.grounded_figures(G.grounding_contexts(analytics, annual))
     return C.revalidate(stored, b.figure_claims, current)

@@ -75,8 +75,7 @@ def _sql(select: str) -> str:
 def scoped_inputs(fx: Fixtures):
     wide = A.quarterly_wide(fx.long)
     analytics = A.scoped(A.quarterly_analytics(wide), SCOPE_MIN_FISCAL_YEAR)
-    annual = A.complete_annual(A.annual_financials(A.annual_totals(wide)), A.complete_years(wide),
-                               SCOPE_MIN_FISCAL_YEAR)
+    annual = A.annual_complete_scoped(wide, SCOPE_MIN_FISCAL_YEAR)
     return analytics, annual
 
 
