@@ -44,11 +44,15 @@ def local_session(cpus: int | str = "*", app: str = "quarterline", **conf: str)
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; create a local one only if unset."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not configured:
         configured = tempfile.mkdtemp(prefix="quarterline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", configured)
-    spark.sparkContext.setCheckpointDir(configured)
+        try:
+            spark.conf.set("spark.checkpoint.dir", configured)
+        except Exception:  # a session may refuse core confs at runtime; the context dir below suffices
+            pass
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(configured)
     return configured
 
 
