@@ -150,3 +150,34 @@ def q_packet_availability(spark, sf_dir):
                                                 period_identifier("fiscal_year", "fiscal_period"), F.lit(".")))
         .otherwise(F.col("first_violation")).alias("reason"),
     )
+
+
+@register("packet_json_scan", sql=with_all(*_PK) + f"""
+SELECT h.entity_id, h.fiscal_year, h.fiscal_period,
+  CASE WHEN h.entity_id % 3 = 2 AND h.fiscal_period = 'Q1' THEN 1 ELSE 0 END AS unknown_field_count,
+  CASE WHEN h.entity_id % 3 = 2 AND h.fiscal_period = 'Q1' THEN 'reviewer_note' ELSE '' END AS unknown_fields,
+  NOT (h.entity_id % 4 = 3 AND h.fiscal_period = 'Q3') AS period_matches, false AS malformed,
+  CAST(s.n AS INTEGER) AS sources, CAST(g.n AS INTEGER) AS segments
+FROM pk_head h
+JOIN (SELECT {K}, count(*) AS n FROM pk_sources GROUP BY ALL) s USING ({K})
+JOIN (SELECT {K}, count(*) AS n FROM pk_segments GROUP BY ALL) g USING ({K})""")
+def q_packet_json_scan(spark, sf_dir):
+    """A5: packets written as JSON documents by Spark, parsed back with an explicit
+    schema and checked strictly (unknown fields, file period vs packet period)."""
+    from quarterline.sources import packets_json as PJ
+
+    p = _packets(spark, sf_dir)
+    extra = (F.col("entity_id") % 3 == 2) & (F.col("fiscal_period") == "Q1")
+    docs = PJ.packets_to_json(p, extra_field=extra)
+    stale_name = (F.col("entity_id") % 4 == 3) & (F.col("fiscal_period") == "Q3")
+    docs = docs.withColumn("file_name", F.when(stale_name, F.concat(
+        F.lit("FY"), (F.col("fiscal_year") - 1).cast("string"), F.lit("-Q3.json"))).otherwise(F.col("file_name")))
+    parsed = PJ.strict_parse(docs.select("file_name", "json"))
+    pk = F.col("packet")
+    return parsed.select(
+        pk["entity_id"].alias("entity_id"), pk["reporting_period"]["fiscal_year"].alias("fiscal_year"),
+        pk["reporting_period"]["fiscal_period"].alias("fiscal_period"),
+        F.size("unknown_fields").alias("unknown_field_count"),
+        F.array_join("unknown_fields", ",").alias("unknown_fields"),
+        "period_matches", "malformed",
+        F.size(pk["sources"]).alias("sources"), F.size(pk["segment_results"]).alias("segments"))
