@@ -129,3 +129,32 @@ def packets_to_json(p: dict[str, DataFrame], extra_field: Column | None = None)
         text = F.when(extra_field, F.regexp_replace(text, r"\}$", ',"reviewer_note":"draft"}')).otherwise(text)
     return head.select(*keys, F.concat(F.lit("FY"), F.col("fiscal_year").cast("string"), F.lit("-"),
                                        F.col("fiscal_period"), F.lit(".json")).alias("file_name"), text.alias("json"))
+
+
+def explode_packets(parsed: DataFrame) -> dict[str, DataFrame]:
+    """Parsed packets -> the child tables the packet checks read (keyed by the
+    packet's own period).  Decimal text goes through ``try_cast``: bad text is NULL."""
+    pk = F.col("packet")
+    base = parsed.where(~F.col("malformed")).select(
+        pk["entity_id"].alias("entity_id"), pk["reporting_period"]["fiscal_year"].alias("fiscal_year"),
+        pk["reporting_period"]["fiscal_period"].alias("fiscal_period"), "packet")
+    keys = ["entity_id", "fiscal_year", "fiscal_period"]
+    head = base.select(*keys, F.size(F.coalesce(pk["derived_metrics"], F.array())).alias("derived_metric_count"))
+    src = base.select(*keys, F.explode(pk["sources"]).alias("s")).select(
+        *keys, "s.source_id", F.col("s.reporting_period.fiscal_year").alias("source_fiscal_year"),
+        F.col("s.reporting_period.fiscal_period").alias("source_fiscal_period"), "s.source_type", "s.title", "s.url")
+
+    def facts(field: str, kind: str) -> DataFrame:
+        return base.select(*keys, F.posexplode(pk[field]).alias("pos", "f")).select(
+            *keys, F.lit(kind).alias("kind"), F.col("pos").cast("int").alias("pos"), "f.metric", "f.label",
+            F.col("f.value").try_cast("decimal(38,6)").alias("value"), "f.unit", "f.classification", "f.source_ids")
+
+    segs = base.select(*keys, F.explode(pk["segment_results"]).alias("g")).select(
+        *keys, "g.segment", F.col("g.current_revenue").try_cast("bigint").alias("current_revenue"),
+        F.col("g.prior_year_revenue").try_cast("bigint").alias("prior_year_revenue"),
+        F.col("g.reported_growth_pct").try_cast("decimal(38,6)").alias("reported_growth_pct"),
+        "g.classification", "g.source_ids")
+    expl = base.select(*keys, F.explode(pk["management_explanations"]).alias("e")).select(
+        *keys, "e.explanation_id", "e.statement", "e.attribution", "e.classification", "e.source_ids")
+    return {"head": head, "sources": src, "facts": facts("reported_facts", "reported_fact").unionByName(
+        facts("product_indicators", "product_indicator")), "segments": segs, "explanations": expl}

@@ -70,3 +70,25 @@ def test_orphans_and_slug(spark):
     got = [r[0] for r in df.select(D.segment_metric(F.col("s"), "current_revenue")).collect()]
     assert got == ["segment.devices_and_gaming.current_revenue",
                    "segment.more_personal_computing.current_revenue"]
+
+
+def test_packet_json_round_trip_and_strictness(spark, tmp_path):
+    from quarterline.plans.catalog import Fixtures
+    from quarterline.sources import packets_json as PJ
+
+    from conftest import SMALL
+
+    p = Fixtures(spark, SMALL).packets
+    extra = (F.col("entity_id") % 3 == 2) & (F.col("fiscal_period") == "Q1")
+    docs = PJ.packets_to_json(p, extra_field=extra)
+    path = str(tmp_path / "packets")
+    docs.select("json").write.text(path)
+    parsed = PJ.strict_parse(PJ.read_packets(spark, path, whole_file=False))
+    assert parsed.where("malformed").count() == 0
+    flagged = parsed.where("size(unknown_fields) > 0")
+    assert flagged.count() == docs.where(extra).count()
+    assert {r[0] for r in flagged.select(F.array_join("unknown_fields", ",")).collect()} == {"reviewer_note"}
+    back = PJ.explode_packets(parsed)
+    a = D.reconciliation(back).drop("derived_stored", "violations", "first_violation", "valid")
+    b = D.reconciliation(p).drop("derived_stored", "violations", "first_violation", "valid")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
