@@ -69,21 +69,38 @@ def invalid_values(facts: DataFrame) -> DataFrame:
 
 
 def summary(facts: DataFrame, min_fiscal_year: int) -> DataFrame:
-    """Per entity row count, year range and the AND of the four checks."""
+    """Per entity row count, year range and the AND of the four checks.
+
+    One pass over the facts: a per-key aggregate (rows, bad values), rolled up
+    per (entity, metric, year) (quarters found) and per entity -- every check
+    is a flag carried through the chain, so the raw table is read once and no
+    check result is joined back.
+    """
     year = as_int("fiscal_year")
-    base = facts.groupBy(ENTITY).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.min(year).cast("int").alias("min_fiscal_year"),
-        F.max(year).cast("int").alias("max_fiscal_year"),
+    v = as_int("value")
+    per_key = facts.groupBy(*KEY).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.when(v.isNull() | (v == 0), 1).otherwise(0)).alias("bad_values"),
+        F.min(year).alias("y"),
+    )
+    per_year = per_key.groupBy(ENTITY, "metric", "fiscal_year").agg(
+        F.sum("n").alias("n"),
+        F.sum("bad_values").alias("bad_values"),
+        F.max((F.col("n") > 1).cast("int")).alias("dup"),
+        F.min("y").alias("y"),
+        F.count_distinct(F.when(F.col("fiscal_period").isin(*QUARTERS), F.col("fiscal_period"))).alias("quarters"),
+    )
+    gap = (F.col("y") >= min_fiscal_year) & (F.col("quarters") < len(QUARTERS))
+    out = per_year.groupBy(ENTITY).agg(
+        F.sum("n").cast("bigint").alias("rows"),
+        F.min("y").cast("int").alias("min_fiscal_year"),
+        F.max("y").cast("int").alias("max_fiscal_year"),
+        ((F.count_distinct(F.when(F.col("metric").isin(*CORE_METRICS), F.col("metric"))) == len(CORE_METRICS))
+         & ~F.bool_or(~F.col("metric").isin(*CORE_METRICS))).alias("metrics_ok"),
+        (F.max("dup") == 0).alias("duplicates_ok"),
+        (~F.coalesce(F.bool_or(F.coalesce(gap, F.lit(False))), F.lit(False))).alias("periods_ok"),
+        (F.sum("bad_values") == 0).alias("values_ok"),
     )
-
-    def flag(bad: DataFrame, name: str) -> DataFrame:
-        return bad.select(ENTITY).distinct().withColumn(name, F.lit(False))
-
-    out = base
-    for bad, name in ((metric_domain(facts), "metrics_ok"), (duplicate_keys(facts), "duplicates_ok"),
-                      (missing_periods(facts, min_fiscal_year), "periods_ok"), (invalid_values(facts), "values_ok")):
-        out = out.join(flag(bad, name), ENTITY, "left").withColumn(name, F.coalesce(F.col(name), F.lit(True)))
     passed = F.col("metrics_ok") & F.col("duplicates_ok") & F.col("periods_ok") & F.col("values_ok")
     return out.withColumn("passed", passed)
 
