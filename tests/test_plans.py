@@ -30,3 +30,16 @@ def test_scan_reads_only_needed_columns(spark):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0 and "revenue_yoy_growth_pct" in df.columns
+
+
+def test_bucketed_facts_table_needs_no_shuffle(spark):
+    from quarterline.operators import analytics as A
+    from quarterline.operators import quality as Q
+    from quarterline.plans.catalog import Fixtures
+
+    long = Fixtures(spark, SMALL).long.drop("q")
+    table = Q.save_bucketed(long, "quarterline_test_facts", buckets=4)
+    qa = A.quarterly_analytics(A.quarterly_wide(table))
+    plan = _plan(qa)
+    assert "Exchange" not in plan, plan
+    assert qa.count() == A.quarterly_analytics(A.quarterly_wide(long)).count()
