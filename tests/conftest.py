@@ -12,6 +12,9 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = local_session("*", app="quarterline-tests")
+    import tempfile
+
+    warehouse = tempfile.mkdtemp(prefix="quarterline-warehouse-")
+    s = local_session("*", app="quarterline-tests", **{"spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()

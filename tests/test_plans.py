@@ -38,7 +38,9 @@ def test_bucketed_facts_table_needs_no_shuffle(spark):
     from quarterline.plans.catalog import Fixtures
 
     long = Fixtures(spark, SMALL).long.drop("q")
-    table = Q.save_bucketed(long, "quarterline_test_facts", buckets=4)
+    import uuid
+
+    table = Q.save_bucketed(long, f"quarterline_facts_{uuid.uuid4().hex[:8]}", buckets=4)
     qa = A.quarterly_analytics(A.quarterly_wide(table))
     plan = _plan(qa)
     assert "Exchange" not in plan, plan
