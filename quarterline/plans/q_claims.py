@@ -239,7 +239,8 @@ class Bundle:
         return C.briefing_complete(self.violations(), self.docs["insights"], self.recon)
 
 
-@register("approved_claims", sql=_sql("SELECT * FROM approved"))
+@register("approved_claims", sql=_sql(f"SELECT {K}, metric, CAST(value AS DOUBLE) AS value, unit, classification, "
+                                         "source_ids FROM approved"))
 def q_approved_claims(spark, sf_dir):
     """Approved business claims per valid packet, later record wins."""
     a = Bundle(spark, sf_dir).approved

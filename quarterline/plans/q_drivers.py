@@ -92,8 +92,8 @@ def q_segment_contribution(spark, sf_dir):
 
 @register("segment_ranking", sql=_sql(f"""
 SELECT {K}, direction, segment, absolute_revenue_change, contribution_pct,
-  row_number() OVER (PARTITION BY {K}, direction ORDER BY CASE WHEN direction = 'positive'
-    THEN -absolute_revenue_change ELSE absolute_revenue_change END, segment) AS rank
+  CAST(row_number() OVER (PARTITION BY {K}, direction ORDER BY CASE WHEN direction = 'positive'
+    THEN -absolute_revenue_change ELSE absolute_revenue_change END, segment) AS INTEGER) AS rank
 FROM (SELECT *, CASE WHEN absolute_revenue_change > 0 THEN 'positive' ELSE 'negative' END AS direction
       FROM contrib WHERE absolute_revenue_change <> 0) x"""))
 def q_segment_ranking(spark, sf_dir):

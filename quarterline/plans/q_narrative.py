@@ -215,7 +215,7 @@ def q_plain_english(spark, sf_dir):
 
 @register("visible_takeaways", sql=_sql(f"""
 SELECT {K}, visible_rank, category, text FROM (
-  SELECT *, row_number() OVER (PARTITION BY {K} ORDER BY {_PRIO}) AS visible_rank FROM pe
+  SELECT *, CAST(row_number() OVER (PARTITION BY {K} ORDER BY {_PRIO}) AS INTEGER) AS visible_rank FROM pe
   WHERE {_PRIO} IS NOT NULL) t WHERE visible_rank <= 4"""))
 def q_visible_takeaways(spark, sf_dir):
     """first four takeaways by fixed category priority."""

@@ -165,9 +165,9 @@ def q_fiscal_period_of(spark, sf_dir):
 
 
 @register("facts_sorted", sql=_sql(
-    "SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY fiscal_year, "
+    "SELECT *, CAST(row_number() OVER (PARTITION BY entity_id ORDER BY fiscal_year, "
     "CASE fiscal_period WHEN 'Q1' THEN 1 WHEN 'Q2' THEN 2 WHEN 'Q3' THEN 3 WHEN 'Q4' THEN 4 END, metric) "
-    "AS position FROM facts"))
+    "AS INTEGER) AS position FROM facts"))
 def q_facts_sorted(spark, sf_dir):
     """facts with their per-entity chronological position."""
     return O.sort_facts(_facts(Fixtures(spark, sf_dir)))
