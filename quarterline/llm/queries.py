@@ -28,3 +28,66 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarterline.llm import simhash
 
     return simhash.near_duplicates(common.read(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+
+
+OP3_SQL = r"""
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+         CAST('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || '|' || coalesce(text, '')), 1, 15) AS BIGINT) AS k
+  FROM documents),
+per AS (SELECT source, sum(size)::BIGINT AS s FROM sized GROUP BY source),
+weighted AS (
+  SELECT source, s, [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS w FROM per),
+levels AS (
+  SELECT *, ((sum(s) OVER ())::DOUBLE - coalesce(sum(3.0::DOUBLE * s) OVER (ORDER BY 3.0::DOUBLE * s / w, source NULLS LAST
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0::DOUBLE))
+    / sum(w) OVER (ORDER BY 3.0::DOUBLE * s / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM weighted),
+goal AS (SELECT source, s, least(3.0::DOUBLE * s, (max(level) OVER ()) * w) AS target FROM levels),
+placed AS (
+  SELECT d.doc_id, d.size, g.s AS source_size, g.target, floor(g.target + 0.5)::BIGINT AS budget,
+         coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.k, d.doc_id NULLS FIRST, d.size
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+  FROM sized d JOIN goal g ON d.source IS NOT DISTINCT FROM g.source)
+SELECT doc_id, size, source_size, target,
+       CASE WHEN source_size = 0 THEN 0 ELSE (budget // source_size) * size
+         + greatest(0, least(size, budget % source_size - start)) END::BIGINT AS taken
+FROM placed"""
+
+
+@register("op3_mixing", OP3_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarterline.llm import mixing
+
+    return mixing.taken(common.read(spark, sf_dir, "documents"), weights=(5, 2, 1), cap=3.0)
+
+
+OP5_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(q.e, lambda x, i: x * c.e[i]))::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM pairs)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
+
+
+@register("op5_topk_search", OP5_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from quarterline.llm import topk_search
+
+    vectors = common.read(spark, sf_dir, "embeddings")
+    return topk_search.top_k(vectors, F.col("vec_id") % 50 == 0, k=5, scale=256.0)
+
+
+@register("op7_packing")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from quarterline.llm import packing
+
+    return packing.pack(common.read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
