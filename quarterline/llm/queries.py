@@ -91,3 +91,26 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarterline.llm import packing
 
     return packing.pack(common.read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@register("op1_url_filter")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarterline.llm import url_filter
+
+    rules = [url_filter.Rule("allow", "com", "/"), url_filter.Rule("block", "example.com", "/en/"),
+             url_filter.Rule("allow", "www.example.com", "/en/"), url_filter.Rule("block", "net", "/es/"),
+             url_filter.Rule("block", "net", "/fr/")]
+    return url_filter.judge(common.read(spark, sf_dir, "pages"), rules)
+
+
+@register("op6_toxicity")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from quarterline.llm import toxicity
+
+    held_out = F.coalesce(common.crc_mod(F.col("doc_id"), 4) == 2, F.lit(False))
+    docs, labels = common.read(spark, sf_dir, "documents"), common.read(spark, sf_dir, "labels")
+    scored = toxicity.score(docs, labels, use=~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
