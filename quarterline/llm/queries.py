@@ -114,3 +114,10 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score(docs, labels, use=~held_out)
     return scored.select("doc_id", held_out.alias("held_out"), "score",
                          (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@register("op2_html_extract")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarterline.llm import html_extract
+
+    return html_extract.extract(common.read(spark, sf_dir, "pages"))
