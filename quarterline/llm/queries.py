@@ -121,3 +121,25 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarterline.llm import html_extract
 
     return html_extract.extract(common.read(spark, sf_dir, "pages"))
+
+
+OP10_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+reach(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+counts AS (SELECT a AS vec_id, count(*)::BIGINT AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(c.n, 0)::BIGINT AS n_links, l.component_id, e.vec_id = l.component_id AS kept
+FROM embeddings e JOIN least l USING (vec_id) LEFT JOIN counts c USING (vec_id)"""
+
+
+@register("op10_embedding_dedup", OP10_SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarterline.llm import embed_dedup
+
+    return embed_dedup.near_duplicates(common.read(spark, sf_dir, "embeddings"), threshold=0.95)
