@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -165,6 +165,19 @@ def _packed(frame: pd.DataFrame, base: int, capacity: int, most: int) -> pd.Data
     return _hand_on(frame.assign(sequence_id=base + where, offset=offset), capacity, most)
 
 
+def _exchange(base: int, stride: int, capacity: int, most: int) -> Callable:
+    """Packs one group of pieces; pieces that had bins before keep them unless the new packing needs fewer."""
+    names = [f.split()[0] for f in STATE.split(", ")]
+
+    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        new = _packed(frame, base + int(key[0]) * stride, capacity, most)
+        if "sequence_id" in frame and new["sequence_id"].nunique() >= frame["sequence_id"].nunique():
+            new = _hand_on(frame, capacity, most)
+        return new[names]
+
+    return run
+
+
 def _hand_on(frame: pd.DataFrame, capacity: int, most: int) -> pd.DataFrame:
     """Marks the bins to exchange: all open ones, emptiest first and ``most`` pieces at most, or one if certified."""
     fill = frame.groupby("sequence_id")["length"].agg(["sum", "count"])
@@ -184,13 +197,9 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1,
     parts = max(1, -(-loose.count() // PIECES_PER_PARTITION))
     stride = 1 << 40  # sequence numbers of one group; a group never has as many bins
     most = PIECES_PER_PARTITION // MERGE
-    names = [f.split()[0] for f in STATE.split(", ")]
-
-    def first(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        return _packed(frame, int(key[0]) * stride, capacity, most)[names]
 
     state = (loose.withColumn("part", F.pmod(F.xxhash64("doc_id", "no_id", "piece", "start", "ids_crc32"), F.lit(parts)))
-             .groupBy("part").applyInPandas(first, STATE))
+             .groupBy("part").applyInPandas(_exchange(0, stride, capacity, most), STATE))
     done = None
     base = parts
     while parts > 1:
@@ -198,15 +207,9 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1,
         kept = state.filter(~F.col("handed"))
         done = kept if done is None else done.union(kept)
 
-        def again(key: tuple, frame: pd.DataFrame, base: int = base) -> pd.DataFrame:
-            new = _packed(frame, (base + int(key[0])) * stride, capacity, most)
-            if new["sequence_id"].nunique() >= frame["sequence_id"].nunique():
-                new = _hand_on(frame, capacity, most)
-            return new[names]
-
         parts = -(-parts // MERGE)
         state = (state.filter("handed").withColumn("part", F.floor(F.col("part") / MERGE))
-                 .groupBy("part").applyInPandas(again, STATE))
+                 .groupBy("part").applyInPandas(_exchange(base * stride, stride, capacity, most), STATE))
         base += parts
     done = state if done is None else done.union(state)
     columns = [F.when(~F.col("no_id"), F.col("doc_id")).alias("doc_id"), "piece", "start", "length", "ids_crc32"]
