@@ -143,3 +143,14 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarterline.llm import embed_dedup
 
     return embed_dedup.near_duplicates(common.read(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
+@register("op9_lm_score")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from pyspark.sql import functions as F
+
+    from quarterline.llm import lm_score
+
+    held_out = F.coalesce(common.crc_mod(F.col("doc_id"), 5) == 1, F.lit(False))
+    return lm_score.score(common.read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), held_out)
