@@ -154,3 +154,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     held_out = F.coalesce(common.crc_mod(F.col("doc_id"), 5) == 1, F.lit(False))
     return lm_score.score(common.read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), held_out)
+
+
+@register("op4_substring_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarterline.llm import substring_dedup
+
+    return substring_dedup.repeated(common.read(spark, sf_dir, "documents"), k=5, window=8, min_words=50, similar=0.8)
