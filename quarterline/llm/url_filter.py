@@ -108,9 +108,8 @@ def templates(urls: DataFrame, min_children: int = 16, min_share: float = 0.01,
               .select("host", "g0", F.when((F.col("g0") != "") & (F.col("overlap") >= 1 - far) & (F.abs(share - rate) <= noise),
                                            "*").otherwise(F.col("g0")).alias("m0")))
     t = t.join(merged, ["host", "g0"])
-    total = hosts.agg(F.sum("hb").alias("ab"), F.sum("hn").alias("an"))  # one row
-    by_host = hosts.join(F.broadcast(total)).select(
-        "host", ((F.col("hb") + weight * F.col("ab") / F.col("an")) / (F.col("hn") + weight)).alias("prior"))
+    bad, every = t.agg(F.coalesce(F.sum("bad"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    by_host = hosts.select("host", ((F.col("hb") + weight * bad / max(1, every)) / (F.col("hn") + weight)).alias("prior"))
     whole = t.groupBy("host", "m0", "below").agg(F.sum("n").alias("tn"), F.sum("bad").alias("tb"))
     purity = (F.col("tb") + weight * F.col("prior")) / (F.col("tn") + weight)
     whole = whole.join(by_host, "host").withColumn("purity", purity)
