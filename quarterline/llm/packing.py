@@ -30,7 +30,7 @@ from quarterline.llm import common
 
 PIECES_PER_PARTITION = 20_000
 MERGE = 8
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000  # of one generation
 # The tokenizer's white space, and Python's, less the four that only Python splits at.
 _PYTHON_ONLY = re.compile("[\x1c-\x1f]")
 _WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -42,45 +42,77 @@ class Encoder:
     """Token ids of texts as little-endian 32-bit bytes.
 
     The tokenizer never joins characters across white space, so a text's ids
-    are those of its words in order; each distinct word is encoded once and
-    kept in a bounded table.
+    are those of its words in order; each different word is encoded once.
+    Words wait in two generations of a bounded table: when the younger is
+    full it becomes the older, and words that are met again move back.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.closes = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # ids that end a word
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.marks = {m: self._each([m])[0] for m in ".,"}
+
+    def _each(self, words: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch(words, add_special_tokens=False)
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+
+    def _together(self, words: list[str]) -> list[bytes]:
+        """Words of letters in one call, cut apart at the ids that end a word."""
+        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, dtype="<u4")
+        ends = (np.flatnonzero(self.closes[ids]) + 1) * 4
+        if len(ends) != len(words):  # lower-casing gave some word a mark of its own
+            return self._each(words)
+        buffer, at = ids.tobytes(), ends.tolist()
+        return [buffer[i:j] for i, j in zip([0, *at], at)]
 
     def _learn(self, words: set[str]) -> None:
-        if len(self.known) + len(words) > CACHE_WORDS:
-            self.known = {}
-        stem = {}
+        known, older = self.known, self.older
+        built, letters, other = [], set(), set()
         for w in words:
+            ids = older.get(w)
+            if ids is not None:
+                known[w] = ids
+                continue
             # the tokenizer lower-cases each character alone; only a capital sigma differs in a word
-            low = w if "Σ" in w else w.lower()
-            stem[w] = (low[:-1], low[-1]) if low[-1] in ".," and low[:-1].isalpha() else (low, "")
-        wanted = list({x for pair in stem.values() for x in pair if x and x not in self.known})
-        for lo in range(0, len(wanted), 4096):
-            part = wanted[lo:lo + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                self.known[w] = np.array(e.ids, dtype="<u4").tobytes()
-        for w, (body, mark) in stem.items():
-            self.known[w] = self.known[body] + (self.known[mark] if mark else b"")
+            body, mark = (w if "Σ" in w else w.lower()), b""
+            if body.isalpha():
+                kind = letters
+            elif body[-1] in ".," and body[:-1].isalpha():
+                body, mark, kind = body[:-1], self.marks[body[-1]], letters
+            else:
+                kind = other
+            built.append((w, body, mark))
+            if body not in known:
+                ids = older.get(body)
+                if ids is not None:
+                    known[body] = ids
+                else:
+                    kind.add(body)
+        for all_, encode in ((list(letters), self._together), (list(other), self._each)):
+            for lo in range(0, len(all_), 2048):
+                part = all_[lo:lo + 2048]
+                known.update(zip(part, encode(part)))
+        for w, body, mark in built:
+            known[w] = known[body] + mark
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if len(self.known) > CACHE_WORDS:
+            self.known, self.older = {}, self.known
         split = [_WORDS.findall(t) if _PYTHON_ONLY.search(t) else t.split() for t in texts]
-        out = []
+        wanted: set[str] = set()
         for words in split:
-            ids = list(map(self.known.get, words))
-            if None in ids:
-                self._learn({w for w, i in zip(words, ids) if i is None})
-                ids = list(map(self.known.get, words))
-                if None in ids:  # the table was emptied for this text
-                    self._learn(set(words))
-                    ids = list(map(self.known.__getitem__, words))
-            out.append(b"".join(ids))
-        return out
+            wanted.update(words)
+        wanted.difference_update(self.known)
+        if wanted:
+            self._learn(wanted)
+        get = self.known.__getitem__
+        return [b"".join(map(get, words)) for words in split]
 
 
 _encoders: dict[str, Encoder] = {}
