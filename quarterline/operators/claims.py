@@ -86,7 +86,7 @@ def figure_claim_status(claims: DataFrame, figures: DataFrame) -> DataFrame:
         .otherwise("match")
     )
     return j.select(*DOC, "insight_pos", "claim_pos", "source_id", "metric", "unit",
-                    F.col("value").cast("double").alias("value"), F.col("g_value").alias("grounded_value"),
+                    F.col("value").cast("decimal(38,6)").alias("value"), F.col("g_value").alias("grounded_value"),
                     status.alias("status"))
 
 
@@ -105,7 +105,7 @@ def business_claim_status(claims: DataFrame, approved: DataFrame) -> DataFrame:
         .otherwise("match")
     )
     return j.select(*PACKET, "insight_pos", "claim_pos", "metric", "unit", "classification",
-                    F.col("value").cast("double").alias("value"), status.alias("status"))
+                    F.col("value").cast("decimal(38,6)").alias("value"), status.alias("status"))
 
 
 def allowed_sources(figures: DataFrame, packet_sources: DataFrame, recon: DataFrame) -> DataFrame:

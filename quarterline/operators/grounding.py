@@ -53,7 +53,7 @@ def _metrics_struct(metrics: list[str], with_period: bool = True) -> Column:
     head = [F.col("fiscal_year").alias("fiscal_year")]
     if with_period:
         head.append(F.col("fiscal_period").alias("fiscal_period"))
-    return F.struct(*head, *[F.col(m).cast("double").alias(m) for m in metrics])
+    return F.struct(*head, *[F.col(m).cast("decimal(38,6)").alias(m) for m in metrics])
 
 
 def with_neighbors(eligible: DataFrame) -> DataFrame:
@@ -95,7 +95,7 @@ def grounding_contexts(analytics: DataFrame, annual: DataFrame) -> DataFrame:
 def _figure(role: str, source: Column, period_id: Column, metric: str, value: Column) -> Column:
     unit = "percent" if metric in PERCENT_METRICS else "usd"
     return F.struct(F.lit(role).alias("role"), period_id.alias("period_id"), source.alias("source_id"),
-                    F.lit(metric).alias("metric"), F.lit(unit).alias("unit"), value.cast("double").alias("value"))
+                    F.lit(metric).alias("metric"), F.lit(unit).alias("unit"), value.cast("decimal(38,6)").alias("value"))
 
 
 def grounded_figures(contexts: DataFrame) -> DataFrame:
@@ -144,31 +144,57 @@ def figure_rules(figures: DataFrame) -> DataFrame:
                     violations.cast("bigint").alias("violations"))
 
 
-def prompt_context_json(contexts: DataFrame) -> DataFrame:
-    """H9: deterministic context JSON per period -- keys in alphabetical order at
-    every level, numbers as text, NULL fields kept."""
-    def sorted_struct(fields: dict[str, Column]) -> Column:
-        return F.struct(*[fields[k].alias(k) for k in sorted(fields)])
+def plain_decimal(value: Column) -> Column:
+    """Decimal as plain text without trailing zeros: ``90007000000``, ``17.75``."""
+    text = F.regexp_replace(value.cast("decimal(38,6)").cast("string"), "0+$", "")
+    return F.regexp_replace(text, r"\.$", "")
 
-    def num(c: Column) -> Column:
-        return F.when(c.isNotNull(), c.cast("decimal(38,2)").cast("string"))
 
-    def role_struct(role: str, metrics: list[str]) -> Column:
-        r = F.col(role)
-        fields = {m: num(r[m]) for m in metrics}
-        fields["period_id"] = period_identifier(r["fiscal_year"], r["fiscal_period"])
-        return F.when(r.isNotNull(), sorted_struct(fields))
+def prompt_context_json(contexts: DataFrame) -> DataFrame:
+    """H9: the approved context of each period as deterministic JSON.
 
-    cur = {m: num(F.col(m)) for m in PERIOD_METRICS}
-    cur["period_id"] = period_identifier("fiscal_year", "fiscal_period")
-    a = F.col("annual")
-    ann = {m: num(a[m]) for m in ANNUAL_METRICS}
-    ann["period_id"] = F.concat(F.lit("FY"), a["fiscal_year"].cast("string"))
-    doc = sorted_struct({
-        "annual_context": F.when(a.isNotNull(), sorted_struct(ann)),
-        "current_period": sorted_struct(cur),
-        "previous_quarter": role_struct("previous", COMPARISON_METRICS),
-        "prior_year_quarter": role_struct("prior_year", COMPARISON_METRICS),
-        "requested_period": period_identifier("fiscal_year", "fiscal_period"),
-    })
+    Keys stand in alphabetical order at every level, figures in the order of
+    their metrics, sources in the order current, previous, prior year, annual;
+    figures without a value are left out, absent roles are null.
+    """
+    def source(dataset: str, period_id: Column) -> Column:
+        return F.concat(F.lit(dataset + ":"), period_id)
+
+    def figures(metrics: list[str], value, source_id: Column) -> Column:
+        all_ = F.array(*[F.struct(
+            F.lit(m).alias("metric"), source_id.alias("source_id"),
+            F.lit("percent" if m in PERCENT_METRICS else "usd").alias("unit"), plain_decimal(value(m)).alias("value"))
+            for m in metrics])
+        return F.filter(all_, lambda f: f["value"].isNotNull())
+
+    def period(fy: Column, fp: Column) -> Column:
+        return F.struct(fp.alias("fiscal_period"), fy.cast("int").alias("fiscal_year"))
+
+    def quarter(metrics: list[str], value, fy: Column, fp: Column) -> Column:
+        sid = source(QUARTER_DATASET, period_identifier(fy, fp))
+        return F.struct(figures(metrics, value, sid).alias("figures"), period(fy, fp).alias("period"), sid.alias("source_id"))
+
+    def role(name: str) -> Column:
+        r = F.col(name)
+        return F.when(r.isNotNull(), quarter(COMPARISON_METRICS, lambda m: r[m], r["fiscal_year"], r["fiscal_period"]))
+
+    def reference(dataset: str, period_id: Column) -> Column:
+        return F.struct(F.lit(dataset).alias("dataset"), period_id.alias("period_id"), source(dataset, period_id).alias("source_id"))
+
+    fy, fp, a = F.col("fiscal_year"), F.col("fiscal_period"), F.col("annual")
+    annual_id = F.concat(F.lit("FY"), a["fiscal_year"].cast("string"))
+    annual_source = source(ANNUAL_DATASET, annual_id)
+    sources = F.filter(F.array(
+        reference(QUARTER_DATASET, period_identifier(fy, fp)),
+        *[F.when(F.col(r).isNotNull(), reference(QUARTER_DATASET, period_identifier(F.col(r)["fiscal_year"], F.col(r)["fiscal_period"])))
+          for r in ("previous", "prior_year")],
+        F.when(a.isNotNull(), reference(ANNUAL_DATASET, annual_id))), lambda s: s.isNotNull())
+    doc = F.struct(
+        F.when(a.isNotNull(), F.struct(
+            figures(ANNUAL_METRICS, lambda m: a[m], annual_source).alias("figures"), a["fiscal_year"].cast("int").alias("fiscal_year"),
+            annual_source.alias("source_id"))).alias("annual_context"),
+        quarter(PERIOD_METRICS, F.col, fy, fp).alias("current_period"),
+        F.concat(F.lit("Entity "), F.col(ENTITY).cast("string")).alias("entity"),
+        role("previous").alias("previous_quarter"), role("prior_year").alias("prior_year_quarter"),
+        period(fy, fp).alias("requested_period"), F.lit("1.0").alias("schema_version"), sources.alias("sources"))
     return contexts.select(*PERIOD, F.to_json(doc, {"ignoreNullFields": "false"}).alias("context_json"))

@@ -25,6 +25,9 @@ UNSUPPORTED_MESSAGE = ("Live grounded Q&A is not enabled yet. I can currently ex
 NO_DRIVERS = ("Approved financial data shows the change in revenue, but approved driver context is unavailable "
               "for this period.")
 NO_HEADWIND = "No approved segment headwind is available for this period."
+NO_CONTEXT_MESSAGE = "No approved financial context is available for this question."
+SAFE_FAILURE_MESSAGE = "The grounded answer could not be validated."
+MAX_SESSION_TURNS = 20
 MARGIN_DEFAULT = "The displayed margins show how much revenue remained at each stage of profitability."
 # Glossary definitions and aliases.
 DEFINITIONS = {
@@ -56,6 +59,12 @@ ALIASES = {
     "headwind": "Headwind",
 }
 GLOSSARY_TRIGGERS = ["mean", "what is", "explain", "definition"]
+# Trigger phrases of the routes, in routing order.
+PERFORMANCE_PHRASES = ["perform well", "strong quarter"]
+EXPLAIN_PHRASES = ["explain this quarter", "plain english", "do not know finance"]
+DRIVER_PHRASES = ["drove", "drivers", "growth"]
+MARGIN_PHRASES = ["strong", "profit", "healthy"]
+# Whole words that an answer may not use.
 ADVICE_PATTERN = r"(buy|sell|hold|price targets?|investment advice|invest|forecasts?|recommendations?)"
 
 
@@ -93,15 +102,15 @@ def glossary_answer(norm: Column) -> Column:
             .when(label.isNotNull(), F.concat(label, F.lit(": "), F.element_at(defs, label))))
 
 
-def route(norm: Column) -> Column:
+def route(norm: Column, glossary: Column | None = None) -> Column:
     """H4: glossary -> performance -> explain -> drivers -> headwind -> margin -> investigate -> none."""
     return (
-        F.when(glossary_answer(norm).isNotNull(), "glossary")
-        .when(_any(norm, ["perform well", "strong quarter"]), "performance")
-        .when(_any(norm, ["explain this quarter", "plain english", "do not know finance"]), "explain")
-        .when(_any(norm, ["drove", "drivers", "growth"]) & ~norm.contains("mean"), "drivers")
+        F.when((glossary_answer(norm) if glossary is None else glossary).isNotNull(), "glossary")
+        .when(_any(norm, PERFORMANCE_PHRASES), "performance")
+        .when(_any(norm, EXPLAIN_PHRASES), "explain")
+        .when(_any(norm, DRIVER_PHRASES) & ~norm.contains("mean"), "drivers")
         .when(norm.contains("headwind"), "headwind")
-        .when(norm.contains("margin") & _any(norm, ["strong", "profit", "healthy"]), "margin")
+        .when(norm.contains("margin") & _any(norm, MARGIN_PHRASES), "margin")
         .when(norm.contains("investigate") | norm.contains("attention"), "investigate")
         .otherwise("none")
     )
@@ -129,11 +138,12 @@ def answer(questions: DataFrame, summary: DataFrame, ranking: DataFrame, valid_p
         F.max(F.when((F.col("direction") == "positive") & (F.col("rank") == 2), F.col("segment"))).alias("pos2"),
         F.max(F.when((F.col("direction") == "negative") & (F.col("rank") == 1), F.col("segment"))).alias("neg1"))
     drivers = valid_packets.select(*PERIOD).withColumn("_valid", F.lit(True)).join(rk, PERIOD, "left")
-    x = questions.join(summary, PERIOD, "left").join(drivers, PERIOD, "left")
-    norm = normalize(F.col("question"))
-    length = stripped_length(F.col("question"))
-    length_ok = (length >= 1) & (length <= MAX_QUESTION_LENGTH)
-    r = route(norm)
+    # each step is a column of its own, so no expression is evaluated (or compiled) twice
+    routed = (questions.withColumn("_norm", normalize(F.col("question"))).withColumn("_length", stripped_length(F.col("question")))
+              .withColumn("_glossary", glossary_answer(F.col("_norm"))).withColumn("_route", route(F.col("_norm"), F.col("_glossary"))))
+    x = routed.join(summary, PERIOD, "left").join(drivers, PERIOD, "left")
+    norm, length, r = F.col("_norm"), F.col("_length"), F.col("_route")
+    length_ok = F.coalesce((length >= 1) & (length <= MAX_QUESTION_LENGTH), F.lit(False))
     has = F.col("_valid").isNotNull()
     drivers_text = F.when(~has | F.col("pos1").isNull(), F.lit(NO_DRIVERS)).otherwise(F.concat(
         F.lit("The largest approved positive segment contributors were "),
@@ -146,7 +156,7 @@ def answer(questions: DataFrame, summary: DataFrame, ranking: DataFrame, valid_p
                     F.when(has & F.col("neg1").isNotNull(), F.concat(F.lit("the "), F.col("neg1"), F.lit(" headwind")))),
         F.lit("."))
     deterministic = (
-        F.when(r == "glossary", glossary_answer(norm))
+        F.when(r == "glossary", F.col("_glossary"))
         .when(r == "performance", F.concat_ws(" ", F.col("headline"), F.col("first_point")))
         .when(r == "explain", F.concat_ws(" ", F.col("headline"), F.col("all_points")))
         .when(r == "drivers", drivers_text)
@@ -154,27 +164,51 @@ def answer(questions: DataFrame, summary: DataFrame, ranking: DataFrame, valid_p
         .when(r == "margin", F.coalesce(F.col("profitability_point"), F.lit(MARGIN_DEFAULT)))
         .when(r == "investigate", investigate_text)
     )
-    eligible = length_ok & (r == "none") & F.lit(provider_enabled)
+    grounded = F.col("fiscal_year").isNotNull()
+    eligible = length_ok & grounded & (r == "none") & F.lit(provider_enabled)
     w = Window.partitionBy("session_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
     used_before = F.coalesce(F.sum(eligible.cast("int")).over(w), F.lit(0))
     over = eligible & (used_before >= MAX_PROVIDER_QUESTIONS)
-    mode = (F.when(~length_ok, "insufficient_context").when(r != "none", "deterministic")
+    mode = (F.when(~length_ok | ~grounded, "insufficient_context").when(r != "none", "deterministic")
             .when(~F.lit(provider_enabled), "insufficient_context")
             .when(over, "insufficient_context").otherwise("provider_request"))
-    text = (F.when(~length_ok, F.lit(LENGTH_MESSAGE)).when(r != "none", deterministic)
+    text = (F.when(~length_ok, F.lit(LENGTH_MESSAGE)).when(~grounded, F.lit(NO_CONTEXT_MESSAGE))
+            .when(r != "none", deterministic)
             .when(~F.lit(provider_enabled), F.lit(UNSUPPORTED_MESSAGE))
             .when(over, F.lit(QUOTA_MESSAGE)))
     return x.select(*TURN, *PERIOD, norm.alias("normalized"), length.alias("question_length"),
-                    F.when(length_ok, r).alias("route"), eligible.alias("provider_eligible"),
+                    F.when(length_ok & grounded, r).alias("route"), eligible.alias("provider_eligible"),
                     used_before.cast("int").alias("provider_used_before"), mode.alias("mode"), text.alias("answer"))
 
 
-def history(questions: DataFrame) -> DataFrame:
-    """The last three earlier turns of the session, as prompt history."""
-    w = Window.partitionBy("session_id").orderBy("turn").rowsBetween(-MAX_HISTORY_TURNS, -1)
-    h = F.collect_list(F.struct("turn", "question")).over(w)
-    return questions.select(*TURN, F.size(h).alias("history_turns"),
-                            F.transform(h, lambda s: s["turn"]).alias("history_turn_ids"))
+def history(turns: DataFrame, exchanges: DataFrame) -> DataFrame:
+    """Per asked turn, the last three answered exchanges before it, as prompt history.
+
+    ``turns``: session_id, turn.  ``exchanges``: session_id, turn, question,
+    answer; of a session's exchanges the latest 20 are kept.
+    """
+    last = Window.partitionBy("session_id").orderBy(F.col("turn").desc())
+    kept = exchanges.withColumn("_n", F.row_number().over(last)).where(F.col("_n") <= MAX_SESSION_TURNS).drop("_n")
+    both = turns.select(*TURN, F.lit(None).cast("string").alias("question"), F.lit(None).cast("string").alias("answer"),
+                        F.lit(1).alias("_asked")).unionByName(kept.select(*TURN, "question", "answer", F.lit(0).alias("_asked")))
+    w = Window.partitionBy("session_id").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
+    seen = F.collect_list(F.when(F.col("_asked") == 0, F.struct("turn", "question", "answer"))).over(w)
+    h = F.slice(F.reverse(F.array_sort(seen)), 1, MAX_HISTORY_TURNS)
+    return both.withColumn("_h", F.reverse(h)).where(F.col("_asked") == 1).select(*TURN, F.col("_h").alias("history"))
+
+
+def final_modes(answers: DataFrame, validated: DataFrame) -> DataFrame:
+    """H8: the outcome per question once provider answers are checked.
+
+    A request whose answer is approved is ``grounded_ai``; any other request
+    fails safely.  ``validated``: session_id, turn, approved.
+    """
+    x = answers.join(validated.select(*TURN, "approved"), TURN, "left")
+    asked = F.col("mode") == "provider_request"
+    good = asked & F.coalesce(F.col("approved"), F.lit(False))
+    return x.select(*TURN, F.when(good, "grounded_ai").when(asked, "insufficient_context").otherwise(F.col("mode")).alias("mode"),
+                    F.when(asked & ~good, F.lit(SAFE_FAILURE_MESSAGE)).otherwise(F.col("answer")).alias("message"),
+                    asked.alias("provider_request_made"))
 
 
 def advice_flag(text: Column) -> Column:

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarterline.session import materialize
+from quarterline.session import reuse
 from quarterline.sources import testdata
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,7 @@ PLAN_MODULES = [
     "quarterline.plans.q_claims",
     "quarterline.plans.q_narrative",
     "quarterline.plans.q_qa",
+    "quarterline.plans.q_part",
 ]
 
 # Fixture parameters.  The reference scopes its pages to FY2019+ and checks
@@ -52,11 +53,7 @@ def register(name: str, sql: str | None = None) -> Callable[[Builder], Builder]:
 
 def load_all() -> None:
     for mod in PLAN_MODULES:
-        try:
-            importlib.import_module(mod)
-        except ModuleNotFoundError as exc:  # plan modules land one by one
-            if exc.name != mod:
-                raise
+        importlib.import_module(mod)
 
 
 @dataclass
@@ -66,8 +63,8 @@ class Fixtures:
     spark: SparkSession
     sf_dir: str
     grain: str = "nation"
-    # write the fact tables once when many consumers share them (see session.materialize)
-    materialized: bool = False
+    # keep the fact tables when many consumers share them (see session.reuse)
+    shared: bool = False
 
     def __post_init__(self) -> None:
         self._cache: dict[str, DataFrame] = {}
@@ -81,7 +78,7 @@ class Fixtures:
         return self._get("t_" + name, lambda: testdata.read_table(self.spark, self.sf_dir, name))
 
     def _maybe(self, df: DataFrame, name: str) -> DataFrame:
-        return materialize(df, f"fx_{name}") if self.materialized else df
+        return reuse(df) if self.shared else df
 
     @property
     def wide(self) -> DataFrame:

@@ -13,7 +13,7 @@ from quarterline.plans import q_drivers as QD
 from quarterline.plans import q_grounding as QG
 from quarterline.plans.catalog import Fixtures, register
 from quarterline.plans.fixture_sql import with_all
-from quarterline.session import materialize
+from quarterline.session import reuse
 from quarterline.sources import testdata
 
 K = "entity_id, fiscal_year, fiscal_period"
@@ -107,14 +107,14 @@ _HEADS = f"""SELECT {K},
               CASE WHEN entity_id % 29 = 3 THEN ['unknown-declared'] ELSE {_NONE} END) AS source_ids
 FROM roles"""
 _FST = f"""SELECT c.entity_id, c.fiscal_year, c.fiscal_period, c.insight_pos, c.claim_pos, c.source_id, c.metric,
-  c.unit, CAST(c.value AS DOUBLE) AS value, g.value AS grounded_value,
+  c.unit, c.value AS value, g.value AS grounded_value,
   CASE WHEN c.occ > 1 THEN 'duplicate' WHEN g.unit IS NULL THEN 'unsupported' WHEN c.unit <> g.unit THEN 'wrong_unit'
        WHEN NOT {_match('c.value', 'g.value', 'c.unit')} THEN 'mismatch' ELSE 'match' END AS status
 FROM (SELECT *, row_number() OVER (PARTITION BY {K}, source_id, metric ORDER BY insight_pos, claim_pos) AS occ
       FROM bfig) c
 LEFT JOIN gf g ON {_on('c', 'g', ('source_id', 'metric'))}"""
 _BST = f"""SELECT c.entity_id, c.fiscal_year, c.fiscal_period, c.insight_pos, c.claim_pos, c.metric, c.unit,
-  c.classification, CAST(c.value AS DOUBLE) AS value,
+  c.classification, c.value AS value,
   CASE WHEN a.unit IS NULL THEN 'unsupported' WHEN c.classification <> a.classification THEN 'classification'
        WHEN c.unit <> a.unit THEN 'unit' WHEN list_sort(list_distinct(c.source_ids)) <> a.source_ids THEN 'sources'
        WHEN NOT {_match('c.value', 'a.value', 'c.unit')} THEN 'mismatch' ELSE 'match' END AS status
@@ -182,18 +182,18 @@ def _sql(select: str) -> str:
 
 class Bundle:
     """Intermediate frames of the claim checks, built lazily and written once each
-    (``session.materialize``) so every consumer starts from a small scan."""
+    (``session.reuse``) so every consumer starts from a small scan."""
 
-    def __init__(self, spark, sf_dir):
-        self.fx = Fixtures(spark, sf_dir, materialized=True)
+    def __init__(self, spark, sf_dir, grain: str = "nation"):
+        self.fx = Fixtures(spark, sf_dir, grain=grain, shared=True)
 
     @cached_property
     def p(self):
-        return {k: materialize(v, f"packet_{k}") for k, v in self.fx.packets.items()}
+        return {k: reuse(v) for k, v in self.fx.packets.items()}
 
     @cached_property
     def recon(self):
-        return materialize(D.reconciliation(self.p), "packet_recon")
+        return reuse(D.reconciliation(self.p))
 
     @cached_property
     def contrib(self):
@@ -201,7 +201,7 @@ class Bundle:
 
     @cached_property
     def approved(self):
-        return materialize(C.approved_claims(self.p, self.recon, self.contrib), "approved_claims")
+        return reuse(C.approved_claims(self.p, self.recon, self.contrib))
 
     @cached_property
     def ctx(self):
@@ -209,17 +209,17 @@ class Bundle:
 
     @cached_property
     def figures(self):
-        return materialize(G.grounded_figures(self.ctx), "grounded_figures")
+        return reuse(G.grounded_figures(self.ctx))
 
     @cached_property
     def figure_claims(self):
-        return materialize(testdata.fx_figure_claims(self.figures), "briefing_figure_claims")
+        return reuse(testdata.fx_figure_claims(self.figures))
 
     @cached_property
     def docs(self):
         valid = self.recon.where(F.col("valid")).select(*D.PACKET)
         parts = testdata.fx_briefings(self.figures, self.approved, valid)
-        out = {k: materialize(v, f"briefing_{k}") for k, v in parts.items() if k != "figure_claims"}
+        out = {k: reuse(v) for k, v in parts.items() if k != "figure_claims"}
         out["figure_claims"] = self.figure_claims
         return out
 
@@ -239,24 +239,30 @@ class Bundle:
         return C.briefing_complete(self.violations(), self.docs["insights"], self.recon)
 
 
-@register("approved_claims", sql=_sql(f"SELECT {K}, metric, CAST(value AS DOUBLE) AS value, unit, classification, "
+def _as_text(df, *columns: str):
+    """Exact decimals as text, the same in every engine."""
+    return df.withColumns({c: F.col(c).cast("string") for c in columns})
+
+
+@register("approved_claims", sql=_sql(f"SELECT {K}, metric, CAST(value AS VARCHAR) AS value, unit, classification, "
                                          "source_ids FROM approved"))
 def q_approved_claims(spark, sf_dir):
     """Approved business claims per valid packet, later record wins."""
     a = Bundle(spark, sf_dir).approved
-    return a.withColumn("value", F.col("value").cast("double"))
+    return _as_text(a, "value")
 
 
-@register("claim_status", sql=_sql("SELECT * FROM fst"))
+@register("claim_status", sql=_sql("SELECT * REPLACE (CAST(value AS VARCHAR) AS value, "
+                                   "CAST(grounded_value AS VARCHAR) AS grounded_value) FROM fst"))
 def q_claim_status(spark, sf_dir):
     """Figure claims against grounded figures."""
-    return Bundle(spark, sf_dir).fig_status()
+    return _as_text(Bundle(spark, sf_dir).fig_status(), "value", "grounded_value")
 
 
-@register("business_claim_status", sql=_sql("SELECT * FROM bst"))
+@register("business_claim_status", sql=_sql("SELECT * REPLACE (CAST(value AS VARCHAR) AS value) FROM bst"))
 def q_business_claim_status(spark, sf_dir):
     """Business claims against approved claims, first failing rule."""
-    return Bundle(spark, sf_dir).biz_status()
+    return _as_text(Bundle(spark, sf_dir).biz_status(), "value")
 
 
 @register("briefing_violations", sql=_sql("SELECT * FROM viol"))
@@ -381,7 +387,7 @@ def q_briefing_revalidate(spark, sf_dir):
     from quarterline.plans.catalog import SCOPE_MIN_FISCAL_YEAR
 
     b = Bundle(spark, sf_dir)
-    stored = materialize(b.complete().where(F.col("complete")).select(*D.PACKET), "stored_briefings")
+    stored = reuse(b.complete().where(F.col("complete")).select(*D.PACKET))
     facts = O.facts_from_observations(Fixtures(spark, sf_dir).obs)
     wide = A.quarterly_wide(facts)
     analytics = A.scoped(A.quarterly_analytics(wide), SCOPE_MIN_FISCAL_YEAR)

@@ -68,7 +68,7 @@ def _sql(select: str) -> str:
 def _packets(spark, sf_dir):
     """Packet tables over the fact tables written once (each packet table reads them
     several times; without the cut every read would re-scan the line items)."""
-    return Fixtures(spark, sf_dir, materialized=True).packets
+    return Fixtures(spark, sf_dir, shared=True).packets
 
 
 @register("segment_reconcile", sql=_sql("SELECT * FROM recon"))
@@ -138,7 +138,7 @@ FROM (SELECT DISTINCT entity_id, fiscal_year, fiscal_period FROM fx_long
 LEFT JOIN recon r USING ({K})""")
 def q_packet_availability(spark, sf_dir):
     """A5: every requested period gets an explicit available / unavailable / invalid state."""
-    fx = Fixtures(spark, sf_dir, materialized=True)
+    fx = Fixtures(spark, sf_dir, shared=True)
     periods = A.scoped(A.quarterly_wide(fx.long), SCOPE_MIN_FISCAL_YEAR).select(*D.PACKET)
     recon = D.reconciliation(fx.packets).withColumn("_has", F.lit(True))
     x = periods.join(recon, D.PACKET, "left")
@@ -152,18 +152,37 @@ def q_packet_availability(spark, sf_dir):
     )
 
 
+# How the written documents are broken, by key (SQL that both engines read).
+BROKEN_DOCS = {
+    "truncated": "entity_id % 5 = 4 AND fiscal_period = 'Q2'",
+    "wrong_type": "entity_id % 5 = 3 AND fiscal_period = 'Q4'",
+    "missing_field": "entity_id % 5 = 2 AND fiscal_period = 'Q2'",
+    "array": "entity_id % 5 = 1 AND fiscal_period = 'Q4'",
+}
+_BROKEN = "(" + " OR ".join(f"({c})" for c in BROKEN_DOCS.values()) + ")"
+
+
 @register("packet_json_scan", sql=with_all(*_PK) + f"""
-SELECT h.entity_id, h.fiscal_year, h.fiscal_period,
-  CASE WHEN h.entity_id % 3 = 2 AND h.fiscal_period = 'Q1' THEN 1 ELSE 0 END AS unknown_field_count,
-  CASE WHEN h.entity_id % 3 = 2 AND h.fiscal_period = 'Q1' THEN 'reviewer_note' ELSE '' END AS unknown_fields,
-  NOT (h.entity_id % 4 = 3 AND h.fiscal_period = 'Q3') AS period_matches, false AS malformed,
-  CAST(s.n AS INTEGER) AS sources, CAST(g.n AS INTEGER) AS segments
-FROM pk_head h
-JOIN (SELECT {K}, count(*) AS n FROM pk_sources GROUP BY ALL) s USING ({K})
-JOIN (SELECT {K}, count(*) AS n FROM pk_segments GROUP BY ALL) g USING ({K})""")
+SELECT file_name, doc, broken AS malformed, CASE WHEN NOT broken THEN entity_id END AS entity_id,
+  CASE WHEN NOT broken THEN fiscal_year END AS fiscal_year, CASE WHEN NOT broken THEN fiscal_period END AS fiscal_period,
+  CASE WHEN NOT broken AND extra THEN 1 ELSE 0 END AS unknown_field_count,
+  CASE WHEN NOT broken AND extra THEN 'reviewer_note' ELSE '' END AS unknown_fields,
+  NOT broken AND NOT stale AS period_matches,
+  CASE WHEN NOT broken THEN sources END AS sources, CASE WHEN NOT broken THEN segments END AS segments
+FROM (SELECT h.entity_id, h.fiscal_year, h.fiscal_period,
+    CAST(h.entity_id AS VARCHAR) || '/' || CAST(h.fiscal_year AS VARCHAR) || '/' || h.fiscal_period AS doc,
+    'FY' || CAST(h.fiscal_year - CASE WHEN h.entity_id % 4 = 3 AND h.fiscal_period = 'Q3' THEN 1 ELSE 0 END AS VARCHAR) || '-'
+      || h.fiscal_period || '.json' AS file_name,
+    {_BROKEN.replace("entity_id", "h.entity_id").replace("fiscal_period", "h.fiscal_period")} AS broken,
+    h.entity_id % 3 = 2 AND h.fiscal_period = 'Q1' AS extra, h.entity_id % 4 = 3 AND h.fiscal_period = 'Q3' AS stale,
+    CAST(s.n AS INTEGER) AS sources, CAST(g.n AS INTEGER) AS segments
+  FROM pk_head h
+  JOIN (SELECT {K}, count(*) AS n FROM pk_sources GROUP BY ALL) s USING ({K})
+  JOIN (SELECT {K}, count(*) AS n FROM pk_segments GROUP BY ALL) g USING ({K})) x""")
 def q_packet_json_scan(spark, sf_dir):
-    """A5: packets written as JSON documents by Spark, parsed back with an explicit
-    schema and checked strictly (unknown fields, file period vs packet period)."""
+    """A5: packets written as JSON documents by Spark, some broken by key, parsed back
+    with an explicit schema and checked strictly (broken documents, unknown fields,
+    file period vs packet period)."""
     from quarterline.sources import packets_json as PJ
 
     p = _packets(spark, sf_dir)
@@ -172,12 +191,19 @@ def q_packet_json_scan(spark, sf_dir):
     stale_name = (F.col("entity_id") % 4 == 3) & (F.col("fiscal_period") == "Q3")
     docs = docs.withColumn("file_name", F.when(stale_name, F.concat(
         F.lit("FY"), (F.col("fiscal_year") - 1).cast("string"), F.lit("-Q3.json"))).otherwise(F.col("file_name")))
-    parsed = PJ.strict_parse(docs.select("file_name", "json"))
+    text = F.col("json")
+    broken = (F.when(F.expr(BROKEN_DOCS["truncated"]), F.substring(text, 1, 60))
+              .when(F.expr(BROKEN_DOCS["wrong_type"]), F.regexp_replace(text, r'"entity_id":\d+', '"entity_id":"x"'))
+              .when(F.expr(BROKEN_DOCS["missing_field"]), F.regexp_replace(text, r'"schema_version":"1.0",', ""))
+              .when(F.expr(BROKEN_DOCS["array"]), F.concat(F.lit("["), text, F.lit("]"))).otherwise(text))
+    name = F.concat_ws("/", F.col("entity_id").cast("string"), F.col("fiscal_year").cast("string"), "fiscal_period")
+    parsed = PJ.strict_parse(docs.select("file_name", name.alias("doc"), broken.alias("json")))
     pk = F.col("packet")
+    ok = ~F.col("malformed")
     return parsed.select(
-        pk["entity_id"].alias("entity_id"), pk["reporting_period"]["fiscal_year"].alias("fiscal_year"),
+        "file_name", "doc", "malformed", pk["entity_id"].alias("entity_id"),
+        pk["reporting_period"]["fiscal_year"].alias("fiscal_year"),
         pk["reporting_period"]["fiscal_period"].alias("fiscal_period"),
         F.size("unknown_fields").alias("unknown_field_count"),
-        F.array_join("unknown_fields", ",").alias("unknown_fields"),
-        "period_matches", "malformed",
-        F.size(pk["sources"]).alias("sources"), F.size(pk["segment_results"]).alias("segments"))
+        F.array_join("unknown_fields", ",").alias("unknown_fields"), "period_matches",
+        F.when(ok, F.size(pk["sources"])).alias("sources"), F.when(ok, F.size(pk["segment_results"])).alias("segments"))

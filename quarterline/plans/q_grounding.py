@@ -15,10 +15,10 @@ _CORE_OK = " AND ".join(f"{m} IS NOT NULL" for m in ("revenue", "gross_profit",
 
 def _cols(prefix: str, alias: str, metrics: list[str]) -> str:
     return ", ".join([f"{alias}.fiscal_year AS {prefix}_fy", f"{alias}.fiscal_period AS {prefix}_fp"]
-                     + [f"CAST({alias}.{m} AS DOUBLE) AS {prefix}_{m}" for m in metrics])
+                     + [f"CAST({alias}.{m} AS DECIMAL(38,6)) AS {prefix}_{m}" for m in metrics])
 
 
-_ANN_COLS = ", ".join(["fiscal_year AS an_fy"] + [f"CAST({m} AS DOUBLE) AS an_{m}" for m in G.ANNUAL_METRICS])
+_ANN_COLS = ", ".join(["fiscal_year AS an_fy"] + [f"CAST({m} AS DECIMAL(38,6)) AS an_{m}" for m in G.ANNUAL_METRICS])
 
 _CTES = [
     ("w", QA._WIDE), ("l", QA._LAGGED), ("qa", QA._ANALYTICS), ("atot", QA._ANNUAL_TOTALS), ("an", QA._ANNUAL),
@@ -49,7 +49,7 @@ def _fig_selects() -> str:
         pid = _pid("fiscal_year", "fiscal_period")
         parts.append(f"SELECT entity_id, fiscal_year, fiscal_period, 'current' AS role, {pid} AS period_id, "
                      f"'quarterly_analytics:' || {pid} AS source_id, '{m}' AS metric, '{unit}' AS unit, "
-                     f"CAST({m} AS DOUBLE) AS value FROM ctx")
+                     f"CAST({m} AS DECIMAL(38,6)) AS value FROM ctx")
     for role, px in (("previous", "pv"), ("prior_year", "py")):
         for m in G.COMPARISON_METRICS:
             unit = "percent" if m in G.PERCENT_METRICS else "usd"
@@ -99,8 +99,8 @@ _PRIOR_ID = ("'FY' || CAST((period_index - 5) // 4 AS VARCHAR) || '-Q' || "
 
 @register("period_neighbors", sql=_sql(
     f"SELECT entity_id, fiscal_year, fiscal_period, {_PREV_ID} AS previous_period_id, pv_fy IS NOT NULL AS "
-    f"previous_available, pv_revenue AS previous_revenue, {_PRIOR_ID} AS prior_year_period_id, "
-    f"py_fy IS NOT NULL AS prior_year_available, py_revenue AS prior_year_revenue FROM nb"))
+    f"previous_available, CAST(pv_revenue AS BIGINT) AS previous_revenue, {_PRIOR_ID} AS prior_year_period_id, "
+    f"py_fy IS NOT NULL AS prior_year_available, CAST(py_revenue AS BIGINT) AS prior_year_revenue FROM nb"))
 def q_period_neighbors(spark, sf_dir):
     """Previous and prior-year quarter by calendar key."""
     analytics, _ = scoped_inputs(Fixtures(spark, sf_dir))
@@ -109,30 +109,32 @@ def q_period_neighbors(spark, sf_dir):
         "entity_id", "fiscal_year", "fiscal_period",
         G.neighbor_keys(F.col("period_index"), 1).alias("previous_period_id"),
         F.col("previous").isNotNull().alias("previous_available"),
-        F.col("previous.revenue").alias("previous_revenue"),
+        F.col("previous.revenue").cast("bigint").alias("previous_revenue"),
         G.neighbor_keys(F.col("period_index"), 4).alias("prior_year_period_id"),
         F.col("prior_year").isNotNull().alias("prior_year_available"),
-        F.col("prior_year.revenue").alias("prior_year_revenue"),
+        F.col("prior_year.revenue").cast("bigint").alias("prior_year_revenue"),
     )
 
 
 @register("asof_annual", sql=_sql(
-    "SELECT entity_id, fiscal_year, fiscal_period, an_fy AS annual_fiscal_year, an_revenue AS annual_revenue, "
-    "an_net_income AS annual_net_income, an_revenue_yoy_growth_pct AS annual_revenue_yoy_growth_pct FROM ctx"))
+    "SELECT entity_id, fiscal_year, fiscal_period, an_fy AS annual_fiscal_year, CAST(an_revenue AS BIGINT) AS annual_revenue, "
+    "CAST(an_net_income AS BIGINT) AS annual_net_income, "
+    "CAST(an_revenue_yoy_growth_pct AS DOUBLE) AS annual_revenue_yoy_growth_pct FROM ctx"))
 def q_asof_annual(spark, sf_dir):
     """Latest complete year known as of each quarter (no look-ahead)."""
     ctx = contexts(Fixtures(spark, sf_dir))
     return ctx.select("entity_id", "fiscal_year", "fiscal_period",
                       F.col("annual.fiscal_year").alias("annual_fiscal_year"),
-                      F.col("annual.revenue").alias("annual_revenue"),
-                      F.col("annual.net_income").alias("annual_net_income"),
-                      F.col("annual.revenue_yoy_growth_pct").alias("annual_revenue_yoy_growth_pct"))
+                      F.col("annual.revenue").cast("bigint").alias("annual_revenue"),
+                      F.col("annual.net_income").cast("bigint").alias("annual_net_income"),
+                      F.col("annual.revenue_yoy_growth_pct").cast("double").alias("annual_revenue_yoy_growth_pct"))
 
 
-@register("grounded_figures", sql=_sql("SELECT * FROM gf"))
+@register("grounded_figures", sql=_sql("SELECT * REPLACE (CAST(value AS VARCHAR) AS value) FROM gf"))
 def q_grounded_figures(spark, sf_dir):
-    """Every grounded figure of every eligible period, long form."""
-    return G.grounded_figures(contexts(Fixtures(spark, sf_dir)))
+    """Every grounded figure of every eligible period, long form; values as exact decimal text."""
+    g = G.grounded_figures(contexts(Fixtures(spark, sf_dir)))
+    return g.withColumn("value", F.col("value").cast("string"))
 
 
 @register("grounded_figure_rules", sql=_sql("""
@@ -156,7 +158,48 @@ def q_grounded_figure_rules(spark, sf_dir):
     return G.figure_rules(G.grounded_figures(contexts(Fixtures(spark, sf_dir))))
 
 
-@register("prompt_corpus")
+def _json_figures(metrics: list[str], prefix: str, sid: str) -> str:
+    """DuckDB text of a figure list, NULL values left out."""
+    items = []
+    for m in metrics:
+        value = f"regexp_replace(regexp_replace(CAST(CAST({prefix}{m} AS DECIMAL(38,6)) AS VARCHAR), '0+$', ''), '[.]$', '')"
+        unit = "percent" if m in G.PERCENT_METRICS else "usd"
+        items.append(f"CASE WHEN {prefix}{m} IS NOT NULL THEN '{{\"metric\":\"{m}\",\"source_id\":\"' || {sid} || "
+                     f"'\",\"unit\":\"{unit}\",\"value\":\"' || {value} || '\"}}' END")
+    return f"'[' || concat_ws(',', {', '.join(items)}) || ']'"
+
+
+def _json_period(fy: str, fp: str) -> str:
+    return f"'{{\"fiscal_period\":\"' || {fp} || '\",\"fiscal_year\":' || CAST({fy} AS VARCHAR) || '}}'"
+
+
+def _json_quarter(metrics: list[str], prefix: str, fy: str, fp: str) -> str:
+    sid = f"('quarterly_analytics:' || {_pid(fy, fp)})"
+    return (f"'{{\"figures\":' || {_json_figures(metrics, prefix, sid)} || ',\"period\":' || {_json_period(fy, fp)} || "
+            f"',\"source_id\":\"' || {sid} || '\"}}'")
+
+
+def _json_source(dataset: str, pid: str) -> str:
+    return f"'{{\"dataset\":\"{dataset}\",\"period_id\":\"' || {pid} || '\",\"source_id\":\"{dataset}:' || {pid} || '\"}}'"
+
+
+_AN_SID = "('annual_financials:FY' || CAST(an_fy AS VARCHAR))"
+_PROMPT = (
+    "SELECT entity_id, fiscal_year, fiscal_period, '{\"annual_context\":' || CASE WHEN an_fy IS NULL THEN 'null' ELSE "
+    f"'{{\"figures\":' || {_json_figures(G.ANNUAL_METRICS, 'an_', _AN_SID)} || ',\"fiscal_year\":' || CAST(an_fy AS VARCHAR) || "
+    f"',\"source_id\":\"' || {_AN_SID} || '\"}}' END || ',\"current_period\":' || "
+    f"{_json_quarter(G.PERIOD_METRICS, '', 'fiscal_year', 'fiscal_period')} || ',\"entity\":\"Entity ' || CAST(entity_id AS VARCHAR) || "
+    f"'\",\"previous_quarter\":' || CASE WHEN pv_fy IS NULL THEN 'null' ELSE {_json_quarter(G.COMPARISON_METRICS, 'pv_', 'pv_fy', 'pv_fp')} END || "
+    f"',\"prior_year_quarter\":' || CASE WHEN py_fy IS NULL THEN 'null' ELSE {_json_quarter(G.COMPARISON_METRICS, 'py_', 'py_fy', 'py_fp')} END || "
+    f"',\"requested_period\":' || {_json_period('fiscal_year', 'fiscal_period')} || ',\"schema_version\":\"1.0\",\"sources\":[' || concat_ws(',', "
+    f"{_json_source('quarterly_analytics', _pid('fiscal_year', 'fiscal_period'))}, "
+    f"CASE WHEN pv_fy IS NOT NULL THEN {_json_source('quarterly_analytics', _pid('pv_fy', 'pv_fp'))} END, "
+    f"CASE WHEN py_fy IS NOT NULL THEN {_json_source('quarterly_analytics', _pid('py_fy', 'py_fp'))} END, "
+    f"CASE WHEN an_fy IS NOT NULL THEN {_json_source('annual_financials', chr(40) + chr(39) + 'FY' + chr(39) + ' || CAST(an_fy AS VARCHAR))')} END"
+    ") || ']}' AS context_json FROM ctx")
+
+
+@register("prompt_corpus", sql=_sql(_PROMPT))
 def q_prompt_corpus(spark, sf_dir):
     """H9: deterministic, alphabetically keyed context JSON per eligible period."""
     return G.prompt_context_json(contexts(Fixtures(spark, sf_dir)))

@@ -198,7 +198,7 @@ def q_margin_direction(spark, sf_dir):
 
 
 def _pe(spark, sf_dir):
-    fx = Fixtures(spark, sf_dir, materialized=True)
+    fx = Fixtures(spark, sf_dir, shared=True)
     p = fx.packets
     recon = D.reconciliation(p)
     valid = recon.where(F.col("valid")).select(*D.PACKET)
@@ -223,7 +223,7 @@ def q_visible_takeaways(spark, sf_dir):
 
 
 def _presentation(spark, sf_dir):
-    fx = Fixtures(spark, sf_dir, materialized=True)
+    fx = Fixtures(spark, sf_dir, shared=True)
     p = fx.packets
     recon = D.reconciliation(p)
     valid = recon.where(F.col("valid")).select(*D.PACKET)

@@ -14,7 +14,7 @@ from quarterline.plans import q_grounding as QG
 from quarterline.plans import q_narrative as QN
 from quarterline.plans.catalog import Fixtures, register
 from quarterline.plans.fixture_sql import with_all
-from quarterline.session import materialize
+from quarterline.session import reuse
 from quarterline.sources import testdata
 
 K = "entity_id, fiscal_year, fiscal_period"
@@ -27,10 +27,14 @@ def _s(text: str) -> str:
 _BANK = "[" + ", ".join("repeat('x', 501)" if q == "x" * 501 else _s(q) for q in testdata.QUESTION_BANK) + "]"
 _N = len(testdata.QUESTION_BANK)
 _QS = f"""SELECT q.session_id, q.turn, q.question, q.entity_id, lp.fiscal_year, lp.fiscal_period FROM
-  (SELECT conv_id AS session_id, CAST(turn AS INTEGER) AS turn, {_BANK}[((conv_id * 7 + turn) % {_N}) + 1] AS question,
+  (SELECT conv_id AS session_id, CAST(turn AS INTEGER) AS turn, text AS question,
           CAST(conv_id % {testdata.SESSION_ENTITIES} AS BIGINT) AS entity_id
+   FROM conversations WHERE role = 'user'
+   UNION ALL
+   SELECT -conv_id - 1, CAST(turn AS INTEGER), {_BANK}[((conv_id * 7 + turn) % {_N}) + 1],
+          CAST(conv_id % {testdata.SESSION_ENTITIES} AS BIGINT)
    FROM conversations WHERE role = 'user') q
-JOIN (SELECT {K} FROM (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY fiscal_year DESC,
+LEFT JOIN (SELECT {K} FROM (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY fiscal_year DESC,
         fiscal_period DESC) AS rn FROM el) x WHERE rn = 1) lp USING (entity_id)"""
 _NORM = "trim(regexp_replace(lower(question), '[^a-z0-9]+', ' ', 'g'))"
 
@@ -59,7 +63,7 @@ FROM pe GROUP BY ALL"""
 _RK = f"""SELECT {K}, max(CASE WHEN direction = 'positive' AND rank = 1 THEN segment END) AS pos1,
   max(CASE WHEN direction = 'positive' AND rank = 2 THEN segment END) AS pos2,
   max(CASE WHEN direction = 'negative' AND rank = 1 THEN segment END) AS neg1 FROM rnk GROUP BY ALL"""
-_QX = f"""SELECT q.*, nq, qlen, qlen BETWEEN 1 AND {Q.MAX_QUESTION_LENGTH} AS length_ok, gloss, {_ROUTE} AS r,
+_QX = f"""SELECT q.*, nq, qlen, coalesce(qlen BETWEEN 1 AND {Q.MAX_QUESTION_LENGTH}, false) AS length_ok, q.fiscal_year IS NOT NULL AS grounded, gloss, {_ROUTE} AS r,
   s.headline, s.first_point, s.all_points, s.profitability_point, d.entity_id IS NOT NULL AS has, d.pos1, d.pos2, d.neg1
 FROM (SELECT *, {_GLOSS} AS gloss FROM
        (SELECT *, CASE WHEN {_any(Q.GLOSSARY_TRIGGERS)} THEN {_ALIAS_CASE} END AS lbl FROM
@@ -79,14 +83,14 @@ _DET = (f"CASE r WHEN 'glossary' THEN gloss "
         f"'revenue growth durability', 'margin direction', CASE WHEN has AND neg1 IS NOT NULL THEN "
         f"'the ' || neg1 || ' headwind' END) || '.' END")
 _ANS = f"""SELECT session_id, turn, {K}, nq AS normalized, CAST(qlen AS INTEGER) AS question_length,
-  CASE WHEN length_ok THEN r END AS route, eligible AS provider_eligible, CAST(used AS INTEGER) AS provider_used_before,
-  CASE WHEN NOT length_ok THEN 'insufficient_context' WHEN r <> 'none' THEN 'deterministic'
+  CASE WHEN length_ok AND grounded THEN r END AS route, eligible AS provider_eligible, CAST(used AS INTEGER) AS provider_used_before,
+  CASE WHEN NOT length_ok OR NOT grounded THEN 'insufficient_context' WHEN r <> 'none' THEN 'deterministic'
        WHEN eligible AND used >= {Q.MAX_PROVIDER_QUESTIONS} THEN 'insufficient_context' ELSE 'provider_request' END AS mode,
-  CASE WHEN NOT length_ok THEN {_s(Q.LENGTH_MESSAGE)} WHEN r <> 'none' THEN {_DET}
+  CASE WHEN NOT length_ok THEN {_s(Q.LENGTH_MESSAGE)} WHEN NOT grounded THEN {_s(Q.NO_CONTEXT_MESSAGE)} WHEN r <> 'none' THEN {_DET}
        WHEN eligible AND used >= {Q.MAX_PROVIDER_QUESTIONS} THEN {_s(Q.QUOTA_MESSAGE)} END AS answer
 FROM (SELECT *, coalesce(sum(CAST(eligible AS INTEGER)) OVER (PARTITION BY session_id ORDER BY turn
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS used
-      FROM (SELECT *, length_ok AND r = 'none' AS eligible FROM qx) e) u"""
+      FROM (SELECT *, length_ok AND grounded AND r = 'none' AS eligible FROM qx) e) u"""
 
 _CUR = f"""SELECT {K}, first(source_id) AS src, max(CASE WHEN metric = 'revenue' THEN value END) AS revenue,
   max(CASE WHEN metric = 'net_margin_pct' THEN value END) AS net_margin_pct FROM gf WHERE role = 'current' GROUP BY ALL"""
@@ -157,31 +161,30 @@ class QABundle:
     """Shared frames of the Q&A queries (materialised once per builder call)."""
 
     def __init__(self, spark, sf_dir, with_claims: bool = False):
-        fx = Fixtures(spark, sf_dir, materialized=True)
+        fx = Fixtures(spark, sf_dir, shared=True)
         p = fx.packets
         self.p = p
-        self.recon = materialize(D.reconciliation(p), "qa_recon")
+        self.recon = reuse(D.reconciliation(p))
         self.valid = self.recon.where(F.col("valid")).select(*D.PACKET)
-        self.contrib = D.contributions(p, self.recon)
-        self.ranking = materialize(D.ranking(self.contrib), "qa_ranking")
-        ctx = materialize(QG.contexts(fx), "qa_contexts")
+        self.contrib = reuse(D.contributions(p, self.recon))
+        self.ranking = reuse(D.ranking(self.contrib))
+        ctx = reuse(QG.contexts(fx))
         self.ctx = ctx
         takeaways = N.plain_english(ctx, self.ranking, p["facts"], p["explanations"], self.valid)
-        self.summary = materialize(Q.summaries(takeaways), "qa_summary")
-        self.questions = materialize(testdata.fx_questions(fx.table("conversations"), ctx.select(*D.PACKET)),
-                                     "qa_questions")
+        self.summary = reuse(Q.summaries(takeaways))
+        self.questions = reuse(testdata.fx_questions(fx.table("conversations"), ctx.select(*D.PACKET)))
         if with_claims:
             from quarterline.operators import grounding as G
-            self.figures = materialize(G.grounded_figures(ctx), "qa_figures")
-            self.approved = C.approved_claims(p, self.recon, self.contrib)
+            self.figures = reuse(G.grounded_figures(ctx))
+            self.approved = reuse(C.approved_claims(p, self.recon, self.contrib))
             self.allowed = C.allowed_sources(self.figures, p["sources"], self.recon)
 
     def answers(self):
-        return Q.answer(self.questions, self.summary, self.ranking, self.valid)
+        return reuse(Q.answer(self.questions, self.summary, self.ranking, self.valid))
 
     def provider_answers(self):
-        req = materialize(self.answers().where(F.col("mode") == "provider_request"), "qa_requests")
-        return {k: materialize(v, f"qa_{k}") for k, v in testdata.fx_answers(req, self.figures, self.valid).items()}
+        req = reuse(self.answers().where(F.col("mode") == "provider_request"))
+        return {k: reuse(v) for k, v in testdata.fx_answers(req, self.figures, self.valid).items()}
 
 
 @register("question_route", sql=_sql("SELECT * FROM ans"))
@@ -190,12 +193,6 @@ def q_question_route(spark, sf_dir):
     return QABundle(spark, sf_dir).answers()
 
 
-@register("answer_mode", sql=_sql("SELECT session_id, turn, mode FROM ans"))
-def q_answer_mode(spark, sf_dir):
-    """H8: deterministic / provider_request / insufficient_context per question."""
-    return QABundle(spark, sf_dir).answers().select("session_id", "turn", "mode")
-
-
 @register("glossary_match", sql=_sql(
     f"SELECT session_id, turn, CASE WHEN {_DIFF} THEN 'QoQ/YoY' ELSE lbl END AS glossary_entry "
     "FROM (SELECT *, CASE WHEN " + _any(Q.GLOSSARY_TRIGGERS) + f" THEN {_ALIAS_CASE} END AS lbl FROM "
@@ -223,18 +220,31 @@ def q_qa_quota(spark, sf_dir):
                     .alias("over_quota"))
 
 
-@register("qa_history", sql=_sql("""
-SELECT session_id, turn, count(*) OVER w AS history_turns, min(turn) OVER w AS first_history_turn,
-  max(turn) OVER w AS last_history_turn
-FROM qs WINDOW w AS (PARTITION BY session_id ORDER BY turn ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING)"""))
+@register("qa_history", sql="""
+WITH ex AS (SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY turn DESC) AS n FROM (
+    SELECT conv_id AS session_id, CAST(turn AS INTEGER) AS turn, role, text AS question,
+      lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS next_role,
+      lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS answer FROM conversations) x
+  WHERE role = 'user' AND next_role = 'assistant') y WHERE n <= 20)
+SELECT q.session_id, q.turn, count(h.turn) AS history_turns, min(h.turn) AS first_history_turn,
+  max(h.turn) AS last_history_turn,
+  coalesce(string_agg(h.question || ' -> ' || h.answer, chr(10) ORDER BY h.turn), '') AS history_text
+FROM (SELECT conv_id AS session_id, CAST(turn AS INTEGER) AS turn FROM conversations WHERE role = 'user') q
+LEFT JOIN LATERAL (SELECT turn, question, answer FROM ex WHERE ex.session_id = q.session_id AND ex.turn < q.turn
+                   ORDER BY turn DESC LIMIT 3) h ON true
+GROUP BY q.session_id, q.turn""")
 def q_qa_history(spark, sf_dir):
-    """The last three earlier turns of each session, as prompt history."""
-    fx = Fixtures(spark, sf_dir)
-    questions = testdata.fx_questions(fx.table("conversations"), QG.contexts(fx).select(*D.PACKET))
-    h = Q.history(questions)
-    return h.select("session_id", "turn", F.col("history_turns").cast("bigint").alias("history_turns"),
-                    F.array_min("history_turn_ids").alias("first_history_turn"),
-                    F.array_max("history_turn_ids").alias("last_history_turn"))
+    """The last three answered exchanges before each user turn, with their texts."""
+    conversations = Fixtures(spark, sf_dir).table("conversations")
+    turns = conversations.where(F.col("role") == "user").select(
+        F.col("conv_id").alias("session_id"), F.col("turn").cast("int").alias("turn"))
+    h = Q.history(turns, testdata.fx_exchanges(conversations))
+    ids = F.transform("history", lambda s: s["turn"])
+    return h.select("session_id", "turn", F.size("history").cast("bigint").alias("history_turns"),
+                    F.array_min(ids).alias("first_history_turn"), F.array_max(ids).alias("last_history_turn"),
+                    F.array_join(F.transform("history", lambda s: F.concat(s["question"], F.lit(" -> "), s["answer"])), "\n")
+                    .alias("history_text"))
 
 
 _ADV = "(?i)(^|[^\\p{L}\\p{N}_])" + Q.ADVICE_PATTERN + "([^\\p{L}\\p{N}_]|$)"
@@ -280,6 +290,28 @@ def q_answer_violations(spark, sf_dir):
     return Q.answer_violations(a["answers"], st, b.allowed)
 
 
+_AVIOL = f"""SELECT t.session_id, t.turn, coalesce(bad, 0) + CAST(regexp_matches(t.answer, {_s(_ADV)}) AS INTEGER)
+  + coalesce(errs, 0) = 0 AS approved
+FROM atx t
+LEFT JOIN (SELECT DISTINCT session_id, turn, 1 AS bad FROM (SELECT *, unnest(source_ids) AS source_id FROM atx) s
+           WHERE NOT EXISTS (SELECT 1 FROM allowed a WHERE {QC._on('a', 's', ('source_id',))})) b USING (session_id, turn)
+LEFT JOIN (SELECT session_id, turn, count(*) AS errs FROM cst WHERE status <> 'match' GROUP BY ALL) e USING (session_id, turn)"""
+
+
+@register("answer_mode", sql=_sql(f"""
+SELECT session_id, turn, CASE WHEN mode <> 'provider_request' THEN mode WHEN coalesce(approved, false) THEN 'grounded_ai'
+  ELSE 'insufficient_context' END AS mode,
+  CASE WHEN mode = 'provider_request' AND NOT coalesce(approved, false) THEN {_s(Q.SAFE_FAILURE_MESSAGE)} ELSE answer END AS message,
+  mode = 'provider_request' AS provider_request_made
+FROM ans LEFT JOIN ({_AVIOL}) v USING (session_id, turn)"""))
+def q_answer_mode(spark, sf_dir):
+    """H8: deterministic / grounded_ai / insufficient_context per question, after the answers are checked."""
+    b = QABundle(spark, sf_dir, with_claims=True)
+    a = b.provider_answers()
+    st = Q.answer_claim_status(a["claims"], a["answers"], b.figures, b.approved, b.allowed, b.p["explanations"])
+    return Q.final_modes(b.answers(), Q.answer_violations(a["answers"], st, b.allowed))
+
+
 @register("source_labels", sql=_sql(f"""
 SELECT session_id, turn, string_agg(CASE WHEN s.title IS NOT NULL THEN s.title || ' (' || x.source_id || ')'
     ELSE x.source_id END, ', ' ORDER BY x.pos) AS source_labels, count(*) AS sources

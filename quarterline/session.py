@@ -1,16 +1,14 @@
 """Session helpers for local runs, tests and the bench.
 
-On a cluster the session is handed in by the caller; these helpers only fill
-in settings that are missing.  The checkpoint directory is read from the
-session (``spark.checkpoint.dir``) and a local one is created only when the
-cluster did not name one, which is the case in tests.
+On a cluster the session is handed in by the caller; ``local_session`` serves
+tests and the bench.  Intermediates that several consumers share are cached
+by Spark (``reuse``): nothing runs before the first action, no folder is
+named, and blocks lost with an executor are computed again.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
-
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 LOCAL_CONF = {
@@ -23,10 +21,8 @@ LOCAL_CONF = {
     "spark.ui.showConsoleProgress": "false",
     "spark.driver.memory": "8g",
     "spark.sql.ansi.enabled": "true",
-    # The JVM does not JIT-compile methods above 8000 bytes of bytecode; with the
-    # default limit (65535) a wide whole-stage-codegen method stays interpreted
-    # (2-3x slower on the observation classifier).  At 8000 Spark splits or falls
-    # back instead.  Set the same on the cluster.
+    # The JVM does not JIT-compile methods above 8000 bytes of bytecode; at this
+    # limit Spark splits or falls back instead of running one interpreted.
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
@@ -38,40 +34,11 @@ def local_session(cpus: int | str = "*", app: str = "quarterline", **conf: str)
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; create a local one only if unset."""
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="quarterline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        try:
-            spark.conf.set("spark.checkpoint.dir", configured)
-        except Exception:  # a session may refuse core confs at runtime; the context dir below suffices
-            pass
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(configured)
-    return configured
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder (reliable, not local)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
-
-    Used where one intermediate feeds many consumers: the plan of every
-    consumer starts at a small scan instead of re-inlining (and re-running)
-    the whole lineage, and the written table survives executor loss.
-    """
-    import uuid
-
-    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
-    path = f"{base}/quarterline/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+def reuse(df: DataFrame) -> DataFrame:
+    """``df`` kept on the executors' disks from its first use on, so that several
+    consumers share one evaluation and one plan.  Lazy; equal plans share one
+    copy; ``spark.catalog.clearCache()`` frees it."""
+    return df.persist(StorageLevel.DISK_ONLY)

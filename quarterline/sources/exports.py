@@ -64,31 +64,48 @@ def contract_report(frames: dict[str, DataFrame], min_fiscal_year: int) -> DataF
     return out
 
 
+POINTER = "CURRENT"
+
+
 def publish_exports(frames: dict[str, DataFrame], target: str, min_fiscal_year: int) -> DataFrame:
-    """Stage every export, check all, then move the staged folders into place.
+    """Write every export to a new version folder, check the files, then move one pointer.
 
-    The report is computed from the *staged* files, so what is published is
-    exactly what was checked.  Any failing export leaves the target untouched.
+    Readers go through ``read_exports``, so they see the old set or the new
+    one and nothing between.  A failing contract or a failed move leaves the
+    pointer where it was.
     """
     spark = next(iter(frames.values())).sparkSession
-    stage = f"{target.rstrip('/')}/_staging-{uuid.uuid4().hex}"
-    for name, df in frames.items():
-        df.write.mode("overwrite").parquet(f"{stage}/{name}")
-    staged = {name: spark.read.parquet(f"{stage}/{name}") for name in frames}
-    report = contract_report(staged, min_fiscal_year)
+    missing = {n: sorted(set(c) - set(frames[n].columns)) if n in frames else ["(export)"] for n, c in EXPORT_COLUMNS.items()}
+    if any(missing.values()):
+        raise ValueError(f"export contract failed, nothing published; missing: { {n: m for n, m in missing.items() if m} }")
+    base, version = target.rstrip("/"), f"v-{uuid.uuid4().hex}"
+    for name in EXPORT_COLUMNS:  # in the order of the contract
+        frames[name].write.parquet(f"{base}/{version}/{name}")
+    report = contract_report({n: spark.read.parquet(f"{base}/{version}/{n}") for n in EXPORT_COLUMNS}, min_fiscal_year)
     if report.where(~F.col("ok")).limit(1).count():
         raise ValueError("export contract failed; nothing published")
     jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    fs = jvm.org.apache.hadoop.fs.Path(target).getFileSystem(conf)
-    for name in frames:
-        dst = jvm.org.apache.hadoop.fs.Path(f"{target.rstrip('/')}/{name}")
-        if fs.exists(dst):
-            fs.delete(dst, True)
-        fs.rename(jvm.org.apache.hadoop.fs.Path(f"{stage}/{name}"), dst)
-    fs.delete(jvm.org.apache.hadoop.fs.Path(stage), True)
-    published = {name: spark.read.parquet(f"{target.rstrip('/')}/{name}") for name in frames}
-    return contract_report(published, min_fiscal_year)
+    path = jvm.org.apache.hadoop.fs.Path
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(path(base).toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    fs = path(base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    new = path(f"{base}/{POINTER}-{version}")
+    out = fs.create(new, True)
+    out.write(bytearray(version.encode()))
+    out.close()
+    option = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    option[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(new, path(f"{base}/{POINTER}"), option)  # raises if it cannot
+    return report
+
+
+def read_exports(spark, target: str) -> dict[str, DataFrame]:
+    """The published set of exports; an empty dict if nothing was published yet."""
+    base = target.rstrip("/")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base}/{POINTER}")
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return {}
+    version = spark.read.text(f"{base}/{POINTER}").first()["value"]
+    return {name: spark.read.parquet(f"{base}/{version}/{name}") for name in EXPORT_COLUMNS}
 
 
 def publish_briefings(documents: DataFrame, complete: DataFrame, path: str) -> None:

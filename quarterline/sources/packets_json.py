@@ -42,6 +42,9 @@ RECORD_KEYS = {"sources": [f.name for f in SOURCE.fields], "reported_facts": [f.
                "segment_results": [f.name for f in SEGMENT.fields],
                "product_indicators": [f.name for f in FACT.fields] + ["qualifier"],
                "management_explanations": [f.name for f in EXPLANATION.fields]}
+REQUIRED = ["schema_version", "entity_id", "reporting_period.fiscal_year", "reporting_period.fiscal_period", "sources",
+            "reported_facts", "segment_results"]
+CORRUPT = "_corrupt_record"
 FILE_PERIOD = r"FY(\d{4})-(Q[1-4])"
 
 
@@ -58,12 +61,15 @@ def _unknown(keys: Column, allowed: list[str]) -> Column:
 def strict_parse(docs: DataFrame) -> DataFrame:
     """(file_name?, json) -> parsed packet + strictness verdicts per document.
 
-    Adds: ``malformed`` (not a JSON object), ``unknown_fields`` (sorted list of
+    Adds: ``malformed`` (not a complete JSON object of the schema: truncated,
+    another JSON type, a field of the wrong type or a required field missing;
+    its packet is NULL), ``unknown_fields`` (sorted list of
     fields outside the schema, top level and records) and ``period_matches``
     (the ``FYyyyy-Qn`` in the file name equals the packet period, when a file
     name is present).
     """
-    p = F.from_json("json", PACKET)
+    checked = T.StructType([*PACKET.fields, T.StructField(CORRUPT, T.StringType())])
+    raw = F.from_json("json", checked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     top = _unknown(F.json_object_keys("json"), TOP_KEYS)
     record_unknown = []
     for field, allowed in RECORD_KEYS.items():
@@ -74,17 +80,20 @@ def strict_parse(docs: DataFrame) -> DataFrame:
     unknown = F.array_sort(F.array_distinct(F.concat(top, *record_unknown)))
     cols = docs.columns
     fname = F.col("file_name") if "file_name" in cols else F.lit(None).cast("string")
-    out = docs.select(*cols, p.alias("packet"), unknown.alias("unknown_fields"))
+    complete = F.lit(True)
+    for name in REQUIRED:
+        complete = complete & F.col("_raw." + name).isNotNull()
+    broken = F.coalesce(~F.col("json").rlike(r"^\s*\{") | F.col("_raw").isNull() | F.col("_raw." + CORRUPT).isNotNull() | ~complete, F.lit(True))
+    packet = F.struct(*[F.col("_raw." + name).alias(name) for name in TOP_KEYS])
+    out = (docs.withColumn("_raw", raw).withColumn("malformed", broken)
+           .select(*cols, F.when(~F.col("malformed"), packet).alias("packet"), "malformed",
+                   F.when(~F.col("malformed"), unknown).otherwise(F.array().cast("array<string>")).alias("unknown_fields")))
     period = F.col("packet.reporting_period")
     file_fy = F.regexp_extract(fname, FILE_PERIOD, 1).try_cast("int")
     file_fp = F.regexp_extract(fname, FILE_PERIOD, 2)
-    return out.select(
-        "*",
-        (F.col("packet").isNull() | ~F.col("json").rlike(r"^\s*\{")).alias("malformed"),
-        F.when(fname.isNull(), F.lit(True)).otherwise(
-            F.coalesce((file_fy == period["fiscal_year"]) & (file_fp == period["fiscal_period"]), F.lit(False)))
-        .alias("period_matches"),
-    )
+    same = F.coalesce((file_fy == period["fiscal_year"]) & (file_fp == period["fiscal_period"]), F.lit(False))
+    return out.select(*cols, "packet", "unknown_fields", "malformed",
+                      (~F.col("malformed") & F.when(fname.isNull(), F.lit(True)).otherwise(same)).alias("period_matches"))
 
 
 def packets_to_json(p: dict[str, DataFrame], extra_field: Column | None = None) -> DataFrame:

@@ -121,12 +121,12 @@ def fx_long(spark: SparkSession, sf_dir: str, grain: str = "nation", wide: DataF
 def fx_segments(spark: SparkSession, sf_dir: str, grain: str = "nation") -> DataFrame:
     """Segment revenue per (entity_id, segment = p_brand, fiscal_year, q).
 
-    Lines are first summed per (part, supplier, fiscal_year, q) -- partial
-    aggregation combines a hot part's lines map side -- so the dimension
-    joins see pre-aggregated rows, not line items.
+    The pruned lines are joined to part (and supplier) and then summed once,
+    partially before the shuffle.  Summing lines per part and supplier first
+    would shuffle every line: almost no two lines share both.
     """
-    lines = _line_measures(read_table(spark, sf_dir, "lineitem")).groupBy(
-        "l_partkey", "l_suppkey", "fiscal_year", "q").agg(F.sum("m_revenue").alias("m_revenue"))
+    lines = _line_measures(read_table(spark, sf_dir, "lineitem")).select(
+        "l_partkey", "l_suppkey", "fiscal_year", "q", "m_revenue")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     joined = lines.join(part, lines.l_partkey == part.p_partkey)
     if grain == "nation":
@@ -493,17 +493,32 @@ ADVICE_PHRASES = {0: " We recommend you buy shares.", 1: " Our forecast is stron
 def fx_questions(conversations: DataFrame, periods: DataFrame) -> DataFrame:
     """User turns of ``conversations`` as questions about each entity's latest grounded quarter.
 
-    ``periods``: (entity_id, fiscal_year, fiscal_period) of grounded periods.
+    Every user turn asks its own text.  Generated sessions (negative ids) ask
+    the question bank at the same turns, so that every route occurs.
+    ``periods``: (entity_id, fiscal_year, fiscal_period) of grounded periods;
+    a question whose entity has none keeps NULL period columns.
     """
     bank = F.array(*[F.lit(q) for q in QUESTION_BANK])
     idx = ((F.col("conv_id") * 7 + F.col("turn")) % len(QUESTION_BANK) + 1).cast("int")
+    asked = F.array(F.struct(F.col("conv_id").alias("session_id"), F.col("text").alias("question")),
+                    F.struct((-F.col("conv_id") - 1).alias("session_id"), F.element_at(bank, idx).alias("question")))
     q = conversations.where(F.col("role") == "user").select(
+        F.col("turn").cast("int").alias("turn"), (F.col("conv_id") % SESSION_ENTITIES).cast("bigint").alias("entity_id"),
+        F.explode(asked).alias("a")).select("a.session_id", "turn", "a.question", "entity_id")
+    # one row per entity by partial aggregation; the many questions are not dealt out by entity
+    latest = periods.groupBy("entity_id").agg(
+        F.max(F.struct("fiscal_year", "fiscal_period")).alias("p")).select("entity_id", "p.fiscal_year", "p.fiscal_period")
+    return q.join(latest, "entity_id", "left")
+
+
+def fx_exchanges(conversations: DataFrame) -> DataFrame:
+    """Answered user turns: (session_id, turn, question, answer), the answer being the next turn's text."""
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    x = conversations.select("conv_id", "turn", "role", "text", F.lead("role").over(w).alias("next_role"),
+                             F.lead("text").over(w).alias("answer"))
+    return x.where((F.col("role") == "user") & (F.col("next_role") == "assistant")).select(
         F.col("conv_id").alias("session_id"), F.col("turn").cast("int").alias("turn"),
-        F.element_at(bank, idx).alias("question"),
-        (F.col("conv_id") % SESSION_ENTITIES).cast("bigint").alias("entity_id"))
-    w = Window.partitionBy("entity_id").orderBy(F.col("fiscal_year").desc(), F.col("fiscal_period").desc())
-    latest = periods.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
-    return q.join(latest, "entity_id")
+        F.col("text").alias("question"), "answer")
 
 
 def fx_advice_text(documents: DataFrame) -> DataFrame:

@@ -1,5 +1,7 @@
 """As-of grounding: calendar neighbours with gaps and no look-ahead for annual facts."""
 
+from pyspark.sql import functions as F
+
 from quarterline.operators import analytics as A
 from quarterline.operators import grounding as G
 
@@ -52,6 +54,28 @@ def test_prompt_context_json_is_deterministic(spark):
     assert list(d) == sorted(d)
     assert d["previous_quarter"] is None and d["annual_context"] is None  # nulls kept, not dropped
     assert list(d["current_period"]) == sorted(d["current_period"])
-    assert d["current_period"]["revenue"] == "2024001.00" and d["requested_period"] == "FY2024-Q1"
+    figures = {f["metric"]: f for f in d["current_period"]["figures"]}
+    assert figures["revenue"] == {"metric": "revenue", "source_id": "quarterly_analytics:FY2024-Q1", "unit": "usd", "value": "2024001"}
+    assert d["requested_period"] == {"fiscal_period": "Q1", "fiscal_year": 2024} == d["current_period"]["period"]
     later = json.loads(docs[(2025, "Q1")])
-    assert later["annual_context"]["period_id"] == "FY2024" and later["previous_quarter"]["period_id"] == "FY2024-Q4"
+    assert later["annual_context"]["source_id"] == "annual_financials:FY2024" and later["annual_context"]["fiscal_year"] == 2024
+    assert later["previous_quarter"]["source_id"] == "quarterly_analytics:FY2024-Q4"
+    assert [s["source_id"] for s in later["sources"]] == [
+        "quarterly_analytics:FY2025-Q1", "quarterly_analytics:FY2024-Q4", "quarterly_analytics:FY2024-Q1", "annual_financials:FY2024"]
+
+
+def test_figures_above_2_to_the_53_stay_exact(spark):
+    from quarterline.operators import claims as C
+
+    big = 9007199254740993
+    wide = spark.createDataFrame([(1, 2024, "Q1", 1, big, 5, 4, 3)], "entity_id bigint, fiscal_year int, fiscal_period string, q int, "
+                                 "revenue bigint, gross_profit bigint, operating_income bigint, net_income bigint")
+    qa = wide.select("*", *[F.lit(None).cast("double").alias(m) for m in G.PERCENT_METRICS])
+    annual = qa.withColumn("fiscal_year", F.lit(2020)).drop("fiscal_period", "q")
+    figures = G.grounded_figures(G.grounding_contexts(qa, annual.limit(0)))
+    claims = spark.createDataFrame([(1, 2024, "Q1", 0, i, "quarterly_analytics:FY2024-Q1", "revenue", "usd", str(v))
+                                    for i, v in enumerate((big,))], "entity_id bigint, fiscal_year int, fiscal_period string, "
+                                   "insight_pos int, claim_pos int, source_id string, metric string, unit string, value string")
+    for off, status in ((0, "match"), (-1, "mismatch"), (1, "mismatch")):
+        c = claims.withColumn("value", F.col("value").cast("decimal(38,6)") + off)
+        assert C.figure_claim_status(c, figures).first()["status"] == status

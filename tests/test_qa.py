@@ -42,3 +42,34 @@ def test_advice_words_are_whole_words(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = {r.t: r.f for r in df.select("t", Q.advice_flag(F.col("t")).alias("f")).collect()}
     assert got == texts
+
+
+def test_no_question_is_lost_and_real_text_is_routed(spark):
+    from quarterline.sources import testdata
+
+    turns = [(c, t, r, f"what is gross margin {c}" if r == "user" else f"answer {c}/{t}") for c in range(60)
+             for t, r in enumerate(("user", "assistant", "user"))]
+    conversations = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    periods = spark.createDataFrame([(e, 2001, "Q2") for e in range(10)], "entity_id long, fiscal_year int, fiscal_period string")
+    q = testdata.fx_questions(conversations, periods)
+    assert q.count() == 2 * 120 and q.where("session_id >= 0 and question not like 'what is gross margin%'").count() == 0
+    empty = {n: spark.createDataFrame([], s) for n, s in {
+        "summary": "entity_id long, fiscal_year int, fiscal_period string, headline string, first_point string, all_points string, profitability_point string",
+        "ranking": "entity_id long, fiscal_year int, fiscal_period string, direction string, rank int, segment string",
+        "valid": "entity_id long, fiscal_year int, fiscal_period string"}.items()}
+    a = Q.answer(q, empty["summary"], empty["ranking"], empty["valid"])
+    assert a.count() == 240
+    assert a.where("fiscal_year is null and mode <> 'insufficient_context'").count() == 0
+    assert {r.route for r in a.where("session_id >= 0 and fiscal_year is not null").select("route").collect()} == {"glossary"}
+
+
+def test_history_holds_answered_exchanges(spark):
+    from quarterline.sources import testdata
+
+    turns = [(1, t, "user" if t % 2 == 0 else "assistant", f"t{t}") for t in range(12)] + [(2, 0, "user", "alone"), (2, 1, "user", "again")]
+    conversations = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    asked = conversations.where("role = 'user'").select(F.col("conv_id").alias("session_id"), F.col("turn").cast("int").alias("turn"))
+    h = {(r.session_id, r.turn): [(x.question, x.answer) for x in r.history]
+         for r in Q.history(asked, testdata.fx_exchanges(conversations)).collect()}
+    assert h[(1, 0)] == [] and h[(1, 4)] == [("t0", "t1"), ("t2", "t3")]
+    assert h[(1, 10)] == [("t4", "t5"), ("t6", "t7"), ("t8", "t9")] and h[(2, 1)] == []

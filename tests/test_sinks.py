@@ -35,15 +35,17 @@ def test_publish_all_or_none(spark, tmp_path):
     target = str(tmp_path / "exports")
     report = exports.publish_exports(_frames(spark), target, 1998)
     assert report.where(~F.col("ok")).count() == 0
-    assert spark.read.parquet(f"{target}/latest_quarter").count() == \
-        spark.read.parquet(f"{target}/latest_quarter").select("entity_id").distinct().count()
+    latest = exports.read_exports(spark, target)["latest_quarter"]
+    assert latest.count() == latest.select("entity_id").distinct().count()
     bad = _frames(spark)
     bad["latest_quarter"] = bad["quarterly_analytics"]  # many rows per entity: contract fails
-    target2 = str(tmp_path / "exports2")
     with pytest.raises(ValueError):
-        exports.publish_exports(bad, target2, 1998)
-    import os
-    assert not any(n in os.listdir(target2) for n in exports.EXPORT_COLUMNS)
+        exports.publish_exports(bad, target, 1998)
+    assert exports.read_exports(spark, target)["latest_quarter"].count() == latest.count()  # the old set stays
+    for frames in (bad, {n: f.drop("fiscal_year") for n, f in _frames(spark).items()}):
+        with pytest.raises(ValueError):
+            exports.publish_exports(frames, str(tmp_path / "exports2"), 1998)
+    assert exports.read_exports(spark, str(tmp_path / "exports2")) == {}
 
 
 def test_publish_only_complete_briefings(spark, tmp_path):
