@@ -105,10 +105,14 @@ def _obs_struct() -> Column:
 
 
 def _pick(condition: Column, by_date: bool) -> Column:
-    """max_by over the rows meeting ``condition``; later filed wins, first seen on ties."""
+    """max_by over the rows meeting ``condition``; later filed wins, first seen on ties.
+
+    Positions restart in every document, so rows of two documents may still
+    tie; the accession number then decides.
+    """
     filed = F.coalesce(F.col("filed_d"), F.lit("0001-01-01").cast("date")) if by_date \
         else F.coalesce(F.col("filed"), F.lit(""))
-    order = F.struct(filed.alias("f"), (-F.col("pos")).alias("p"))
+    order = F.struct(filed.alias("f"), (-F.col("pos")).alias("p"), F.coalesce(F.col("accn"), F.lit("")).alias("a"))
     return F.max_by(F.when(condition, _obs_struct()), F.when(condition, order))
 
 

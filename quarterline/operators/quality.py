@@ -7,6 +7,8 @@ typed; values are coerced with ``try_cast`` so bad text never raises.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -122,20 +124,35 @@ def load_constraints(facts: DataFrame) -> DataFrame:
 
 
 def load_table(facts: DataFrame, path: str) -> DataFrame:
-    """A6 sink: refuse the load unless every entity passes, then full refresh.
+    """A6 sink: full refresh, refused unless every entity passes.
 
-    Written as Parquet partitioned by fiscal year; ``overwrite`` replaces the
-    previous load as a whole (DELETE + INSERT of the reference).
+    The facts are written once beside the target, the written files are
+    checked, and only then take the target's place; a failure at any step
+    leaves the previous load in use.  Parquet, partitioned by fiscal year.
     """
-    report = load_constraints(facts)
-    bad = report.where(~F.col("loadable")).limit(1).count()
-    if bad:
+    spark = facts.sparkSession
+    base, tag = path.rstrip("/"), uuid.uuid4().hex
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    target, staged, old = hadoop(base), hadoop(f"{base}.staged-{tag}"), hadoop(f"{base}.old-{tag}")
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    facts.write.partitionBy("fiscal_year").parquet(staged.toString())
+    report = load_constraints(spark.read.schema(facts.schema).parquet(staged.toString()))
+    if report.where(~F.col("loadable")).limit(1).count():
+        fs.delete(staged, True)
         raise ValueError("load refused: NOT NULL or UNIQUE constraint violated")
-    facts.write.mode("overwrite").partitionBy("fiscal_year").parquet(path)
-    return report
-
-
-def save_bucketed(facts: DataFrame, table: str, buckets: int = 64) -> DataFrame:
+    had = fs.exists(target)
+    if had and not fs.rename(target, old):
+        raise OSError(f"cannot set the previous load of {base} aside")
+    if not fs.rename(staged, target):
+        if had:
+            fs.rename(old, target)
+        raise OSError(f"cannot move the new load to {base}")
+    if had:
+        fs.delete(old, True)
+    return load_constraints(spark.read.schema(facts.schema).parquet(base))
+
+
+def save_bucketed(facts: DataFrame, table: str, buckets: int) -> DataFrame:
     """A6 (table form): constraint-gated full refresh into a catalog table bucketed
     and sorted by ``entity_id``.
 

@@ -190,20 +190,23 @@ FROM fx_wide c JOIN fx_wide p ON c.entity_id = p.entity_id AND p.fiscal_year + 1
 _cte("pk_sources", ["pk_head"], """
 SELECT entity_id, fiscal_year, fiscal_period,
   'e' || CAST(entity_id AS VARCHAR) || '-fy' || CAST(fiscal_year AS VARCHAR) || '-' || fiscal_period || '-'
-      || t.source_type AS source_id,
+      || CASE WHEN entity_id % 23 = 16 AND t.source_type = 'metrics' THEN 'press_release' ELSE t.source_type END AS source_id,
   CAST(CASE WHEN t.source_type = 'metrics' AND entity_id % 19 = 6 THEN fiscal_year - 1 ELSE fiscal_year END
        AS INTEGER) AS source_fiscal_year,
-  fiscal_period AS source_fiscal_period, t.source_type,
+  fiscal_period AS source_fiscal_period,
+  CASE WHEN entity_id % 23 = 14 AND t.source_type = 'earnings_call' THEN 'blog' ELSE t.source_type END AS source_type,
   'Entity ' || CAST(entity_id AS VARCHAR) || ' FY' || CAST(fiscal_year AS VARCHAR) || ' ' || fiscal_period || ' '
       || t.source_type AS title,
-  'https://investor.example.com/e' || CAST(entity_id AS VARCHAR) || '/fy' || CAST(fiscal_year AS VARCHAR) || '-'
+  CASE WHEN entity_id % 23 = 13 AND t.source_type = 'metrics' THEN 'http://elsewhere.example.org/'
+       ELSE 'https://investor.example.com/' END || 'e' || CAST(entity_id AS VARCHAR) || '/fy' || CAST(fiscal_year AS VARCHAR) || '-'
       || lower(fiscal_period) || '/' || t.source_type AS url
 FROM pk_head, (VALUES ('press_release'), ('metrics'), ('earnings_call')) t(source_type)
 """)
 
 _cte("pk_facts", ["pk_head"], f"""
 SELECT entity_id, fiscal_year, fiscal_period, kind, pos, metric, label, value, unit,
-       'reported' AS classification, source_ids FROM (
+       CASE WHEN entity_id % 23 = 9 AND kind = 'product_indicator' THEN 'derived' ELSE 'reported' END AS classification,
+       source_ids FROM (
   SELECT entity_id, fiscal_year, fiscal_period, 'reported_fact' AS kind, 0 AS pos, 'revenue' AS metric,
          'Revenue' AS label,
          CAST(revenue + CASE WHEN entity_id % 7 = 3 THEN 1 ELSE 0 END AS DECIMAL(38,6)) AS value, 'usd' AS unit,
@@ -211,17 +214,19 @@ SELECT entity_id, fiscal_year, fiscal_period, kind, pos, metric, label, value, u
               ELSE [{_sid('press_release')}] END AS source_ids
   FROM pk_head
   UNION ALL SELECT entity_id, fiscal_year, fiscal_period, 'reported_fact', 1, 'prior_year_quarter_revenue',
-         'Prior-year-quarter revenue', CAST(prior_revenue AS DECIMAL(38,6)), 'usd', [{_sid('press_release')}]
+         'Prior-year-quarter revenue', CAST(prior_revenue + CASE WHEN entity_id % 23 = 19 THEN 1 ELSE 0 END AS DECIMAL(38,6)), 'usd',
+         [{_sid('press_release')}]
   FROM pk_head
   UNION ALL SELECT entity_id, fiscal_year, fiscal_period, 'reported_fact', 2, 'revenue_increase', 'Revenue increase',
-         CAST(revenue - prior_revenue AS DECIMAL(38,6)), 'usd', [{_sid('press_release')}]
-  FROM pk_head
+         CAST(revenue - prior_revenue + CASE WHEN entity_id % 23 = 20 THEN 1 ELSE 0 END AS DECIMAL(38,6)), 'usd',
+         [{_sid('press_release')}]
+  FROM pk_head WHERE entity_id % 23 <> 18
   UNION ALL SELECT entity_id, fiscal_year, fiscal_period, 'product_indicator', 0, 'revenue_growth_pct',
          'Revenue growth', CAST({pct('revenue - prior_revenue', 'prior_revenue')} AS DECIMAL(38,6)), 'percent',
-         [{_sid('metrics')}]
+         CASE WHEN entity_id % 23 = 10 THEN [{_sid('metrics')}, {_sid('metrics')}] ELSE [{_sid('metrics')}] END
   FROM pk_head WHERE prior_revenue <> 0
   UNION ALL SELECT entity_id, fiscal_year, fiscal_period, 'product_indicator', 1, 'revenue', 'Revenue (indicator)',
-         CAST(revenue + 1000 AS DECIMAL(38,6)), 'usd', [{_sid('metrics')}]
+         CAST(revenue + 1000 + CASE WHEN entity_id % 26 = 17 THEN 0.5 ELSE 0 END AS DECIMAL(38,6)), 'usd', [{_sid('metrics')}]
   FROM pk_head WHERE entity_id % 13 = 4
 ) f
 """)
@@ -232,9 +237,10 @@ SELECT entity_id, fiscal_year, 'Q' || CAST(q AS VARCHAR) AS fiscal_period, segme
   CAST(CASE WHEN coalesce(pri, 0) = 0 THEN 0
        ELSE {half_up_div('100 * (coalesce(cur, 0) - coalesce(pri, 0))', 'coalesce(pri, 0)', 0)} END
        AS DECIMAL(38,6)) AS reported_growth_pct,
-  'reported' AS classification,
-  ['e' || CAST(entity_id AS VARCHAR) || '-fy' || CAST(fiscal_year AS VARCHAR) || '-Q' || CAST(q AS VARCHAR)
-   || '-press_release'] AS source_ids
+  CASE WHEN entity_id % 23 = 11 THEN 'derived' ELSE 'reported' END AS classification,
+  list_resize(['e' || CAST(entity_id AS VARCHAR) || '-fy' || CAST(fiscal_year AS VARCHAR) || '-Q' || CAST(q AS VARCHAR)
+   || '-press_release'], CASE WHEN entity_id % 23 = 12 THEN 2 ELSE 1 END, 'e' || CAST(entity_id AS VARCHAR) || '-fy'
+   || CAST(fiscal_year AS VARCHAR) || '-Q' || CAST(q AS VARCHAR) || '-press_release') AS source_ids
 FROM (SELECT entity_id, segment, fiscal_year, q, revenue AS cur FROM fx_segments) c
 FULL OUTER JOIN (SELECT entity_id, segment, fiscal_year + 1 AS fiscal_year, q, revenue AS pri FROM fx_segments) p
   USING (entity_id, segment, fiscal_year, q)
@@ -242,7 +248,8 @@ WHERE (entity_id, fiscal_year, q) IN (SELECT (entity_id, fiscal_year, q) FROM pk
 """)
 
 _cte("pk_explanations", ["pk_head"], f"""
-SELECT entity_id, fiscal_year, fiscal_period, x.explanation_id, x.statement, 'Entity management' AS attribution,
+SELECT entity_id, fiscal_year, fiscal_period, x.explanation_id, x.statement,
+       CASE WHEN entity_id % 23 = 15 AND x.explanation_id = 'pricing' THEN 'Someone else' ELSE 'Entity management' END AS attribution,
        'management_explanation' AS classification, [{_sid('earnings_call')}] AS source_ids
 FROM pk_head, (VALUES ('demand', 'Management said customer demand supported the quarter.'),
                       ('pricing', 'Management said pricing changes affected revenue.')) x(explanation_id, statement)

@@ -137,7 +137,16 @@ def q_grounded_figures(spark, sf_dir):
     return g.withColumn("value", F.col("value").cast("string"))
 
 
-@register("grounded_figure_rules", sql=_sql("""
+# the grounded figures with one rule broken by key (unit, whole dollars, source, repeated metric)
+_BROKEN = """SELECT g.* REPLACE (
+    CASE WHEN k = 3 AND metric = 'net_income' THEN 'other:' || period_id ELSE source_id END AS source_id,
+    CASE WHEN k = 1 AND metric = 'net_income' THEN 'percent' ELSE unit END AS unit,
+    CASE WHEN k = 2 AND metric = 'revenue' THEN value + 0.5 ELSE value END AS value)
+  FROM (SELECT *, (entity_id * 3 + fiscal_year) % 7 AS k FROM gf) g
+  JOIN (VALUES (0), (1)) c(copy) ON copy = 0 OR (k = 4 AND metric = 'revenue')"""
+
+
+@register("grounded_figure_rules", sql=_sql(f"""
 SELECT entity_id, fiscal_year, fiscal_period, role, count(*) AS figures, count(DISTINCT metric) AS distinct_metrics,
   count(DISTINCT source_id) AS sources,
   CAST(sum(CASE WHEN unit <> CASE WHEN metric IN ('revenue_qoq_growth_pct', 'revenue_yoy_growth_pct',
@@ -152,10 +161,19 @@ SELECT entity_id, fiscal_year, fiscal_period, role, count(*) AS figures, count(D
     + sum(CASE WHEN source_id <> CASE WHEN role = 'annual' THEN 'annual_financials' ELSE 'quarterly_analytics' END
       || ':' || period_id THEN 1 ELSE 0 END)
     + count(*) - count(DISTINCT metric) + count(DISTINCT source_id) - 1 AS BIGINT) AS violations
-FROM gf GROUP BY entity_id, fiscal_year, fiscal_period, role"""))
+FROM ({_BROKEN}) gf GROUP BY entity_id, fiscal_year, fiscal_period, role"""))
 def q_grounded_figure_rules(spark, sf_dir):
     """Grounded-figure invariants per period and role."""
-    return G.figure_rules(G.grounded_figures(contexts(Fixtures(spark, sf_dir))))
+    f = G.grounded_figures(contexts(Fixtures(spark, sf_dir)))
+    rule = (F.col("entity_id") * 3 + F.col("fiscal_year")) % 7
+    income, revenue = F.col("metric") == "net_income", F.col("metric") == "revenue"
+    f = f.select(
+        "entity_id", "fiscal_year", "fiscal_period", "role", "period_id",
+        F.when((rule == 3) & income, F.concat(F.lit("other:"), F.col("period_id"))).otherwise(F.col("source_id")).alias("source_id"),
+        "metric", F.when((rule == 1) & income, "percent").otherwise(F.col("unit")).alias("unit"),
+        F.when((rule == 2) & revenue, F.col("value") + F.lit("0.5").cast("decimal(38,6)")).otherwise(F.col("value")).alias("value"),
+        F.explode(F.when((rule == 4) & revenue, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"))
+    return G.figure_rules(f.drop("copy"))
 
 
 def _json_figures(metrics: list[str], prefix: str, sid: str) -> str:

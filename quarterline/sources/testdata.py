@@ -259,6 +259,11 @@ UNKNOWN_SOURCE_MOD, UNKNOWN_SOURCE_REM = 11, 5  # revenue fact cites an unapprov
 OVERRIDE_MOD, OVERRIDE_REM = 13, 4  # product indicator 'revenue' overrides the reported fact
 DERIVED_MOD, DERIVED_REM = 17, 2  # a stored derived metric (not allowed)
 STALE_SOURCE_MOD, STALE_SOURCE_REM = 19, 6  # metrics source dated one year earlier
+# one rule broken per entity, by entity_id % 23
+RULE_MOD = 23
+BAD_FACT_CLASS, DUP_FACT_SOURCE, BAD_SEG_CLASS, DUP_SEG_SOURCE, BAD_URL, BAD_SOURCE_TYPE, BAD_ATTRIBUTION = 9, 10, 11, 12, 13, 14, 15
+DUP_SOURCE, MISSING_FACT, PRIOR_OFF, CHANGE_OFF = 16, 18, 19, 20
+HALF_DOLLAR_MOD, HALF_DOLLAR_REM = 26, 17  # the overriding indicator is not a whole dollar
 SOURCE_TYPES = ["press_release", "metrics", "earnings_call"]
 URL_PREFIX = "https://investor.example.com/"
 ATTRIBUTION = "Entity management"
@@ -286,18 +291,21 @@ def fx_packets(wide: DataFrame, segments: DataFrame) -> dict[str, DataFrame]:
     )
     keys = ["entity_id", "fiscal_year", "fiscal_period"]
     ent = F.col("entity_id")
+    broken = lambda rule: ent % RULE_MOD == rule
     stype = F.explode(F.array(*[F.lit(t) for t in SOURCE_TYPES])).alias("source_type")
     sources = head.select(*keys, stype).select(
         *keys,
         F.concat(F.lit("e"), ent.cast("string"), F.lit("-fy"), F.col("fiscal_year").cast("string"), F.lit("-"),
-                 F.col("fiscal_period"), F.lit("-"), F.col("source_type")).alias("source_id"),
+                 F.col("fiscal_period"), F.lit("-"), F.when(broken(DUP_SOURCE) & (F.col("source_type") == "metrics"), "press_release")
+                 .otherwise(F.col("source_type"))).alias("source_id"),
         F.when((F.col("source_type") == "metrics") & (ent % STALE_SOURCE_MOD == STALE_SOURCE_REM),
                F.col("fiscal_year") - 1).otherwise(F.col("fiscal_year")).cast("int").alias("source_fiscal_year"),
         F.col("fiscal_period").alias("source_fiscal_period"),
-        "source_type",
+        F.when(broken(BAD_SOURCE_TYPE) & (F.col("source_type") == "earnings_call"), "blog").otherwise(F.col("source_type"))
+        .alias("source_type"),
         F.concat_ws(" ", F.lit("Entity"), ent.cast("string"), F.concat(F.lit("FY"), F.col("fiscal_year").cast("string")),
                     F.col("fiscal_period"), F.col("source_type")).alias("title"),
-        F.concat(F.lit(URL_PREFIX), F.lit("e"), ent.cast("string"), F.lit("/fy"), F.col("fiscal_year").cast("string"),
+        F.concat(F.when(broken(BAD_URL) & (F.col("source_type") == "metrics"), "http://elsewhere.example.org/").otherwise(F.lit(URL_PREFIX)), F.lit("e"), ent.cast("string"), F.lit("/fy"), F.col("fiscal_year").cast("string"),
                  F.lit("-"), F.lower(F.col("fiscal_period")), F.lit("/"), F.col("source_type")).alias("url"),
     )
     press = _sid("press_release")
@@ -316,16 +324,19 @@ def fx_packets(wide: DataFrame, segments: DataFrame) -> dict[str, DataFrame]:
              F.col("revenue") + F.when(ent % BROKEN_TOTAL_MOD == BROKEN_TOTAL_REM, 1).otherwise(0), "usd",
              revenue_sources),
         fact("reported_fact", 1, "prior_year_quarter_revenue", "Prior-year-quarter revenue",
-             F.col("prior_revenue"), "usd", F.array(press)),
-        fact("reported_fact", 2, "revenue_increase", "Revenue increase", increase, "usd", F.array(press)),
-        fact("product_indicator", 0, "revenue_growth_pct", "Revenue growth", growth, "percent", F.array(metrics),
-             growth.isNotNull()),
-        fact("product_indicator", 1, "revenue", "Revenue (indicator)", F.col("revenue") + 1000, "usd",
+             F.col("prior_revenue") + F.when(broken(PRIOR_OFF), 1).otherwise(0), "usd", F.array(press)),
+        fact("reported_fact", 2, "revenue_increase", "Revenue increase", increase + F.when(broken(CHANGE_OFF), 1).otherwise(0),
+             "usd", F.array(press), ~broken(MISSING_FACT)),
+        fact("product_indicator", 0, "revenue_growth_pct", "Revenue growth", growth, "percent",
+             F.when(broken(DUP_FACT_SOURCE), F.array(metrics, metrics)).otherwise(F.array(metrics)), growth.isNotNull()),
+        fact("product_indicator", 1, "revenue", "Revenue (indicator)", F.col("revenue") + 1000
+             + F.when(ent % HALF_DOLLAR_MOD == HALF_DOLLAR_REM, F.lit("0.5").cast("decimal(38,6)")).otherwise(0), "usd",
              F.array(metrics), ent % OVERRIDE_MOD == OVERRIDE_REM),
     )
     facts = head.select(*keys, F.explode(rows).alias("f")).where(F.col("f.keep")).select(
         *keys, "f.kind", "f.pos", "f.metric", "f.label", "f.value", "f.unit",
-        F.lit("reported").alias("classification"), "f.source_ids")
+        F.when(broken(BAD_FACT_CLASS) & (F.col("f.kind") == "product_indicator"), "derived").otherwise("reported")
+        .alias("classification"), "f.source_ids")
     seg_cur = segments.select("entity_id", "segment", "fiscal_year", "q", F.col("revenue").alias("cur"))
     seg_pri = segments.select("entity_id", "segment", (F.col("fiscal_year") + 1).alias("fiscal_year"), "q",
                               F.col("revenue").alias("pri"))
@@ -338,8 +349,9 @@ def fx_packets(wide: DataFrame, segments: DataFrame) -> dict[str, DataFrame]:
     segs = seg.select(
         "entity_id", "fiscal_year", F.concat(F.lit("Q"), F.col("q").cast("string")).alias("fiscal_period"),
         "segment", cur_v.alias("current_revenue"), pri_v.alias("prior_year_revenue"),
-        seg_growth.cast("decimal(38,6)").alias("reported_growth_pct"), F.lit("reported").alias("classification"),
-    ).withColumn("source_ids", F.array(press))
+        seg_growth.cast("decimal(38,6)").alias("reported_growth_pct"),
+        F.when(broken(BAD_SEG_CLASS), "derived").otherwise("reported").alias("classification"),
+    ).withColumn("source_ids", F.when(broken(DUP_SEG_SOURCE), F.array(press, press)).otherwise(F.array(press)))
     expl = F.array(
         F.struct(F.lit("demand").alias("explanation_id"),
                  F.lit("Management said customer demand supported the quarter.").alias("statement")),
@@ -347,7 +359,9 @@ def fx_packets(wide: DataFrame, segments: DataFrame) -> dict[str, DataFrame]:
                  F.lit("Management said pricing changes affected revenue.").alias("statement")),
     )
     explanations = head.select(*keys, F.explode(expl).alias("x")).select(
-        *keys, "x.explanation_id", "x.statement", F.lit(ATTRIBUTION).alias("attribution"),
+        *keys, "x.explanation_id", "x.statement",
+        F.when(broken(BAD_ATTRIBUTION) & (F.col("x.explanation_id") == "pricing"), "Someone else").otherwise(F.lit(ATTRIBUTION))
+        .alias("attribution"),
         F.lit("management_explanation").alias("classification"),
         F.array(_sid("earnings_call")).alias("source_ids"))
     return {"head": head, "sources": sources, "facts": facts, "segments": segs, "explanations": explanations}

@@ -14,7 +14,12 @@ that depends on it) is kept current as filing documents arrive:
 2. finds the entity buckets the batch touched and recomputes the facts of
    those buckets only, from the store (partition-pruned read), with the
    same operators as the batch job (one shuffle, map-side combine);
-3. replaces exactly those facts partitions (dynamic overwrite).
+3. replaces exactly those facts partitions (dynamic overwrite), and removes
+   the partition of a touched bucket that has no facts any more.
+
+The number of buckets is the caller's choice and fixed for a store: a bucket
+is what a batch reads and rewrites, so take the store's size over a few
+hundred MB, and at least the executors' cores.
 
 The array position used for "first seen wins" is made global as
 ``batch_id * 1e9 + position``, so an earlier batch beats a later one on ties.
@@ -28,10 +33,9 @@ from pyspark.sql import functions as F
 from quarterline.operators.observations import facts_from_observations
 from quarterline.sources.facts_json import explode_documents
 
-BUCKETS = 64
 
 
-def entity_bucket(entity: str = "entity_id", buckets: int = BUCKETS):
+def entity_bucket(buckets: int, entity: str = "entity_id"):
     return F.pmod(F.xxhash64(F.col(entity)), F.lit(buckets)).cast("int")
 
 
@@ -45,26 +49,31 @@ def _dynamic_overwrite(df: DataFrame, path: str, *partition_cols: str) -> None:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
 
 
-def make_upsert(store_path: str, facts_path: str, buckets: int = BUCKETS):
+def make_upsert(store_path: str, facts_path: str, buckets: int):
     def upsert(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         obs = explode_documents(batch.select(F.col("value").alias("json")))
         obs = obs.select("*", (F.lit(batch_id).cast("bigint") * 1_000_000_000 + F.col("pos")).alias("gpos"),
-                         entity_bucket(buckets=buckets).alias("entity_bucket"),
+                         entity_bucket(buckets).alias("entity_bucket"),
                          F.lit(batch_id).cast("bigint").alias("batch_id"))
         _dynamic_overwrite(obs, store_path, "entity_bucket", "batch_id")
-        touched = spark.read.parquet(store_path).where(F.col("batch_id") == batch_id) \
-            .select("entity_bucket").distinct()
-        all_obs = spark.read.parquet(store_path).join(F.broadcast(touched), "entity_bucket", "left_semi")
+        touched = [r[0] for r in spark.read.parquet(store_path).where(F.col("batch_id") == batch_id)
+                   .select("entity_bucket").distinct().collect()]  # at most ``buckets`` numbers
+        all_obs = spark.read.parquet(store_path).where(F.col("entity_bucket").isin(touched))
         facts = facts_from_observations(all_obs, position="gpos")
-        _dynamic_overwrite(facts.withColumn("entity_bucket", entity_bucket(buckets=buckets)), facts_path,
+        _dynamic_overwrite(facts.withColumn("entity_bucket", entity_bucket(buckets)), facts_path,
                            "entity_bucket")
+        left = {r[0] for r in facts.select(entity_bucket(buckets)).distinct().collect()}
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for bucket in set(touched) - left:
+            gone = hadoop(f"{facts_path.rstrip('/')}/entity_bucket={bucket}")
+            gone.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(gone, True)
 
     return upsert
 
 
 def start(spark: SparkSession, documents_dir: str, store_path: str, facts_path: str, checkpoint: str,
-          available_now: bool = True, max_files_per_trigger: int | None = None, buckets: int = BUCKETS):
+          buckets: int, available_now: bool = True, max_files_per_trigger: int | None = None):
     """Start the stream (JSON-lines documents under ``documents_dir``) and return the query."""
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
