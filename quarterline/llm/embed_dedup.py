@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from quarterline.llm import common
 
 SAMPLE = 20_000  # vectors the codebooks and the stop are learned from
-PER_CELL = 16  # vectors a cell should hold on average
+PER_CELL = 256  # vectors a cell should hold on average; fewer cells to ask cost more comparisons, which are cheap
 MAX_CODES = 1024
 BLOCK = 2_048  # members of a cell compared at once
 
