@@ -38,6 +38,7 @@ SEED_LEXICON = ("idiot", "moron", "stupid", "scum", "loser", "pathetic", "worthl
 TRAIN_ROWS = 20_000
 VOTERS = 400
 FEATURES = 8_000
+SURE = 3.0  # standard deviations a feature's share of toxic rows must hold up to
 STARTS = (4, 5, 6)  # lengths of the word beginnings that serve as patterns
 
 _WORD = re.compile(r"\w+")
@@ -119,8 +120,10 @@ def _mine(sample: DataFrame) -> tuple[pd.DataFrame, int, int]:
     rows, toxic = (head["n"], head["bad"]) if head else (0, 0)
     if not toxic or toxic == rows:
         return pd.DataFrame({"f": ["w:" + w for w in SEED_LEXICON], "n": 0, "bad": 0, "odds": 0.0}), rows, toxic
-    odds = F.log((F.col("bad") + 0.5) / (toxic + 1.0)) - F.log((F.col("n") - F.col("bad") + 0.5) / (rows - toxic + 1.0))
-    best = (table.filter("f <> 'n:'").withColumn("odds", odds).filter(F.col("odds") > 1.0)
+    # lower end of Wilson's interval for the share of toxic rows among those with the feature
+    n, share, z2 = F.col("n"), F.col("bad") / F.col("n"), SURE ** 2
+    low = (share + z2 / (2 * n) - SURE * F.sqrt(share * (1 - share) / n + z2 / (4 * n * n))) / (1 + z2 / n)
+    best = (table.filter("f <> 'n:'").withColumn("odds", low).filter(F.col("odds") >= max(0.35, min(0.9, 2 * toxic / rows)))
             .orderBy(F.desc(F.col("odds") * F.log1p("bad")), "f").limit(FEATURES))  # a bounded top list
     return best.toPandas(), rows, toxic
 
@@ -154,7 +157,11 @@ def label_model(votes: np.ndarray, labels: np.ndarray, rounds: int = 15, trust:
 
 
 def _regression(rows: list[np.ndarray], target: np.ndarray, m: int, steps: int = 300, l2: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Logistic regression on binary features, full-batch Adam."""
+    """Logistic regression on binary features, full-batch Adam.
+
+    Every feature was chosen as a sign of toxicity, so weights stay at or
+    above zero: a long text cannot outweigh one sign by many others.
+    """
     sizes = np.array([len(r) for r in rows])
     at = np.concatenate(rows).astype(np.int64) if sizes.sum() else np.zeros(0, np.int64)
     row = np.repeat(np.arange(len(rows)), sizes)
@@ -167,6 +174,7 @@ def _regression(rows: list[np.ndarray], target: np.ndarray, m: int, steps: int =
         grad[:m] += l2 * p[:m] / max(1, m)
         mean, square = 0.9 * mean + 0.1 * grad, 0.999 * square + 0.001 * grad ** 2
         p -= 0.05 * (mean / (1 - 0.9 ** t)) / (np.sqrt(square / (1 - 0.999 ** t)) + 1e-9)
+        p[:m] = np.maximum(p[:m], 0)
     return p[:m], float(p[m])
 
 
