@@ -38,8 +38,8 @@ SEED_LEXICON = ("idiot", "moron", "stupid", "scum", "loser", "pathetic", "worthl
 TRAIN_ROWS = 20_000
 VOTERS = 400
 FEATURES = 8_000
-SURE = 3.0  # standard deviations a feature's share of toxic rows must hold up to
-STARTS = (4, 5, 6)  # lengths of the word beginnings that serve as patterns
+SURE, LEAST = 3.0, 0.35  # a feature's share of toxic rows, less so many standard deviations, must reach this
+STARTS = (4, 5, 6, 7, 8)  # lengths of the word beginnings that serve as patterns
 
 _WORD = re.compile(r"\w+")
 _SPACED = re.compile(r"\b(?:\w[ .\-_*]){3,}\w\b")
@@ -123,7 +123,7 @@ def _mine(sample: DataFrame) -> tuple[pd.DataFrame, int, int]:
     # lower end of Wilson's interval for the share of toxic rows among those with the feature
     n, share, z2 = F.col("n"), F.col("bad") / F.col("n"), SURE ** 2
     low = (share + z2 / (2 * n) - SURE * F.sqrt(share * (1 - share) / n + z2 / (4 * n * n))) / (1 + z2 / n)
-    best = (table.filter("f <> 'n:'").withColumn("odds", low).filter(F.col("odds") >= max(0.35, min(0.9, 2 * toxic / rows)))
+    best = (table.filter("f <> 'n:'").withColumn("odds", low).filter(F.col("odds") >= max(LEAST, min(0.9, 2 * toxic / rows)))
             .orderBy(F.desc(F.col("odds") * F.log1p("bad")), "f").limit(FEATURES))  # a bounded top list
     return best.toPandas(), rows, toxic
 
@@ -156,7 +156,7 @@ def label_model(votes: np.ndarray, labels: np.ndarray, rounds: int = 15, trust:
     return q
 
 
-def _regression(rows: list[np.ndarray], target: np.ndarray, m: int, steps: int = 300, l2: float = 1e-4) -> tuple[np.ndarray, float]:
+def _regression(rows: list[np.ndarray], target: np.ndarray, m: int, steps: int = 1000, l2: float = 1e-4) -> tuple[np.ndarray, float]:
     """Logistic regression on binary features, full-batch Adam.
 
     Every feature was chosen as a sign of toxicity, so weights stay at or
@@ -173,11 +173,24 @@ def _regression(rows: list[np.ndarray], target: np.ndarray, m: int, steps: int =
         grad = np.append(np.bincount(at, err[row], minlength=m), err.sum())
         grad[:m] += l2 * p[:m] / max(1, m)
         mean, square = 0.9 * mean + 0.1 * grad, 0.999 * square + 0.001 * grad ** 2
-        p -= 0.05 * (mean / (1 - 0.9 ** t)) / (np.sqrt(square / (1 - 0.999 ** t)) + 1e-9)
+        p -= 0.1 * (1 - t / (steps + 1)) * (mean / (1 - 0.9 ** t)) / (np.sqrt(square / (1 - 0.999 ** t)) + 1e-9)
         p[:m] = np.maximum(p[:m], 0)
     return p[:m], float(p[m])
 
 
+def _thinned(rows: list[np.ndarray], target: np.ndarray, copies: int = 4, keep: float = 0.35) -> tuple[list[np.ndarray], np.ndarray]:
+    """The rows and copies of them with some features left out, so that one sign alone has to carry a text."""
+    rng = np.random.default_rng(0)
+    out, posterior = list(rows), list(target)
+    for r, q in zip(rows, target):
+        for _ in range(copies if len(r) > 1 else 0):
+            some = r[rng.random(len(r)) < keep]
+            if len(some):
+                out.append(some)
+                posterior.append(q)
+    return out, np.array(posterior)
+
+
 def fit(docs: DataFrame, labels: DataFrame, use: Column, train_rows: int = TRAIN_ROWS) -> Model:
     """The scoring model, learned from labelled rows for which ``use`` holds."""
     sample = labelled_sample(docs, labels, use, train_rows)
@@ -207,7 +220,7 @@ def fit(docs: DataFrame, labels: DataFrame, use: Column, train_rows: int = TRAIN
     for i, r in enumerate(rows):
         c = column[r]
         votes[i, c[c >= 0]] = 1
-    weights, bias = _regression(rows, label_model(votes, y), len(names))
+    weights, bias = _regression(*_thinned(rows, label_model(votes, y)), len(names))
     return empty._replace(weights=weights, bias=bias)
 
 
