@@ -160,4 +160,4 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarterline.llm import substring_dedup
 
-    return substring_dedup.repeated(common.read(spark, sf_dir, "documents"), k=5, window=8, min_words=50, similar=0.8)
+    return substring_dedup.repeated(common.read(spark, sf_dir, "documents"), k=5, window=1, min_words=50, similar=0.8)
