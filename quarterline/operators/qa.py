@@ -185,16 +185,16 @@ def history(turns: DataFrame, exchanges: DataFrame) -> DataFrame:
     """Per asked turn, the last three answered exchanges before it, as prompt history.
 
     ``turns``: session_id, turn.  ``exchanges``: session_id, turn, question,
-    answer; of a session's exchanges the latest 20 are kept.
+    answer.  A store of the latest ``MAX_SESSION_TURNS`` at the time of asking
+    always holds those three, so no exchange is left out for its session's length.
     """
-    last = Window.partitionBy("session_id").orderBy(F.col("turn").desc())
-    kept = exchanges.withColumn("_n", F.row_number().over(last)).where(F.col("_n") <= MAX_SESSION_TURNS).drop("_n")
-    both = turns.select(*TURN, F.lit(None).cast("string").alias("question"), F.lit(None).cast("string").alias("answer"),
-                        F.lit(1).alias("_asked")).unionByName(kept.select(*TURN, "question", "answer", F.lit(0).alias("_asked")))
-    w = Window.partitionBy("session_id").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
-    seen = F.collect_list(F.when(F.col("_asked") == 0, F.struct("turn", "question", "answer"))).over(w)
-    h = F.slice(F.reverse(F.array_sort(seen)), 1, MAX_HISTORY_TURNS)
-    return both.withColumn("_h", F.reverse(h)).where(F.col("_asked") == 1).select(*TURN, F.col("_h").alias("history"))
+    exchange = F.struct("turn", "question", "answer")
+    near = Window.partitionBy("session_id").orderBy("turn", "question", "answer").rowsBetween(1 - MAX_HISTORY_TURNS, 0)
+    ended = exchanges.select(*TURN, F.struct(exchange.alias("_at"), F.collect_list(exchange).over(near).alias("_h")).alias("_last"))
+    both = turns.select(*TURN, F.lit(True).alias("_asked")).unionByName(ended.withColumn("_asked", F.lit(False)), allowMissingColumns=True)
+    before = Window.partitionBy("session_id").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
+    found = both.withColumn("_last", F.max("_last").over(before)).where("_asked")
+    return found.select(*TURN, F.coalesce(F.col("_last._h"), F.array().cast(ended.schema["_last"].dataType["_h"].dataType)).alias("history"))
 
 
 def final_modes(answers: DataFrame, validated: DataFrame) -> DataFrame:

@@ -73,3 +73,16 @@ def test_history_holds_answered_exchanges(spark):
          for r in Q.history(asked, testdata.fx_exchanges(conversations)).collect()}
     assert h[(1, 0)] == [] and h[(1, 4)] == [("t0", "t1"), ("t2", "t3")]
     assert h[(1, 10)] == [("t4", "t5"), ("t6", "t7"), ("t8", "t9")] and h[(2, 1)] == []
+
+
+def test_history_of_a_long_session(spark):
+    from quarterline.sources import testdata
+
+    turns = [(1, t, "user" if t % 2 == 0 else "assistant", f"t{t}") for t in range(80)] + [(1, 80, "user", "open"), (1, 81, "user", "last")]
+    conversations = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    asked = conversations.where("role = 'user'").select(F.col("conv_id").alias("session_id"), F.col("turn").cast("int").alias("turn"))
+    h = {r.turn: [(x.turn, x.question, x.answer) for x in r.history] for r in Q.history(asked, testdata.fx_exchanges(conversations)).collect()}
+    pairs = [(t, f"t{t}", f"t{t + 1}") for t in range(0, 80, 2)]
+    assert len(h) == 42
+    for turn, got in h.items():
+        assert got == [p for p in pairs if p[0] < turn][-3:]
