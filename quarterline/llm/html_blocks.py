@@ -1,8 +1,9 @@
 """HTML to leaf blocks: text, tag path, link share.  A small forgiving reader for one page.
 
 A block is the text between two block-level tags.  Inline tags and ``br`` do
-not end a block.  Scripts, styles, comments and other unseen elements give no
-text.  An unclosed element ends where HTML ends it: ``p`` at the next block,
+not end a block.  Scripts, styles, comments, the page's title and form controls
+give no text; formulas, drawings and the text given in place of embedded things
+do.  An unclosed element ends where HTML ends it: ``p`` at the next block,
 list items, rows and cells at their next sibling, anything at its parent's end.
 """
 
@@ -19,21 +20,29 @@ class Block(NamedTuple):
     linked: float  # share of the characters inside links
 
 
-UNSEEN = "script|style|noscript|template|svg|iframe|textarea|title|select|object|canvas|math|audio|video"
+UNSEEN = "script|style|textarea|title"
 _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)"
-    rf"|<(?P<unseen>{UNSEEN})\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>(?:.*?(?:</(?P=unseen)\b[^>]*>|\Z))"
+    rf"|<(?P<unseen>{UNSEEN})(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^'\">])*(?:(?<=/)>|>(?P<inner>.*?)(?:</(?P=unseen)(?=[\s/>])[^>]*>|\Z))"
     r"|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>"
     r"|<[!?/][^>]*>?"
     r"|(?P<text>[^<]+|<)", re.S | re.I)
 _ATTR = re.compile(r"\b(class|id|role|type)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|visibility\s*:\s*hidden|aria-hidden\s*=\s*[\"']?true", re.I)
+_ANY_ATTR = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?|\"[^\"]*\"|'[^']*'")
+_MAY_HIDE = re.compile(r"hidden|none", re.I)
+_NOT_SHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _NAME = re.compile(r"[a-z]+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code del dfn em font i img ins kbd label mark q rp rt ruby s samp "
-                   "small span strike strong sub sup time tt u var wbr".split())
+                   "small span strike strong sub sup time tt u var wbr "
+                   "audio canvas iframe math object svg video "
+                   "annotation maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms mspace "
+                   "msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics "
+                   "circle defs desc ellipse foreignobject g line lineargradient path polygon polyline rect stop symbol text textpath "
+                   "tspan use".split())
+SPACED = frozenset("br desc img mtd text".split())  # begin a new word
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # An element that ends when one of these begins, and where the search for it stops.
 ENDED_BY = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -48,6 +57,18 @@ def _names(tag: str, attrs: str) -> tuple[str, ...]:
     return tuple(found)
 
 
+def _hidden(tag: str, attrs: str) -> bool:
+    if tag == "select":
+        return True
+    if not attrs or not _MAY_HIDE.search(attrs):
+        return False
+    for m in _ANY_ATTR.finditer(attrs):
+        name, value = (m[1] or "").lower(), m[2] or m[3] or m[4] or ""
+        if name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true" or name == "style" and _NOT_SHOWN.search(value):
+            return True
+    return False
+
+
 def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...], bool]] = []  # tag, names, hidden
@@ -71,6 +92,8 @@ def blocks(page: str) -> list[Block]:
 
     for m in _TOKEN.finditer(page):
         text = m["text"] or (m["cdata"] if m["cdata"] is not None else "")
+        if m["inner"] and m["unseen"].lower() == "title" and any(s[0] == "svg" for s in stack):
+            text = f" {m['inner']} "  # of a drawing, not of the page
         if text:
             if any(s[2] for s in stack):
                 continue
@@ -113,10 +136,10 @@ def blocks(page: str) -> list[Block]:
                     if stack[i][0] in ended:
                         end(i)
                         break
-        elif tag in ("br", "wbr", "img") and pieces:
-            pieces.append(" " if tag != "wbr" else "")
+        elif tag in SPACED and pieces:
+            pieces.append(" ")
         attrs = m["attrs"]
         if tag not in VOID and not attrs.endswith("/"):
-            stack.append((tag, _names(tag, attrs) if attrs else (tag,), bool(attrs) and bool(_HIDDEN.search(attrs))))
+            stack.append((tag, _names(tag, attrs) if attrs else (tag,), _hidden(tag, attrs)))
     flush()
     return out

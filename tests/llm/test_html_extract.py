@@ -73,3 +73,14 @@ def test_query_rows(spark):
     assert H.extract(empty).count() == 0
     odd = spark.createDataFrame([(1, None, None, "x"), (1, "u", "<p>a", "y"), (None, None, "", "z")], "page_id long, url string, html string, text string")
     assert H.extract(odd).count() == 3
+
+
+def test_only_unseen_text_is_left_out():
+    assert texts('<p><svg class="i"/>one</p><p>two <math/>three<canvas /></p><script src="x.js"/><p>four') == ["one", "two three", "four"]
+    assert texts("<p>Area <math><mi>x</mi><mo>=</mo><mn>2</mn></math> here</p>") == ["Area x=2 here"]
+    assert texts("<noscript><p>plain</p></noscript><object data=x>in <b>place</b></object><canvas>chart</canvas>") == ["plain", "in placechart"]
+    assert texts("<p>a<svg><title>Sales</title><text>2023</text><text>2024</text></svg>") == ["a Sales 2023 2024"]
+    assert texts("<title>Page</title><select><option>x<option>y</select><textarea><p>t</textarea><p>yes") == ["yes"]
+    assert texts("<div><select><option>x</div><p>after") == ["after"] and texts("<title-bar>kept</title-bar>") == ["kept"]
+    assert texts('<a title="a hidden gem">one</a><p title="the hidden cost">two</p><p data-x="display:none" alt=\'aria-hidden=true\'>three') == ["one", "two", "three"]
+    assert texts('<p class="x"hidden>no<p HIDDEN=hidden>no<p style="color:red; Display : none">no<p aria-hidden=true>no<p>yes') == ["yes"]
