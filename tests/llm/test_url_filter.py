@@ -64,3 +64,16 @@ def test_query_covers_every_page(spark, sf):
     assert len(rows) == len(pages)
     for r in rows:
         assert (r["host"], r["path"], r["rule"]) == brute(pages[r["page_id"]])[:3]
+
+
+def test_every_depth_has_its_own_templates(spark):
+    urls = [f"https://h.org/2024/a/b/c/d/{t}/{w}/{i}" for t in ("news", "views") for w in ("sport", "art", "town") for i in range(40)]
+    urls += [f"https://h.org/2024/a/b/c/d/news/casino/{i}.html" for i in range(30)]
+    urls += [f"https://h.org/2024/a/b/c/d/blog/post-{chr(97 + i % 26)}{chr(97 + i // 26)}x/end" for i in range(40)]
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    got = {r["page_id"]: r for r in url_filter.judge(pages, []).collect()}
+    for i, u in enumerate(urls):
+        assert got[i]["verdict"] == ("block" if "/casino/" in u else "allow"), (u, got[i])
+    name = lambda part: {got[i]["template"] for i, u in enumerate(urls) if part in u}
+    assert len(name("/blog/")) == 1 and name("/blog/").pop().endswith("/*/end")
+    assert name("/views/sport/") == name("/views/art/") == name("/views/town/") and "*" in name("/views/art/").pop()
