@@ -161,3 +161,59 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarterline.llm import substring_dedup
 
     return substring_dedup.repeated(common.read(spark, sf_dir, "documents"), k=5, window=1, min_words=50, similar=0.8)
+
+
+# crc32 of a list of byte values in SQL: the table of its 256 steps, then one lookup a byte.
+CRC_TABLE = """
+crc_bits(i, c, k) AS (
+  SELECT i, i::BIGINT, 0 FROM range(256) r(i)
+  UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, k + 1 FROM crc_bits WHERE k < 8),
+crc_table AS (SELECT list(c ORDER BY i) AS steps FROM crc_bits WHERE k = 8)"""
+
+
+def crc_sql(byte_list: str) -> str:
+    """crc32 of the bytes in a BIGINT list; ``steps`` of ``crc_table`` must be in scope."""
+    return (f"xor(4294967295, list_reduce({byte_list}, "
+            "lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1]), 4294967295::BIGINT))")
+
+
+OP13_SQL = f"""
+WITH RECURSIVE {CRC_TABLE},
+own AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos,
+         {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS t
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT c, c - c % 100 AS base, {crc_sql("list_transform(string_split(c::VARCHAR, ''), lambda x: unicode(x)::BIGINT)")} % 6 AS h
+  FROM (SELECT DISTINCT conv_id AS c FROM conversations WHERE conv_id IS NOT NULL), crc_table),
+parts AS (
+  SELECT c, 0 AS part, pos, t FROM convs JOIN own ON own.conv_id = base AND pos <= h
+  UNION ALL SELECT c, 1, pos, t FROM convs JOIN own ON own.conv_id = c AND pos > h),
+seqs AS (
+  SELECT c, coalesce(list(t ORDER BY part, pos) FILTER (WHERE t IS NOT NULL), []) AS s
+  FROM convs LEFT JOIN parts USING (c) GROUP BY c),
+starts AS (SELECT c, d, s[1:d] AS p, len(s) AS n FROM (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM seqs)),
+node AS (
+  SELECT p, d, min(c) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE n = d), '')) AS ends_sha256
+  FROM starts GROUP BY p, d),
+kids AS (SELECT p[1:d - 1] AS p, d - 1 AS d, count(*) AS n_children FROM node WHERE d > 0 GROUP BY 1, 2),
+own_figures AS (
+  SELECT p, d, (n_convs - 1) * coalesce(length(p[d].text), 0) AS saved, (n_children IS NULL)::INT AS leaf
+  FROM node LEFT JOIN kids USING (p, d)),
+below AS (
+  SELECT p[1:up] AS p, up AS d, sum(leaf) AS n_leaves, sum(saved) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, d + 1)) AS up FROM own_figures) GROUP BY 1, 2)
+SELECT a.conv_id, a.d::BIGINT AS depth, b.conv_id AS parent_conv_id, a.n_convs::BIGINT AS n_convs,
+       coalesce(n_children, 0)::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens,
+       a.ends_sha256
+FROM node a JOIN below USING (p, d) LEFT JOIN kids USING (p, d)
+LEFT JOIN node b ON a.d > 0 AND b.d = a.d - 1 AND b.p = a.p[1:a.d - 1]"""
+
+
+@register("op13_prefix_trie", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarterline.llm import prefix_trie
+
+    rows, members = prefix_trie.borrowed(prefix_trie.turns(common.read(spark, sf_dir, "conversations")))
+    return prefix_trie.nodes(rows, members)
