@@ -217,3 +217,46 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     rows, members = prefix_trie.borrowed(prefix_trie.turns(common.read(spark, sf_dir, "conversations")))
     return prefix_trie.nodes(rows, members)
+
+
+# The letters of the runs are one byte in UTF-8, or C3 and the code point less 64.
+OP12_SQL = f"""
+WITH RECURSIVE {CRC_TABLE},
+runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+  FROM (SELECT coalesce(doc_id::VARCHAR, '') AS doc_id, unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]{{5,}}')) AS run
+        FROM documents) GROUP BY ALL),
+hashed AS (
+  SELECT run, n, {crc_sql("""flatten(list_transform(string_split(doc_id || ':' || run, ''),
+    lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [195, unicode(x)::BIGINT - 64] END))""")} AS h
+  FROM runs, crc_table),
+words AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2)
+              ELSE run END AS word, n FROM hashed),
+vocab AS (
+  SELECT word, sum(n)::BIGINT AS n FROM words WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+cuts AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS cut
+  FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM vocab)),
+near AS (
+  SELECT DISTINCT word, n, other, other_n FROM (
+    SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM cuts a JOIN cuts b ON a.cut = b.cut AND a.i = b.i AND a.word <> b.word
+    UNION ALL SELECT a.word, a.n, b.word, b.n FROM vocab a JOIN cuts b ON b.cut = a.word
+    UNION ALL SELECT b.word, b.n, a.word, a.n FROM vocab a JOIN cuts b ON b.cut = a.word)),
+best AS (
+  SELECT word, count(*) AS n_near, arg_min({{'w': other, 'n': other_n}}, {{'k': -other_n, 'w': encode(other)}}) AS top FROM near GROUP BY word),
+told AS (
+  SELECT word, v.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN top.n >= 2 * v.n THEN top.w END AS form,
+         CASE WHEN top.n >= 2 * v.n THEN top.n END AS form_n FROM vocab v LEFT JOIN best USING (word)),
+chain AS (
+  SELECT word, word AS root, form AS next FROM told
+  UNION ALL SELECT c.word, t.word, t.form FROM chain c JOIN told t ON t.word = c.next)
+SELECT word, form, root, n, n_near, form_n FROM told JOIN chain USING (word) WHERE next IS NULL"""
+
+
+@register("op12_spelling", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarterline.llm import spelling
+
+    words = spelling.occurrences(common.read(spark, sf_dir, "documents"), min_length=5, drop_every=97)
+    return spelling.variants(spelling.vocabulary(words, min_length=5, min_count=3), ratio=2)
