@@ -260,3 +260,10 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     words = spelling.occurrences(common.read(spark, sf_dir, "documents"), min_length=5, drop_every=97)
     return spelling.variants(spelling.vocabulary(words, min_length=5, min_count=3), ratio=2)
+
+
+@register("op11_fingerprint")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarterline.llm import fingerprints
+
+    return fingerprints.against_next(common.read(spark, sf_dir, "documents"), cut=4, fraction=0.25, at_least=16, shingle=5)
