@@ -24,18 +24,16 @@ equal results; other columns are kept by ``sketched`` and ignored by
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarterline.llm import common
-
 SHINGLE = 5
 FRACTION = 0.25
 AT_LEAST = 16
@@ -136,9 +134,7 @@ def merged_sizes(prints: DataFrame, by: str, into: str = "n_kept", fingerprint:
 _FIELDS = [("n_chars", "long", pa.int64()), ("edited_sha256", "string", pa.string()), ("fingerprint", "string", pa.string()),
            ("edited_fingerprint", "string", pa.string()), ("near_edited", "double", pa.float64()),
            ("near_next", "double", pa.float64()), ("jaccard_edited", "double", pa.float64()),
-           ("jaccard_next", "double", pa.float64()),
-           # of the first and last text of a task's range, whose neighbours other tasks have
-           ("part", "int", pa.int32()), ("head", "string", pa.string()), ("tail", "string", pa.string())]
+           ("jaccard_next", "double", pa.float64())]
 
 
 class _Pairs:
@@ -164,6 +160,25 @@ class _Pairs:
                 near, following, near_all, following_all)
 
 
+def _key(doc: object, text_hash: int) -> tuple:
+    """Place of a document in the order, NULL ids first."""
+    return doc is not None, 0 if doc is None else doc, text_hash
+
+
+def _range_starts(keys: DataFrame, ranges: int) -> list[tuple]:
+    """The first ``(doc_id, hash)`` of at most ``ranges`` equal ranges, in order: all that the driver sees of the ids."""
+
+    def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.slice(0, 1)
+                return
+
+    order = [F.col("doc_id").asc_nulls_first(), F.col("hash")]
+    spread = keys.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    return sorted(_key(*r) for r in spread.mapInArrow(lead, keys.schema).collect())
+
+
 def against_next(docs: DataFrame, cut: int = 4, fraction: float = FRACTION, at_least: int = AT_LEAST,
                  shingle: int = SHINGLE) -> DataFrame:
     """Every document's fingerprint, that of its edited text, and its likeness to both and the next document.
@@ -171,50 +186,43 @@ def against_next(docs: DataFrame, cut: int = 4, fraction: float = FRACTION, at_l
     Documents follow each other by ``doc_id`` (NULL first), equal ids by a
     hash of the text; the first follows the last.  The edited text has its
     last ``n // cut`` code points replaced by the first as many of the next
-    document.  Texts are range-partitioned once; a task streams through its
-    range and hands on only its first and last text.
+    document.  Keys are cut into ranges first; then each text goes to its
+    range, the first one of a range also to the range before, and a task
+    streams through its ranges.  Texts move once and no result is stored.
     """
-    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    spark = docs.sparkSession
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("hash"))
     kind = dict(rows.dtypes)["doc_id"]
-    by = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.monotonically_increasing_id()]
-    rows = rows.withColumns({"_hash": by[1], "_row": by[2]})
-    order = [by[0], F.col("_hash"), F.col("_row")]
-    shape = f"doc_id {kind}, " + ", ".join(f"{n} {t}" for n, t, _ in _FIELDS)
-    names = ["doc_id", *(n for n, _, _ in _FIELDS)]
-
-    def batch(found: list[tuple], of: pa.DataType) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), [of, *(k for _, _, k in _FIELDS)])], names)
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    starts = _range_starts(rows.select("doc_id", "hash"), ranges)
+
+    @F.arrow_udf("array<int>")
+    def places(ids: pa.Array, hashes: pa.Array) -> pa.Array:
+        found = []
+        for key in map(_key, ids.to_pylist(), hashes.to_pylist()):
+            at = bisect_right(starts, key) - 1
+            # the first of a range also ends the range before; twice in its own where there is one range only
+            found.append([at, (at - 1) % len(starts)] if starts[at] == key else [at])
+        return pa.array(found, pa.list_(pa.int32()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs, part = _Pairs(cut, fraction, at_least, shingle), TaskContext.get().partitionId()
-        none, before, of = (None,) * 8, None, None
+        pairs = _Pairs(cut, fraction, at_least, shingle)
+        within, before = None, None
         for full in batches:
-            of = full.column(0).type
             for lo in range(0, full.num_rows, 64):
                 some, found = full.slice(lo, 64), []
-                for doc, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
-                    if before is None:
-                        found.append((None, *none, part, text, None))
-                    else:
-                        found.append((before[0], *pairs.figures(before[1], text), None, None, None))
-                    before = doc, text
-                yield batch(found, of)
-        if before is not None:
-            yield batch([(before[0], *none, part, None, before[1])], of)
-
-    def join_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = _Pairs(cut, fraction, at_least, shingle)
-        for full in batches:
-            for doc, text, after in zip(*(c.to_pylist() for c in full.columns)):
-                yield batch([(doc, *pairs.figures(text, after), None, None, None)], full.column(0).type)
-
-    spread = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
-    told = common.staged(spread.mapInArrow(run, shape), "fingerprints")
-    # one number per range
-    parts = sorted(r["part"] for r in told.where("head is not null").select("part").collect())
-    after = told.sparkSession.createDataFrame(list(zip(parts, [*parts[1:], *parts[:1]])), "part int, next int")
-    heads = told.where("head is not null").select(F.col("part").alias("next"), "head")
-    tails = told.where("tail is not null").select("doc_id", "part", "tail").join(after, "part").join(heads, "next")
-    seams = tails.select("doc_id", "tail", "head").mapInArrow(join_up, shape)
-    done = told.where("part is null").unionByName(seams)
-    return done.select("doc_id", *(n for n, _, _ in _FIELDS if n not in ("part", "head", "tail")))
+                for at, ends, doc, text in zip(*(c.to_pylist() for c in some.columns)):
+                    if before is not None and at == within:
+                        found.append((before[0], *pairs.figures(before[1], text)))
+                    within, before = at, None if ends else (doc, text)
+                if found:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, k) for c, k in zip(zip(*found), [some.column(2).type, *(k for _, _, k in _FIELDS)])],
+                        ["doc_id", *(n for n, _, _ in _FIELDS)])
+
+    placed = rows.select("doc_id", "text", "hash", F.posexplode(places("doc_id", "hash")).alias("ends", "range"))
+    order = ["range", "ends", F.col("doc_id").asc_nulls_first(), "hash"]
+    shape = f"doc_id {kind}, " + ", ".join(f"{n} {t}" for n, t, _ in _FIELDS)
+    return (placed.repartition("range").sortWithinPartitions(*order).select("range", (F.col("ends") == 1).alias("ends"), "doc_id", "text")
+            .mapInArrow(run, shape))
