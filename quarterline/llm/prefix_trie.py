@@ -18,7 +18,7 @@ Defined results: rows with a NULL id belong to no conversation and are left
 out; a NULL turn comes first, equal turns follow in the order of the two
 content hashes; NULL role and text are empty; an empty table gives no nodes;
 other columns are ignored.  The digest of a node's ends is taken from a sorted
-stream, so its one task holds no list of members, whatever their number.
+stream of joined ids, so no task holds a list of all members.
 """
 
 from __future__ import annotations
@@ -35,6 +35,8 @@ from quarterline.llm import common
 
 # Turns of distinct sequences that one task packs into its arrays, about.
 SHARD_TURNS = 200_000
+# Ids joined to one text before they are hashed.
+CHUNK = 10_000
 
 _PART = ("upper boolean, depth long, p1 long, p2 long, q1 long, q2 long, size long, conv_id long, parent_conv_id long, "
          "n_convs long, n_children long, n_leaves long, saved long, end_id long")
@@ -157,10 +159,34 @@ def _shard_nodes(table: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
 
 
+def _id_chunks(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.RecordBatch]:
+    """``(p1, p2, n, first, several, ids)``: sorted ids joined by commas, up to ``chunk`` of one sequence a row."""
+    names = ["p1", "p2", "n", "first", "several", "ids"]
+    kinds = [*[pa.int64()] * 4, pa.bool_(), pa.string()]
+    key, ids, done = None, [], []
+
+    def give() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*done), kinds)], names)
+
+    for batch in batches:
+        for *this, conv in zip(*(c.to_pylist() for c in batch.columns)):
+            if this != key or len(ids) == chunk:
+                if ids:
+                    done.append((*key, ids[0], len(ids) > 1, ",".join(map(str, ids))))
+                key, ids = this, []
+            ids.append(conv)
+        if done:
+            yield give()
+            done = []
+    if ids:
+        done.append((*key, ids[0], len(ids) > 1, ",".join(map(str, ids))))
+        yield give()
+
+
 def _end_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(end_id, digest)`` of every sequence with several conversations; rows come sorted by sequence and id."""
+    """``(end_id, digest)`` of every sequence with several conversations; chunks come sorted by sequence and first id."""
     key = digest = low = None
-    several = False
+    many = False
 
     def give(done: list) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([d[0] for d in done], pa.int64()),
@@ -168,20 +194,32 @@ def _end_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         done = []
-        for *this, conv in zip(*(c.to_pylist() for c in batch.columns)):
-            if this == key:
-                digest.update(b",%d" % conv)
-                several = True
+        for p1, p2, n, first, several, ids in zip(*(c.to_pylist() for c in batch.columns)):
+            if (p1, p2, n) == key:
+                digest.update(b"," + ids.encode())
+                many = True
                 continue
-            if several:
+            if many:
                 done.append((low, digest.hexdigest()))
-            key, low, several, digest = this, conv, False, hashlib.sha256(b"%d" % conv)
+            key, low, many, digest = (p1, p2, n), first, several, hashlib.sha256(ids.encode())
         if done:
             yield give(done)
-    if several:
+    if many:
         yield give([(low, digest.hexdigest())])
 
 
+def end_digests(whole: DataFrame) -> DataFrame:
+    """``(end_id, digest)`` for the sequences of ``whole(conv_id, n, p1, p2)`` that several conversations share.
+
+    Ids are sorted and joined range by range, so a hot sequence is spread; its
+    one last task only feeds finished chunks to SHA-256, in order.
+    """
+    by, chunk = ["p1", "p2", "n"], CHUNK
+    chunks = whole.select(*by, "conv_id").repartitionByRange(*by, "conv_id").sortWithinPartitions(*by, "conv_id").mapInArrow(
+        lambda batches: _id_chunks(batches, chunk), "p1 long, p2 long, n long, first long, several boolean, ids string")
+    return chunks.repartition(*by).sortWithinPartitions(*by, "first").mapInArrow(_end_digests, "end_id long, digest string")
+
+
 def turns(conversations: DataFrame) -> DataFrame:
     """``(conv_id, pos from 1, k1, k2, size)`` of every turn: its place, content hashes and code points."""
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
@@ -324,10 +362,8 @@ def nodes(rows: DataFrame, members: DataFrame, shard_turns: int = SHARD_TURNS) -
     outer = lower.where(F.col("parent_conv_id").isNull()).join(parent, ["depth", "q1", "q2"], "left").withColumn(
         "parent_conv_id", F.col("_parent")).select(*out)
 
-    ends = (whole.select("p1", "p2", "n", "conv_id").repartition("p1", "p2", "n")
-            .sortWithinPartitions("p1", "p2", "n", "conv_id").mapInArrow(_end_digests, "end_id long, digest string"))
     text = F.coalesce(F.col("end_id").cast("string"), F.lit(""))
-    return (inner.unionByName(outer).unionByName(uppers).join(ends, "end_id", "left")
+    return (inner.unionByName(outer).unionByName(uppers).join(end_digests(whole), "end_id", "left")
             .select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves",
                     F.col("saved").alias("saved_tokens"),
                     F.coalesce("digest", F.sha2(text.cast("binary"), 256)).alias("ends_sha256")))

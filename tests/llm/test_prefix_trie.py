@@ -62,7 +62,8 @@ def test_nodes_match_brute_force(spark, shard_turns):
     assert run(spark, rows, shard_turns) == brute(rows)
 
 
-def test_hot_prefix_copies_long_and_odd_rows(spark):
+def test_hot_prefix_copies_long_and_odd_rows(spark, monkeypatch):
+    monkeypatch.setattr(prefix_trie, "CHUNK", 3)
     rows = [(c, t, "user", f"shared {t}") for c in range(100, 130) for t in range(8)]  # copies
     rows += [(c, 8, "user", f"own {c % 4}") for c in range(100, 120)]
     rows += [(5000, t, "bot", f"long {t}") for t in range(120)]  # longer than a shard
