@@ -78,3 +78,15 @@ def signed_billions(value: Column | str) -> Column:
 def percent_2dp(value: Column | str) -> Column:
     """``69.50%`` from a value already rounded to 2 places."""
     return F.concat(_c(value).cast("decimal(38,2)").cast("string"), F.lit("%"))
+
+
+def count_text(value: Column | str, qualifier: Column | str | None = None) -> Column:
+    """``30 million`` for whole millions, else ``1,234,567``; ``More than ...`` for that qualifier."""
+    v = _c(value).cast("decimal(38,6)")
+    million = F.lit(1000000)
+    whole = (v >= million) & (F.pmod(v, million.cast("decimal(38,6)")) == 0)
+    shown = F.when(whole, F.concat(trim_decimal((v / million.cast("decimal(10,0)")).cast("decimal(38,6)")), F.lit(" million"))) \
+        .otherwise(F.format_number(F.bround(v, 0), 0))
+    if qualifier is None:
+        return shown
+    return F.when(_c(qualifier) == "more_than", F.concat(F.lit("More than "), shown)).otherwise(shown)

@@ -1,10 +1,10 @@
 """Claim validation against grounded figures and approved business claims.
 
-Documents (briefings) are held as long tables keyed by ``(entity_id,
-fiscal_year, fiscal_period)`` -- the briefing head, its insights, its figure
-claims and business claims -- so every rule is a join or a grouped aggregate
-over all documents at once.  Values compare in DECIMAL: USD / count exactly,
-percentages within 0.01 points inclusive.
+A briefing stands on its period's knowledge row (``knowledge.knowledge``) with
+its insights and their claims in arrays.  Every rule is an expression over
+that row, and all errors are collected in reading order: rule, insight, claim.
+Values compare in DECIMAL: USD / count exactly, percentages within 0.01
+points inclusive.
 """
 
 from __future__ import annotations
@@ -12,13 +12,39 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarterline.operators.drivers import PACKET, segment_metric
+from quarterline.functions.arrays import no_texts
+from quarterline.operators import knowledge as KN
+from quarterline.operators.drivers import PACKET
+from quarterline.operators.grounding import plain_decimal
 
 DOC = PACKET
 # Tolerance for percent claims and the required briefing categories.
 PERCENT_TOLERANCE = "0.01"
 REQUIRED_CATEGORIES = ["attention", "headwinds", "investigate_next", "overall_performance", "primary_drivers",
                        "profitability_context"]
+# Error texts; a name in braces stands for a value of the document.
+ERRORS = {
+    "period": "Briefing reporting period does not match grounding context.",
+    "declared_sources": "Unsupported briefing source IDs: {sources}.",
+    "insight_sources": "Unsupported insight source IDs: {sources}.",
+    "duplicate": "Duplicate figure claim: {source}/{metric}.",
+    "unsupported": "Unsupported figure claim: {source}/{metric}.",
+    "wrong_unit": "Incorrect unit for {metric} from {source}.",
+    "mismatch": "Figure mismatch for {metric} from {source}: claimed {claimed}, grounded {grounded}.",
+    "business_unsupported": "Unsupported business-driver claim: {metric}.",
+    "business_classification": "Incorrect classification for business-driver claim {metric}.",
+    "business_unit": "Incorrect unit for business-driver claim {metric}.",
+    "business_sources": "Incorrect source IDs for business-driver claim {metric}.",
+    "business_mismatch": "Figure mismatch for business-driver claim {metric}.",
+    "no_driver_context": "Management explanations require approved business-driver context.",
+    "explanations": "Unsupported management explanations: {ids}.",
+    "undeclared_sources": "Figure claims use undeclared source IDs: {sources}.",
+}
+CONTRACT = {
+    "drivers_unavailable": "Approved business-driver context is unavailable.",
+    "categories": "Briefing must contain each required executive category exactly once.",
+    "insight_sources": "Every briefing insight requires source IDs.",
+}
 
 
 def values_match(claimed: Column, grounded: Column, unit: Column) -> Column:
@@ -28,47 +54,8 @@ def values_match(claimed: Column, grounded: Column, unit: Column) -> Column:
     return F.when(unit.isin("usd", "count"), c == g).otherwise(F.abs(c - g) <= F.lit(PERCENT_TOLERANCE).cast("decimal(38,6)"))
 
 
-def approved_claims(p: dict[str, DataFrame], recon: DataFrame, contrib: DataFrame) -> DataFrame:
-    """Approved business claims per valid packet; a later record wins per metric.
-
-    Precedence: reported facts < product indicators < segment results <
-    derived contributions, then record position.
-    """
-    valid = recon.where(F.col("valid")).select(*PACKET)
-    facts = p["facts"].join(valid, PACKET, "left_semi").select(
-        *PACKET, "metric", F.col("value").cast("decimal(38,6)").alias("value"), "unit",
-        F.lit("reported").alias("classification"), "source_ids",
-        F.when(F.col("kind") == "reported_fact", 0).otherwise(1).alias("prec"), F.col("pos").cast("int").alias("pos"))
-    segs = p["segments"].join(valid, PACKET, "left_semi")
-    seg_pos = F.row_number().over(Window.partitionBy(*PACKET).orderBy("segment"))
-    segs = segs.withColumn("pos", seg_pos)
-    seg_rows = segs.select(*PACKET, "source_ids", "pos", F.explode(F.array(
-        F.struct(segment_metric(F.col("segment"), "current_revenue").alias("metric"),
-                 F.col("current_revenue").cast("decimal(38,6)").alias("value"), F.lit("usd").alias("unit")),
-        F.struct(segment_metric(F.col("segment"), "prior_year_revenue").alias("metric"),
-                 F.col("prior_year_revenue").cast("decimal(38,6)").alias("value"), F.lit("usd").alias("unit")),
-        F.struct(segment_metric(F.col("segment"), "reported_growth_pct").alias("metric"),
-                 F.col("reported_growth_pct").cast("decimal(38,6)").alias("value"), F.lit("percent").alias("unit")),
-    )).alias("m")).select(*PACKET, "m.metric", "m.value", "m.unit", F.lit("reported").alias("classification"),
-                          "source_ids", F.lit(2).alias("prec"), "pos")
-    con = contrib.withColumn("pos", F.row_number().over(Window.partitionBy(*PACKET).orderBy("segment")))
-    con_rows = con.select(*PACKET, "source_ids", "pos", F.explode(F.array(
-        F.struct(segment_metric(F.col("segment"), "absolute_revenue_change").alias("metric"),
-                 F.col("absolute_revenue_change").cast("decimal(38,6)").alias("value"), F.lit("usd").alias("unit")),
-        F.struct(segment_metric(F.col("segment"), "contribution_pct").alias("metric"),
-                 F.col("contribution_pct").cast("decimal(38,6)").alias("value"), F.lit("percent").alias("unit")),
-    )).alias("m")).select(*PACKET, "m.metric", "m.value", "m.unit", F.lit("derived").alias("classification"),
-                          "source_ids", F.lit(3).alias("prec"), "pos")
-    allrows = facts.unionByName(seg_rows).unionByName(con_rows)
-    best = allrows.groupBy(*PACKET, "metric").agg(F.max_by(
-        F.struct("value", "unit", "classification", "source_ids"), F.struct("prec", "pos")).alias("a"))
-    return best.select(*PACKET, "metric", F.col("a.value").alias("value"), F.col("a.unit").alias("unit"),
-                       F.col("a.classification").alias("classification"),
-                       F.array_sort(F.array_distinct(F.col("a.source_ids"))).alias("source_ids"))
-
-
 def figure_claim_status(claims: DataFrame, figures: DataFrame) -> DataFrame:
-    """Per figure claim -- duplicate, unsupported, wrong_unit, mismatch, match.
+    """C7 / D16 / I4 on long tables: per figure claim -- duplicate, unsupported, wrong_unit, mismatch, match.
 
     The duplicate check comes first and the key counts as seen even when it
     is unsupported; the grounded lookup is an equi-join on
@@ -90,119 +77,190 @@ def figure_claim_status(claims: DataFrame, figures: DataFrame) -> DataFrame:
                     status.alias("status"))
 
 
-def business_claim_status(claims: DataFrame, approved: DataFrame) -> DataFrame:
-    """First failing rule wins -- unsupported, classification, unit, sources, value."""
-    a = approved.select(*PACKET, "metric", F.col("value").alias("a_value"), F.col("unit").alias("a_unit"),
-                        F.col("classification").alias("a_class"), F.col("source_ids").alias("a_sources"))
-    j = claims.join(a, [*PACKET, "metric"], "left")
-    same_sources = F.array_sort(F.array_distinct(F.col("source_ids"))) == F.col("a_sources")
-    status = (
-        F.when(F.col("a_unit").isNull(), "unsupported")
-        .when(F.col("classification") != F.col("a_class"), "classification")
-        .when(F.col("unit") != F.col("a_unit"), "unit")
-        .when(~same_sources, "sources")
-        .when(~values_match(F.col("value"), F.col("a_value"), F.col("unit")), "mismatch")
-        .otherwise("match")
-    )
-    return j.select(*PACKET, "insight_pos", "claim_pos", "metric", "unit", "classification",
-                    F.col("value").cast("decimal(38,6)").alias("value"), status.alias("status"))
-
-
-def allowed_sources(figures: DataFrame, packet_sources: DataFrame, recon: DataFrame) -> DataFrame:
-    """Grounding sources plus the sources of an available (valid) packet."""
-    g = figures.select(*DOC, "source_id").distinct()
-    valid = recon.where(F.col("valid")).select(*PACKET)
-    s = packet_sources.join(valid, PACKET, "left_semi").select(*PACKET, "source_id")
-    return g.unionByName(s).distinct()
-
-
-def briefing_violations(heads: DataFrame, insights: DataFrame, fig_status: DataFrame, biz_status: DataFrame,
-                        figure_claims: DataFrame, business_claims: DataFrame, allowed: DataFrame,
-                        recon: DataFrame, explanations: DataFrame) -> DataFrame:
-    """Every error of every briefing, counted by kind (all errors collected)."""
-    def count_by(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(*DOC).agg(F.count(F.lit(1)).alias(name))
-
-    declared = heads.select(*DOC, F.explode("source_ids").alias("source_id")).distinct()
-    bad_declared = count_by(declared.join(allowed, [*DOC, "source_id"], "left_anti"), "unsupported_declared")
-    ins_src = insights.select(*DOC, "insight_pos", F.explode("source_ids").alias("source_id"))
-    bad_insight = count_by(ins_src.join(allowed, [*DOC, "source_id"], "left_anti")
-                           .select(*DOC, "insight_pos").distinct(), "unsupported_insight_sources")
-    fs = fig_status.groupBy(*DOC).agg(*[
-        F.sum(F.when(F.col("status") == s, 1).otherwise(0)).alias(n)
-        for s, n in (("duplicate", "duplicate_claims"), ("unsupported", "unsupported_claims"),
-                     ("wrong_unit", "unit_errors"), ("mismatch", "figure_mismatches"))])
-    bs = biz_status.where(F.col("status") != "match").groupBy(*DOC).agg(F.count(F.lit(1)).alias("business_errors"))
-    valid = recon.where(F.col("valid")).select(*PACKET).withColumn("_avail", F.lit(True))
-    expl_ids = insights.select(*DOC, "insight_pos", F.explode("management_explanation_ids").alias("explanation_id"))
-    with_avail = expl_ids.join(valid, DOC, "left")
-    known = explanations.select(*PACKET, "explanation_id").withColumn("_known", F.lit(True))
-    ex = with_avail.join(known, [*DOC, "explanation_id"], "left")
-    ex_err = ex.groupBy(*DOC, "insight_pos").agg(
-        F.max(F.when(F.col("_avail").isNull(), 1).otherwise(0)).alias("_no_ctx"),
-        F.max(F.when(F.col("_avail").isNotNull() & F.col("_known").isNull(), 1).otherwise(0)).alias("_unknown"),
-    ).groupBy(*DOC).agg((F.sum("_no_ctx") + F.sum("_unknown")).alias("explanation_errors"))
-    used = (ins_src.select(*DOC, "source_id")
-            .unionByName(figure_claims.select(*DOC, "source_id"))
-            .unionByName(business_claims.select(*DOC, F.explode("source_ids").alias("source_id")))).distinct()
-    undeclared = count_by(used.join(declared, [*DOC, "source_id"], "left_anti"), "undeclared_claim_sources")
-    out = heads.select(*DOC, "claimed_fiscal_year", "claimed_fiscal_period")
-    for part in (bad_declared, bad_insight, fs, bs, ex_err, undeclared):
-        out = out.join(part, DOC, "left")
-    counts = ["unsupported_declared", "unsupported_insight_sources", "duplicate_claims", "unsupported_claims",
-              "unit_errors", "figure_mismatches", "business_errors", "explanation_errors", "undeclared_claim_sources"]
-    period_mismatch = ((F.col("claimed_fiscal_year") != F.col("fiscal_year"))
-                       | (F.col("claimed_fiscal_period") != F.col("fiscal_period"))).cast("int")
-    # one error for each list-level check, one per insight / claim otherwise
-    per_item = [c for c in counts if c not in ("unsupported_declared", "undeclared_claim_sources")]
-    total = (period_mismatch
-             + F.when(F.coalesce(F.col("unsupported_declared"), F.lit(0)) > 0, 1).otherwise(0)
-             + F.when(F.coalesce(F.col("undeclared_claim_sources"), F.lit(0)) > 0, 1).otherwise(0)
-             + sum((F.coalesce(F.col(c), F.lit(0)) for c in per_item), F.lit(0)))
-    return out.select(*DOC, period_mismatch.cast("bigint").alias("period_mismatch"),
-                      *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in counts],
-                      total.cast("bigint").alias("total_errors"), (total == 0).alias("valid"))
-
-
-def briefing_complete(violations: DataFrame, insights: DataFrame, recon: DataFrame) -> DataFrame:
-    """Drivers available -> six categories exactly once -> every insight
-    has sources -> I1; the first failing step is reported."""
-    cats = insights.groupBy(*DOC).agg(
-        F.array_sort(F.collect_list("category")).alias("_cats"),
-        F.bool_and(F.size("source_ids") > 0).alias("_sources_ok"))
-    valid = recon.where(F.col("valid")).select(*PACKET).withColumn("_avail", F.lit(True))
-    x = violations.join(cats, DOC, "left").join(valid, DOC, "left")
-    avail = F.col("_avail").isNotNull()
-    cats_ok = F.coalesce(F.col("_cats") == F.array(*[F.lit(c) for c in REQUIRED_CATEGORIES]), F.lit(False))
-    src_ok = F.coalesce(F.col("_sources_ok"), F.lit(False))
-    failure = (F.when(~avail, "drivers_unavailable").when(~cats_ok, "categories")
-               .when(~src_ok, "insight_sources").when(~F.col("valid"), "claims"))
-    return x.select(*DOC, avail.alias("drivers_available"), cats_ok.alias("categories_ok"),
-                    src_ok.alias("insight_sources_ok"), F.col("valid").alias("claims_valid"),
-                    failure.alias("first_failure"), failure.isNull().alias("complete"))
-
-
-def display_selection(periods: DataFrame, complete: DataFrame, recon: DataFrame) -> DataFrame:
-    """I8: 'ai' only when drivers are available and the saved briefing re-validates."""
-    valid = recon.where(F.col("valid")).select(*PACKET).withColumn("_avail", F.lit(True))
-    ok = complete.select(*DOC, "complete")
-    x = periods.select(*DOC).join(valid, DOC, "left").join(ok, DOC, "left")
-    avail = F.col("_avail").isNotNull()
-    good = F.coalesce(F.col("complete"), F.lit(False))
-    mode = F.when(avail & good, "ai").otherwise("deterministic")
-    status = (F.when(~avail, "Approved business-driver context is not available.")
-              .when(~good, "A validated AI briefing is not available.")
-              .otherwise("Validated against approved financial and business-driver sources."))
-    return x.select(*DOC, mode.alias("mode"), status.alias("status"))
-
-
-def revalidate(stored: DataFrame, figure_claims: DataFrame, current_figures: DataFrame) -> DataFrame:
-    """A10: re-check stored briefings against *current* grounded figures; a briefing
-    whose figure claims no longer all match is stale (a stored flag is never trusted)."""
-    claims = figure_claims.join(stored.select(*DOC), DOC, "left_semi")
-    st = figure_claim_status(claims, current_figures)
-    errs = st.groupBy(*DOC).agg(F.sum(F.when(F.col("status") != "match", 1).otherwise(0)).alias("claim_errors"))
-    x = stored.select(*DOC).join(errs, DOC, "left")
-    n = F.coalesce(F.col("claim_errors"), F.lit(0)).cast("bigint")
-    return x.select(*DOC, n.alias("claim_errors"), (n == 0).alias("revalidated"),
-                    F.when(n == 0, "approved").otherwise("stale").alias("status"))
+def _text(rule: str, **values: Column) -> Column:
+    """The rule's error text with its values in place."""
+    parts, rest = [], ERRORS[rule]
+    while "{" in rest:
+        head, rest = rest.split("{", 1)
+        name, rest = rest.split("}", 1)
+        parts += [F.lit(head), values[name]]
+    return F.concat(*parts, F.lit(rest))
+
+
+def _error(rule: str, text: Column, condition: Column) -> Column:
+    """A list of one error where the condition holds, else an empty one."""
+    listed = F.array(F.struct(F.lit(rule).alias("rule"), text.alias("text")))
+    return F.filter(listed, lambda e: F.coalesce(condition, F.lit(False)))
+
+
+def _listed(ids: Column) -> Column:
+    return F.array_join(ids, ", ")
+
+
+def _missing(ids: Column, known: Column) -> Column:
+    """Sorted distinct ids that are not known."""
+    return F.array_sort(F.array_except(ids, known))
+
+
+def business_states(claims: Column, approved: Column) -> Column:
+    """The claims with ``status`` -- first failing rule of unsupported, classification, unit, sources, value."""
+    found = F.transform(claims, lambda c: F.struct(
+        c.alias("c"), F.get(F.filter(approved, lambda a: a["metric"] == c["metric"]), F.lit(0)).alias("a")))
+
+    def state(x: Column) -> Column:
+        c, a = x["c"], x["a"]
+        status = (F.when(a.isNull(), "unsupported")
+                  .when(c["classification"] != a["classification"], "classification")
+                  .when(c["unit"] != a["unit"], "unit")
+                  .when(F.array_sort(F.array_distinct(c["source_ids"])) != a["source_ids"], "sources")
+                  .when(~values_match(c["value"], a["value"], c["unit"]), "mismatch").otherwise("match"))
+        return F.struct(c["insight_pos"].alias("insight_pos"), c["claim_pos"].alias("claim_pos"), c["metric"].alias("metric"),
+                        c["unit"].alias("unit"), c["classification"].alias("classification"),
+                        c["value"].cast("decimal(38,6)").alias("value"), status.alias("status"))
+
+    return F.transform(found, state)
+
+
+def _flat(name: str) -> Column:
+    """Claims of all insights in reading order, each with its insight's place."""
+    def of(i: Column, at: Column) -> Column:
+        return F.transform(i[name], lambda c: F.struct(at.cast("int").alias("insight_pos"), c.alias("c")))
+
+    return F.flatten(F.transform("insights", of))
+
+
+def figure_states() -> Column:
+    """C7 / D16, over rows with ``_figures_claimed`` (``_flat``) and ``figures``: every figure claim with its status."""
+    def look(x: Column, at: Column) -> Column:
+        c = x["c"]
+        before = F.slice("_figures_claimed", F.lit(1), at)
+        return F.struct(
+            x["insight_pos"].alias("insight_pos"), c.alias("c"),
+            F.exists(before, lambda b: (b["c"]["source_id"] == c["source_id"]) & (b["c"]["metric"] == c["metric"])).alias("again"),
+            F.get(F.filter("figures", lambda f: (f["source_id"] == c["source_id"]) & (f["metric"] == c["metric"])), F.lit(0)).alias("g"))
+
+    def state(x: Column) -> Column:
+        c, g = x["c"], x["g"]
+        status = (F.when(x["again"], "duplicate").when(g.isNull(), "unsupported").when(c["unit"] != g["unit"], "wrong_unit")
+                  .when(~values_match(c["value"], g["value"], c["unit"]), "mismatch").otherwise("match"))
+        return F.struct(x["insight_pos"].alias("insight_pos"), c["source_id"].alias("source_id"), c["metric"].alias("metric"),
+                        c["value"].alias("value"), g["value"].alias("grounded_value"), status.alias("status"))
+
+    return F.transform(F.transform("_figures_claimed", look), state)
+
+
+def validated(briefings: DataFrame) -> DataFrame:
+    """Briefings on their knowledge rows with ``errors``, all of them in order, and the lists behind them.
+
+    Takes columns ``claimed_fiscal_year``, ``claimed_fiscal_period``,
+    ``source_ids`` and ``insights`` beside the knowledge row.  Adds
+    ``figure_states``, ``business_states``, ``unsupported_declared``,
+    ``undeclared`` and ``errors`` as an array of (rule, text).
+    """
+    x = briefings.withColumns({"_figures_claimed": _flat("figure_claims"), "_business_claimed": _flat("business_claims"),
+                               "_allowed": KN.allowed_sources()})
+    business = F.transform("_business_claimed", lambda b: F.struct(
+        b["insight_pos"].alias("insight_pos"), F.lit(0).alias("claim_pos"), *[b["c"][n].alias(n) for n in (
+            "metric", "value", "unit", "classification", "source_ids")]))
+    approved = F.coalesce(KN.packet_list("approved"), F.filter(F.array(F.struct(
+        F.lit("").alias("metric"), F.lit(None).cast("decimal(38,6)").alias("value"), F.lit("").alias("unit"),
+        F.lit("").alias("classification"), no_texts().alias("source_ids"))), lambda a: F.lit(False)))
+    used = F.array_distinct(F.concat(
+        F.flatten(F.transform("insights", lambda i: i["source_ids"])),
+        F.transform("_figures_claimed", lambda c: c["c"]["source_id"]),
+        F.flatten(F.transform("_business_claimed", lambda c: c["c"]["source_ids"]))))
+    x = x.withColumns({"figure_states": figure_states(), "business_states": business_states(business, approved),
+                       "unsupported_declared": _missing(F.col("source_ids"), F.col("_allowed")),
+                       "undeclared": _missing(used, F.col("source_ids")), "available": KN.available(),
+                       "_known": F.coalesce(F.transform(KN.packet_list("explanations"), lambda e: e["explanation_id"]), no_texts())})
+
+    def figure_error(s: Column) -> Column:
+        def one(rule: str) -> Column:
+            return _error(rule, _text(rule, source=s["source_id"], metric=s["metric"], claimed=plain_decimal(s["value"]),
+                                      grounded=F.coalesce(plain_decimal(s["grounded_value"]), F.lit(""))), s["status"] == rule)
+
+        return F.concat(*[one(r) for r in ("duplicate", "unsupported", "wrong_unit", "mismatch")])
+
+    def business_error(s: Column) -> Column:
+        return F.concat(*[_error(f"business_{r}", _text(f"business_{r}", metric=s["metric"]), s["status"] == r) for r in (
+            "unsupported", "classification", "unit", "sources", "mismatch")])
+
+    def of_insight(i: Column, at: Column) -> Column:
+        unsupported = _missing(i["source_ids"], F.col("_allowed"))
+        unknown = _missing(i["management_explanation_ids"], F.col("_known"))
+        cites = F.size(i["management_explanation_ids"]) > 0
+        here = lambda states: F.filter(states, lambda s: s["insight_pos"] == at)
+        return F.concat(
+            _error("insight_sources", _text("insight_sources", sources=_listed(unsupported)), F.size(unsupported) > 0),
+            F.flatten(F.transform(here("figure_states"), figure_error)),
+            F.flatten(F.transform(here("business_states"), business_error)),
+            _error("no_driver_context", _text("no_driver_context"), cites & ~F.col("available")),
+            _error("explanations", _text("explanations", ids=_listed(unknown)), F.col("available") & (F.size(unknown) > 0)))
+
+    slipped = ((F.col("claimed_fiscal_year") != F.col("fiscal_year")) | (F.col("claimed_fiscal_period") != F.col("fiscal_period")))
+    errors = F.concat(
+        _error("period", _text("period"), slipped),
+        _error("declared_sources", _text("declared_sources", sources=_listed(F.col("unsupported_declared"))),
+               F.size("unsupported_declared") > 0),
+        F.flatten(F.transform("insights", of_insight)),
+        _error("undeclared_sources", _text("undeclared_sources", sources=_listed(F.col("undeclared"))), F.size("undeclared") > 0))
+    return x.withColumn("errors", errors).drop("_figures_claimed", "_business_claimed", "_allowed", "_known")
+
+
+def _count(array: str, field: str, *values: str) -> Column:
+    return F.size(F.filter(array, lambda e: e[field].isin(*values))).cast("bigint")
+
+
+def briefing_violations(validated_: DataFrame) -> DataFrame:
+    """Every error of every briefing, counted by kind."""
+    total = F.size("errors").cast("bigint")
+    return validated_.select(
+        *DOC, _count("errors", "rule", "period").alias("period_mismatch"),
+        F.size("unsupported_declared").cast("bigint").alias("unsupported_declared"),
+        _count("errors", "rule", "insight_sources").alias("unsupported_insight_sources"),
+        *[_count("errors", "rule", r).alias(n) for r, n in (
+            ("duplicate", "duplicate_claims"), ("unsupported", "unsupported_claims"), ("wrong_unit", "unit_errors"),
+            ("mismatch", "figure_mismatches"))],
+        _count("errors", "rule", *[r for r in ERRORS if r.startswith("business_")]).alias("business_errors"),
+        _count("errors", "rule", "no_driver_context", "explanations").alias("explanation_errors"),
+        F.size("undeclared").cast("bigint").alias("undeclared_claim_sources"),
+        total.alias("total_errors"), (total == 0).alias("valid"))
+
+
+def briefing_errors(validated_: DataFrame) -> DataFrame:
+    """The error texts of every briefing, all of them, in reading order."""
+    return validated_.select(*DOC, F.transform("errors", lambda e: e["text"]).alias("errors"))
+
+
+def contract_failure() -> Column:
+    """I2 / D15 over validated briefings: the first failing step, or NULL.
+
+    Drivers available -> six categories exactly once -> every insight has
+    sources -> no error of I1.
+    """
+    return F.when(~F.col("available"), "drivers_unavailable").when(~_categories_ok(), "categories") \
+        .when(~_sourced(), "insight_sources").when(F.size("errors") > 0, "claims")
+
+
+def contract_reason(failure: Column) -> Column:
+    """The text of a failing step; of step ``claims`` all error texts in order."""
+    chain = F.when(failure == "claims", F.array_join(F.transform("errors", lambda e: e["text"]), " "))
+    for step, text in CONTRACT.items():
+        chain = chain.when(failure == step, F.lit(text))
+    return chain
+
+
+def _categories_ok() -> Column:
+    return F.array_sort(F.transform("insights", lambda i: i["category"])) == F.array(*[F.lit(c) for c in REQUIRED_CATEGORIES])
+
+
+def _sourced() -> Column:
+    return F.forall("insights", lambda i: F.size(i["source_ids"]) > 0)
+
+
+def briefing_complete(validated_: DataFrame) -> DataFrame:
+    """The complete-briefing contract with its first failing step."""
+    x = validated_.withColumn("_failure", contract_failure())
+    return x.select(*DOC, F.col("available").alias("drivers_available"), _categories_ok().alias("categories_ok"),
+                    _sourced().alias("insight_sources_ok"), (F.size("errors") == 0).alias("claims_valid"),
+                    F.col("_failure").alias("first_failure"), F.col("_failure").isNull().alias("complete"))

@@ -92,26 +92,30 @@ def grounding_contexts(analytics: DataFrame, annual: DataFrame) -> DataFrame:
     return with_asof_annual(with_neighbors(eligible_periods(analytics)), annual)
 
 
-def _figure(role: str, source: Column, period_id: Column, metric: str, value: Column) -> Column:
-    unit = "percent" if metric in PERCENT_METRICS else "usd"
-    return F.struct(F.lit(role).alias("role"), period_id.alias("period_id"), source.alias("source_id"),
-                    F.lit(metric).alias("metric"), F.lit(unit).alias("unit"), value.cast("decimal(38,6)").alias("value"))
+def figure_array() -> Column:
+    """I9 over grounding contexts: the period's figures in the order current, previous,
+    prior year, annual; NULL figures and absent roles are omitted.
 
+    Written as one SQL text: it has a struct per role and metric.
+    """
+    def figures(role: str, dataset: str, period_id: str, prefix: str, metrics: list[str]) -> list[str]:
+        return [f"named_struct('role', '{role}', 'period_id', {period_id}, 'source_id', concat('{dataset}:', {period_id}), "
+                f"'metric', '{m}', 'unit', '{'percent' if m in PERCENT_METRICS else 'usd'}', "
+                f"'value', cast({prefix}{m} as decimal(38,6)))" for m in metrics]
 
-def grounded_figures(contexts: DataFrame) -> DataFrame:
-    """I9 (long form): (entity, requested period, role, source, metric, unit, value);
-    NULL figures and absent roles are omitted."""
-    cur_id = period_identifier("fiscal_year", "fiscal_period")
-    figs = [_figure("current", F.concat(F.lit(QUARTER_DATASET + ":"), cur_id), cur_id, m, F.col(m))
-            for m in PERIOD_METRICS]
+    def quarter(prefix: str) -> str:
+        return f"concat('FY', cast({prefix}fiscal_year as string), '-', {prefix}fiscal_period)"
+
+    figs = figures("current", QUARTER_DATASET, quarter(""), "", PERIOD_METRICS)
     for role in ("previous", "prior_year"):
-        r = F.col(role)
-        pid = period_identifier(r["fiscal_year"], r["fiscal_period"])
-        figs += [_figure(role, F.concat(F.lit(QUARTER_DATASET + ":"), pid), pid, m, r[m]) for m in COMPARISON_METRICS]
-    a = F.col("annual")
-    aid = F.concat(F.lit("FY"), a["fiscal_year"].cast("string"))
-    figs += [_figure("annual", F.concat(F.lit(ANNUAL_DATASET + ":"), aid), aid, m, a[m]) for m in ANNUAL_METRICS]
-    x = contexts.select(*PERIOD, F.explode(F.array(*figs)).alias("f")).where(F.col("f.value").isNotNull())
+        figs += figures(role, QUARTER_DATASET, quarter(f"{role}."), f"{role}.", COMPARISON_METRICS)
+    figs += figures("annual", ANNUAL_DATASET, "concat('FY', cast(annual.fiscal_year as string))", "annual.", ANNUAL_METRICS)
+    return F.expr(f"filter(array({', '.join(figs)}), f -> f.value IS NOT NULL)")
+
+
+def grounded_figures(contexts: DataFrame) -> DataFrame:
+    """I9 (long form): (entity, requested period, role, source, metric, unit, value)."""
+    x = contexts.select(*PERIOD, F.explode(figure_array()).alias("f"))
     return x.select(*PERIOD, "f.role", "f.period_id", "f.source_id", "f.metric", "f.unit", "f.value")
 
 
@@ -150,12 +154,13 @@ def plain_decimal(value: Column) -> Column:
     return F.regexp_replace(text, r"\.$", "")
 
 
-def prompt_context_json(contexts: DataFrame) -> DataFrame:
-    """H9: the approved context of each period as deterministic JSON.
+def context_json(drivers: Column | None = None) -> Column:
+    """H9 over grounding contexts: the approved context of a period as deterministic JSON.
 
     Keys stand in alphabetical order at every level, figures in the order of
     their metrics, sources in the order current, previous, prior year, annual;
     figures without a value are left out, absent roles are null.
+    ``drivers``: the business-driver part, if the context has one.
     """
     def source(dataset: str, period_id: Column) -> Column:
         return F.concat(F.lit(dataset + ":"), period_id)
@@ -193,8 +198,14 @@ def prompt_context_json(contexts: DataFrame) -> DataFrame:
         F.when(a.isNotNull(), F.struct(
             figures(ANNUAL_METRICS, lambda m: a[m], annual_source).alias("figures"), a["fiscal_year"].cast("int").alias("fiscal_year"),
             annual_source.alias("source_id"))).alias("annual_context"),
+        *([] if drivers is None else [drivers.alias("business_drivers")]),
         quarter(PERIOD_METRICS, F.col, fy, fp).alias("current_period"),
         F.concat(F.lit("Entity "), F.col(ENTITY).cast("string")).alias("entity"),
         role("previous").alias("previous_quarter"), role("prior_year").alias("prior_year_quarter"),
         period(fy, fp).alias("requested_period"), F.lit("1.0").alias("schema_version"), sources.alias("sources"))
-    return contexts.select(*PERIOD, F.to_json(doc, {"ignoreNullFields": "false"}).alias("context_json"))
+    return F.to_json(doc, {"ignoreNullFields": "false"})
+
+
+def prompt_context_json(contexts: DataFrame) -> DataFrame:
+    """H9: the approved context of every period."""
+    return contexts.select(*PERIOD, context_json().alias("context_json"))

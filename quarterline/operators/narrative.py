@@ -11,7 +11,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarterline.functions import formatting as fmt
+from quarterline.functions.arrays import each
 from quarterline.functions.periods import fiscal_label
+from quarterline.operators import knowledge as KN
 
 ENTITY = "entity_id"
 PERIOD = [ENTITY, "fiscal_year", "fiscal_period"]
@@ -19,8 +21,18 @@ PERIOD = [ENTITY, "fiscal_year", "fiscal_period"]
 MARGIN_LABELS = {"gross_margin_pct": "gross", "operating_margin_pct": "operating", "net_margin_pct": "net"}
 STEADY_THRESHOLD = 0.05
 STRONG_MOMENTUM = "Revenue increased compared with both the prior quarter and the same quarter last year."
+SOME_MOMENTUM = "Revenue increased compared with the {comparison}."
 WEAK_MOMENTUM = "Approved growth measures do not show broad positive revenue momentum."
 PROFITABILITY_TEXT = "Profitability remained strong, with a healthy share of revenue retained as profit."
+HEADLINES = {"strong": "{name} had a strong quarter.", "some": "{name} reported positive revenue momentum.",
+             "other": "{name}’s latest quarter requires a closer look."}
+TAKEAWAYS = {
+    "largest_contributor": "{segment} was the largest positive segment contributor.",
+    "secondary_contributor": "{segment} was the second positive contributor.",
+    "principal_headwind": "{segment} was the segment headwind.",
+    "positive_signal": "{product} was a major positive product signal.",
+    "negative_signal": "{product} were negative product signals.",
+}
 NET_MARGIN_STRONG = 20
 VISIBLE_PRIORITY = ["revenue_momentum", "largest_contributor", "principal_headwind", "profitability",
                     "management_context"]
@@ -93,12 +105,8 @@ def _growth(value: str, comparison: str) -> Column:
                  F.lit(" " + comparison)))
 
 
-def executive_insights(analytics: DataFrame) -> DataFrame:
-    """H2: scale, growth, profitability and margin-direction insights for each
-    entity's latest quarter, as (entity, period, pos, title, body) rows."""
-    x = with_previous_margins(analytics)
-    w = Window.partitionBy(ENTITY).orderBy(F.col("fiscal_year").desc(), F.col("quarter_number").desc())
-    latest = x.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
+def insight_array() -> Column:
+    """H2 over analytics rows with previous margins: scale, growth, profitability and margin-direction insights."""
     period = fiscal_label("fiscal_year", "fiscal_period")
     items = F.array(
         F.struct(F.lit(0).alias("pos"), F.lit("Current scale").alias("title"),
@@ -115,74 +123,87 @@ def executive_insights(analytics: DataFrame) -> DataFrame:
         F.struct(F.lit(3).alias("pos"), F.lit("What deserves attention").alias("title"),
                  _margin_sentence().alias("body")),
     )
-    return (latest.select(*PERIOD, F.explode(items).alias("i")).where(F.col("i.body").isNotNull())
-            .select(*PERIOD, "i.pos", "i.title", "i.body"))
+    return F.filter(items, lambda i: i["body"].isNotNull())
+
+
+def executive_insights(analytics: DataFrame) -> DataFrame:
+    """H2: insights of each entity's latest quarter, as (entity, period, pos, title, body) rows."""
+    x = with_previous_margins(analytics)
+    w = Window.partitionBy(ENTITY).orderBy(F.col("fiscal_year").desc(), F.col("quarter_number").desc())
+    latest = x.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
+    return latest.select(*PERIOD, each(insight_array()).alias("i")).select(*PERIOD, "i.pos", "i.title", "i.body")
 
 
-def plain_english(contexts: DataFrame, ranking: DataFrame, facts: DataFrame, explanations: DataFrame,
-                  valid_packets: DataFrame) -> DataFrame:
-    """H3: headline and ordered takeaways per grounded period.
+def _signal_label(metric: str, sign: int) -> Column:
+    """The product an indicator speaks of, when its last record has the sign; else NULL."""
+    found = F.try_element_at(F.filter("_indicators", lambda f: f["metric"] == metric), F.lit(-1))
+    return F.when(F.signum(found["value"]) == sign, F.split(found["label"], " growth").getItem(0))
 
-    ``contexts`` carries the current-period growth and margin figures;
-    driver takeaways come from the ranking, product indicators and
-    explanations of the period's valid packet (joined on the period key).
+
+def _named(text: str, **values: Column) -> Column:
+    """The text with its braced values in place; NULL if one is."""
+    parts, rest = [], text
+    while "{" in rest:
+        head, rest = rest.split("{", 1)
+        name, rest = rest.split("}", 1)
+        parts += [F.lit(head), values[name]]
+    return F.concat(*parts, F.lit(rest))
+
+
+def with_summary(knowledge: DataFrame) -> DataFrame:
+    """Knowledge rows with ``headline``, ordered ``takeaways`` and the sorted sources of both.
+
+    Also ``pos1``, ``pos2`` and ``neg1``, the leading segments of an available
+    packet.  Every takeaway names the sources it rests on: the figures' for
+    momentum and profitability, the packet's for all others.
     """
-    rk = ranking.groupBy(*PERIOD).agg(
-        F.max(F.when((F.col("direction") == "positive") & (F.col("rank") == 1), F.col("segment"))).alias("pos1"),
-        F.max(F.when((F.col("direction") == "positive") & (F.col("rank") == 2), F.col("segment"))).alias("pos2"),
-        F.max(F.when((F.col("direction") == "negative") & (F.col("rank") == 1), F.col("segment"))).alias("neg1"))
-    ind = facts.where(F.col("kind") == "product_indicator")
-    ind_last = ind.groupBy(*PERIOD, "metric").agg(
-        F.max_by(F.struct("label", "value"), "pos").alias("f"))
-    sig = ind_last.groupBy(*PERIOD).agg(
-        F.max(F.when(F.col("metric").isin(*POSITIVE_SIGNAL_METRICS) & (F.col("f.value") > 0),
-                     F.split(F.col("f.label"), " growth").getItem(0))).alias("pos_signal"),
-        F.array_join(F.array_sort(F.collect_list(F.when(
-            F.col("metric").isin(*NEGATIVE_SIGNAL_METRICS) & (F.col("f.value") < 0),
-            F.struct(F.array_position(F.array(*[F.lit(m) for m in NEGATIVE_SIGNAL_METRICS]), F.col("metric"))
-                     .alias("o"), F.split(F.col("f.label"), " growth").getItem(0).alias("n"))))).getField("n"),
-            " and ").alias("neg_signal"))
-    ctx_expl = explanations.where(F.col("explanation_id") == CONTEXT_EXPLANATION_ID).groupBy(*PERIOD).agg(
-        F.first("statement").alias("context_statement"))
-    valid = valid_packets.select(*PERIOD).withColumn("_valid", F.lit(True))
-    drivers = valid.join(rk, PERIOD, "left").join(sig, PERIOD, "left").join(ctx_expl, PERIOD, "left")
-    x = contexts.select(*PERIOD, "revenue_qoq_growth_pct", "revenue_yoy_growth_pct", "net_margin_pct") \
-        .join(drivers, PERIOD, "left")
+    has = KN.available()
+    none = F.lit(None).cast("string")
+
+    def segment(side: str, at: int) -> Column:
+        return F.when(has, F.get(F.col(f"packet.{side}"), F.lit(at))["segment"]).otherwise(none)
+
+    x = knowledge.withColumns({
+        "pos1": segment("positive", 0), "pos2": segment("positive", 1), "neg1": segment("negative", 0),
+        "_indicators": F.filter(KN.packet_list("facts"), lambda f: f["kind"] == "product_indicator"),
+        "_context": F.get(F.filter(KN.packet_list("explanations"),
+                                   lambda e: e["explanation_id"] == CONTEXT_EXPLANATION_ID), F.lit(0))["statement"],
+        "source_ids": F.array_sort(KN.allowed_sources()), "_figure_sources": F.array_sort(KN.figure_sources())})
+    negative = F.array_join(F.filter(F.array(*[_signal_label(m, -1) for m in NEGATIVE_SIGNAL_METRICS]), lambda n: n.isNotNull()), " and ")
+    positive = F.coalesce(*[_signal_label(m, 1) for m in POSITIVE_SIGNAL_METRICS])
+    x = x.withColumns({"_positive": positive, "_negative": F.when(negative != "", negative)})
     qoq, yoy = F.col("revenue_qoq_growth_pct"), F.col("revenue_yoy_growth_pct")
     strong = F.coalesce((qoq > 0) & (yoy > 0), F.lit(False))
     some = F.coalesce(qoq > 0, F.lit(False)) | F.coalesce(yoy > 0, F.lit(False))
     name = entity_label()
-    headline = (F.when(strong, F.concat(name, F.lit(" had a strong quarter.")))
-                .when(some, F.concat(name, F.lit(" reported positive revenue momentum.")))
-                .otherwise(F.concat(name, F.lit("’s latest quarter requires a closer look."))))
+    headline = F.when(strong, _named(HEADLINES["strong"], name=name)).when(some, _named(HEADLINES["some"], name=name)) \
+        .otherwise(_named(HEADLINES["other"], name=name))
     comparison = F.when(F.coalesce(qoq > 0, F.lit(False)), "prior quarter").otherwise("same quarter last year")
-    momentum = (F.when(strong, F.lit(STRONG_MOMENTUM))
-                .when(some, F.concat(F.lit("Revenue increased compared with the "), comparison, F.lit(".")))
-                .otherwise(F.lit(WEAK_MOMENTUM)))
-    has = F.col("_valid").isNotNull()
-
-    def item(pos: int, category: str, text: Column, cond: Column) -> Column:
-        return F.when(cond, F.struct(F.lit(pos).alias("pos"), F.lit(category).alias("category"),
-                                     text.alias("text")))
-
-    items = F.array(
-        item(0, "revenue_momentum", momentum, F.lit(True)),
-        item(1, "largest_contributor", F.concat(F.col("pos1"), F.lit(" was the largest positive segment contributor.")),
-             has & F.col("pos1").isNotNull()),
-        item(2, "secondary_contributor", F.concat(F.col("pos2"), F.lit(" was the second positive contributor.")),
-             has & F.col("pos2").isNotNull()),
-        item(3, "principal_headwind", F.concat(F.col("neg1"), F.lit(" was the segment headwind.")),
-             has & F.col("neg1").isNotNull()),
-        item(4, "positive_signal", F.concat(F.col("pos_signal"), F.lit(" was a major positive product signal.")),
-             has & F.col("pos_signal").isNotNull()),
-        item(5, "negative_signal", F.concat(F.col("neg_signal"), F.lit(" were negative product signals.")),
-             has & F.coalesce(F.col("neg_signal") != "", F.lit(False))),
-        item(6, "management_context", F.col("context_statement"), has & F.col("context_statement").isNotNull()),
-        item(7, "profitability", F.lit(PROFITABILITY_TEXT),
-             F.coalesce(F.col("net_margin_pct") >= NET_MARGIN_STRONG, F.lit(False))),
-    )
-    out = x.select(*PERIOD, headline.alias("headline"), F.explode(F.filter(items, lambda t: t.isNotNull())).alias("t"))
-    return out.select(*PERIOD, "headline", "t.pos", "t.category", "t.text")
+    momentum = F.when(strong, F.lit(STRONG_MOMENTUM)).when(some, _named(SOME_MOMENTUM, comparison=comparison)) \
+        .otherwise(F.lit(WEAK_MOMENTUM))
+    rules = [
+        ("revenue_momentum", momentum),
+        ("largest_contributor", _named(TAKEAWAYS["largest_contributor"], segment=F.col("pos1"))),
+        ("secondary_contributor", _named(TAKEAWAYS["secondary_contributor"], segment=F.col("pos2"))),
+        ("principal_headwind", _named(TAKEAWAYS["principal_headwind"], segment=F.col("neg1"))),
+        ("positive_signal", _named(TAKEAWAYS["positive_signal"], product=F.col("_positive"))),
+        ("negative_signal", _named(TAKEAWAYS["negative_signal"], product=F.col("_negative"))),
+        ("management_context", F.col("_context")),
+        ("profitability", F.when(F.col("net_margin_pct") >= NET_MARGIN_STRONG, F.lit(PROFITABILITY_TEXT))),
+    ]
+    on_figures = ("revenue_momentum", "profitability")
+    items = F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(category).alias("category"), text.alias("text"),
+                               (F.col("_figure_sources") if category in on_figures
+                                else F.array_sort(F.array_except("source_ids", "_figure_sources"))).alias("source_ids"))
+                      for i, (category, text) in enumerate(rules)])
+    return x.withColumns({"headline": headline, "takeaways": F.filter(items, lambda t: t["text"].isNotNull())}) \
+        .drop("_indicators", "_context", "_positive", "_negative", "_figure_sources")
+
+
+def plain_english(summaries: DataFrame) -> DataFrame:
+    """H3: headline and ordered takeaways per grounded period, one row per takeaway."""
+    x = summaries.select(*PERIOD, "headline", each("takeaways").alias("t"))
+    return x.select(*PERIOD, "headline", "t.pos", "t.category", "t.text")
 
 
 def visible_takeaways(takeaways: DataFrame, limit: int = 4) -> DataFrame:
@@ -195,41 +216,52 @@ def visible_takeaways(takeaways: DataFrame, limit: int = 4) -> DataFrame:
 
 
 # Presentation priority of product signals and management explanations.
-PRIORITY_SIGNAL_METRICS = ["revenue_growth_pct", "revenue"]
+PRIORITY_SIGNAL_METRICS = ["revenue_growth_pct", "revenue", "active_customers"]
 PRIORITY_EXPLANATION_IDS = ["demand", "pricing"]
 
 
-def driver_presentation(ranking: DataFrame, facts: DataFrame, explanations: DataFrame, sources: DataFrame,
-                        valid_packets: DataFrame) -> DataFrame:
+def driver_presentation(packets: DataFrame) -> DataFrame:
     """Contributors, headwinds, signals (priority order), explanations
-    and sources of every valid packet as (period, section, pos, label, value, tone) rows."""
-    valid = valid_packets.select(*PERIOD)
-    contrib = ranking.select(
-        *PERIOD, F.when(F.col("direction") == "positive", "contributor").otherwise("headwind").alias("section"),
-        F.col("rank").alias("pos"), F.col("segment").alias("label"),
-        F.concat(fmt.signed_billions("absolute_revenue_change"), F.lit(" | "),
-                 fmt.percent_2dp("contribution_pct")).alias("value"),
-        F.col("direction").alias("tone"))
-    prio = F.array_position(F.array(*[F.lit(m) for m in PRIORITY_SIGNAL_METRICS]), F.col("metric"))
-    ind = facts.where(F.col("kind") == "product_indicator").join(valid, PERIOD, "left_semi")
-    ind = ind.groupBy(*PERIOD, "metric").agg(F.max_by(F.struct("label", "value", "unit"), "pos").alias("f"))
-    unit = F.col("f.unit")
-    sig_value = (F.when(unit == "percent", fmt.signed_percent("f.value"))
-                 .when(unit == "usd", fmt.signed_billions("f.value"))
-                 .otherwise(fmt.trim_decimal("f.value")))
-    sig_tone = F.when(unit == "percent", fmt.tone("f.value")).otherwise(F.lit("neutral"))
-    signals = ind.where(prio > 0).select(*PERIOD, F.lit("signal").alias("section"), prio.cast("int").alias("pos"),
-                                         F.col("f.label").alias("label"), sig_value.alias("value"),
-                                         sig_tone.alias("tone"))
-    eprio = F.array_position(F.array(*[F.lit(e) for e in PRIORITY_EXPLANATION_IDS]), F.col("explanation_id"))
-    expl = explanations.join(valid, PERIOD, "left_semi").where(eprio > 0).select(
-        *PERIOD, F.lit("explanation").alias("section"), eprio.cast("int").alias("pos"),
-        F.col("attribution").alias("label"), F.col("statement").alias("value"), F.lit("neutral").alias("tone"))
-    src = sources.join(valid, PERIOD, "left_semi").select(
-        *PERIOD, F.lit("source").alias("section"),
-        F.row_number().over(Window.partitionBy(*PERIOD).orderBy("source_id")).alias("pos"),
-        F.col("title").alias("label"), F.col("url").alias("value"), F.lit("neutral").alias("tone"))
-    return contrib.unionByName(signals).unionByName(expl).unionByName(src)
+    and sources of every valid packet as (period, section, pos, label, value, tone) rows.
+
+    ``packets``: packets in force (``knowledge.packets_in_force``).
+    """
+    def item(section: str, pos: Column, label: Column, value: Column, tone: Column) -> Column:
+        return F.struct(F.lit(section).alias("section"), pos.cast("int").alias("pos"), label.alias("label"),
+                        value.alias("value"), tone.alias("tone"))
+
+    def ranked(side: str, section: str) -> Column:
+        return F.transform(side, lambda c, i: item(section, i + 1, c["segment"], F.concat(
+            fmt.signed_billions(c["absolute_revenue_change"]), F.lit(" | "), fmt.percent_2dp(c["share"])), F.lit(side)))
+
+    def prioritised(found, ids: list[str]) -> Column:
+        made = F.array(*[F.struct(F.lit(i + 1).alias("pos"), found(x).alias("r")) for i, x in enumerate(ids)])
+        return F.filter(made, lambda m: m["r"].isNotNull())
+
+    def signal(metric: str) -> Column:
+        return F.try_element_at(F.filter("facts", lambda f: (f["kind"] == "product_indicator") & (f["metric"] == metric)), F.lit(-1))
+
+    def explanation(name: str) -> Column:
+        return F.get(F.filter("explanations", lambda e: e["explanation_id"] == name), F.lit(0))
+
+    def signal_item(m: Column) -> Column:
+        f = m["r"]
+        shown = (F.when(f["unit"] == "percent", fmt.signed_percent(f["value"])).when(f["unit"] == "usd", fmt.signed_billions(f["value"]))
+                 .when(f["unit"] == "count", fmt.count_text(f["value"], f["qualifier"])).otherwise(fmt.trim_decimal(f["value"])))
+        return item("signal", m["pos"], f["label"], shown,
+                    F.when(f["unit"] == "percent", fmt.tone(f["value"])).otherwise(F.lit("neutral")))
+
+    x = packets.withColumns({"_signals": prioritised(signal, PRIORITY_SIGNAL_METRICS),
+                             "_explained": prioritised(explanation, PRIORITY_EXPLANATION_IDS),
+                             "_sources": F.array_sort(F.transform("sources", lambda s: F.struct(
+                                 s["source_id"].alias("source_id"), s["title"].alias("title"), s["url"].alias("url"))))})
+    neutral = F.lit("neutral")
+    items = F.concat(
+        ranked("positive", "contributor"), ranked("negative", "headwind"), F.transform("_signals", signal_item),
+        F.transform("_explained", lambda m: item("explanation", m["pos"], m["r"]["attribution"], m["r"]["statement"], neutral)),
+        F.transform("_sources", lambda s, i: item("source", i + 1, s["title"], s["url"], neutral)))
+    shown = F.filter(items, lambda i: F.col("valid"))
+    return x.select(*PERIOD, each(shown).alias("i")).select(*PERIOD, "i.*")
 
 
 def report_table(annual: DataFrame) -> DataFrame:

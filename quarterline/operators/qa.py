@@ -12,6 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarterline.functions.arrays import each, no_texts
+from quarterline.operators import knowledge as KN
+from quarterline.operators.claims import values_match
+
 PERIOD = ["entity_id", "fiscal_year", "fiscal_period"]
 TURN = ["session_id", "turn"]
 # Limits and messages.
@@ -25,6 +29,10 @@ UNSUPPORTED_MESSAGE = ("Live grounded Q&A is not enabled yet. I can currently ex
 NO_DRIVERS = ("Approved financial data shows the change in revenue, but approved driver context is unavailable "
               "for this period.")
 NO_HEADWIND = "No approved segment headwind is available for this period."
+DRIVERS_START = "The largest approved positive segment contributors were "
+HEADWIND_START = "The main approved segment headwind was "
+INVESTIGATE_START = "Useful next areas to investigate are "
+INVESTIGATE_AREAS = ["revenue growth durability", "margin direction"]
 NO_CONTEXT_MESSAGE = "No approved financial context is available for this question."
 SAFE_FAILURE_MESSAGE = "The grounded answer could not be validated."
 MAX_SESSION_TURNS = 20
@@ -116,59 +124,48 @@ def route(norm: Column, glossary: Column | None = None) -> Column:
     )
 
 
-def summaries(takeaways: DataFrame) -> DataFrame:
-    """Per period: headline, first point, all points in order, the profitability point."""
-    return takeaways.groupBy(*PERIOD).agg(
-        F.first("headline").alias("headline"),
-        F.min_by("text", "pos").alias("first_point"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda s: s["text"]), " ")
-        .alias("all_points"),
-        F.max(F.when(F.col("text").startswith("Profitability"), F.col("text"))).alias("profitability_point"),
-    )
+def latest(summaries: DataFrame) -> DataFrame:
+    """Per entity the latest grounded quarter with all its columns, in one aggregate."""
+    rest = [c for c in summaries.columns if c != "entity_id"]
+    found = summaries.groupBy("entity_id").agg(F.max_by(F.struct(*rest), F.struct("fiscal_year", "fiscal_period")).alias("k"))
+    return found.select("entity_id", "k.*")
 
 
-def answer(questions: DataFrame, summary: DataFrame, ranking: DataFrame, valid_packets: DataFrame,
-           provider_enabled: bool = True) -> DataFrame:
-    """H8 (+ H4-H6, E11): mode and answer text for every question.
+def answer(questions: DataFrame, provider_enabled: bool = True) -> DataFrame:
+    """H8 (+ H4-H6, E11, D13): mode, answer text and sources for every question.
 
-    ``questions``: session_id, turn, question, entity_id, fiscal_year, fiscal_period.
+    ``questions``: session_id, turn, question and the summary of the period
+    asked about (``narrative.with_summary``; NULL where there is none).  All
+    columns stay; the glossary names no sources, every other deterministic
+    answer those of the summary.
     """
-    rk = ranking.groupBy(*PERIOD).agg(
-        F.max(F.when((F.col("direction") == "positive") & (F.col("rank") == 1), F.col("segment"))).alias("pos1"),
-        F.max(F.when((F.col("direction") == "positive") & (F.col("rank") == 2), F.col("segment"))).alias("pos2"),
-        F.max(F.when((F.col("direction") == "negative") & (F.col("rank") == 1), F.col("segment"))).alias("neg1"))
-    drivers = valid_packets.select(*PERIOD).withColumn("_valid", F.lit(True)).join(rk, PERIOD, "left")
     # each step is a column of its own, so no expression is evaluated (or compiled) twice
-    routed = (questions.withColumn("_norm", normalize(F.col("question"))).withColumn("_length", stripped_length(F.col("question")))
-              .withColumn("_glossary", glossary_answer(F.col("_norm"))).withColumn("_route", route(F.col("_norm"), F.col("_glossary"))))
-    x = routed.join(summary, PERIOD, "left").join(drivers, PERIOD, "left")
-    norm, length, r = F.col("_norm"), F.col("_length"), F.col("_route")
+    x = (questions.withColumn("normalized", normalize(F.col("question"))).withColumn("question_length", stripped_length(F.col("question")))
+         .withColumn("_glossary", glossary_answer(F.col("normalized"))).withColumn("_route", route(F.col("normalized"), F.col("_glossary"))))
+    length, r = F.col("question_length"), F.col("_route")
     length_ok = F.coalesce((length >= 1) & (length <= MAX_QUESTION_LENGTH), F.lit(False))
-    has = F.col("_valid").isNotNull()
-    drivers_text = F.when(~has | F.col("pos1").isNull(), F.lit(NO_DRIVERS)).otherwise(F.concat(
-        F.lit("The largest approved positive segment contributors were "),
-        F.concat_ws(" and ", F.col("pos1"), F.col("pos2")), F.lit(".")))
-    headwind_text = F.when(~has | F.col("neg1").isNull(), F.lit(NO_HEADWIND)).otherwise(
-        F.concat(F.lit("The main approved segment headwind was "), F.col("neg1"), F.lit(".")))
-    investigate_text = F.concat(
-        F.lit("Useful next areas to investigate are "),
-        F.concat_ws(", ", F.lit("revenue growth durability"), F.lit("margin direction"),
-                    F.when(has & F.col("neg1").isNotNull(), F.concat(F.lit("the "), F.col("neg1"), F.lit(" headwind")))),
-        F.lit("."))
+    points = F.transform("takeaways", lambda t: t["text"])
+    drivers_text = F.when(F.col("pos1").isNull(), F.lit(NO_DRIVERS)).otherwise(
+        F.concat(F.lit(DRIVERS_START), F.concat_ws(" and ", F.col("pos1"), F.col("pos2")), F.lit(".")))
+    headwind_text = F.when(F.col("neg1").isNull(), F.lit(NO_HEADWIND)).otherwise(
+        F.concat(F.lit(HEADWIND_START), F.col("neg1"), F.lit(".")))
+    areas = F.concat_ws(", ", *[F.lit(a) for a in INVESTIGATE_AREAS], F.concat(F.lit("the "), F.col("neg1"), F.lit(" headwind")))
+    profitability = F.get(F.filter(points, lambda t: t.startswith("Profitability")), F.lit(0))
     deterministic = (
         F.when(r == "glossary", F.col("_glossary"))
-        .when(r == "performance", F.concat_ws(" ", F.col("headline"), F.col("first_point")))
-        .when(r == "explain", F.concat_ws(" ", F.col("headline"), F.col("all_points")))
+        .when(r == "performance", F.concat_ws(" ", F.col("headline"), F.get(points, F.lit(0))))
+        .when(r == "explain", F.concat_ws(" ", F.col("headline"), F.array_join(points, " ")))
         .when(r == "drivers", drivers_text)
         .when(r == "headwind", headwind_text)
-        .when(r == "margin", F.coalesce(F.col("profitability_point"), F.lit(MARGIN_DEFAULT)))
-        .when(r == "investigate", investigate_text)
+        .when(r == "margin", F.coalesce(profitability, F.lit(MARGIN_DEFAULT)))
+        .when(r == "investigate", F.concat(F.lit(INVESTIGATE_START), areas, F.lit(".")))
     )
     grounded = F.col("fiscal_year").isNotNull()
-    eligible = length_ok & grounded & (r == "none") & F.lit(provider_enabled)
+    x = x.withColumn("provider_eligible", length_ok & grounded & (r == "none") & F.lit(provider_enabled))
     w = Window.partitionBy("session_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
-    used_before = F.coalesce(F.sum(eligible.cast("int")).over(w), F.lit(0))
-    over = eligible & (used_before >= MAX_PROVIDER_QUESTIONS)
+    eligible = F.col("provider_eligible")
+    x = x.withColumn("provider_used_before", F.coalesce(F.sum(eligible.cast("int")).over(w), F.lit(0)).cast("int"))
+    over = eligible & (F.col("provider_used_before") >= MAX_PROVIDER_QUESTIONS)
     mode = (F.when(~length_ok | ~grounded, "insufficient_context").when(r != "none", "deterministic")
             .when(~F.lit(provider_enabled), "insufficient_context")
             .when(over, "insufficient_context").otherwise("provider_request"))
@@ -176,9 +173,13 @@ def answer(questions: DataFrame, summary: DataFrame, ranking: DataFrame, valid_p
             .when(r != "none", deterministic)
             .when(~F.lit(provider_enabled), F.lit(UNSUPPORTED_MESSAGE))
             .when(over, F.lit(QUOTA_MESSAGE)))
-    return x.select(*TURN, *PERIOD, norm.alias("normalized"), length.alias("question_length"),
-                    F.when(length_ok & grounded, r).alias("route"), eligible.alias("provider_eligible"),
-                    used_before.cast("int").alias("provider_used_before"), mode.alias("mode"), text.alias("answer"))
+    x = x.withColumns({"route": F.when(length_ok & grounded, r), "mode": mode, "answer": text})
+    named = (F.col("mode") == "deterministic") & (F.col("route") != "glossary")
+    return x.withColumn("sources_named", F.when(named, F.col("source_ids")).otherwise(no_texts())).drop("_glossary", "_route")
+
+
+ANSWER_COLUMNS = [*TURN, *PERIOD, "normalized", "question_length", "route", "provider_eligible", "provider_used_before", "mode",
+                  "answer"]
 
 
 def history(turns: DataFrame, exchanges: DataFrame) -> DataFrame:
@@ -197,18 +198,23 @@ def history(turns: DataFrame, exchanges: DataFrame) -> DataFrame:
     return found.select(*TURN, F.coalesce(F.col("_last._h"), F.array().cast(ended.schema["_last"].dataType["_h"].dataType)).alias("history"))
 
 
-def final_modes(answers: DataFrame, validated: DataFrame) -> DataFrame:
-    """H8: the outcome per question once provider answers are checked.
+def final_modes(answered: DataFrame) -> DataFrame:
+    """The outcome per question once provider answers are checked.
 
-    A request whose answer is approved is ``grounded_ai``; any other request
-    fails safely.  ``validated``: session_id, turn, approved.
+    A request whose answer is approved and supported is ``grounded_ai`` with
+    that answer and its sources; any other request fails safely.
+    ``answered``: answered questions with the checked provider answer of their
+    request beside them (errors, answer_status, answer_text, answer_sources;
+    NULL where none came back).
     """
-    x = answers.join(validated.select(*TURN, "approved"), TURN, "left")
     asked = F.col("mode") == "provider_request"
-    good = asked & F.coalesce(F.col("approved"), F.lit(False))
-    return x.select(*TURN, F.when(good, "grounded_ai").when(asked, "insufficient_context").otherwise(F.col("mode")).alias("mode"),
-                    F.when(asked & ~good, F.lit(SAFE_FAILURE_MESSAGE)).otherwise(F.col("answer")).alias("message"),
-                    asked.alias("provider_request_made"))
+    good = asked & F.coalesce((F.size("errors") == 0) & F.col("answer_text").isNotNull(), F.lit(False))
+    supported = good & (F.col("answer_status") == "supported")
+    return answered.select(
+        *TURN, F.when(supported, "grounded_ai").when(asked, "insufficient_context").otherwise(F.col("mode")).alias("mode"),
+        F.when(good, F.col("answer_text")).when(asked, F.lit(SAFE_FAILURE_MESSAGE)).otherwise(F.col("answer")).alias("message"),
+        asked.alias("provider_request_made"),
+        F.when(good, F.col("answer_sources")).when(asked, no_texts()).otherwise(F.col("sources_named")).alias("source_ids"))
 
 
 def advice_flag(text: Column) -> Column:
@@ -221,78 +227,110 @@ def advice_flag(text: Column) -> Column:
 
 
 CORE = ["revenue", "gross_profit", "operating_income", "net_income"]
-ROLE_ORDER = {"current": 0, "previous": 1, "prior_year": 2, "annual": 3}
-
-
-def answer_claim_status(claims: DataFrame, answers: DataFrame, figures: DataFrame, approved: DataFrame,
-                        allowed: DataFrame, explanations: DataFrame) -> DataFrame:
-    """C13 / I3 claim rules: allowed sources first; management claims need a known,
-    attributed explanation; numeric claims match a grounded figure cited by the
-    claim (first in context order) or else an approved business claim."""
-    from quarterline.operators.claims import values_match
-
-    key = ["session_id", "turn", "claim_pos"]
-    src = claims.select(*key, *PERIOD, F.explode("source_ids").alias("source_id"))
-    bad_src = (src.join(allowed, [*PERIOD, "source_id"], "left_anti").select(*key).distinct()
-               .withColumn("_bad_source", F.lit(True)))
-    role_rank = F.element_at(F.create_map(*[x for k, v in ROLE_ORDER.items() for x in (F.lit(k), F.lit(v))]),
-                             F.col("role"))
-    fig = figures.select(*PERIOD, "source_id", "metric", role_rank.alias("_rank"),
-                         F.col("unit").alias("f_unit"), F.col("value").alias("f_value"))
-    fin = (src.join(claims.select(*key, "metric"), key).join(fig, [*PERIOD, "source_id", "metric"])
-           .groupBy(*key).agg(F.min_by(F.struct("f_unit", "f_value"), "_rank").alias("fin")))
-    appr = approved.select(*PERIOD, "metric", F.col("value").alias("a_value"), F.col("unit").alias("a_unit"),
-                           F.col("classification").alias("a_class"), F.col("source_ids").alias("a_sources"))
-    expl = explanations.select(*PERIOD, F.col("explanation_id").alias("management_explanation_id"),
-                               F.array_sort(F.array_distinct("source_ids")).alias("e_sources"))
-    x = (claims.join(bad_src, key, "left").join(fin, key, "left")
-         .join(appr, [*PERIOD, "metric"], "left").join(expl, [*PERIOD, "management_explanation_id"], "left")
-         .join(answers.select("session_id", "turn", "answer"), ["session_id", "turn"], "left"))
-    cls = F.col("classification")
-    same_sources = F.array_sort(F.array_distinct("source_ids"))
-    fin_expected = F.when(F.col("metric").isin(*CORE), "reported_fact").otherwise("derived_metric")
-    fin_ok = (cls.isin(fin_expected, F.lit("ai_interpretation")) & (F.col("unit") == F.col("fin.f_unit"))
-              & values_match(F.col("value"), F.col("fin.f_value"), F.col("unit")))
-    app_expected = F.when(F.col("a_class") == "reported", "reported_fact").otherwise("derived_metric")
-    app_ok = (cls.isin(app_expected, F.lit("ai_interpretation")) & (F.col("unit") == F.col("a_unit"))
-              & (same_sources == F.col("a_sources")) & values_match(F.col("value"), F.col("a_value"), F.col("unit")))
-    mgmt_ok = (F.col("e_sources").isNotNull() & (F.col("metric") == F.col("management_explanation_id"))
-               & (same_sources == F.col("e_sources")) & F.lower(F.col("answer")).contains("management"))
-    status = (
-        F.when(F.col("_bad_source").isNotNull(), "unsupported_source")
-        .when(cls == "management_explanation", F.when(mgmt_ok, "match").otherwise("unsupported_management"))
-        .when(F.col("fin").isNotNull(), F.when(F.coalesce(fin_ok, F.lit(False)), "match").otherwise("mismatch"))
-        .when(F.col("a_unit").isNotNull(), F.when(F.coalesce(app_ok, F.lit(False)), "match").otherwise("mismatch"))
-        .otherwise("unsupported")
-    )
-    return x.select(*key, *PERIOD, "metric", "classification", status.alias("status"))
-
-
-def answer_violations(answers: DataFrame, claim_status: DataFrame, allowed: DataFrame) -> DataFrame:
-    """Per answer -- unsupported declared sources, advice language, claim errors."""
-    declared = answers.select("session_id", "turn", *PERIOD, F.explode("source_ids").alias("source_id"))
-    bad = (declared.join(allowed, [*PERIOD, "source_id"], "left_anti").select("session_id", "turn").distinct()
-           .withColumn("_bad", F.lit(1)))
-    errs = claim_status.where(F.col("status") != "match").groupBy("session_id", "turn").agg(
-        F.count(F.lit(1)).alias("claim_errors"))
-    x = answers.join(bad, ["session_id", "turn"], "left").join(errs, ["session_id", "turn"], "left")
-    advice = advice_flag(F.col("answer")).cast("int")
-    total = F.coalesce(F.col("_bad"), F.lit(0)) + advice + F.coalesce(F.col("claim_errors"), F.lit(0))
-    return x.select("session_id", "turn", *PERIOD,
-                    F.coalesce(F.col("_bad"), F.lit(0)).cast("bigint").alias("unsupported_sources"),
-                    advice.cast("bigint").alias("advice_language"),
-                    F.coalesce(F.col("claim_errors"), F.lit(0)).cast("bigint").alias("claim_errors"),
-                    total.cast("bigint").alias("total_errors"), (total == 0).alias("approved"))
-
-
-def source_labels(answers: DataFrame, packet_sources: DataFrame) -> DataFrame:
-    """``title (id)`` per cited source (id alone when unknown), in citation order."""
-    cited = answers.select("session_id", "turn", *PERIOD, F.posexplode("source_ids").alias("pos", "source_id"))
-    titles = packet_sources.select(*PERIOD, "source_id", "title")
-    j = cited.join(titles, [*PERIOD, "source_id"], "left")
-    label = F.when(F.col("title").isNotNull(), F.concat(F.col("title"), F.lit(" ("), F.col("source_id"), F.lit(")"))) \
-        .otherwise(F.col("source_id"))
-    return j.groupBy("session_id", "turn").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", label.alias("l")))), lambda s: s["l"]),
-                     ", ").alias("source_labels"),
-        F.count(F.lit(1)).alias("sources"))
+# Error texts of answers, in the order of the checks.
+ANSWER_ERRORS = {
+    "period": "Answer reporting period does not match approved context.",
+    "sources": "Answer contains an unsupported source ID.",
+    "advice": "Answer contains prohibited investment or forecast language.",
+}
+CLAIM_ERRORS = {
+    "unsupported_source": "Unsupported claim source for {metric}.",
+    "unsupported_management": "Unsupported or unattributed management explanation.",
+    "mismatch": "Unsupported or mismatched claim: {metric}.",
+}
+
+
+def claim_states(answers: DataFrame) -> DataFrame:
+    """Answers on their knowledge rows with ``claim_states`` (claim_pos, metric, classification, status).
+
+    Allowed sources first; management claims need a known, attributed
+    explanation; numeric claims match a grounded figure cited by the claim
+    (first in context order) or else an approved business claim.
+    """
+    x = answers.withColumns({
+        "_allowed": KN.allowed_sources(), "_approved": KN.packet_list("approved"), "_explained": KN.packet_list("explanations"),
+        "_attributed": F.lower("answer_text").contains("management")})
+
+    def look(c: Column, at: Column) -> Column:
+        return F.struct(
+            at.cast("int").alias("claim_pos"), c.alias("c"), F.array_sort(F.array_distinct(c["source_ids"])).alias("s"),
+            F.get(F.filter("figures", lambda f: (f["metric"] == c["metric"]) & F.array_contains(c["source_ids"], f["source_id"])),
+                  F.lit(0)).alias("f"),
+            F.get(F.filter("_approved", lambda a: a["metric"] == c["metric"]), F.lit(0)).alias("a"),
+            F.get(F.filter("_explained", lambda e: e["explanation_id"] == c["management_explanation_id"]), F.lit(0)).alias("e"))
+
+    def state(x: Column) -> Column:
+        c, f, a, e, cls = x["c"], x["f"], x["a"], x["e"], x["c"]["classification"]
+
+        def fits(expected: Column, found: Column) -> Column:
+            return F.coalesce(cls.isin("ai_interpretation") | (cls == expected), F.lit(False)) \
+                & F.coalesce((c["unit"] == found["unit"]) & values_match(c["value"], found["value"], c["unit"]), F.lit(False))
+
+        managed = F.coalesce(e.isNotNull() & (c["metric"] == e["explanation_id"])
+                             & (x["s"] == F.array_sort(F.array_distinct(e["source_ids"]))) & F.col("_attributed"), F.lit(False))
+        by_figure = fits(F.when(c["metric"].isin(*CORE), "reported_fact").otherwise("derived_metric"), f)
+        by_claim = fits(F.when(a["classification"] == "reported", "reported_fact").otherwise("derived_metric"), a) & (x["s"] == a["source_ids"])
+        status = (F.when(F.size(F.array_except(c["source_ids"], "_allowed")) > 0, "unsupported_source")
+                  .when(cls == "management_explanation", F.when(managed, "match").otherwise("unsupported_management"))
+                  .when(f.isNotNull(), F.when(by_figure, "match").otherwise("mismatch"))
+                  .when(a.isNotNull(), F.when(F.coalesce(by_claim, F.lit(False)), "match").otherwise("mismatch"))
+                  .otherwise("unsupported"))
+        return F.struct(x["claim_pos"].alias("claim_pos"), c["metric"].alias("metric"), cls.alias("classification"), status.alias("status"))
+
+    return x.withColumn("claim_states", F.transform(F.transform("claims", look), state)).drop("_approved", "_explained", "_attributed")
+
+
+def answer_claim_status(answers: DataFrame) -> DataFrame:
+    """C13 / I3 claim rules, one row per claim."""
+    x = claim_states(answers).select(*TURN, *PERIOD, each("claim_states").alias("s"))
+    return x.select(*TURN, "s.claim_pos", *PERIOD, "s.metric", "s.classification", "s.status")
+
+
+def validated_answers(answers: DataFrame) -> DataFrame:
+    """Answers with ``errors`` as (rule, text) in order: period, sources, advice, then claim by claim.
+
+    Advice is looked for in answer, explanation and suggested areas together.
+    """
+    x = claim_states(answers)
+    narrative = F.concat_ws(" ", "answer_text", "explanation", "areas")
+    slipped = (F.col("claimed_fiscal_year") != F.col("fiscal_year")) | (F.col("claimed_fiscal_period") != F.col("fiscal_period"))
+    breaks = {"period": slipped, "sources": F.size(F.array_except("answer_sources", "_allowed")) > 0, "advice": advice_flag(narrative)}
+    heads = F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(ANSWER_ERRORS[r]).alias("text"),
+                               F.coalesce(broken, F.lit(False)).alias("on")) for r, broken in breaks.items()])
+
+    def text(s: Column) -> Column:
+        def named(rule: str) -> Column:
+            head, _, tail = CLAIM_ERRORS[rule].partition("{metric}")
+            return F.concat(F.lit(head), s["metric"], F.lit(tail)) if tail else F.lit(head)
+
+        return (F.when(s["status"] == "unsupported_source", named("unsupported_source"))
+                .when(s["status"] == "unsupported_management", named("unsupported_management")).otherwise(named("mismatch")))
+
+    claims = F.transform(F.filter("claim_states", lambda s: s["status"] != "match"),
+                         lambda s: F.struct(F.lit("claim").alias("rule"), text(s).alias("text")))
+    kept = F.transform(F.filter(heads, lambda h: h["on"]), lambda h: F.struct(h["rule"].alias("rule"), h["text"].alias("text")))
+    return x.withColumn("errors", F.concat(kept, claims)).drop("_allowed")
+
+
+def answer_violations(validated: DataFrame) -> DataFrame:
+    """Per answer -- period, unsupported declared sources, advice language, claim errors."""
+    def count(rule: str) -> Column:
+        return F.size(F.filter("errors", lambda e: e["rule"] == rule)).cast("bigint")
+
+    total = F.size("errors").cast("bigint")
+    return validated.select(*TURN, *PERIOD, count("period").alias("period_mismatch"), count("sources").alias("unsupported_sources"),
+                            count("advice").alias("advice_language"), count("claim").alias("claim_errors"),
+                            total.alias("total_errors"), (total == 0).alias("approved"))
+
+
+def source_labels(answers: DataFrame) -> DataFrame:
+    """``title (id)`` per cited source (id alone when unknown), in citation order.
+
+    ``answers``: on their knowledge rows, with ``answer_sources``.
+    """
+    def label(sid: Column) -> Column:
+        known = F.get(F.filter(F.col("packet.sources"), lambda s: s["source_id"] == sid), F.lit(0))["title"]
+        return F.when(known.isNotNull(), F.concat(known, F.lit(" ("), sid, F.lit(")"))).otherwise(sid)
+
+    return answers.select(*TURN, F.array_join(F.transform("answer_sources", label), ", ").alias("source_labels"),
+                          F.size("answer_sources").cast("bigint").alias("sources"))

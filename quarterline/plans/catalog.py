@@ -29,6 +29,7 @@ PLAN_MODULES = [
     "quarterline.plans.q_claims",
     "quarterline.plans.q_narrative",
     "quarterline.plans.q_qa",
+    "quarterline.plans.q_documents",
     "quarterline.plans.q_part",
 ]
 
@@ -97,8 +98,8 @@ class Fixtures:
         return self._get("raw", lambda: testdata.fx_raw(self.long))
 
     @property
-    def packets(self) -> dict[str, DataFrame]:
-        return self._get("packets", lambda: testdata.fx_packets(self.wide, self.segments))
+    def packets(self) -> DataFrame:
+        return self._get("packets", lambda: testdata.fx_packets(self.segments))
 
     @property
     def segments(self) -> DataFrame:

@@ -204,7 +204,10 @@ FROM pk_head, (VALUES ('press_release'), ('metrics'), ('earnings_call')) t(sourc
 """)
 
 _cte("pk_facts", ["pk_head"], f"""
-SELECT entity_id, fiscal_year, fiscal_period, kind, pos, metric, label, value, unit,
+SELECT entity_id, fiscal_year, fiscal_period, kind, pos, metric, label, value,
+       CASE WHEN entity_id % 23 = 21 AND unit = 'percent' THEN 'ratio' ELSE unit END AS unit,
+       CASE WHEN entity_id % 23 = 22 AND kind = 'product_indicator' THEN 'about'
+            WHEN unit = 'count' AND entity_id % 2 = 0 THEN 'more_than' ELSE 'exact' END AS qualifier,
        CASE WHEN entity_id % 23 = 9 AND kind = 'product_indicator' THEN 'derived' ELSE 'reported' END AS classification,
        source_ids FROM (
   SELECT entity_id, fiscal_year, fiscal_period, 'reported_fact' AS kind, 0 AS pos, 'revenue' AS metric,
@@ -228,6 +231,10 @@ SELECT entity_id, fiscal_year, fiscal_period, kind, pos, metric, label, value, u
   UNION ALL SELECT entity_id, fiscal_year, fiscal_period, 'product_indicator', 1, 'revenue', 'Revenue (indicator)',
          CAST(revenue + 1000 + CASE WHEN entity_id % 26 = 17 THEN 0.5 ELSE 0 END AS DECIMAL(38,6)), 'usd', [{_sid('metrics')}]
   FROM pk_head WHERE entity_id % 13 = 4
+  UNION ALL SELECT entity_id, fiscal_year, fiscal_period, 'product_indicator', 2, 'active_customers', 'Active customers',
+         CAST(CASE WHEN q <= 2 THEN (entity_id + 1) * 1000000 ELSE revenue % 10000000 END AS DECIMAL(38,6)), 'count',
+         [{_sid('metrics')}]
+  FROM pk_head
 ) f
 """)
 
@@ -253,4 +260,5 @@ SELECT entity_id, fiscal_year, fiscal_period, x.explanation_id, x.statement,
        'management_explanation' AS classification, [{_sid('earnings_call')}] AS source_ids
 FROM pk_head, (VALUES ('demand', 'Management said customer demand supported the quarter.'),
                       ('pricing', 'Management said pricing changes affected revenue.')) x(explanation_id, statement)
+WHERE entity_id % 23 <> 8
 """)

@@ -6,9 +6,13 @@ from functools import cached_property
 
 from pyspark.sql import functions as F
 
+from quarterline.functions.arrays import each
 from quarterline.operators import claims as C
+from quarterline.operators import documents as DOC
 from quarterline.operators import drivers as D
 from quarterline.operators import grounding as G
+from quarterline.operators import knowledge as KN
+from quarterline.operators import narrative as N
 from quarterline.plans import q_drivers as QD
 from quarterline.plans import q_grounding as QG
 from quarterline.plans.catalog import Fixtures, register
@@ -98,7 +102,7 @@ UNION ALL SELECT {K}, 2, 'headwinds', {_one('src_previous')}, {_NONE} FROM roles
 UNION ALL SELECT {K}, 3, 'profitability_context', {_one('src_prior_year')}, {_NONE} FROM roles
 UNION ALL SELECT {K}, 4, 'attention', {_one('src_annual')}, {_NONE} FROM roles
 UNION ALL SELECT {K}, 5, CASE WHEN entity_id % 37 = 5 AND fiscal_period = 'Q1' THEN 'attention'
-    ELSE 'investigate_next' END, {_one('src_current')},
+    WHEN entity_id % 23 = 17 AND fiscal_period = 'Q3' THEN 'outlook' ELSE 'investigate_next' END, {_one('src_current')},
   CASE WHEN entity_id % 31 = 4 THEN ['demand', 'unknown_expl'] ELSE ['demand'] END FROM roles"""
 _HEADS = f"""SELECT {K},
   CAST(CASE WHEN entity_id % 23 = 1 AND fiscal_period = 'Q2' THEN fiscal_year - 1 ELSE fiscal_year END AS INTEGER)
@@ -180,63 +184,43 @@ def _sql(select: str) -> str:
     return with_all("fx_long", *QD._PK, extra=QG.GROUNDING_CTES + CLAIM_CTES) + "\n" + select
 
 
-class Bundle:
-    """Intermediate frames of the claim checks, built lazily and written once each
-    (``session.reuse``) so every consumer starts from a small scan."""
-
-    def __init__(self, spark, sf_dir, grain: str = "nation"):
-        self.fx = Fixtures(spark, sf_dir, grain=grain, shared=True)
+def knowledge(fx: Fixtures):
+    """Every grounded period's knowledge row, with the previous row's margins."""
+    analytics, annual = QG.scoped_inputs(fx)
+    return KN.knowledge(G.grounding_contexts(N.with_previous_margins(analytics), annual), fx.packets)
 
-    @cached_property
-    def p(self):
-        return {k: reuse(v) for k, v in self.fx.packets.items()}
 
-    @cached_property
-    def recon(self):
-        return reuse(D.reconciliation(self.p))
+class Bundle:
+    """Briefings on their knowledge rows, validated; built lazily, one row per period all the way."""
 
-    @cached_property
-    def contrib(self):
-        return D.contributions(self.p, self.recon)
+    def __init__(self, spark, sf_dir, grain: str = "nation"):
+        self.fx = Fixtures(spark, sf_dir, grain=grain)
 
     @cached_property
-    def approved(self):
-        return reuse(C.approved_claims(self.p, self.recon, self.contrib))
+    def figures(self):
+        return reuse(G.grounded_figures(QG.contexts(self.fx)))
 
     @cached_property
-    def ctx(self):
-        return QG.contexts(self.fx)
+    def figure_claims(self):
+        return testdata.fx_figure_claims(self.figures)
 
     @cached_property
-    def figures(self):
-        return reuse(G.grounded_figures(self.ctx))
+    def knowledge(self):
+        return knowledge(self.fx)
 
     @cached_property
-    def figure_claims(self):
-        return reuse(testdata.fx_figure_claims(self.figures))
+    def briefings(self):
+        return testdata.fx_briefings(self.knowledge)
 
     @cached_property
-    def docs(self):
-        valid = self.recon.where(F.col("valid")).select(*D.PACKET)
-        parts = testdata.fx_briefings(self.figures, self.approved, valid)
-        out = {k: reuse(v) for k, v in parts.items() if k != "figure_claims"}
-        out["figure_claims"] = self.figure_claims
-        return out
+    def validated(self):
+        return C.validated(self.briefings)
 
     def fig_status(self):
         return C.figure_claim_status(self.figure_claims, self.figures)
 
-    def biz_status(self):
-        return C.business_claim_status(self.docs["business_claims"], self.approved)
-
-    def violations(self):
-        allowed = C.allowed_sources(self.figures, self.p["sources"], self.recon)
-        return C.briefing_violations(self.docs["heads"], self.docs["insights"], self.fig_status(),
-                                     self.biz_status(), self.docs["figure_claims"], self.docs["business_claims"],
-                                     allowed, self.recon, self.p["explanations"])
-
     def complete(self):
-        return C.briefing_complete(self.violations(), self.docs["insights"], self.recon)
+        return C.briefing_complete(self.validated)
 
 
 def _as_text(df, *columns: str):
@@ -248,7 +232,8 @@ def _as_text(df, *columns: str):
                                          "source_ids FROM approved"))
 def q_approved_claims(spark, sf_dir):
     """Approved business claims per valid packet, later record wins."""
-    a = Bundle(spark, sf_dir).approved
+    p = KN.packets_in_force(Fixtures(spark, sf_dir).packets)
+    a = p.select(*D.PACKET, each("approved").alias("a")).select(*D.PACKET, "a.*")
     return _as_text(a, "value")
 
 
@@ -262,13 +247,15 @@ def q_claim_status(spark, sf_dir):
 @register("business_claim_status", sql=_sql("SELECT * REPLACE (CAST(value AS VARCHAR) AS value) FROM bst"))
 def q_business_claim_status(spark, sf_dir):
     """Business claims against approved claims, first failing rule."""
-    return _as_text(Bundle(spark, sf_dir).biz_status(), "value")
+    p = KN.packets_in_force(Fixtures(spark, sf_dir).packets).withColumn("claims", testdata.fx_business_claims())
+    states = p.select(*D.PACKET, each(C.business_states(F.col("claims"), F.col("approved"))).alias("s"))
+    return _as_text(states.select(*D.PACKET, "s.*"), "value")
 
 
 @register("briefing_violations", sql=_sql("SELECT * FROM viol"))
 def q_briefing_violations(spark, sf_dir):
     """All errors of every briefing, by kind."""
-    return Bundle(spark, sf_dir).violations()
+    return C.briefing_violations(Bundle(spark, sf_dir).validated)
 
 
 @register("briefing_complete", sql=_sql("SELECT * FROM compl"))
@@ -289,20 +276,6 @@ def q_briefing_publishable(spark, sf_dir):
                                                         F.col("fiscal_period"))).alias("partition_key"))
 
 
-@register("display_selection", sql=_sql(f"""
-SELECT r.entity_id, r.fiscal_year, r.fiscal_period,
-  CASE WHEN r.is_valid AND coalesce(c.complete, false) THEN 'ai' ELSE 'deterministic' END AS mode,
-  CASE WHEN NOT r.is_valid THEN 'Approved business-driver context is not available.'
-       WHEN NOT coalesce(c.complete, false) THEN 'A validated AI briefing is not available.'
-       ELSE 'Validated against approved financial and business-driver sources.' END AS status
-FROM roles r LEFT JOIN compl c USING ({K})"""))
-def q_display_selection(spark, sf_dir):
-    """I8: AI briefing only when drivers are available and the briefing re-validates."""
-    b = Bundle(spark, sf_dir)
-    periods = b.ctx.select(*D.PACKET)
-    return C.display_selection(periods, b.complete(), b.recon)
-
-
 @register("doc_schema_violations", sql=_sql(f"""
 SELECT {K}, CAST(n_insights AS BIGINT) AS insights,
   n_insights BETWEEN 1 AND 6 AS insight_count_ok,
@@ -322,75 +295,117 @@ LEFT JOIN (SELECT {K}, count(*) AS claims_outside_insight FROM (
 def q_doc_schema_violations(spark, sf_dir):
     """Document shape rules -- insight count, category domain, claim
     sources inside their insight's declared sources, duplicate declared sources."""
-    b = Bundle(spark, sf_dir)
-    ins, heads = b.docs["insights"], b.docs["heads"]
-    domain = ["current_performance", "change", "profitability", "attention", "overall_performance",
-              "primary_drivers", "headwinds", "profitability_context", "investigate_next"]
-    per = ins.groupBy(*D.PACKET).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.when(~F.col("category").isin(*domain), 1).otherwise(0)).alias("bad_categories"))
-    used = (b.docs["figure_claims"].select(*D.PACKET, "insight_pos", "source_id")
-            .unionByName(b.docs["business_claims"].select(*D.PACKET, "insight_pos",
-                                                          F.explode("source_ids").alias("source_id"))))
-    j = used.join(ins.select(*D.PACKET, "insight_pos", F.col("source_ids").alias("ins_sources")),
-                  [*D.PACKET, "insight_pos"])
-    outside = j.where((F.size("ins_sources") > 0) & ~F.array_contains("ins_sources", F.col("source_id"))) \
-        .groupBy(*D.PACKET).agg(F.count(F.lit(1)).alias("outside"))
-    x = heads.join(per, D.PACKET).join(outside, D.PACKET, "left")
-    return x.select(*D.PACKET, F.col("n").cast("bigint").alias("insights"),
-                    F.col("n").between(1, 6).alias("insight_count_ok"),
-                    F.col("bad_categories").cast("bigint").alias("bad_categories"),
-                    F.coalesce(F.col("outside"), F.lit(0)).cast("bigint").alias("claims_outside_insight_sources"),
-                    (F.size("source_ids") != F.size(F.array_distinct("source_ids"))).alias("duplicate_declared_sources"))
-
-
-def _renamed(ctes: list[tuple[str, str]], names: list[str], prefix: str = "", suffix: str = "",
-             source: tuple[str, str] | None = None) -> list[tuple[str, str]]:
-    """The same CTE chain under new names (references follow FROM / JOIN)."""
-    import re
-
-    pat = re.compile(r"\b(FROM|JOIN)\s+(" + "|".join(map(re.escape, names)) + r")\b")
-    out = []
-    for name, sql in ctes:
-        sql = pat.sub(lambda m: f"{m.group(1)} {prefix}{m.group(2)}{suffix}", sql)
-        if source:
-            sql = sql.replace(f"FROM {source[0]}", f"FROM {source[1]}")
-        out.append((f"{prefix}{name}{suffix}" if name in names else name, sql))
-    return out
-
-
-def _revalidate_sql() -> str:
-    from quarterline.plans import q_observations as QO
-
-    pipe_names = [n for n, _ in QO._PIPE]
-    pipe = _renamed(QO._PIPE, pipe_names, prefix="o_")
-    g_names = [n for n, _ in QG.GROUNDING_CTES]
-    grounding_now = _renamed(QG.GROUNDING_CTES, g_names, suffix="_r", source=("fx_long", "o_facts"))
-    st = _FST.replace("FROM bfig) c", "FROM bfig WHERE (entity_id, fiscal_year, fiscal_period) IN "
-                                      "(SELECT (entity_id, fiscal_year, fiscal_period) FROM stored)) c") \
-        .replace("LEFT JOIN gf g", "LEFT JOIN gf_r g")
-    extra = QG.GROUNDING_CTES + CLAIM_CTES + pipe + grounding_now + [
-        ("stored", f"SELECT {K} FROM compl WHERE complete"), ("fst_r", st)]
-    return with_all("fx_long", "fx_obs", *QD._PK, extra=extra) + f"""
-SELECT s.entity_id, s.fiscal_year, s.fiscal_period, CAST(coalesce(e.n, 0) AS BIGINT) AS claim_errors,
-  coalesce(e.n, 0) = 0 AS revalidated, CASE WHEN coalesce(e.n, 0) = 0 THEN 'approved' ELSE 'stale' END AS status
-FROM stored s LEFT JOIN (SELECT {K}, sum(CASE WHEN status <> 'match' THEN 1 ELSE 0 END) AS n FROM fst_r
-                         GROUP BY ALL) e USING ({K})"""
-
-
-@register("briefing_revalidate", sql=_revalidate_sql())
-def q_briefing_revalidate(spark, sf_dir):
-    """A10: stored (complete) briefings re-validated against figures grounded on the
-    facts derived from the filings, where restatements have since been applied."""
-    from quarterline.operators import analytics as A
-    from quarterline.operators import observations as O
-    from quarterline.plans.catalog import SCOPE_MIN_FISCAL_YEAR
-
-    b = Bundle(spark, sf_dir)
-    stored = reuse(b.complete().where(F.col("complete")).select(*D.PACKET))
-    facts = O.facts_from_observations(Fixtures(spark, sf_dir).obs)
-    wide = A.quarterly_wide(facts)
-    analytics = A.scoped(A.quarterly_analytics(wide), SCOPE_MIN_FISCAL_YEAR)
-    annual = A.annual_complete_scoped(wide, SCOPE_MIN_FISCAL_YEAR)
-    current = G.grounded_figures(G.grounding_contexts(analytics, annual))
-    return C.revalidate(stored, b.figure_claims, current)
+    x = Bundle(spark, sf_dir).briefings
+
+    def outside(i):
+        used = F.concat(F.transform(i["figure_claims"], lambda c: c["source_id"]),
+                        F.flatten(F.transform(i["business_claims"], lambda c: c["source_ids"])))
+        return F.when(F.size(i["source_ids"]) > 0, F.size(F.filter(used, lambda s: ~F.array_contains(i["source_ids"], s)))).otherwise(0)
+
+    return x.select(
+        *D.PACKET, F.size("insights").cast("bigint").alias("insights"), F.size("insights").between(1, 6).alias("insight_count_ok"),
+        F.size(F.filter("insights", lambda i: ~i["category"].isin(*DOC.CATEGORIES))).cast("bigint").alias("bad_categories"),
+        F.aggregate(F.transform("insights", outside), F.lit(0), lambda a, n: a + n).cast("bigint").alias("claims_outside_insight_sources"),
+        (F.size("source_ids") != F.size(F.array_distinct("source_ids"))).alias("duplicate_declared_sources"))
+
+
+# every error of every briefing: (rule order, insight, kind, claim) and its text
+_PLAIN = "regexp_replace(regexp_replace(CAST({v} AS VARCHAR), '0+$', ''), '[.]$', '')"
+_ERR_ROWS = f"""
+SELECT {K}, 0 AS o1, 0 AS o2, 0 AS o3, 0 AS o4, 'Briefing reporting period does not match grounding context.' AS text
+FROM heads WHERE claimed_fiscal_year <> fiscal_year OR claimed_fiscal_period <> fiscal_period
+UNION ALL SELECT {K}, 1, 0, 0, 0, 'Unsupported briefing source IDs: ' || string_agg(source_id, ', ' ORDER BY source_id) || '.'
+FROM decl d WHERE {_NOT_ALLOWED.format(on=_on('a', 'd', ('source_id',)))} GROUP BY {K}
+UNION ALL SELECT {K}, 2, insight_pos, 0, 0, 'Unsupported insight source IDs: ' || string_agg(DISTINCT source_id, ', ' ORDER BY source_id) || '.'
+FROM inssrc s WHERE {_NOT_ALLOWED.format(on=_on('a', 's', ('source_id',)))} GROUP BY {K}, insight_pos
+UNION ALL SELECT {K}, 2, insight_pos, 1, claim_pos, CASE status
+  WHEN 'duplicate' THEN 'Duplicate figure claim: ' || source_id || '/' || metric || '.'
+  WHEN 'unsupported' THEN 'Unsupported figure claim: ' || source_id || '/' || metric || '.'
+  WHEN 'wrong_unit' THEN 'Incorrect unit for ' || metric || ' from ' || source_id || '.'
+  ELSE 'Figure mismatch for ' || metric || ' from ' || source_id || ': claimed ' || {_PLAIN.format(v='value')} || ', grounded '
+       || {_PLAIN.format(v='grounded_value')} || '.' END FROM fst WHERE status <> 'match'
+UNION ALL SELECT {K}, 2, insight_pos, 2, claim_pos, CASE status
+  WHEN 'unsupported' THEN 'Unsupported business-driver claim: ' || metric || '.'
+  WHEN 'classification' THEN 'Incorrect classification for business-driver claim ' || metric || '.'
+  WHEN 'unit' THEN 'Incorrect unit for business-driver claim ' || metric || '.'
+  WHEN 'sources' THEN 'Incorrect source IDs for business-driver claim ' || metric || '.'
+  ELSE 'Figure mismatch for business-driver claim ' || metric || '.' END FROM bst WHERE status <> 'match'
+UNION ALL SELECT {K}, 2, insight_pos, 3, 0, 'Management explanations require approved business-driver context.'
+FROM ins WHERE len(management_explanation_ids) > 0 AND ({K}) NOT IN (SELECT ({K}) FROM recon WHERE valid)
+UNION ALL SELECT {K}, 2, insight_pos, 4, 0, 'Unsupported management explanations: ' || string_agg(explanation_id, ', ' ORDER BY explanation_id) || '.'
+FROM (SELECT DISTINCT {K}, insight_pos, unnest(management_explanation_ids) AS explanation_id FROM ins) i
+WHERE ({K}) IN (SELECT ({K}) FROM recon WHERE valid)
+  AND NOT EXISTS (SELECT 1 FROM pk_explanations e WHERE {_on('e', 'i', ('explanation_id',))}) GROUP BY {K}, insight_pos
+UNION ALL SELECT {K}, 3, 0, 0, 0, 'Figure claims use undeclared source IDs: ' || string_agg(source_id, ', ' ORDER BY source_id) || '.'
+FROM used u WHERE NOT EXISTS (SELECT 1 FROM decl d WHERE {_on('d', 'u', ('source_id',))}) GROUP BY {K}"""
+_ERRORS = f"""SELECT h.entity_id, h.fiscal_year, h.fiscal_period, coalesce(e.errors, []) AS errors
+FROM heads h LEFT JOIN (SELECT {K}, list(text ORDER BY o1, o2, o3, o4) AS errors FROM err_rows r
+                        SEMI JOIN heads h USING ({K}) GROUP BY ALL) e USING ({K})"""
+ERROR_CTES = [("err_rows", _ERR_ROWS), ("errs", _ERRORS)]
+
+
+def _sql_errors(select: str, extra: list | None = None) -> str:
+    return with_all("fx_long", *QD._PK, extra=QG.GROUNDING_CTES + CLAIM_CTES + ERROR_CTES + (extra or [])) + "\n" + select
+
+
+@register("briefing_errors", sql=_sql_errors("SELECT * FROM errs"))
+def q_briefing_errors(spark, sf_dir):
+    """All error texts of every briefing, in reading order."""
+    return C.briefing_errors(Bundle(spark, sf_dir).validated)
+
+
+# the fault of every response, and the shape rules it breaks
+_N_FAULTS = len(testdata.RESPONSE_FAULTS)
+_FAULT = f"""SELECT *, CASE WHEN k = {_N_FAULTS} THEN 'no_text' WHEN k < {_N_FAULTS}
+    THEN [{', '.join("'" + f + "'" for f in testdata.RESPONSE_FAULTS)}][k + 1] ELSE 'none' END AS fault
+  FROM (SELECT *, (entity_id * 5 + fiscal_year * 3 + CAST(substr(fiscal_period, 2, 1) AS INTEGER)) % {testdata.RESPONSE_MOD} AS k FROM heads) h"""
+_SHAPE_ROWS = f"""
+SELECT {K}, CASE fault WHEN 'wrong_type' THEN 'reporting_period.fiscal_year: type' WHEN 'unknown_field' THEN 'reviewer_note: unknown'
+    WHEN 'missing_headline' THEN 'headline: missing' WHEN 'long_title' THEN 'insights[2].title: length'
+    WHEN 'empty_summary' THEN 'executive_summary: length' WHEN 'duplicate_source' THEN '$: duplicate_sources'
+    WHEN 'no_insights' THEN 'insights: too_few' WHEN 'list' THEN '$: type'
+    WHEN 'odd_claim_field' THEN 'insights[0].mood: unknown' END AS text FROM faults
+UNION ALL SELECT f.entity_id, f.fiscal_year, f.fiscal_period, 'insights[' || c.insight_pos || '].' || c.kind || '[' || c.at || '].value: type'
+FROM faults f JOIN (
+  SELECT {K}, insight_pos, metric, 'figure_claims' AS kind, row_number() OVER (PARTITION BY {K}, insight_pos ORDER BY claim_pos) - 1 AS at FROM bfig
+  UNION ALL SELECT {K}, insight_pos, metric, 'business_claims', claim_pos - 1 FROM bbiz) c USING ({K})
+WHERE f.fault = 'boolean_value' AND c.metric = 'revenue'
+UNION ALL SELECT f.entity_id, f.fiscal_year, f.fiscal_period, 'insights[' || i.insight_pos || ']: claim_sources'
+FROM faults f JOIN ins i USING ({K})
+WHERE f.fault NOT IN ('no_insights', 'list') AND len(i.source_ids) > 0 AND EXISTS (
+  SELECT 1 FROM (SELECT {K}, insight_pos, source_id FROM bfig UNION ALL
+                 SELECT {K}, insight_pos, unnest(source_ids) FROM bbiz) c
+  WHERE {_on('c', 'i', ('insight_pos',))} AND NOT list_contains(i.source_ids, c.source_id))
+UNION ALL SELECT f.entity_id, f.fiscal_year, f.fiscal_period, 'insights[' || i.insight_pos || '].category: domain'
+FROM faults f JOIN ins i USING ({K}) WHERE f.fault NOT IN ('no_insights', 'list') AND i.category = 'outlook'
+UNION ALL SELECT f.entity_id, f.fiscal_year, f.fiscal_period, 'insights[1].business_claims[' || (b.claim_pos - 1) || '].unit: domain'
+FROM faults f JOIN bbiz b USING ({K}) WHERE f.fault NOT IN ('no_insights', 'list') AND b.unit = 'ratio'"""
+_SHAPE = f"""SELECT f.entity_id, f.fiscal_year, f.fiscal_period, f.fault, f.fault NOT IN ('no_text', 'truncated') AS json_ok,
+  CASE WHEN f.fault NOT IN ('no_text', 'truncated') THEN coalesce(s.found, []) END AS shape_violations
+FROM faults f LEFT JOIN (SELECT {K}, list_sort(list(text)) AS found FROM shape_rows WHERE text IS NOT NULL GROUP BY ALL) s USING ({K})"""
+_ACCEPT = f"""SELECT s.entity_id, s.fiscal_year, s.fiscal_period, stage IS NULL AS accepted, stage,
+  CASE stage WHEN 'transport' THEN '{DOC.NO_RESPONSE}' WHEN 'syntax' THEN '{DOC.NO_JSON}'
+    WHEN 'schema' THEN array_to_string(shape_violations, '; ') WHEN 'period' THEN '{DOC.WRONG_PERIOD}'
+    WHEN 'contract' THEN CASE first_failure WHEN 'drivers_unavailable' THEN '{C.CONTRACT['drivers_unavailable']}'
+      WHEN 'categories' THEN '{C.CONTRACT['categories']}' ELSE '{C.CONTRACT['insight_sources']}' END
+    WHEN 'claims' THEN array_to_string(errors, ' ') END AS reason
+FROM (SELECT s.*, c.first_failure, e.errors,
+    CASE WHEN s.fault = 'no_text' THEN 'transport' WHEN NOT s.json_ok THEN 'syntax' WHEN len(s.shape_violations) > 0 THEN 'schema'
+      WHEN s.fault = 'wrong_period' OR h.claimed_fiscal_year <> h.fiscal_year THEN 'period'
+      WHEN c.first_failure = 'claims' THEN 'claims' WHEN c.first_failure IS NOT NULL THEN 'contract' END AS stage
+  FROM shape s JOIN compl c USING ({K}) JOIN errs e USING ({K}) JOIN heads h USING ({K})) s"""
+RESPONSE_CTES = [("faults", _FAULT), ("shape_rows", _SHAPE_ROWS), ("shape", _SHAPE), ("accept", _ACCEPT)]
+
+
+@register("response_shape", sql=_sql_errors(f"SELECT {K}, json_ok, shape_violations FROM shape", RESPONSE_CTES))
+def q_response_shape(spark, sf_dir):
+    """Every shape rule a provider response breaks, with its path."""
+    x = DOC.parsed(testdata.fx_responses(Bundle(spark, sf_dir).briefings), DOC.BRIEFING)
+    return x.select(*D.PACKET, "json_ok", "shape_violations")
+
+
+@register("response_acceptance", sql=_sql_errors("SELECT * FROM accept", RESPONSE_CTES))
+def q_response_acceptance(spark, sf_dir):
+    """Provider responses parsed, checked and accepted, or refused with stage and reason."""
+    x = DOC.accepted_briefings(testdata.fx_responses(Bundle(spark, sf_dir).briefings))
+    return x.select(*D.PACKET, "accepted", "stage", "reason")

@@ -66,9 +66,7 @@ def _sql(select: str) -> str:
 
 
 def _packets(spark, sf_dir):
-    """Packet tables over the fact tables written once (each packet table reads them
-    several times; without the cut every read would re-scan the line items)."""
-    return Fixtures(spark, sf_dir, shared=True).packets
+    return Fixtures(spark, sf_dir).packets
 
 
 @register("segment_reconcile", sql=_sql("SELECT * FROM recon"))
@@ -86,8 +84,7 @@ def q_orphan_sources(spark, sf_dir):
 @register("segment_contribution", sql=_sql("SELECT * FROM contrib"))
 def q_segment_contribution(spark, sf_dir):
     """Change and contribution share per segment of every valid packet."""
-    p = _packets(spark, sf_dir)
-    return D.contributions(p, D.reconciliation(p))
+    return D.contributions(_packets(spark, sf_dir))
 
 
 @register("segment_ranking", sql=_sql(f"""
@@ -98,24 +95,33 @@ FROM (SELECT *, CASE WHEN absolute_revenue_change > 0 THEN 'positive' ELSE 'nega
       FROM contrib WHERE absolute_revenue_change <> 0) x"""))
 def q_segment_ranking(spark, sf_dir):
     """Deterministic positive / negative contributor ranking."""
-    p = _packets(spark, sf_dir)
-    return D.ranking(D.contributions(p, D.reconciliation(p)))
+    return D.ranking(_packets(spark, sf_dir))
 
 
 @register("packet_violations", sql=with_all(*_PK) + f"""
 SELECT {K}, {", ".join(f"CAST(coalesce({c}, 0) AS BIGINT) AS {c}" for c in (
     "bad_classification", "non_integer_value", "bad_source_list", "seg_bad_classification", "seg_bad_source_list",
-    "bad_url", "bad_source_type", "bad_explanation"))},
+    "bad_url", "bad_source_type", "bad_explanation", "bad_unit", "bad_qualifier", "missing_value", "seg_non_integer",
+    "empty_records"))},
   CAST(coalesce(bad_classification, 0) + coalesce(non_integer_value, 0) + coalesce(bad_source_list, 0)
      + coalesce(seg_bad_classification, 0) + coalesce(seg_bad_source_list, 0) + coalesce(bad_url, 0)
-     + coalesce(bad_source_type, 0) + coalesce(bad_explanation, 0) AS BIGINT) AS violations
-FROM pk_head
+     + coalesce(bad_source_type, 0) + coalesce(bad_explanation, 0) + coalesce(bad_unit, 0) + coalesce(bad_qualifier, 0)
+     + coalesce(missing_value, 0) + coalesce(seg_non_integer, 0) + empty_records AS BIGINT) AS violations
+FROM (SELECT h.*, CAST(NOT EXISTS (SELECT 1 FROM pk_explanations e WHERE e.entity_id = h.entity_id
+        AND e.fiscal_year = h.fiscal_year AND e.fiscal_period = h.fiscal_period) AS INTEGER)
+      + CAST(NOT EXISTS (SELECT 1 FROM pk_facts f WHERE f.kind = 'product_indicator' AND f.entity_id = h.entity_id
+        AND f.fiscal_year = h.fiscal_year AND f.fiscal_period = h.fiscal_period) AS INTEGER) AS empty_records
+      FROM pk_head h) hd
 LEFT JOIN (SELECT {K}, sum(CASE WHEN classification <> 'reported' THEN 1 ELSE 0 END) AS bad_classification,
   sum(CASE WHEN unit IN ('usd', 'count') AND value <> floor(value) THEN 1 ELSE 0 END) AS non_integer_value,
   sum(CASE WHEN len(source_ids) <> len(list_distinct(source_ids)) OR len(source_ids) = 0 THEN 1 ELSE 0 END)
-    AS bad_source_list FROM pk_facts GROUP BY ALL) f USING ({K})
+    AS bad_source_list, sum(CASE WHEN unit NOT IN ('usd', 'percent', 'count') THEN 1 ELSE 0 END) AS bad_unit,
+  sum(CASE WHEN qualifier NOT IN ('exact', 'more_than') THEN 1 ELSE 0 END) AS bad_qualifier,
+  sum(CASE WHEN value IS NULL OR trim(label) = '' THEN 1 ELSE 0 END) AS missing_value FROM pk_facts GROUP BY ALL) f USING ({K})
 LEFT JOIN (SELECT {K}, sum(CASE WHEN classification <> 'reported' THEN 1 ELSE 0 END) AS seg_bad_classification,
-  sum(CASE WHEN len(source_ids) <> len(list_distinct(source_ids)) THEN 1 ELSE 0 END) AS seg_bad_source_list
+  sum(CASE WHEN len(source_ids) <> len(list_distinct(source_ids)) THEN 1 ELSE 0 END) AS seg_bad_source_list,
+  sum(CASE WHEN current_revenue <> floor(current_revenue) OR prior_year_revenue <> floor(prior_year_revenue) THEN 1 ELSE 0 END)
+    AS seg_non_integer
   FROM pk_segments GROUP BY ALL) s USING ({K})
 LEFT JOIN (SELECT {K}, sum(CASE WHEN NOT starts_with(url, '{URL_PREFIX}') THEN 1 ELSE 0 END) AS bad_url,
   sum(CASE WHEN source_type NOT IN ('press_release', 'metrics', 'earnings_call') THEN 1 ELSE 0 END) AS bad_source_type
@@ -138,7 +144,7 @@ FROM (SELECT DISTINCT entity_id, fiscal_year, fiscal_period FROM fx_long
 LEFT JOIN recon r USING ({K})""")
 def q_packet_availability(spark, sf_dir):
     """A5: every requested period gets an explicit available / unavailable / invalid state."""
-    fx = Fixtures(spark, sf_dir, shared=True)
+    fx = Fixtures(spark, sf_dir)
     periods = A.scoped(A.quarterly_wide(fx.long), SCOPE_MIN_FISCAL_YEAR).select(*D.PACKET)
     recon = D.reconciliation(fx.packets).withColumn("_has", F.lit(True))
     x = periods.join(recon, D.PACKET, "left")

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quarterline.functions.arrays import each
 from quarterline.operators import analytics as A
 from quarterline.operators import drivers as D
+from quarterline.operators import knowledge as KN
 from quarterline.operators import narrative as N
 from quarterline.plans import q_claims as QC
 from quarterline.plans import q_drivers as QD
@@ -140,8 +142,7 @@ def _mdir(cur: str, prev: str, label: str) -> str:
 
 _PARTS = (f"list_filter([{_mdir('gross_margin_pct', 'p_g', 'gross')}, {_mdir('operating_margin_pct', 'p_o', 'operating')}, "
           f"{_mdir('net_margin_pct', 'p_n', 'net')}], lambda x: x IS NOT NULL)")
-_INSIGHTS_SQL = _text_sql(f"""
-SELECT * FROM (
+_INSIGHT_ROWS = f"""
   SELECT entity_id, fiscal_year, fiscal_period, 0 AS pos, 'Current scale' AS title,
     'Entity ' || CAST(entity_id AS VARCHAR) || ' reported ' || {_fb('revenue')} || ' in revenue for FY'
       || CAST(fiscal_year AS VARCHAR) || ' ' || fiscal_period || '.' AS body FROM lt
@@ -155,8 +156,11 @@ SELECT * FROM (
     CASE WHEN len(parts) = 0 THEN NULL WHEN len(parts) = 1 THEN {_cap('parts[1]')} || '.'
          ELSE {_cap("array_to_string(list_slice(parts, 1, len(parts) - 1), ', ')")} || ', and ' || parts[len(parts)]
               || ' versus the prior quarter.' END
-    FROM (SELECT *, {_PARTS} AS parts FROM lt) m
-) x WHERE body IS NOT NULL""").replace("\nSELECT * FROM (", ", lt AS (SELECT * FROM " + _LATEST + ")\nSELECT * FROM (", 1)
+    FROM (SELECT *, {_PARTS} AS parts FROM lt) m"""
+_INSIGHTS_SQL = _text_sql(f"SELECT * FROM ({_INSIGHT_ROWS.replace('FROM lt', 'FROM ' + _LATEST + ' l')}) x WHERE body IS NOT NULL")
+# the insights of every period as one text
+INSIGHT_TEXTS = [("pm", _PM), ("insight_text", f"""SELECT {K}, string_agg(body, ' ' ORDER BY pos) AS body
+FROM ({_INSIGHT_ROWS.replace('FROM lt', 'FROM pm')}) x WHERE body IS NOT NULL GROUP BY {K}""")]
 
 
 @register("format_kpis", sql=_KPI_SQL)
@@ -197,14 +201,13 @@ def q_margin_direction(spark, sf_dir):
     return N.margin_directions(analytics)
 
 
+def summaries(spark, sf_dir):
+    """Knowledge rows of every grounded period with their summaries."""
+    return N.with_summary(QC.knowledge(Fixtures(spark, sf_dir)))
+
+
 def _pe(spark, sf_dir):
-    fx = Fixtures(spark, sf_dir, shared=True)
-    p = fx.packets
-    recon = D.reconciliation(p)
-    valid = recon.where(F.col("valid")).select(*D.PACKET)
-    ranking = D.ranking(D.contributions(p, recon))
-    ctx = QG.contexts(fx)
-    return N.plain_english(ctx, ranking, p["facts"], p["explanations"], valid)
+    return N.plain_english(summaries(spark, sf_dir))
 
 
 @register("plain_english", sql=_sql("SELECT * FROM pe"))
@@ -213,6 +216,24 @@ def q_plain_english(spark, sf_dir):
     return _pe(spark, sf_dir)
 
 
+_SOURCES = f"""SELECT {K}, list_sort(list(source_id)) AS source_ids FROM (
+  SELECT DISTINCT {K}, source_id FROM gf
+  UNION SELECT {K}, source_id FROM pk_sources WHERE ({K}) IN (SELECT ({K}) FROM recon WHERE valid)) s GROUP BY {K}"""
+
+
+@register("narrative_sources", sql=_sql(f"""
+SELECT p.entity_id, p.fiscal_year, p.fiscal_period, p.headline, p.pos, p.category, s.source_ids AS summary_sources,
+  CASE WHEN p.category IN ('revenue_momentum', 'profitability') THEN f.source_ids
+       ELSE list_filter(s.source_ids, lambda x: NOT list_contains(f.source_ids, x)) END AS source_ids
+FROM pe p JOIN ({_SOURCES}) s USING ({K})
+JOIN (SELECT {K}, list_sort(list(DISTINCT source_id)) AS source_ids FROM gf GROUP BY ALL) f USING ({K})"""))
+def q_narrative_sources(spark, sf_dir):
+    """The sorted sources of every summary and of each of its takeaways."""
+    x = summaries(spark, sf_dir).select(*D.PACKET, "headline", F.col("source_ids").alias("summary_sources"),
+                                        each("takeaways").alias("t"))
+    return x.select(*D.PACKET, "headline", "t.pos", "t.category", "summary_sources", "t.source_ids")
+
+
 @register("visible_takeaways", sql=_sql(f"""
 SELECT {K}, visible_rank, category, text FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY {K} ORDER BY {_PRIO}) AS INTEGER) AS visible_rank FROM pe
@@ -223,12 +244,7 @@ def q_visible_takeaways(spark, sf_dir):
 
 
 def _presentation(spark, sf_dir):
-    fx = Fixtures(spark, sf_dir, shared=True)
-    p = fx.packets
-    recon = D.reconciliation(p)
-    valid = recon.where(F.col("valid")).select(*D.PACKET)
-    ranking = D.ranking(D.contributions(p, recon))
-    return N.driver_presentation(ranking, p["facts"], p["explanations"], p["sources"], valid)
+    return N.driver_presentation(KN.packets_in_force(Fixtures(spark, sf_dir).packets))
 
 
 _SIG_IN = ", ".join(f"'{m}'" for m in N.PRIORITY_SIGNAL_METRICS)
@@ -279,10 +295,14 @@ FROM rnk
 UNION ALL
 SELECT {K}, 'signal', CAST({_SIG_CASE} AS INTEGER), label,
   CASE WHEN unit = 'percent' THEN CASE WHEN value > 0 THEN '+' ELSE '' END || {_trim_sql('value')} || '%'
-       WHEN unit = 'usd' THEN {_signed_billions_sql('value')} ELSE {_trim_sql('value')} END,
+       WHEN unit = 'usd' THEN {_signed_billions_sql('value')}
+       WHEN unit = 'count' THEN CASE WHEN qualifier = 'more_than' THEN 'More than ' ELSE '' END
+         || CASE WHEN value >= 1000000 AND value % 1000000 = 0 THEN CAST(CAST(value AS BIGINT) // 1000000 AS VARCHAR) || ' million'
+                 ELSE format('{{:,}}', CAST(value AS BIGINT)) END ELSE {_trim_sql('value')} END,
   CASE WHEN unit = 'percent' THEN CASE WHEN value > 0 THEN 'positive' WHEN value < 0 THEN 'negative'
        ELSE 'neutral' END ELSE 'neutral' END
-FROM (SELECT {K}, metric, arg_max(label, pos) AS label, arg_max(value, pos) AS value, arg_max(unit, pos) AS unit
+FROM (SELECT {K}, metric, arg_max(label, pos) AS label, arg_max(value, pos) AS value, arg_max(unit, pos) AS unit,
+        arg_max(qualifier, pos) AS qualifier
       FROM pk_facts WHERE kind = 'product_indicator' AND {_VALID_K} GROUP BY ALL) i
 WHERE {_SIG_CASE} IS NOT NULL
 UNION ALL

@@ -47,8 +47,7 @@ def q_grounded_figures_part(spark, sf_dir):
 @register("segment_contribution_part", sql=_sql("segment_contribution"))
 def q_segment_contribution_part(spark, sf_dir):
     """E6 per part."""
-    p = Fixtures(spark, sf_dir, grain="part", shared=True).packets
-    return D.contributions(p, D.reconciliation(p))
+    return D.contributions(Fixtures(spark, sf_dir, grain="part").packets)
 
 
 @register("claim_status_part", sql=_sql("claim_status"))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import functions as F
 
-from quarterline.operators import claims as C
 from quarterline.operators import drivers as D
 from quarterline.operators import narrative as N
 from quarterline.operators import qa as Q
@@ -14,7 +15,6 @@ from quarterline.plans import q_grounding as QG
 from quarterline.plans import q_narrative as QN
 from quarterline.plans.catalog import Fixtures, register
 from quarterline.plans.fixture_sql import with_all
-from quarterline.session import reuse
 from quarterline.sources import testdata
 
 K = "entity_id, fiscal_year, fiscal_period"
@@ -112,7 +112,12 @@ UNION ALL SELECT session_id, turn, {K}, 2, 'demand', 'management_explanation', N
 _ATX = f"""SELECT session_id, turn, {K},
   CASE WHEN p % 2 = 0 THEN 'Revenue was reported, and management cited demand.'
        ELSE 'Revenue grew; we recommend you buy.' END AS answer,
-  CASE WHEN p = 3 THEN ['unknown:source', src, call] ELSE [src, call] END AS source_ids
+  CASE WHEN p = 3 THEN ['unknown:source', src, call] ELSE [src, call] END AS source_ids,
+  fiscal_year - ((abs(session_id) + turn) % 13 = 0)::INT AS claimed_fiscal_year,
+  CASE WHEN (abs(session_id) + turn) % 7 = 0 THEN {_s(testdata.ADVICE_EXPLANATION)}
+       WHEN (abs(session_id) + turn) % 7 <> 1 THEN {_s(testdata.PLAIN_EXPLANATION)} END AS explanation,
+  CASE WHEN (abs(session_id) + turn) % 11 = 0 THEN [{_s(testdata.PLAIN_AREA)}, {_s(testdata.ADVICE_AREA)}]
+       ELSE [{_s(testdata.PLAIN_AREA)}] END AS areas
 FROM req"""
 _ROLE_RANK = "CASE role WHEN 'current' THEN 0 WHEN 'previous' THEN 1 WHEN 'prior_year' THEN 2 ELSE 3 END"
 _CST = f"""SELECT c.session_id, c.turn, c.claim_pos, c.entity_id, c.fiscal_year, c.fiscal_period, c.metric,
@@ -158,39 +163,25 @@ def _sql(select: str) -> str:
 
 
 class QABundle:
-    """Shared frames of the Q&A queries (materialised once per builder call)."""
-
-    def __init__(self, spark, sf_dir, with_claims: bool = False):
-        fx = Fixtures(spark, sf_dir, shared=True)
-        p = fx.packets
-        self.p = p
-        self.recon = reuse(D.reconciliation(p))
-        self.valid = self.recon.where(F.col("valid")).select(*D.PACKET)
-        self.contrib = reuse(D.contributions(p, self.recon))
-        self.ranking = reuse(D.ranking(self.contrib))
-        ctx = reuse(QG.contexts(fx))
-        self.ctx = ctx
-        takeaways = N.plain_english(ctx, self.ranking, p["facts"], p["explanations"], self.valid)
-        self.summary = reuse(Q.summaries(takeaways))
-        self.questions = reuse(testdata.fx_questions(fx.table("conversations"), ctx.select(*D.PACKET)))
-        if with_claims:
-            from quarterline.operators import grounding as G
-            self.figures = reuse(G.grounded_figures(ctx))
-            self.approved = reuse(C.approved_claims(p, self.recon, self.contrib))
-            self.allowed = C.allowed_sources(self.figures, p["sources"], self.recon)
+    """Questions on the knowledge row of their period, answered and checked; built lazily."""
+
+    def __init__(self, spark, sf_dir):
+        self.fx = Fixtures(spark, sf_dir)
 
+    @cached_property
     def answers(self):
-        return reuse(Q.answer(self.questions, self.summary, self.ranking, self.valid))
+        latest = Q.latest(N.with_summary(QC.knowledge(self.fx)))
+        return Q.answer(testdata.fx_questions(self.fx.table("conversations"), latest))
 
+    @cached_property
     def provider_answers(self):
-        req = reuse(self.answers().where(F.col("mode") == "provider_request"))
-        return {k: reuse(v) for k, v in testdata.fx_answers(req, self.figures, self.valid).items()}
+        return testdata.fx_answers(self.answers.where(F.col("mode") == "provider_request"))
 
 
 @register("question_route", sql=_sql("SELECT * FROM ans"))
 def q_question_route(spark, sf_dir):
     """Normalise, gate, route and answer every user turn."""
-    return QABundle(spark, sf_dir).answers()
+    return QABundle(spark, sf_dir).answers.select(*Q.ANSWER_COLUMNS)
 
 
 @register("glossary_match", sql=_sql(
@@ -200,8 +191,7 @@ def q_question_route(spark, sf_dir):
 def q_glossary_match(spark, sf_dir):
     """H5: the glossary entry matched by each question (longest alias first)."""
     fx = Fixtures(spark, sf_dir)
-    ctx = QG.contexts(fx)
-    questions = testdata.fx_questions(fx.table("conversations"), ctx.select(*D.PACKET))
+    questions = testdata.fx_questions(fx.table("conversations"), Q.latest(QG.contexts(fx).select(*D.PACKET)))
     norm = Q.normalize(F.col("question"))
     diff = norm.contains("difference") & norm.contains("qoq") & norm.contains("yoy")
     entry = F.when(diff, F.lit("QoQ/YoY")).otherwise(Q.glossary_label(norm))
@@ -214,7 +204,7 @@ def q_glossary_match(spark, sf_dir):
     f"provider_eligible AND provider_used_before >= {Q.MAX_PROVIDER_QUESTIONS} AS over_quota FROM ans"))
 def q_qa_quota(spark, sf_dir):
     """Running per-session count of provider requests; the sixth is refused."""
-    a = QABundle(spark, sf_dir).answers()
+    a = QABundle(spark, sf_dir).answers
     return a.select("session_id", "turn", "provider_eligible", "provider_used_before",
                     (F.col("provider_eligible") & (F.col("provider_used_before") >= Q.MAX_PROVIDER_QUESTIONS))
                     .alias("over_quota"))
@@ -263,53 +253,71 @@ def q_advice_filter(spark, sf_dir):
 @register("answer_claim_status", sql=_sql("SELECT * FROM cst"))
 def q_answer_claim_status(spark, sf_dir):
     """Provider answer claims against grounded figures, approved claims, explanations."""
-    b = QABundle(spark, sf_dir, with_claims=True)
-    a = b.provider_answers()
-    return Q.answer_claim_status(a["claims"], a["answers"], b.figures, b.approved, b.allowed, b.p["explanations"])
+    return Q.answer_claim_status(QABundle(spark, sf_dir).provider_answers)
 
 
-@register("answer_violations", sql=_sql(f"""
-SELECT t.session_id, t.turn, t.entity_id, t.fiscal_year, t.fiscal_period,
-  CAST(coalesce(bad, 0) AS BIGINT) AS unsupported_sources,
-  CAST(regexp_matches(t.answer, {_s(_ADV)}) AS BIGINT) AS advice_language,
-  CAST(coalesce(errs, 0) AS BIGINT) AS claim_errors,
-  CAST(coalesce(bad, 0) + CAST(regexp_matches(t.answer, {_s(_ADV)}) AS INTEGER) + coalesce(errs, 0) AS BIGINT)
-    AS total_errors,
-  coalesce(bad, 0) + CAST(regexp_matches(t.answer, {_s(_ADV)}) AS INTEGER) + coalesce(errs, 0) = 0 AS approved
+_ADVICE_IN = f"regexp_matches(concat_ws(' ', t.answer, t.explanation, array_to_string(t.areas, ' ')), {_s(_ADV)})"
+_AERR = f"""SELECT t.session_id, t.turn, t.entity_id, t.fiscal_year, t.fiscal_period,
+  (t.claimed_fiscal_year <> t.fiscal_year)::INT AS slipped, coalesce(bad, 0) AS bad, ({_ADVICE_IN})::INT AS advice,
+  coalesce(errs, 0) AS errs, coalesce(texts, []) AS texts
 FROM atx t
 LEFT JOIN (SELECT DISTINCT session_id, turn, 1 AS bad FROM (SELECT *, unnest(source_ids) AS source_id FROM atx) s
            WHERE NOT EXISTS (SELECT 1 FROM allowed a WHERE {QC._on('a', 's', ('source_id',))})) b
   USING (session_id, turn)
-LEFT JOIN (SELECT session_id, turn, count(*) AS errs FROM cst WHERE status <> 'match' GROUP BY ALL) e
-  USING (session_id, turn)"""))
+LEFT JOIN (SELECT session_id, turn, count(*) AS errs, list(CASE status
+             WHEN 'unsupported_source' THEN 'Unsupported claim source for ' || metric || '.'
+             WHEN 'unsupported_management' THEN 'Unsupported or unattributed management explanation.'
+             ELSE 'Unsupported or mismatched claim: ' || metric || '.' END ORDER BY claim_pos) AS texts
+           FROM cst WHERE status <> 'match' GROUP BY ALL) e USING (session_id, turn)"""
+
+
+@register("answer_violations", sql=_sql(f"""
+SELECT session_id, turn, entity_id, fiscal_year, fiscal_period, slipped::BIGINT AS period_mismatch,
+  bad::BIGINT AS unsupported_sources, advice::BIGINT AS advice_language, errs::BIGINT AS claim_errors,
+  (slipped + bad + advice + errs)::BIGINT AS total_errors, slipped + bad + advice + errs = 0 AS approved FROM ({_AERR}) v"""))
 def q_answer_violations(spark, sf_dir):
-    """Per provider answer -- unsupported sources, advice language, claim errors."""
-    b = QABundle(spark, sf_dir, with_claims=True)
-    a = b.provider_answers()
-    st = Q.answer_claim_status(a["claims"], a["answers"], b.figures, b.approved, b.allowed, b.p["explanations"])
-    return Q.answer_violations(a["answers"], st, b.allowed)
+    """Per provider answer -- period, unsupported sources, advice language in any text, claim errors."""
+    return Q.answer_violations(Q.validated_answers(QABundle(spark, sf_dir).provider_answers))
+
+
+@register("answer_errors", sql=_sql(f"""
+SELECT session_id, turn, list_concat(list_filter([
+    CASE WHEN slipped = 1 THEN {_s(Q.ANSWER_ERRORS['period'])} END, CASE WHEN bad = 1 THEN {_s(Q.ANSWER_ERRORS['sources'])} END,
+    CASE WHEN advice = 1 THEN {_s(Q.ANSWER_ERRORS['advice'])} END], lambda x: x IS NOT NULL), texts) AS errors FROM ({_AERR}) v"""))
+def q_answer_errors(spark, sf_dir):
+    """All error texts of every provider answer, in the order of the checks."""
+    v = Q.validated_answers(QABundle(spark, sf_dir).provider_answers)
+    return v.select(*Q.TURN, F.transform("errors", lambda e: e["text"]).alias("errors"))
+
+
+_MODES = f"""SELECT a.session_id, a.turn,
+  CASE WHEN a.mode <> 'provider_request' THEN a.mode WHEN coalesce(ok, false) THEN 'grounded_ai' ELSE 'insufficient_context' END AS mode,
+  CASE WHEN a.mode <> 'provider_request' THEN a.answer WHEN coalesce(ok, false) THEN t.answer
+       ELSE {_s(Q.SAFE_FAILURE_MESSAGE)} END AS message,
+  a.mode = 'provider_request' AS provider_request_made,
+  CASE WHEN a.mode = 'provider_request' THEN CASE WHEN coalesce(ok, false) THEN t.source_ids ELSE CAST([] AS VARCHAR[]) END
+       WHEN a.mode = 'deterministic' AND a.route <> 'glossary' THEN s.source_ids ELSE CAST([] AS VARCHAR[]) END AS source_ids
+FROM ans a
+LEFT JOIN (SELECT session_id, turn, slipped + bad + advice + errs = 0 AS ok FROM ({_AERR}) v) v USING (session_id, turn)
+LEFT JOIN atx t USING (session_id, turn)
+LEFT JOIN ({QN._SOURCES}) s ON s.entity_id = a.entity_id AND s.fiscal_year = a.fiscal_year AND s.fiscal_period = a.fiscal_period"""
+
+
+@register("answer_mode", sql=_sql(f"SELECT session_id, turn, mode, message, provider_request_made FROM ({_MODES}) m"))
+def q_answer_mode(spark, sf_dir):
+    """H8: deterministic / grounded_ai / insufficient_context per question, after the answers are checked."""
+    return _final_modes(spark, sf_dir).drop("source_ids")
 
 
-_AVIOL = f"""SELECT t.session_id, t.turn, coalesce(bad, 0) + CAST(regexp_matches(t.answer, {_s(_ADV)}) AS INTEGER)
-  + coalesce(errs, 0) = 0 AS approved
-FROM atx t
-LEFT JOIN (SELECT DISTINCT session_id, turn, 1 AS bad FROM (SELECT *, unnest(source_ids) AS source_id FROM atx) s
-           WHERE NOT EXISTS (SELECT 1 FROM allowed a WHERE {QC._on('a', 's', ('source_id',))})) b USING (session_id, turn)
-LEFT JOIN (SELECT session_id, turn, count(*) AS errs FROM cst WHERE status <> 'match' GROUP BY ALL) e USING (session_id, turn)"""
+def _final_modes(spark, sf_dir):
+    # the generated answers stand on the questions' own rows; only requests look at them
+    return Q.final_modes(Q.validated_answers(testdata.fx_answers(QABundle(spark, sf_dir).answers)))
 
 
-@register("answer_mode", sql=_sql(f"""
-SELECT session_id, turn, CASE WHEN mode <> 'provider_request' THEN mode WHEN coalesce(approved, false) THEN 'grounded_ai'
-  ELSE 'insufficient_context' END AS mode,
-  CASE WHEN mode = 'provider_request' AND NOT coalesce(approved, false) THEN {_s(Q.SAFE_FAILURE_MESSAGE)} ELSE answer END AS message,
-  mode = 'provider_request' AS provider_request_made
-FROM ans LEFT JOIN ({_AVIOL}) v USING (session_id, turn)"""))
-def q_answer_mode(spark, sf_dir):
-    """H8: deterministic / grounded_ai / insufficient_context per question, after the answers are checked."""
-    b = QABundle(spark, sf_dir, with_claims=True)
-    a = b.provider_answers()
-    st = Q.answer_claim_status(a["claims"], a["answers"], b.figures, b.approved, b.allowed, b.p["explanations"])
-    return Q.final_modes(b.answers(), Q.answer_violations(a["answers"], st, b.allowed))
+@register("answer_sources", sql=_sql(f"SELECT session_id, turn, mode, source_ids FROM ({_MODES}) m WHERE len(source_ids) > 0"))
+def q_answer_sources(spark, sf_dir):
+    """The sources of every answer that names some: the summary's, or those of an approved provider answer."""
+    return _final_modes(spark, sf_dir).where(F.size("source_ids") > 0).select(*Q.TURN, "mode", "source_ids")
 
 
 @register("source_labels", sql=_sql(f"""
@@ -321,6 +329,4 @@ LEFT JOIN pk_sources s ON {QC._on('s', 'x', ('source_id',))}
 GROUP BY session_id, turn"""))
 def q_source_labels(spark, sf_dir):
     """Cited sources rendered as ``title (id)`` in citation order."""
-    b = QABundle(spark, sf_dir, with_claims=True)
-    a = b.provider_answers()
-    return Q.source_labels(a["answers"], b.p["sources"])
+    return Q.source_labels(QABundle(spark, sf_dir).provider_answers)

@@ -8,6 +8,9 @@ named, and blocks lost with an executor are computed again.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,3 +45,23 @@ def reuse(df: DataFrame) -> DataFrame:
     consumers share one evaluation and one plan.  Lazy; equal plans share one
     copy; ``spark.catalog.clearCache()`` frees it."""
     return df.persist(StorageLevel.DISK_ONLY)
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
+
+    A session without the setting (tests) gets a folder of its own, which
+    only a local master may use.
+    """
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        path = tempfile.mkdtemp(prefix="quarterline-shared-")
+        spark.sparkContext.setCheckpointDir(path)
+    return path.rstrip("/")
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_dir(spark)}/fiscal/{name}-{uuid.uuid4().hex}"

@@ -5,8 +5,6 @@
   scoped row count -- one small aggregate per export, no data to the driver.
 * ``publish_exports`` (A8): write every export to a staging folder, check all
   of them, and only then move them into place (all or none).
-* ``publish_briefings`` (A9): persist only validated documents, replacing
-  exactly the (entity, period) partitions being written (dynamic overwrite).
 * ``write_csv`` (A7): processed-facts CSV with a fixed column order.
 """
 
@@ -108,19 +106,6 @@ def read_exports(spark, target: str) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(f"{base}/{version}/{name}") for name in EXPORT_COLUMNS}
 
 
-def publish_briefings(documents: DataFrame, complete: DataFrame, path: str) -> None:
-    """Persist only complete briefings; replace just their (entity, period) partitions."""
-    keys = ["entity_id", "fiscal_year", "fiscal_period"]
-    ok = complete.where(F.col("complete")).select(*keys)
-    spark = documents.sparkSession
-    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        documents.join(ok, keys, "left_semi").write.mode("overwrite").partitionBy(*keys).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
-
-
 def write_csv(facts: DataFrame, path: str) -> None:
     """Processed facts as CSV with the fixed column order, sorted within files."""
     (facts.select(*FACT_CSV_COLUMNS)

@@ -20,7 +20,8 @@ SOURCE = T.StructType([T.StructField("source_id", T.StringType()), T.StructField
 FACT = T.StructType([T.StructField("metric", T.StringType()), T.StructField("label", T.StringType()),
                      T.StructField("value", T.StringType()), T.StructField("unit", T.StringType()),
                      T.StructField("classification", T.StringType()),
-                     T.StructField("source_ids", T.ArrayType(T.StringType()))])
+                     T.StructField("source_ids", T.ArrayType(T.StringType())),
+                     T.StructField("qualifier", T.StringType())])
 SEGMENT = T.StructType([T.StructField("segment", T.StringType()), T.StructField("current_revenue", T.StringType()),
                         T.StructField("prior_year_revenue", T.StringType()),
                         T.StructField("reported_growth_pct", T.StringType()),
@@ -40,7 +41,7 @@ PACKET = T.StructType([
 TOP_KEYS = [f.name for f in PACKET.fields]
 RECORD_KEYS = {"sources": [f.name for f in SOURCE.fields], "reported_facts": [f.name for f in FACT.fields],
                "segment_results": [f.name for f in SEGMENT.fields],
-               "product_indicators": [f.name for f in FACT.fields] + ["qualifier"],
+               "product_indicators": [f.name for f in FACT.fields],
                "management_explanations": [f.name for f in EXPLANATION.fields]}
 REQUIRED = ["schema_version", "entity_id", "reporting_period.fiscal_year", "reporting_period.fiscal_period", "sources",
             "reported_facts", "segment_results"]
@@ -96,74 +97,72 @@ def strict_parse(docs: DataFrame) -> DataFrame:
                       (~F.col("malformed") & F.when(fname.isNull(), F.lit(True)).otherwise(same)).alias("period_matches"))
 
 
-def packets_to_json(p: dict[str, DataFrame], extra_field: Column | None = None) -> DataFrame:
-    """Fixture writer: packet child tables -> one JSON document per packet.
+def packets_to_json(packets: DataFrame, extra_field: Column | None = None) -> DataFrame:
+    """Packet rows -> one JSON document each, with the file name of its period.
 
     ``extra_field`` (a boolean column over the packet key) adds a field that
     is not in the schema, for the strictness check to find.
     """
     keys = ["entity_id", "fiscal_year", "fiscal_period"]
-    rp = F.struct(F.col("fiscal_year").alias("fiscal_year"), F.col("fiscal_period").alias("fiscal_period"))
-
-    def records(df: DataFrame, name: str, struct: Column, order: list[str]) -> DataFrame:
-        return df.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct(
-            *[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)], struct.alias("r")))), lambda x: x["r"])
-            .alias(name))
-
-    src = records(p["sources"], "sources", F.struct(
-        "source_id", F.struct(F.col("source_fiscal_year").alias("fiscal_year"),
-                              F.col("source_fiscal_period").alias("fiscal_period")).alias("reporting_period"),
-        "source_type", "title", "url"), ["source_id"])
-    fact = lambda kind, name: records(
-        p["facts"].where(F.col("kind") == kind), name,
-        F.struct("metric", "label", F.col("value").cast("string").alias("value"), "unit", "classification",
-                 "source_ids"), ["pos"])
-    seg = records(p["segments"], "segment_results", F.struct(
-        "segment", F.col("current_revenue").cast("string").alias("current_revenue"),
-        F.col("prior_year_revenue").cast("string").alias("prior_year_revenue"),
-        F.col("reported_growth_pct").cast("string").alias("reported_growth_pct"), "classification", "source_ids"),
-        ["segment"])
-    ex = records(p["explanations"], "management_explanations", F.struct(
-        "explanation_id", "statement", "attribution", "classification", "source_ids"), ["explanation_id"])
-    head = p["head"].select(*keys, "derived_metric_count")
-    for part in (src, fact("reported_fact", "reported_facts"), fact("product_indicator", "product_indicators"),
-                 seg, ex):
-        head = head.join(part, keys, "left")
+
+    def period(fy: Column, fp: Column) -> Column:
+        return F.struct(fy.alias("fiscal_year"), fp.alias("fiscal_period"))
+
+    def facts(kind: str) -> Column:
+        return F.transform(F.filter("facts", lambda f: f["kind"] == kind), lambda f: F.struct(
+            f["metric"].alias("metric"), f["label"].alias("label"), f["value"].cast("string").alias("value"),
+            f["unit"].alias("unit"), f["classification"].alias("classification"), f["source_ids"].alias("source_ids"),
+            f["qualifier"].alias("qualifier")))
+
+    sources = F.transform("sources", lambda s: F.struct(
+        s["source_id"].alias("source_id"), period(s["source_fiscal_year"], s["source_fiscal_period"]).alias("reporting_period"),
+        s["source_type"].alias("source_type"), s["title"].alias("title"), s["url"].alias("url")))
+    segments = F.transform("segments", lambda s: F.struct(
+        s["segment"].alias("segment"), *[s[c].cast("string").alias(c) for c in (
+            "current_revenue", "prior_year_revenue", "reported_growth_pct")],
+        s["classification"].alias("classification"), s["source_ids"].alias("source_ids")))
     doc = F.struct(
-        F.lit("1.0").alias("schema_version"), F.col("entity_id"), rp.alias("reporting_period"), "sources",
-        "reported_facts", "segment_results", "product_indicators",
-        F.array().cast(T.ArrayType(FACT)).alias("derived_metrics"), "management_explanations")
+        F.lit("1.0").alias("schema_version"), F.col("entity_id"),
+        period(F.col("fiscal_year"), F.col("fiscal_period")).alias("reporting_period"), sources.alias("sources"),
+        facts("reported_fact").alias("reported_facts"), segments.alias("segment_results"),
+        facts("product_indicator").alias("product_indicators"),
+        F.array().cast(T.ArrayType(FACT)).alias("derived_metrics"), F.col("explanations").alias("management_explanations"))
     text = F.to_json(doc)
     if extra_field is not None:
         text = F.when(extra_field, F.regexp_replace(text, r"\}$", ',"reviewer_note":"draft"}')).otherwise(text)
-    return head.select(*keys, F.concat(F.lit("FY"), F.col("fiscal_year").cast("string"), F.lit("-"),
-                                       F.col("fiscal_period"), F.lit(".json")).alias("file_name"), text.alias("json"))
+    return packets.select(*keys, F.concat(F.lit("FY"), F.col("fiscal_year").cast("string"), F.lit("-"),
+                                          F.col("fiscal_period"), F.lit(".json")).alias("file_name"), text.alias("json"))
+
 
+def parsed_packets(parsed: DataFrame) -> DataFrame:
+    """Well-formed parsed packets as packet rows, keyed by the packet's own period.
 
-def explode_packets(parsed: DataFrame) -> dict[str, DataFrame]:
-    """Parsed packets -> the child tables the packet checks read (keyed by the
-    packet's own period).  Decimal text goes through ``try_cast``: bad text is NULL."""
+    Decimal text goes through ``try_cast``: bad text is NULL.  Segment revenue
+    stays DECIMAL, so that fractions reach the integer rule.
+    """
     pk = F.col("packet")
-    base = parsed.where(~F.col("malformed")).select(
+    dec = lambda c: c.try_cast("decimal(38,6)")
+
+    def none(kind: T.ArrayType) -> Column:
+        return F.array().cast(kind)
+
+    def facts(field: str, kind: str) -> Column:
+        return F.transform(F.coalesce(pk[field], none(T.ArrayType(FACT))), lambda f, i: F.struct(
+            F.lit(kind).alias("kind"), i.cast("int").alias("pos"), f["metric"].alias("metric"), f["label"].alias("label"),
+            dec(f["value"]).alias("value"), f["unit"].alias("unit"), f["classification"].alias("classification"),
+            f["source_ids"].alias("source_ids"), F.coalesce(f["qualifier"], F.lit("exact")).alias("qualifier")))
+
+    return parsed.where(~F.col("malformed")).select(
         pk["entity_id"].alias("entity_id"), pk["reporting_period"]["fiscal_year"].alias("fiscal_year"),
-        pk["reporting_period"]["fiscal_period"].alias("fiscal_period"), "packet")
-    keys = ["entity_id", "fiscal_year", "fiscal_period"]
-    head = base.select(*keys, F.size(F.coalesce(pk["derived_metrics"], F.array())).alias("derived_metric_count"))
-    src = base.select(*keys, F.explode(pk["sources"]).alias("s")).select(
-        *keys, "s.source_id", F.col("s.reporting_period.fiscal_year").alias("source_fiscal_year"),
-        F.col("s.reporting_period.fiscal_period").alias("source_fiscal_period"), "s.source_type", "s.title", "s.url")
-
-    def facts(field: str, kind: str) -> DataFrame:
-        return base.select(*keys, F.posexplode(pk[field]).alias("pos", "f")).select(
-            *keys, F.lit(kind).alias("kind"), F.col("pos").cast("int").alias("pos"), "f.metric", "f.label",
-            F.col("f.value").try_cast("decimal(38,6)").alias("value"), "f.unit", "f.classification", "f.source_ids")
-
-    segs = base.select(*keys, F.explode(pk["segment_results"]).alias("g")).select(
-        *keys, "g.segment", F.col("g.current_revenue").try_cast("bigint").alias("current_revenue"),
-        F.col("g.prior_year_revenue").try_cast("bigint").alias("prior_year_revenue"),
-        F.col("g.reported_growth_pct").try_cast("decimal(38,6)").alias("reported_growth_pct"),
-        "g.classification", "g.source_ids")
-    expl = base.select(*keys, F.explode(pk["management_explanations"]).alias("e")).select(
-        *keys, "e.explanation_id", "e.statement", "e.attribution", "e.classification", "e.source_ids")
-    return {"head": head, "sources": src, "facts": facts("reported_facts", "reported_fact").unionByName(
-        facts("product_indicators", "product_indicator")), "segments": segs, "explanations": expl}
+        pk["reporting_period"]["fiscal_period"].alias("fiscal_period"), pk["schema_version"].alias("schema_version"),
+        F.size(F.coalesce(pk["derived_metrics"], none(T.ArrayType(FACT)))).alias("derived_metric_count"),
+        F.transform(F.coalesce(pk["sources"], none(T.ArrayType(SOURCE))), lambda s: F.struct(
+            s["source_id"].alias("source_id"), s["reporting_period"]["fiscal_year"].alias("source_fiscal_year"),
+            s["reporting_period"]["fiscal_period"].alias("source_fiscal_period"), s["source_type"].alias("source_type"),
+            s["title"].alias("title"), s["url"].alias("url"))).alias("sources"),
+        F.concat(facts("reported_facts", "reported_fact"), facts("product_indicators", "product_indicator")).alias("facts"),
+        F.transform(F.coalesce(pk["segment_results"], none(T.ArrayType(SEGMENT))), lambda s: F.struct(
+            s["segment"].alias("segment"), *[dec(s[c]).alias(c) for c in (
+                "current_revenue", "prior_year_revenue", "reported_growth_pct")],
+            s["classification"].alias("classification"), s["source_ids"].alias("source_ids"))).alias("segments"),
+        F.coalesce(pk["management_explanations"], none(T.ArrayType(EXPLANATION))).alias("explanations"))

@@ -263,6 +263,7 @@ STALE_SOURCE_MOD, STALE_SOURCE_REM = 19, 6  # metrics source dated one year earl
 RULE_MOD = 23
 BAD_FACT_CLASS, DUP_FACT_SOURCE, BAD_SEG_CLASS, DUP_SEG_SOURCE, BAD_URL, BAD_SOURCE_TYPE, BAD_ATTRIBUTION = 9, 10, 11, 12, 13, 14, 15
 DUP_SOURCE, MISSING_FACT, PRIOR_OFF, CHANGE_OFF = 16, 18, 19, 20
+NO_EXPLANATIONS, BAD_UNIT, BAD_QUALIFIER = 8, 21, 22
 HALF_DOLLAR_MOD, HALF_DOLLAR_REM = 26, 17  # the overriding indicator is not a whole dollar
 SOURCE_TYPES = ["press_release", "metrics", "earnings_call"]
 URL_PREFIX = "https://investor.example.com/"
@@ -274,55 +275,56 @@ def _sid(kind: str):
                     F.lit("-"), F.col("fiscal_period"), F.lit("-" + kind))
 
 
-def fx_packets(wide: DataFrame, segments: DataFrame) -> dict[str, DataFrame]:
-    """Approved packets for every (entity, quarter) whose prior-year quarter exists.
+def fx_packets(segments: DataFrame) -> DataFrame:
+    """Approved packets for every (entity, quarter) whose prior-year quarter exists, one row each.
 
-    Returned as exploded child tables keyed by (entity_id, fiscal_year,
-    fiscal_period): ``head``, ``sources``, ``facts`` (reported facts and
-    product indicators), ``segments`` and ``explanations``.
+    ``segments``: revenue per (entity, segment, quarter).  A quarter's segments
+    are gathered once (a handful per entity) and the prior year's come from a
+    calendar frame over the entity's quarters; no join.
     """
-    cur = wide.select("entity_id", "fiscal_year", "q", "revenue")
-    prior = wide.select("entity_id", (F.col("fiscal_year") + 1).alias("fiscal_year"), "q",
-                        F.col("revenue").alias("prior_revenue"))
-    head = cur.join(prior, ["entity_id", "fiscal_year", "q"]).select(
-        "entity_id", "fiscal_year", F.concat(F.lit("Q"), F.col("q").cast("string")).alias("fiscal_period"), "q",
-        "revenue", "prior_revenue",
-        F.when(F.col("entity_id") % DERIVED_MOD == DERIVED_REM, 1).otherwise(0).alias("derived_metric_count"),
-    )
+    per = segments.groupBy("entity_id", "fiscal_year", "q").agg(
+        F.sum(F.col("revenue").cast("decimal(38,0)")).cast("bigint").alias("revenue"),
+        F.map_from_entries(F.collect_list(F.struct("segment", "revenue"))).alias("cur"))
+    year_ago = Window.partitionBy("entity_id").orderBy(F.col("fiscal_year") * 4 + F.col("q")).rangeBetween(-4, -4)
+    head = per.withColumns({"prior_revenue": F.first("revenue").over(year_ago), "pri": F.first("cur").over(year_ago)}) \
+        .where(F.col("pri").isNotNull()).withColumn("fiscal_period", F.concat(F.lit("Q"), F.col("q").cast("string")))
     keys = ["entity_id", "fiscal_year", "fiscal_period"]
-    ent = F.col("entity_id")
+    ent, fy = F.col("entity_id"), F.col("fiscal_year")
     broken = lambda rule: ent % RULE_MOD == rule
-    stype = F.explode(F.array(*[F.lit(t) for t in SOURCE_TYPES])).alias("source_type")
-    sources = head.select(*keys, stype).select(
-        *keys,
-        F.concat(F.lit("e"), ent.cast("string"), F.lit("-fy"), F.col("fiscal_year").cast("string"), F.lit("-"),
-                 F.col("fiscal_period"), F.lit("-"), F.when(broken(DUP_SOURCE) & (F.col("source_type") == "metrics"), "press_release")
-                 .otherwise(F.col("source_type"))).alias("source_id"),
-        F.when((F.col("source_type") == "metrics") & (ent % STALE_SOURCE_MOD == STALE_SOURCE_REM),
-               F.col("fiscal_year") - 1).otherwise(F.col("fiscal_year")).cast("int").alias("source_fiscal_year"),
-        F.col("fiscal_period").alias("source_fiscal_period"),
-        F.when(broken(BAD_SOURCE_TYPE) & (F.col("source_type") == "earnings_call"), "blog").otherwise(F.col("source_type"))
-        .alias("source_type"),
-        F.concat_ws(" ", F.lit("Entity"), ent.cast("string"), F.concat(F.lit("FY"), F.col("fiscal_year").cast("string")),
-                    F.col("fiscal_period"), F.col("source_type")).alias("title"),
-        F.concat(F.when(broken(BAD_URL) & (F.col("source_type") == "metrics"), "http://elsewhere.example.org/").otherwise(F.lit(URL_PREFIX)), F.lit("e"), ent.cast("string"), F.lit("/fy"), F.col("fiscal_year").cast("string"),
-                 F.lit("-"), F.lower(F.col("fiscal_period")), F.lit("/"), F.col("source_type")).alias("url"),
-    )
-    press = _sid("press_release")
-    metrics = _sid("metrics")
+
+    def source(kind: str):
+        shown = F.when(broken(DUP_SOURCE), "press_release").otherwise(kind) if kind == "metrics" else F.lit(kind)
+        prefix = F.when(broken(BAD_URL), "http://elsewhere.example.org/").otherwise(URL_PREFIX) if kind == "metrics" else F.lit(URL_PREFIX)
+        stale = F.when(ent % STALE_SOURCE_MOD == STALE_SOURCE_REM, fy - 1).otherwise(fy) if kind == "metrics" else fy
+        listed = F.when(broken(BAD_SOURCE_TYPE), "blog").otherwise(kind) if kind == "earnings_call" else F.lit(kind)
+        return F.struct(
+            F.concat(_sid(""), shown).alias("source_id"), stale.cast("int").alias("source_fiscal_year"),
+            F.col("fiscal_period").alias("source_fiscal_period"), listed.alias("source_type"),
+            F.concat_ws(" ", F.lit("Entity"), ent.cast("string"), F.concat(F.lit("FY"), fy.cast("string")),
+                        F.col("fiscal_period"), F.lit(kind)).alias("title"),
+            F.concat(prefix, F.lit("e"), ent.cast("string"), F.lit("/fy"), fy.cast("string"), F.lit("-"),
+                     F.lower(F.col("fiscal_period")), F.lit("/" + kind)).alias("url"))
+
+    press, metrics = _sid("press_release"), _sid("metrics")
     increase = F.col("revenue") - F.col("prior_revenue")
     growth = F.round(F.lit(100).cast("decimal(3,0)") * increase.cast("decimal(20,0)")
                      / F.nullif(F.col("prior_revenue").cast("decimal(20,0)"), F.lit(0)), 2)
-    fact = lambda kind, pos, metric, label, value, unit, srcs, keep=F.lit(True): F.struct(
-        F.lit(kind).alias("kind"), F.lit(pos).alias("pos"), F.lit(metric).alias("metric"),
-        F.lit(label).alias("label"), value.cast("decimal(38,6)").alias("value"), F.lit(unit).alias("unit"),
-        srcs.alias("source_ids"), keep.alias("keep"))
+
+    def fact(kind, pos, metric, label, value, unit, srcs, keep=None):
+        listed = F.when(broken(BAD_FACT_CLASS), "derived").otherwise("reported") if kind == "product_indicator" else F.lit("reported")
+        made = F.struct(F.lit(kind).alias("kind"), F.lit(pos).alias("pos"), F.lit(metric).alias("metric"),
+                        F.lit(label).alias("label"), value.cast("decimal(38,6)").alias("value"),
+                        (F.when(broken(BAD_UNIT), "ratio").otherwise(unit) if unit == "percent" else F.lit(unit)).alias("unit"),
+                        listed.alias("classification"), srcs.alias("source_ids"),
+                        (F.when(broken(BAD_QUALIFIER), "about").when((ent % 2 == 0) & F.lit(unit == "count"), "more_than")
+                         .otherwise("exact") if kind == "product_indicator" else F.lit("exact")).alias("qualifier"))
+        return made if keep is None else F.when(keep, made)
+
     revenue_sources = F.when(ent % UNKNOWN_SOURCE_MOD == UNKNOWN_SOURCE_REM,
                              F.array(press, F.lit("unapproved-source"))).otherwise(F.array(press))
-    rows = F.array(
+    facts = F.array(
         fact("reported_fact", 0, "revenue", "Revenue",
-             F.col("revenue") + F.when(ent % BROKEN_TOTAL_MOD == BROKEN_TOTAL_REM, 1).otherwise(0), "usd",
-             revenue_sources),
+             F.col("revenue") + F.when(ent % BROKEN_TOTAL_MOD == BROKEN_TOTAL_REM, 1).otherwise(0), "usd", revenue_sources),
         fact("reported_fact", 1, "prior_year_quarter_revenue", "Prior-year-quarter revenue",
              F.col("prior_revenue") + F.when(broken(PRIOR_OFF), 1).otherwise(0), "usd", F.array(press)),
         fact("reported_fact", 2, "revenue_increase", "Revenue increase", increase + F.when(broken(CHANGE_OFF), 1).otherwise(0),
@@ -332,39 +334,33 @@ def fx_packets(wide: DataFrame, segments: DataFrame) -> dict[str, DataFrame]:
         fact("product_indicator", 1, "revenue", "Revenue (indicator)", F.col("revenue") + 1000
              + F.when(ent % HALF_DOLLAR_MOD == HALF_DOLLAR_REM, F.lit("0.5").cast("decimal(38,6)")).otherwise(0), "usd",
              F.array(metrics), ent % OVERRIDE_MOD == OVERRIDE_REM),
-    )
-    facts = head.select(*keys, F.explode(rows).alias("f")).where(F.col("f.keep")).select(
-        *keys, "f.kind", "f.pos", "f.metric", "f.label", "f.value", "f.unit",
-        F.when(broken(BAD_FACT_CLASS) & (F.col("f.kind") == "product_indicator"), "derived").otherwise("reported")
-        .alias("classification"), "f.source_ids")
-    seg_cur = segments.select("entity_id", "segment", "fiscal_year", "q", F.col("revenue").alias("cur"))
-    seg_pri = segments.select("entity_id", "segment", (F.col("fiscal_year") + 1).alias("fiscal_year"), "q",
-                              F.col("revenue").alias("pri"))
-    seg = seg_cur.join(seg_pri, ["entity_id", "segment", "fiscal_year", "q"], "full_outer").join(
-        head.select("entity_id", "fiscal_year", "q", "fiscal_period"), ["entity_id", "fiscal_year", "q"], "left_semi")
-    cur_v = F.coalesce(F.col("cur"), F.lit(0)).cast("bigint")
-    pri_v = F.coalesce(F.col("pri"), F.lit(0)).cast("bigint")
-    seg_growth = F.when(pri_v == 0, F.lit(0)).otherwise(
-        F.round(F.lit(100).cast("decimal(3,0)") * (cur_v - pri_v).cast("decimal(20,0)") / pri_v.cast("decimal(20,0)"), 0))
-    segs = seg.select(
-        "entity_id", "fiscal_year", F.concat(F.lit("Q"), F.col("q").cast("string")).alias("fiscal_period"),
-        "segment", cur_v.alias("current_revenue"), pri_v.alias("prior_year_revenue"),
-        seg_growth.cast("decimal(38,6)").alias("reported_growth_pct"),
-        F.when(broken(BAD_SEG_CLASS), "derived").otherwise("reported").alias("classification"),
-    ).withColumn("source_ids", F.when(broken(DUP_SEG_SOURCE), F.array(press, press)).otherwise(F.array(press)))
-    expl = F.array(
-        F.struct(F.lit("demand").alias("explanation_id"),
-                 F.lit("Management said customer demand supported the quarter.").alias("statement")),
-        F.struct(F.lit("pricing").alias("explanation_id"),
-                 F.lit("Management said pricing changes affected revenue.").alias("statement")),
-    )
-    explanations = head.select(*keys, F.explode(expl).alias("x")).select(
-        *keys, "x.explanation_id", "x.statement",
-        F.when(broken(BAD_ATTRIBUTION) & (F.col("x.explanation_id") == "pricing"), "Someone else").otherwise(F.lit(ATTRIBUTION))
-        .alias("attribution"),
-        F.lit("management_explanation").alias("classification"),
-        F.array(_sid("earnings_call")).alias("source_ids"))
-    return {"head": head, "sources": sources, "facts": facts, "segments": segs, "explanations": explanations}
+        # whole millions in the first half of a year
+        fact("product_indicator", 2, "active_customers", "Active customers",
+             F.when(F.col("q") <= 2, (ent + 1) * 1000000).otherwise(F.col("revenue") % 10000000), "count", F.array(metrics)))
+    names = F.array_sort(F.array_distinct(F.concat(F.map_keys("cur"), F.map_keys("pri"))))
+
+    def segment(n):
+        cur = F.coalesce(F.element_at("cur", n), F.lit(0)).cast("bigint")
+        pri = F.coalesce(F.element_at("pri", n), F.lit(0)).cast("bigint")
+        grown = F.when(pri == 0, F.lit(0)).otherwise(F.round(
+            F.lit(100).cast("decimal(3,0)") * (cur - pri).cast("decimal(20,0)") / F.nullif(pri, F.lit(0)).cast("decimal(20,0)"), 0))
+        return F.struct(n.alias("segment"), cur.alias("current_revenue"), pri.alias("prior_year_revenue"),
+                        grown.cast("decimal(38,6)").alias("reported_growth_pct"),
+                        F.when(broken(BAD_SEG_CLASS), "derived").otherwise("reported").alias("classification"),
+                        F.when(broken(DUP_SEG_SOURCE), F.array(press, press)).otherwise(F.array(press)).alias("source_ids"))
+
+    def explanation(name: str, statement: str):
+        who = F.when(broken(BAD_ATTRIBUTION), "Someone else").otherwise(ATTRIBUTION) if name == "pricing" else F.lit(ATTRIBUTION)
+        return F.struct(F.lit(name).alias("explanation_id"), F.lit(statement).alias("statement"), who.alias("attribution"),
+                        F.lit("management_explanation").alias("classification"), F.array(_sid("earnings_call")).alias("source_ids"))
+
+    return head.select(
+        *keys, F.when(ent % DERIVED_MOD == DERIVED_REM, 1).otherwise(0).alias("derived_metric_count"),
+        F.array(*[source(k) for k in SOURCE_TYPES]).alias("sources"),
+        F.filter(facts, lambda f: f.isNotNull()).alias("facts"), F.transform(names, segment).alias("segments"),
+        F.filter(F.array(explanation("demand", "Management said customer demand supported the quarter."),
+                         explanation("pricing", "Management said pricing changes affected revenue.")),
+                 lambda e: ~broken(NO_EXPLANATIONS)).alias("explanations"))
 
 
 # Fixture rules for generated briefings.
@@ -372,6 +368,7 @@ PERIOD_SLIP_MOD, PERIOD_SLIP_REM = 23, 1  # Q2 briefings claim the previous fisc
 EXTRA_DECLARED_MOD, EXTRA_DECLARED_REM = 29, 3  # declares a source nobody approved
 UNKNOWN_EXPL_MOD, UNKNOWN_EXPL_REM = 31, 4  # cites an unknown management explanation
 DUP_CATEGORY_MOD, DUP_CATEGORY_REM = 37, 5  # Q1 briefings repeat a category
+ODD_CATEGORY = 17  # by RULE_MOD: Q3 briefings use a category outside the domain
 PERTURB_MOD = 3  # claims are perturbed only when (entity_id + fiscal_year) % 3 = 0
 FIGURE_METRIC_ORDER = ["revenue", "gross_profit", "operating_income", "net_income", "revenue_qoq_growth_pct",
                        "revenue_yoy_growth_pct", "gross_margin_pct", "operating_margin_pct", "net_margin_pct"]
@@ -409,77 +406,150 @@ def fx_figure_claims(figures: DataFrame) -> DataFrame:
     return fig_claims
 
 
-def fx_briefings(figures: DataFrame, approved: DataFrame, valid_packets: DataFrame) -> dict[str, DataFrame]:
-    """Briefing documents for every grounded period, as long tables.
+def fx_business_claims() -> "F.Column":
+    """Over rows with ``approved``: business claims restating it, perturbed by key (see ``fx_briefings``)."""
+    ent = F.col("entity_id")
+
+    def claim(a, at):
+        pos = at + 1
+        w = F.when((ent + F.col("fiscal_year")) % PERTURB_MOD == 0, (ent + pos) % 7).otherwise(0)
+        return F.struct(
+            F.lit(1).alias("insight_pos"), pos.cast("int").alias("claim_pos"),
+            F.when(w == 6, F.concat(a["metric"], F.lit(".unknown"))).otherwise(a["metric"]).alias("metric"),
+            F.when(w == 5, a["value"] + 1).otherwise(a["value"]).cast("decimal(38,6)").alias("value"),
+            F.when(w == 3, F.when(a["unit"] == "percent", "usd").otherwise("percent")).otherwise(a["unit"]).alias("unit"),
+            F.when(w == 2, F.when(a["classification"] == "reported", "derived").otherwise("reported"))
+            .otherwise(a["classification"]).alias("classification"),
+            F.when(w == 4, F.array_union(a["source_ids"], F.array(F.lit("extra-source")))).otherwise(a["source_ids"]).alias("source_ids"))
+
+    return F.transform("approved", claim)
+
+
+def fx_briefings(knowledge: DataFrame) -> DataFrame:
+    """A briefing for every grounded period, beside its knowledge row (``operators.knowledge``).
 
-    ``figure_claims`` restate grounded figures with a perturbation chosen by
-    key (exact, +1 / +0.01, +0.011, wrong unit, unknown source, duplicate);
-    ``business_claims`` restate approved claims (exact, wrong classification,
+    Figure claims restate grounded figures with a perturbation chosen by key
+    (exact, +1 / +0.01, +0.011, wrong unit, unknown source, duplicate);
+    business claims restate approved claims (exact, wrong classification,
     wrong unit, extra source, +1, unknown metric).
     """
-    doc = ["entity_id", "fiscal_year", "fiscal_period"]
-    ent = F.col("entity_id")
-    fig_claims = fx_figure_claims(figures)
-
-    pos = F.row_number().over(Window.partitionBy(*doc).orderBy("metric"))
-    a = approved.withColumn("claim_pos", pos)
-    w = F.when((ent + F.col("fiscal_year")) % PERTURB_MOD == 0, (ent + F.col("claim_pos")) % 7).otherwise(0)
-    biz_claims = a.select(
-        *doc, F.lit(1).alias("insight_pos"), F.col("claim_pos").cast("int").alias("claim_pos"),
-        F.when(w == 6, F.concat(F.col("metric"), F.lit(".unknown"))).otherwise(F.col("metric")).alias("metric"),
-        F.when(w == 5, F.col("value") + 1).otherwise(F.col("value")).cast("decimal(38,6)").alias("value"),
-        F.when(w == 3, F.when(F.col("unit") == "percent", "usd").otherwise("percent")).otherwise(F.col("unit"))
-        .alias("unit"),
-        F.when(w == 2, F.when(F.col("classification") == "reported", "derived").otherwise("reported"))
-        .otherwise(F.col("classification")).alias("classification"),
-        F.when(w == 4, F.array_union(F.col("source_ids"), F.array(F.lit("extra-source"))))
-        .otherwise(F.col("source_ids")).alias("source_ids"),
-    )
-
-    roles = figures.groupBy(*doc).agg(*[
-        F.max(F.when(F.col("role") == r, F.col("source_id"))).alias(f"src_{r}") for r in ROLE_INSIGHT])
-    roles = roles.join(valid_packets.select(*doc).withColumn("_valid", F.lit(True)), doc, "left")
-    packet_src = F.when(F.col("_valid").isNotNull(), F.array(
-        F.concat(F.lit("e"), ent.cast("string"), F.lit("-fy"), F.col("fiscal_year").cast("string"), F.lit("-"),
-                 F.col("fiscal_period"), F.lit("-press_release")),
-        F.concat(F.lit("e"), ent.cast("string"), F.lit("-fy"), F.col("fiscal_year").cast("string"), F.lit("-"),
-                 F.col("fiscal_period"), F.lit("-metrics")))).otherwise(F.array().cast("array<string>"))
+    ent, fy = F.col("entity_id"), F.col("fiscal_year")
+    no_ids = F.array().cast("array<string>")
+    valid = F.coalesce(F.col("packet.valid"), F.lit(False))
+    order = F.array(*[F.lit(m) for m in FIGURE_METRIC_ORDER])
+
+    def figure_claim(f, ipos: int):
+        mord = F.array_position(order, f["metric"]) - 1
+        v = F.when((ent + fy) % PERTURB_MOD == 0, (ent * 7 + fy * 3 + ipos * 5 + mord) % 8).otherwise(0)
+        val, usd = f["value"].cast("decimal(38,6)"), f["unit"] == "usd"
+        value = (F.when(v == 3, F.when(usd, val + 1).otherwise(val + F.lit("0.01").cast("decimal(38,6)")))
+                 .when((v == 4) & ~usd, val + F.lit("0.011").cast("decimal(38,6)")).otherwise(val))
+        made = F.struct(f["metric"].alias("metric"), value.cast("decimal(38,6)").alias("value"),
+                        F.when(v == 5, F.when(usd, "percent").otherwise("usd")).otherwise(f["unit"]).alias("unit"),
+                        F.when(v == 6, F.concat(F.lit("unknown:"), f["period_id"])).otherwise(f["source_id"]).alias("source_id"))
+        return F.struct(mord.alias("o"), (v == 7).alias("twice"), made.alias("c"))
+
+    def figure_claims(role: str):
+        made = F.array_sort(F.transform(F.filter("figures", lambda f: f["role"] == role),
+                                        lambda f: figure_claim(f, ROLE_INSIGHT[role])))
+        # repeated claims stand after all others
+        return F.transform(F.concat(made, F.filter(made, lambda m: m["twice"])), lambda m: m["c"])
+
+    claims = F.transform(fx_business_claims(), lambda c: F.struct(*[c[n].alias(n) for n in (
+        "metric", "value", "unit", "classification", "source_ids")]))
+    rows = knowledge.withColumn("approved", F.filter(F.col("packet.approved"), lambda a: F.col("packet.valid")))
+    for role in ROLE_INSIGHT:
+        rows = rows.withColumn(f"_src_{role}", _first_source(role))
+    none_figures = F.slice(figure_claims("current"), 1, 0)
+    none_business = F.filter(F.array(F.struct(F.lit("").alias("metric"), F.lit(None).cast("decimal(38,6)").alias("value"),
+                                              F.lit("").alias("unit"), F.lit("").alias("classification"), no_ids.alias("source_ids"))),
+                             lambda c: F.lit(False))
+    packet_src = F.when(valid, F.array(_sid("press_release"), _sid("metrics"))).otherwise(no_ids)
 
     def one(c: str):
-        return F.when(F.col(c).isNotNull(), F.array(F.col(c))).otherwise(F.array().cast("array<string>"))
+        return F.when(F.col(c).isNotNull(), F.array(F.col(c))).otherwise(no_ids)
+
+    def insight(category, title: str, sources, figures=None, business=None, expl=no_ids):
+        return F.struct(
+            (F.lit(category) if isinstance(category, str) else category).alias("category"), F.lit(title).alias("title"),
+            F.concat(F.lit(f"{title} of entity "), ent.cast("string"), F.lit(" in FY"), fy.cast("string"), F.lit(" "),
+                     F.col("fiscal_period"), F.lit(".")).alias("narrative"),
+            F.lit("ai_interpretation").alias("classification"), sources.alias("source_ids"),
+            (none_figures if figures is None else figures).alias("figure_claims"),
+            (none_business if business is None else business).alias("business_claims"),
+            expl.alias("management_explanation_ids"))
 
-    no_ids = F.array().cast("array<string>")
     expl = F.when(ent % UNKNOWN_EXPL_MOD == UNKNOWN_EXPL_REM,
                   F.array(F.lit("demand"), F.lit("unknown_expl"))).otherwise(F.array(F.lit("demand")))
-    last_cat = F.when((ent % DUP_CATEGORY_MOD == DUP_CATEGORY_REM) & (F.col("fiscal_period") == "Q1"),
-                      "attention").otherwise("investigate_next")
-    def insight(pos: int, category, sources, expl_ids):
-        cat = F.lit(category) if isinstance(category, str) else category
-        return F.struct(F.lit(pos).alias("insight_pos"), cat.alias("category"), sources.alias("source_ids"),
-                        expl_ids.alias("management_explanation_ids"))
-
-    ins = F.array(
-        insight(0, "overall_performance", one("src_current"), no_ids),
-        insight(1, "primary_drivers", packet_src, no_ids),
-        insight(2, "headwinds", one("src_previous"), no_ids),
-        insight(3, "profitability_context", one("src_prior_year"), no_ids),
-        insight(4, "attention", one("src_annual"), no_ids),
-        insight(5, last_cat, one("src_current"), expl),
-    )
-    insights = roles.select(*doc, F.explode(ins).alias("i")).select(
-        *doc, F.col("i.insight_pos").alias("insight_pos"), F.col("i.category").alias("category"),
-        F.col("i.source_ids").alias("source_ids"), F.col("i.management_explanation_ids").alias("management_explanation_ids"))
+    last_cat = F.when((ent % DUP_CATEGORY_MOD == DUP_CATEGORY_REM) & (F.col("fiscal_period") == "Q1"), "attention") \
+        .when((ent % RULE_MOD == ODD_CATEGORY) & (F.col("fiscal_period") == "Q3"), "outlook").otherwise("investigate_next")
+    insights = F.array(
+        insight("overall_performance", "Overall performance", one("_src_current"), figure_claims("current")),
+        insight("primary_drivers", "Primary drivers", packet_src, business=F.coalesce(claims, none_business)),
+        insight("headwinds", "Headwinds", one("_src_previous"), figure_claims("previous")),
+        insight("profitability_context", "Profitability", one("_src_prior_year"), figure_claims("prior_year")),
+        insight("attention", "Attention", one("_src_annual"), figure_claims("annual")),
+        insight(last_cat, "Next steps", one("_src_current"), expl=expl))
     declared = F.concat(
-        F.filter(F.array(*[F.col(f"src_{r}") for r in ROLE_INSIGHT]), lambda x: x.isNotNull()),
-        packet_src,
+        F.filter(F.array(*[F.col(f"_src_{r}") for r in ROLE_INSIGHT]), lambda x: x.isNotNull()), packet_src,
         F.when(ent % EXTRA_DECLARED_MOD == EXTRA_DECLARED_REM, F.array(F.lit("unknown-declared"))).otherwise(no_ids))
-    heads = roles.select(
-        *doc,
-        F.when((ent % PERIOD_SLIP_MOD == PERIOD_SLIP_REM) & (F.col("fiscal_period") == "Q2"), F.col("fiscal_year") - 1)
-        .otherwise(F.col("fiscal_year")).cast("int").alias("claimed_fiscal_year"),
+    label = F.concat(F.lit("Entity "), ent.cast("string"), F.lit(" FY"), fy.cast("string"), F.lit(" "), F.col("fiscal_period"))
+    return rows.select(
+        *knowledge.columns,
+        F.when((ent % PERIOD_SLIP_MOD == PERIOD_SLIP_REM) & (F.col("fiscal_period") == "Q2"), fy - 1)
+        .otherwise(fy).cast("int").alias("claimed_fiscal_year"),
         F.col("fiscal_period").alias("claimed_fiscal_period"),
-        declared.alias("source_ids"))
-    return {"heads": heads, "insights": insights, "figure_claims": fig_claims, "business_claims": biz_claims}
+        F.concat(label, F.lit(" in brief")).alias("headline"),
+        F.concat(F.lit("What the approved sources say about "), label, F.lit(".")).alias("executive_summary"),
+        declared.alias("source_ids"), insights.alias("insights"))
+
+
+# How generated responses are broken, by (entity_id * 5 + fiscal_year * 3 + quarter) % 23; others are whole.
+RESPONSE_MOD = 23
+RESPONSE_FAULTS = ["none", "truncated", "wrong_type", "unknown_field", "missing_headline", "wrong_period", "long_title",
+                   "boolean_value", "empty_summary", "duplicate_source", "no_insights", "list", "odd_claim_field"]
+
+
+def fx_responses(briefings: DataFrame) -> DataFrame:
+    """The briefings as provider response texts (``response``) beside their knowledge rows, some broken by key."""
+    def period(fy):
+        return F.struct(fy.alias("fiscal_year"), F.col("claimed_fiscal_period").alias("fiscal_period"))
+
+    def amounts(claims):
+        return F.transform(claims, lambda c: c.withField("value", c["value"].cast("string")))
+
+    insights = F.transform("insights", lambda i: i.withField("figure_claims", amounts(i["figure_claims"]))
+                           .withField("business_claims", amounts(i["business_claims"])))
+    text = F.to_json(F.struct(
+        F.lit("1.0").alias("schema_version"), F.concat(F.lit("Entity "), F.col("entity_id").cast("string")).alias("entity"),
+        period(F.col("claimed_fiscal_year")).alias("reporting_period"), "headline", "executive_summary",
+        insights.alias("insights"), "source_ids"))
+    k = (F.col("entity_id") * 5 + F.col("fiscal_year") * 3 + F.substring("fiscal_period", 2, 1).cast("int")) % RESPONSE_MOD
+    fault = F.element_at(F.array(*[F.lit(f) for f in RESPONSE_FAULTS]), F.when(k < len(RESPONSE_FAULTS), k + 1).otherwise(1).cast("int"))
+    kept = [c for c in briefings.columns if c not in ("claimed_fiscal_year", "claimed_fiscal_period", "headline",
+                                                      "executive_summary", "source_ids", "insights")]
+    x = briefings.withColumns({"_text": text, "_fault": F.when(k == len(RESPONSE_FAULTS), "no_text").otherwise(fault)})
+    t, f = F.col("_text"), F.col("_fault")
+    broken = (
+        F.when(f == "no_text", F.lit(None).cast("string"))
+        .when(f == "truncated", F.substring(t, 1, 90))
+        .when(f == "wrong_type", F.regexp_replace(t, r'"fiscal_year":(\d+)', '"fiscal_year":"$1"'))
+        .when(f == "unknown_field", F.regexp_replace(t, r"^\{", '{"reviewer_note":"draft",'))
+        .when(f == "missing_headline", F.regexp_replace(t, '"headline":"[^"]*",', ""))
+        .when(f == "wrong_period", F.regexp_replace(t, r'"fiscal_year":\d+', F.concat(F.lit('"fiscal_year":'), (F.col("claimed_fiscal_year") - 1).cast("string"))))
+        .when(f == "long_title", F.regexp_replace(t, '"title":"Headwinds"', F.concat(F.lit('"title":"'), F.repeat(F.lit("x"), 81), F.lit('"'))))
+        .when(f == "boolean_value", F.regexp_replace(t, '"metric":"revenue","value":"[^"]*"', '"metric":"revenue","value":true'))
+        .when(f == "empty_summary", F.regexp_replace(t, '"executive_summary":"[^"]*"', '"executive_summary":"  "'))
+        .when(f == "duplicate_source", F.regexp_replace(t, r'"source_ids":\["([^"]*)"([^\]]*)\]\}$', '"source_ids":["$1","$1"$2]}'))
+        .when(f == "no_insights", F.regexp_replace(t, r'"insights":.*\],"source_ids":(\[[^\]]*\])\}$', '"insights":[],"source_ids":$1}'))
+        .when(f == "list", F.concat(F.lit("["), t, F.lit("]")))
+        .when(f == "odd_claim_field", F.regexp_replace(t, '"category":"overall_performance"', '"category":"overall_performance","mood":"fine"'))
+        .otherwise(t))
+    return x.select(*kept, broken.alias("response"))
+
+
+def _first_source(role: str):
+    return F.get(F.filter("figures", lambda f: f["role"] == role), F.lit(0))["source_id"]
 
 
 # The question bank (routed questions, an unsupported one, blank and too long).
@@ -504,13 +574,13 @@ ADVICE_PHRASES = {0: " We recommend you buy shares.", 1: " Our forecast is stron
                   3: " Price targets were raised.", 4: " Reinvestment continued."}
 
 
-def fx_questions(conversations: DataFrame, periods: DataFrame) -> DataFrame:
+def fx_questions(conversations: DataFrame, latest: DataFrame) -> DataFrame:
     """User turns of ``conversations`` as questions about each entity's latest grounded quarter.
 
     Every user turn asks its own text.  Generated sessions (negative ids) ask
     the question bank at the same turns, so that every route occurs.
-    ``periods``: (entity_id, fiscal_year, fiscal_period) of grounded periods;
-    a question whose entity has none keeps NULL period columns.
+    ``latest``: one row per entity, its latest grounded quarter with whatever
+    is known about it; a question whose entity has none keeps NULL columns.
     """
     bank = F.array(*[F.lit(q) for q in QUESTION_BANK])
     idx = ((F.col("conv_id") * 7 + F.col("turn")) % len(QUESTION_BANK) + 1).cast("int")
@@ -519,9 +589,6 @@ def fx_questions(conversations: DataFrame, periods: DataFrame) -> DataFrame:
     q = conversations.where(F.col("role") == "user").select(
         F.col("turn").cast("int").alias("turn"), (F.col("conv_id") % SESSION_ENTITIES).cast("bigint").alias("entity_id"),
         F.explode(asked).alias("a")).select("a.session_id", "turn", "a.question", "entity_id")
-    # one row per entity by partial aggregation; the many questions are not dealt out by entity
-    latest = periods.groupBy("entity_id").agg(
-        F.max(F.struct("fiscal_year", "fiscal_period")).alias("p")).select("entity_id", "p.fiscal_year", "p.fiscal_period")
     return q.join(latest, "entity_id", "left")
 
 
@@ -542,42 +609,51 @@ def fx_advice_text(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", F.concat(F.col("text"), F.coalesce(phrase, F.lit(""))).alias("text"))
 
 
-def fx_answers(requests: DataFrame, figures: DataFrame, valid_packets: DataFrame) -> dict[str, DataFrame]:
-    """Provider answers for every provider request, as (answers, claims) long tables.
+# Texts of generated provider answers beside their main text.
+ADVICE_EXPLANATION = "The forecast is that revenue grows."
+PLAIN_EXPLANATION = "Revenue is what customers paid."
+ADVICE_AREA = "price targets of analysts"
+PLAIN_AREA = "margin direction"
+
+
+def fx_answers(requests: DataFrame) -> DataFrame:
+    """Provider answers for every row, beside its knowledge row; without text where the period is not grounded.
 
     Claims restate the current revenue and net margin and cite the packet's
-    'demand' explanation, perturbed by ``(session_id + turn) % 6``.
+    'demand' explanation, perturbed by ``(session_id + turn) % 6``; other texts
+    and the claimed period are perturbed by ``abs(session_id) + turn``.
     """
-    doc = ["entity_id", "fiscal_year", "fiscal_period"]
-    cur = figures.where(F.col("role") == "current").groupBy(*doc).agg(
-        F.first("source_id").alias("src"),
-        F.max(F.when(F.col("metric") == "revenue", F.col("value"))).alias("revenue"),
-        F.max(F.when(F.col("metric") == "net_margin_pct", F.col("value"))).alias("net_margin_pct"))
-    r = requests.join(cur, doc).join(valid_packets.select(*doc).withColumn("_valid", F.lit(True)), doc, "left")
+    current = F.filter("figures", lambda f: f["role"] == "current")
+    r = requests.withColumn("_src", F.get(current, F.lit(0))["source_id"])
+    for m in ("revenue", "net_margin_pct"):
+        r = r.withColumn(f"_{m}", _value_of(m))
     p = (F.col("session_id") + F.col("turn")) % 6
-    call = F.concat(F.lit("e"), F.col("entity_id").cast("string"), F.lit("-fy"), F.col("fiscal_year").cast("string"),
-                    F.lit("-"), F.col("fiscal_period"), F.lit("-earnings_call"))
-    dec = lambda c: F.col(c).cast("decimal(38,6)")
-    def claim(pos, metric, cls, value, unit, srcs, expl):
-        return F.struct(F.lit(pos).alias("claim_pos"), F.lit(metric).alias("metric"), cls.alias("classification"),
+    k = F.abs("session_id") + F.col("turn")
+    call = _sid("earnings_call")
+
+    def claim(metric, cls, value, unit, srcs, expl):
+        return F.struct(F.lit(metric).alias("metric"), cls.alias("classification"),
                         value.cast("decimal(38,6)").alias("value"), unit.cast("string").alias("unit"),
                         srcs.alias("source_ids"), expl.cast("string").alias("management_explanation_id"))
 
     claims = F.array(
-        claim(0, "revenue",
-              F.when(p == 2, "derived_metric").when(p == 4, "ai_interpretation").otherwise("reported_fact"),
-              F.when(p == 1, dec("revenue") + 1).otherwise(dec("revenue")),
-              F.when(p == 5, "percent").otherwise("usd"),
-              F.when(p == 3, F.array(F.lit("unknown:source"))).otherwise(F.array(F.col("src"))), F.lit(None)),
-        claim(1, "net_margin_pct", F.lit("derived_metric"),
-              dec("net_margin_pct") + F.lit("0.01").cast("decimal(38,6)"), F.lit("percent"),
-              F.array(F.col("src")), F.lit(None)),
-        claim(2, "demand", F.lit("management_explanation"), F.lit(None), F.lit(None), F.array(call), F.lit("demand")),
-    )
+        claim("revenue", F.when(p == 2, "derived_metric").when(p == 4, "ai_interpretation").otherwise("reported_fact"),
+              F.when(p == 1, F.col("_revenue") + 1).otherwise(F.col("_revenue")), F.when(p == 5, "percent").otherwise("usd"),
+              F.when(p == 3, F.array(F.lit("unknown:source"))).otherwise(F.array(F.col("_src"))), F.lit(None)),
+        claim("net_margin_pct", F.lit("derived_metric"),
+              F.col("_net_margin_pct") + F.lit("0.01").cast("decimal(38,6)"), F.lit("percent"), F.array(F.col("_src")), F.lit(None)),
+        claim("demand", F.lit("management_explanation"), F.lit(None), F.lit(None), F.array(call), F.lit("demand")))
     text = F.when(p % 2 == 0, F.lit("Revenue was reported, and management cited demand."))\
         .otherwise(F.lit("Revenue grew; we recommend you buy."))
-    answers = r.select("session_id", "turn", *doc, text.alias("answer"),
-                       F.array_distinct(F.flatten(F.transform(claims, lambda c: c["source_ids"]))).alias("source_ids"))
-    claim_rows = r.select("session_id", "turn", *doc, F.explode(claims).alias("c")).select(
-        "session_id", "turn", *doc, "c.*")
-    return {"answers": answers, "claims": claim_rows}
+    return r.select(
+        *requests.columns, F.lit("supported").alias("answer_status"),
+        (F.col("fiscal_year") - (k % 13 == 0).cast("int")).alias("claimed_fiscal_year"),
+        F.col("fiscal_period").alias("claimed_fiscal_period"), F.when(F.col("_src").isNotNull(), text).alias("answer_text"),
+        F.when(k % 7 == 0, F.lit(ADVICE_EXPLANATION)).when(k % 7 != 1, F.lit(PLAIN_EXPLANATION)).alias("explanation"),
+        F.when(k % 11 == 0, F.array(F.lit(PLAIN_AREA), F.lit(ADVICE_AREA))).otherwise(F.array(F.lit(PLAIN_AREA))).alias("areas"),
+        claims.alias("claims"),
+        F.array_distinct(F.flatten(F.transform(claims, lambda c: c["source_ids"]))).alias("answer_sources"))
+
+
+def _value_of(metric: str):
+    return F.get(F.filter("figures", lambda f: (f["role"] == "current") & (f["metric"] == metric)), F.lit(0))["value"]

@@ -24,7 +24,7 @@ def packet(spark, facts=FACTS, extra_source=False, derived=0):
                                 ["press", "ghost"] if extra_source and i == 0 else ["press"])
                                for i, (m, v) in enumerate(facts)],
                               key + ", kind string, pos int, metric string, label string, value decimal(38,6), "
-                                    "unit string, classification string, source_ids array<string>")
+                                    "unit string, classification string, source_ids array<string>").withColumn("qualifier", F.lit("exact"))
     segs = spark.createDataFrame([(*K, s, c, p, Decimal(0), "reported", ["press"]) for s, c, p in SEGMENTS],
                                  key + ", segment string, current_revenue bigint, prior_year_revenue bigint, "
                                        "reported_growth_pct decimal(38,6), classification string, "
@@ -32,7 +32,7 @@ def packet(spark, facts=FACTS, extra_source=False, derived=0):
     expl = spark.createDataFrame([(*K, "demand", "s", "Entity management", "management_explanation", ["press"])],
                                  key + ", explanation_id string, statement string, attribution string, "
                                        "classification string, source_ids array<string>")
-    return {"head": head, "sources": sources, "facts": f, "segments": segs, "explanations": expl}
+    return D.nest({"head": head, "sources": sources, "facts": f, "segments": segs, "explanations": expl})
 
 
 def test_published_contributions_and_ranking(spark):
@@ -40,12 +40,12 @@ def test_published_contributions_and_ranking(spark):
     recon = D.reconciliation(p)
     r = recon.collect()[0]
     assert r.valid and r.change_total == 13566000000
-    contrib = {x.segment: x for x in D.contributions(p, recon).collect()}
+    contrib = {x.segment: x for x in D.contributions(p).collect()}
     assert contrib["Segment B"].absolute_revenue_change == 9428000000
     assert contrib["Segment B"].contribution_pct == 69.50
     assert contrib["Segment A"].contribution_pct == 34.90
     assert contrib["Segment C"].contribution_pct == -4.40
-    rank = D.ranking(D.contributions(p, recon)).orderBy("direction", "rank").collect()
+    rank = D.ranking(p).orderBy("direction", "rank").collect()
     assert [(x.direction, x.segment) for x in rank] == [
         ("negative", "Segment C"), ("positive", "Segment B"),
         ("positive", "Segment A")]
@@ -88,7 +88,23 @@ def test_packet_json_round_trip_and_strictness(spark, tmp_path):
     flagged = parsed.where("size(unknown_fields) > 0")
     assert flagged.count() == docs.where(extra).count()
     assert {r[0] for r in flagged.select(F.array_join("unknown_fields", ",")).collect()} == {"reviewer_note"}
-    back = PJ.explode_packets(parsed)
+    back = PJ.parsed_packets(parsed)
     a = D.reconciliation(back).drop("derived_stored", "violations", "first_violation", "valid")
     b = D.reconciliation(p).drop("derived_stored", "violations", "first_violation", "valid")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_record_rules_of_scanned_packets(spark):
+    from quarterline.sources import packets_json as PJ
+
+    text = ('{"schema_version":"2.0","entity_id":1,"reporting_period":{"fiscal_year":2026,"fiscal_period":"Q4"},"sources":[],'
+            '"reported_facts":[{"metric":"revenue","label":" ","value":"1.5","unit":"usd","classification":"reported",'
+            '"source_ids":["a"],"qualifier":"more_than"}],"segment_results":[{"segment":"A","current_revenue":"1.5",'
+            '"prior_year_revenue":"1","reported_growth_pct":"50","classification":"reported","source_ids":["a"]}],'
+            '"product_indicators":[{"metric":"m","label":"M","value":"30000000","unit":"count","classification":"reported",'
+            '"source_ids":["a"],"qualifier":"nearly"}],"derived_metrics":[],"management_explanations":[]}')
+    parsed = PJ.strict_parse(spark.createDataFrame([("FY2026-Q4.json", text)], "file_name string, json string"))
+    packets = PJ.parsed_packets(parsed)
+    r = D.schema_violations(packets, "https://x/", "Entity management").first()
+    assert (r.seg_non_integer, r.missing_value, r.bad_qualifier, r.bad_version, r.empty_records, r.non_integer_value) == (1, 1, 1, 1, 2, 1)
+    assert D.child(packets, "facts").where("qualifier = 'more_than'").count() == 1

@@ -53,14 +53,14 @@ def test_no_question_is_lost_and_real_text_is_routed(spark):
     periods = spark.createDataFrame([(e, 2001, "Q2") for e in range(10)], "entity_id long, fiscal_year int, fiscal_period string")
     q = testdata.fx_questions(conversations, periods)
     assert q.count() == 2 * 120 and q.where("session_id >= 0 and question not like 'what is gross margin%'").count() == 0
-    empty = {n: spark.createDataFrame([], s) for n, s in {
-        "summary": "entity_id long, fiscal_year int, fiscal_period string, headline string, first_point string, all_points string, profitability_point string",
-        "ranking": "entity_id long, fiscal_year int, fiscal_period string, direction string, rank int, segment string",
-        "valid": "entity_id long, fiscal_year int, fiscal_period string"}.items()}
-    a = Q.answer(q, empty["summary"], empty["ranking"], empty["valid"])
+    summary = q.withColumns({"headline": F.lit("h"), "pos1": F.lit(None).cast("string"), "pos2": F.lit(None).cast("string"),
+                             "neg1": F.lit(None).cast("string"), "source_ids": F.array(F.lit("s")),
+                             "takeaways": F.array(F.struct(F.lit("t").alias("text")))})
+    a = Q.answer(summary)
     assert a.count() == 240
     assert a.where("fiscal_year is null and mode <> 'insufficient_context'").count() == 0
     assert {r.route for r in a.where("session_id >= 0 and fiscal_year is not null").select("route").collect()} == {"glossary"}
+    assert {len(r.sources_named) for r in a.where("route = 'glossary'").collect()} == {0}
 
 
 def test_history_holds_answered_exchanges(spark):

@@ -48,21 +48,6 @@ def test_publish_all_or_none(spark, tmp_path):
     assert exports.read_exports(spark, str(tmp_path / "exports2")) == {}
 
 
-def test_publish_only_complete_briefings(spark, tmp_path):
-    keys = ["entity_id", "fiscal_year", "fiscal_period"]
-    docs = spark.createDataFrame([(1, 2026, "Q1", "a"), (1, 2026, "Q2", "b"), (2, 2026, "Q1", "c")],
-                                 "entity_id bigint, fiscal_year int, fiscal_period string, headline string")
-    complete = spark.createDataFrame([(1, 2026, "Q1", True), (1, 2026, "Q2", False), (2, 2026, "Q1", True)],
-                                     "entity_id bigint, fiscal_year int, fiscal_period string, complete boolean")
-    path = str(tmp_path / "briefings")
-    exports.publish_briefings(docs, complete, path)
-    assert sorted(r.headline for r in spark.read.parquet(path).collect()) == ["a", "c"]
-    # a later run replaces only its own partition
-    exports.publish_briefings(docs.where("entity_id = 1").withColumn("headline", F.lit("a2")),
-                              complete.where("entity_id = 1"), path)
-    assert sorted(r.headline for r in spark.read.parquet(path).select(*keys, "headline").collect()) == ["a2", "c"]
-
-
 def test_load_refuses_constraint_violations(spark, tmp_path):
     fx = Fixtures(spark, SMALL)
     good = fx.long.drop("q")
