@@ -67,7 +67,8 @@ def classify(obs: DataFrame, position: str = "seq") -> DataFrame:
         iso_date(F.col("start_date")).alias("start_d"),
         iso_date(F.col("end_date")).alias("end_d"),
         iso_date(F.col("filed")).alias("filed_d"),
-        F.col("val").cast("bigint").alias("val"),
+        # a fraction is no fact of an integer table; the scan report counts such values
+        F.when(F.col("val") == F.floor("val"), F.col("val")).cast("bigint").alias("val"),
         "accn", "fy", "fp", "form", "filed",
     )
     # every derived column below reads the parsed columns: each date is parsed once per row

@@ -30,6 +30,7 @@ PLAN_MODULES = [
     "quarterline.plans.q_narrative",
     "quarterline.plans.q_qa",
     "quarterline.plans.q_documents",
+    "quarterline.plans.q_scans",
     "quarterline.plans.q_part",
 ]
 

@@ -117,3 +117,29 @@ def read_text_csv(spark, path: str, columns: list[str]) -> DataFrame:
     """A2: all-text CSV scan with header and an explicit all-STRING schema (no inference)."""
     schema = ", ".join(f"`{c}` string" for c in columns)
     return spark.read.schema(schema).option("header", True).csv(path)
+
+
+def scan_export(spark, path: str, columns: list[str], whole_numbers: list[str]) -> tuple[DataFrame | None, DataFrame]:
+    """A3: one contracted CSV scan: the rows (NULL if there are none to use) and its one-row report.
+
+    The file must be there, carry the required columns and hold rows; a row
+    whose ``whole_numbers`` columns are no integers counts as bad.  Columns:
+    status (ok, missing_file, missing_columns, empty, bad_rows),
+    missing_columns, rows, bad_rows.
+    """
+    shape = "status string, missing_columns string, rows bigint, bad_rows bigint"
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        return None, spark.createDataFrame([("missing_file", "", 0, 0)], shape)
+    header = spark.read.option("header", True).csv(path).columns
+    missing = ", ".join(sorted(set(columns) - set(header)))
+    rows = read_text_csv(spark, path, header)
+    present = [c for c in whole_numbers if c in header]
+    bad = F.lit(False)
+    for c in present:
+        bad = bad | F.coalesce(F.trim(c), F.lit("")).try_cast("bigint").isNull()
+    counted = rows.agg(F.count("*").alias("rows"), F.count_if(bad).alias("bad_rows"))
+    status = (F.when(F.lit(missing) != "", "missing_columns").when(F.col("rows") == 0, "empty")
+              .when(F.col("bad_rows") > 0, "bad_rows").otherwise("ok"))
+    report = counted.select(status.alias("status"), F.lit(missing).alias("missing_columns"), "rows", "bad_rows")
+    return rows, report

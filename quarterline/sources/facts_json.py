@@ -55,8 +55,8 @@ def explode_documents(docs: DataFrame, concepts: list[str] | None = None) -> Dat
     """(…, json) -> one row per observation of the wanted concepts.
 
     Output: entity_id, concept, label, unit, pos, start_date, end_date, val,
-    accn, fy, fp, form, filed.  A document that fails to parse yields no rows;
-    a concept absent from a document is simply not produced.
+    accn, fy, fp, form, filed.  A document that fails to parse and a concept
+    absent from a document yield no rows here; ``document_report`` names them.
     """
     wanted = concepts if concepts is not None else list(CONCEPT_OF_METRIC.values())
     parsed = docs.select(F.from_json("json", DOCUMENT).alias("d")).where(F.col("d").isNotNull())
@@ -77,6 +77,33 @@ def explode_documents(docs: DataFrame, concepts: list[str] | None = None) -> Dat
     )
 
 
+def read_document_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Landed documents, one ``{"doc_id", "json"}`` envelope per line; a line that is no envelope keeps its text in ``_corrupt_record``."""
+    return spark.read.schema("doc_id string, json string, _corrupt_record string").json(path)
+
+
+def document_report(docs: DataFrame, expected: DataFrame, concepts: list[str] | None = None) -> DataFrame:
+    """A1: what became of every expected document: ok, malformed or missing.
+
+    ``docs``: doc_id, json.  ``expected``: doc_id.  Per document its status,
+    the wanted concepts it lacks (sorted), its observations of the others and
+    how many of their values are no whole numbers and so are no facts.
+    """
+    wanted = sorted(concepts if concepts is not None else CONCEPT_OF_METRIC.values())
+    # a broken document parses to a struct of nulls, which has no facts
+    parsed = docs.select("doc_id", F.from_json("json", DOCUMENT)["facts"].alias("f"), F.lit(True).alias("_there"))
+    found = F.map_filter(F.element_at("f", F.lit(TAXONOMY)), lambda k, v: k.isin(*wanted))
+    values = F.flatten(F.transform(F.map_values("_found"), lambda c: F.flatten(F.map_values(c["units"]))))
+    x = expected.join(parsed, "doc_id", "left").withColumn("_found", found)
+    x = x.withColumn("_obs", values)
+    ok = F.col("f").isNotNull()
+    fractions = F.size(F.filter("_obs", lambda o: o["val"] != F.floor(o["val"])))
+    return x.select(
+        "doc_id", F.when(F.col("_there").isNull(), "missing").when(ok, "ok").otherwise("malformed").alias("status"),
+        F.when(ok, F.array_except(F.array(*[F.lit(w) for w in wanted]), F.map_keys("_found"))).alias("missing_concepts"),
+        F.when(ok, F.size("_obs")).cast("bigint").alias("observations"), F.when(ok, fractions).cast("bigint").alias("fractional_values"))
+
+
 def documents_from_observations(obs: DataFrame) -> DataFrame:
     """Fixture writer: fx_obs rows -> JSON documents, one per (entity, fy).
 
