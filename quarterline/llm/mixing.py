@@ -108,17 +108,25 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: float = 3.
     words with their white space, and its ``n_chars``, where there is one,
     follows the text.  Rows the mix takes no word of are left out.
     """
-    rows = plan(docs, weights, cap, keep=docs.columns)
+    # the row travels in one struct, so that no column of it meets a column of the plan
+    packed = docs.select("doc_id", "text", "source", F.struct(*docs.columns).alias("_row"))
+    rows = plan(packed, weights, cap, keep=["_row"])
     cut = F.col("_part") > 0
     copies = (F.col("_full") + cut.cast("long")).cast("int")
     rows = rows.filter((F.col("_size") > 0) & (copies > 0)).withColumn(
         "_copy", F.explode(F.sequence(F.lit(1), copies)))
     last = (F.col("_copy") > F.col("_full")) & (F.col("_part") < F.col("_size"))
     # each piece is the white space before a word and the word
-    pieces = F.split("text", r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
-    text = F.when(last, F.array_join(F.slice(pieces, F.lit(1), F.col("_part").cast("int")), "")).otherwise(F.col("text"))
-    rows = rows.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(last, F.length("text")).otherwise(F.col("n_chars"))
-                               .cast(docs.schema["n_chars"].dataType))
-    return rows.select(*docs.columns)
+    pieces = F.split("_row.text", r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
+    rows = rows.withColumn("_last", last).withColumn("_cut", F.when(last, F.array_join(F.slice(
+        pieces, F.lit(1), F.col("_part").cast("int")), "")).otherwise(F.col("_row.text")))
+
+    def column(name: str) -> Column:
+        own = F.col("_row").getField(name)
+        if name == "text":
+            own = F.col("_cut")
+        elif name == "n_chars":
+            own = F.when(F.col("_last"), F.length("_cut")).otherwise(own).cast(docs.schema[name].dataType)
+        return own.alias(name)
+
+    return rows.select(*[column(c) for c in docs.columns])

@@ -193,5 +193,5 @@ def keep_first(docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_col: str
     found = _grouped(docs, shingle, max_bits, id_col, text_col)
     kept = (found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
             .groupBy("component").agg(F.min("row_key").alias("_row_key")).select("_row_key"))
-    return (docs.withColumn("_row_key", F.xxhash64(id_col, text_col)).join(kept, "_row_key")
-            .dropDuplicates(["_row_key"]).drop("_row_key"))
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.xxhash64(id_col, text_col).alias("_row_key"))
+    return rows.join(kept, "_row_key").dropDuplicates(["_row_key"]).select("_row.*")
