@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections.abc import Iterator
 from typing import NamedTuple
 
 
@@ -21,15 +22,21 @@ class Block(NamedTuple):
 
 
 UNSEEN = "script|style|textarea|title"
+# What follows a tag's name: a quote opens a value only right after "="; elsewhere it is a character like any other.
+_REST = r"(?:=\s*+(?:\"[^\"]*\"|'[^']*'|[^\s\"'>][^\s>]*+)?+|[^>=]++)*+"
+# Elements nested deeper than this stand on the path of the last one that counts, as in browsers.
+DEPTH = 512
 _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)"
-    rf"|<(?P<unseen>{UNSEEN})(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^'\">])*(?:(?<=/)>|>(?P<inner>.*?)(?:</(?P=unseen)(?=[\s/>])[^>]*>|\Z))"
+    rf"|<(?P<unseen>{UNSEEN})(?=[\s/>]){_REST}(?:(?<=/)>|>(?P<inner>.*?)(?:</(?P=unseen)(?=[\s/>])[^>]*>|\Z))"
     r"|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>"
+    rf"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>{_REST})>"
     r"|<[!?/][^>]*>?"
     r"|(?P<text>[^<]+|<)", re.S | re.I)
+# Behind the last ">" no tag can end, so none is looked for.
+_TAIL = re.compile(r"<!--.*|<!\[CDATA\[(?P<cdata>.*)|<[!?/].*|(?P<text>[^<]+|<)(?P<tag>(?!))?(?P<inner>(?!))?", re.S | re.I)
 _ATTR = re.compile(r"\b(class|id|role|type)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_ANY_ATTR = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?|\"[^\"]*\"|'[^']*'")
+_ANY_ATTR = re.compile(r"([^\s>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*)))?")
 _MAY_HIDE = re.compile(r"hidden|none", re.I)
 _NOT_SHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _NAME = re.compile(r"[a-z]+")
@@ -64,17 +71,25 @@ def _hidden(tag: str, attrs: str) -> bool:
         return False
     for m in _ANY_ATTR.finditer(attrs):
         name, value = (m[1] or "").lower(), m[2] or m[3] or m[4] or ""
-        if name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true" or name == "style" and _NOT_SHOWN.search(value):
+        if name == "hidden" or name == "style" and _NOT_SHOWN.search(value):
             return True
     return False
 
 
+def _tokens(page: str) -> Iterator[re.Match]:
+    last, at = page.rfind(">"), 0
+    while at < len(page):
+        m = (_TOKEN if at <= last else _TAIL).match(page, at)
+        yield m
+        at = m.end()
+
+
 def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...], bool]] = []  # tag, names, hidden
     pieces: list[str] = []
     path: tuple[str, ...] = ()
-    linked = total = 0
+    linked = total = hidden = links = 0  # the last two count open elements
 
     def flush() -> None:
         nonlocal pieces, linked, total
@@ -86,25 +101,29 @@ def blocks(page: str) -> list[Block]:
         linked = total = 0
 
     def end(at: int) -> None:
+        nonlocal hidden, links
         if any(s[0] not in INLINE for s in stack[at:]):
             flush()
+        for tag, _, unseen in stack[at:]:
+            hidden -= unseen
+            links -= tag == "a"
         del stack[at:]
 
-    for m in _TOKEN.finditer(page):
+    for m in _tokens(page):
         text = m["text"] or (m["cdata"] if m["cdata"] is not None else "")
         if m["inner"] and m["unseen"].lower() == "title" and any(s[0] == "svg" for s in stack):
             text = f" {m['inner']} "  # of a drawing, not of the page
         if text:
-            if any(s[2] for s in stack):
+            if hidden:
                 continue
             if not pieces:
                 if text.isspace():
                     continue
-                path = tuple(n for s in stack for n in s[1])
+                path = tuple(n for s in stack[:DEPTH] for n in s[1])
             pieces.append(text)
             n = len(text)
             total += n
-            if any(s[0] == "a" for s in stack):
+            if links:
                 linked += n
             continue
         tag = m["tag"]
@@ -141,5 +160,7 @@ def blocks(page: str) -> list[Block]:
         attrs = m["attrs"]
         if tag not in VOID and not attrs.endswith("/"):
             stack.append((tag, _names(tag, attrs) if attrs else (tag,), _hidden(tag, attrs)))
+            hidden += stack[-1][2]
+            links += tag == "a"
     flush()
     return out
