@@ -26,7 +26,8 @@ from quarterline.session import local_session  # noqa: E402
 
 HEADLINE = ["quarterly_analytics_part", "derive_q4_part", "segment_contribution_part", "grounded_figures_part",
             "claim_status_part", "quarterly_analytics", "annual_growth", "derive_q4", "facts_from_json",
-            "segment_contribution", "asof_annual", "grounded_figures", "claim_status", "dq_summary"]
+            "segment_contribution", "asof_annual", "grounded_figures", "claim_status", "dq_summary",
+            "briefing_violations", "plain_english", "answer_mode"]
 
 
 def main() -> None:

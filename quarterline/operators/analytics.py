@@ -163,3 +163,14 @@ def annual_complete_scoped(wide: DataFrame, min_fiscal_year: int) -> DataFrame:
     )
     annual = annual_financials(totals, extra=("_complete",))
     return annual.where(F.col("_complete") & (F.col("fiscal_year") >= min_fiscal_year)).drop("_complete")
+
+
+# Chart names of the margins.
+MARGIN_SERIES = {"gross_margin_pct": "Gross margin", "operating_margin_pct": "Operating margin", "net_margin_pct": "Net margin"}
+
+
+def margin_series(frame: DataFrame, ids: list[str], label: Column) -> DataFrame:
+    """The three margins of a quarterly or annual frame as (series, value) rows with a period label."""
+    names = F.create_map(*[x for k, v in MARGIN_SERIES.items() for x in (F.lit(k), F.lit(v))])
+    long = frame.unpivot(ids, list(MARGIN_SERIES), "series", "value")
+    return long.select(*ids, label.alias("period_label"), F.element_at(names, F.col("series")).alias("series"), "value")

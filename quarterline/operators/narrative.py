@@ -264,6 +264,15 @@ def driver_presentation(packets: DataFrame) -> DataFrame:
     return x.select(*PERIOD, each(shown).alias("i")).select(*PERIOD, "i.*")
 
 
+def quarterly_report_table(quarterly: DataFrame) -> DataFrame:
+    """Presentation projection of the quarterly facts with formatted values."""
+    return quarterly.select(
+        ENTITY, fiscal_label("fiscal_year").alias("Fiscal year"), F.col("fiscal_period").alias("Quarter"),
+        *[fmt.format_billions(m).alias(label) for m, label in (
+            ("revenue", "Revenue"), ("gross_profit", "Gross profit"), ("operating_income", "Operating income"),
+            ("net_income", "Net income"))])
+
+
 def report_table(annual: DataFrame) -> DataFrame:
     """Presentation projection of the annual frame with formatted values."""
     return annual.select(

@@ -17,11 +17,7 @@ METRIC_LABELS = {
     "operating_income": "Operating Income",
     "net_income": "Net Income",
 }
-MARGIN_SERIES = {
-    "gross_margin_pct": "Gross margin",
-    "operating_margin_pct": "Operating margin",
-    "net_margin_pct": "Net margin",
-}
+MARGIN_SERIES = A.MARGIN_SERIES
 
 # ---------------------------------------------------------------- SQL pieces
 _WIDE = """SELECT entity_id, fiscal_year, fiscal_period,
@@ -231,13 +227,19 @@ _MS_UNION = " UNION ALL ".join(
 def q_margin_series(spark, sf_dir):
     """Three margins as (series, value) rows for one chart."""
     qa = A.scoped(_analytics(Fixtures(spark, sf_dir)), SCOPE_MIN_FISCAL_YEAR)
-    long = qa.unpivot(["entity_id", "fiscal_year", "fiscal_period"], list(MARGIN_SERIES), "series", "value")
-    label = F.create_map(*[x for k, v in MARGIN_SERIES.items() for x in (F.lit(k), F.lit(v))])
-    return long.select(
-        "entity_id", "fiscal_year", "fiscal_period",
-        fiscal_label("fiscal_year", "fiscal_period").alias("period_label"),
-        F.element_at(label, F.col("series")).alias("series"), "value",
-    )
+    return A.margin_series(qa, ["entity_id", "fiscal_year", "fiscal_period"], fiscal_label("fiscal_year", "fiscal_period"))
+
+
+_ANNUAL_MS = " UNION ALL ".join(
+    f"SELECT entity_id, fiscal_year, 'FY' || CAST(fiscal_year AS VARCHAR) AS period_label, '{v}' AS series, {k} AS value FROM an"
+    for k, v in MARGIN_SERIES.items())
+
+
+@register("annual_margin_series", sql=_sql(("w", _WIDE), ("atot", _ANNUAL_TOTALS), ("an", _ANNUAL), select=_ANNUAL_MS))
+def q_annual_margin_series(spark, sf_dir):
+    """Three annual margins as (series, value) rows for one chart."""
+    annual = A.annual_financials(A.annual_totals(A.quarterly_wide(Fixtures(spark, sf_dir).long)))
+    return A.margin_series(annual, ["entity_id", "fiscal_year"], fiscal_label("fiscal_year"))
 
 
 def _export_sql() -> str:

@@ -177,6 +177,15 @@ def q_annual_report_table(spark, sf_dir):
     return N.report_table(annual)
 
 
+@register("quarterly_report_table", sql=_text_sql(f"""
+SELECT entity_id, 'FY' || CAST(fiscal_year AS VARCHAR) AS "Fiscal year", fiscal_period AS "Quarter", {_fb('revenue')} AS "Revenue",
+  {_fb('gross_profit')} AS "Gross profit", {_fb('operating_income')} AS "Operating income", {_fb('net_income')} AS "Net income" FROM sq"""))
+def q_quarterly_report_table(spark, sf_dir):
+    """Formatted quarterly report table."""
+    analytics, _ = _scoped(Fixtures(spark, sf_dir))
+    return N.quarterly_report_table(analytics)
+
+
 @register("executive_insights", sql=_INSIGHTS_SQL)
 def q_executive_insights(spark, sf_dir):
     """H2: deterministic executive insights per entity."""

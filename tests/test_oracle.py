@@ -14,14 +14,15 @@ from conftest import SMALL
 
 SAMPLE = ["quarterly_analytics", "annual_growth", "complete_annual", "derive_q4", "q4_underivable",
           "dq_missing_periods", "segment_reconcile", "segment_contribution", "asof_annual", "grounded_figures",
-          "margin_direction", "glossary_match", "advice_filter"]
+          "margin_direction", "glossary_match", "advice_filter", "briefing_errors", "response_acceptance", "answer_errors",
+          "qa_prompts", "facts_scan_report"]
 
 
 def _norm(v):
     if isinstance(v, float):
         return None if math.isnan(v) else float(f"{v:.9g}")
     if isinstance(v, decimal.Decimal):
-        return float(f"{float(v):.9g}")
+        return int(v) if v == v.to_integral_value() else str(v.normalize())
     if isinstance(v, (dt.date, dt.datetime)):
         return v.isoformat()
     if isinstance(v, (list, tuple)):
