@@ -161,9 +161,12 @@ def save_bucketed(facts: DataFrame, table: str, buckets: int) -> DataFrame:
     entity.  The bucket count is fixed per table; size it so one bucket file
     stays around a few hundred MB at the target scale.
     """
-    report = load_constraints(facts)
-    if report.where(~F.col("loadable")).limit(1).count():
+    spark, staged = facts.sparkSession, f"{table}_staged_{uuid.uuid4().hex}"
+    (facts.write.format("parquet").bucketBy(buckets, ENTITY).sortBy(ENTITY, "fiscal_year").saveAsTable(staged))
+    # what was written is what is checked
+    if load_constraints(spark.table(staged)).where(~F.col("loadable")).limit(1).count():
+        spark.sql(f"DROP TABLE {staged}")
         raise ValueError("load refused: NOT NULL or UNIQUE constraint violated")
-    (facts.write.mode("overwrite").format("parquet")
-     .bucketBy(buckets, ENTITY).sortBy(ENTITY, "fiscal_year").saveAsTable(table))
-    return facts.sparkSession.table(table)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+    return spark.table(table)

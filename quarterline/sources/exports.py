@@ -80,10 +80,12 @@ def publish_exports(frames: dict[str, DataFrame], target: str, min_fiscal_year:
     for name in EXPORT_COLUMNS:  # in the order of the contract
         frames[name].write.parquet(f"{base}/{version}/{name}")
     report = contract_report({n: spark.read.parquet(f"{base}/{version}/{n}") for n in EXPORT_COLUMNS}, min_fiscal_year)
-    if report.where(~F.col("ok")).limit(1).count():
-        raise ValueError("export contract failed; nothing published")
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path
+    if report.where(~F.col("ok")).limit(1).count():
+        refused = path(f"{base}/{version}")
+        refused.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(refused, True)
+        raise ValueError("export contract failed; nothing published")
     context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(path(base).toUri(), spark.sparkContext._jsc.hadoopConfiguration())
     fs = path(base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     new = path(f"{base}/{POINTER}-{version}")

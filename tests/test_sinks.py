@@ -46,6 +46,21 @@ def test_publish_all_or_none(spark, tmp_path):
         with pytest.raises(ValueError):
             exports.publish_exports(frames, str(tmp_path / "exports2"), 1998)
     assert exports.read_exports(spark, str(tmp_path / "exports2")) == {}
+    assert not list(tmp_path.glob("exports2/v-*"))  # nothing of a refused set stays
+
+
+def test_a_refused_bucketed_load_leaves_the_table(spark):
+    import uuid
+
+    fx, name = Fixtures(spark, SMALL), f"quarterline_load_{uuid.uuid4().hex[:8]}"
+    good = fx.long.drop("q")
+    Q.save_bucketed(good, name, buckets=2)
+    with pytest.raises(ValueError):
+        Q.save_bucketed(good.unionByName(good.limit(1)), name, buckets=2)
+    assert spark.table(name).count() == good.count()
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith(f"{name}_staged")]
+    Q.save_bucketed(good.where("fiscal_period = 'Q1'"), name, buckets=2)
+    assert spark.table(name).select("fiscal_period").distinct().count() == 1
 
 
 def test_load_refuses_constraint_violations(spark, tmp_path):
