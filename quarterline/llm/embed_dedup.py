@@ -20,9 +20,10 @@ every asker visits all blocks.  Tasks return link counts and a spanning forest
 of links, never all pairs.
 
 Defined results: vectors that are NULL, zero, or hold NULL or non-finite
-components link with nothing and are their own component; vectors of another
-length than the most common one link only with equal vectors; repeated ids
-count as one vector per row; an empty table gives an empty result.
+components link with nothing and are their own component; vectors link only
+with vectors of their own length, where each of the ``LENGTHS`` most common
+lengths has an index of its own and any other is one cell, compared whole;
+repeated ids count as one vector per row; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +44,7 @@ SAMPLE = 20_000  # vectors the codebooks and the stop are learned from
 PER_CELL = 256  # vectors a cell should hold on average; fewer cells to ask cost more comparisons, which are cheap
 MAX_CODES = 1024
 BLOCK = 2_048  # members of a cell compared at once
+LENGTHS = 8  # lengths of vectors that get an index
 
 
 class Index(NamedTuple):
@@ -145,43 +148,51 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, recall: float =
     nodes = (rows.filter("usable").groupBy("v").agg(F.count("*").alias("weight"), F.min("vec_id").alias("first_id"))
              .withColumn("width", F.size("v")).withColumn("node", F.xxhash64("v")))
     nodes = common.staged(nodes, "embedding-nodes")
-    widths = nodes.groupBy("width").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "width").first()
+    widths = nodes.groupBy("width").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "width").limit(LENGTHS).collect()
     out = "vec_id long, n_links long, component_id long, kept boolean"
-    if widths is None:
+    if not widths:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
                            F.lit(True).alias("kept"))
-    width, total = widths["width"], widths["n"]
-    nodes_in = nodes.filter(F.col("width") == width)
-    share = min(1.0, 2 * SAMPLE / total)
-    sample = (nodes_in.filter(F.pmod("node", F.lit(1_000_000)) < int(share * 1_000_000) + 1)
-              .orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("v").toArrow())  # bounded by SAMPLE
-    index = train(_unit(_matrix(sample.column(0).combine_chunks(), width)), total, threshold, recall)
-    shared = spark.sparkContext.broadcast(index)  # 2 x MAX_CODES centroids at most
+
+    def index(width: int, total: int) -> Index:
+        share = min(1.0, 2 * SAMPLE / total)
+        sample = (nodes.filter((F.col("width") == width) & (F.pmod("node", F.lit(1_000_000)) < int(share * 1_000_000) + 1))
+                  .orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("v").toArrow())  # bounded by SAMPLE
+        return train(_unit(_matrix(sample.column(0).combine_chunks(), width)), total, threshold, recall)
+
+    indexes = {w["width"]: index(w["width"], w["n"]) for w in widths if w["width"] > 1}
+    shared = spark.sparkContext.broadcast(indexes)  # 2 x MAX_CODES centroids at most for each of LENGTHS
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grid = len(shared.value.codes[1])
         for batch in batches:
-            x = _unit(_matrix(batch.column(1), width))
-            da, db = _distances(shared.value, x)
-            cell = da.argmin(axis=1).astype(np.int64) * grid + db.argmin(axis=1)
-            asked = [[i * grid + j for i, j in traverse(a, b, shared.value.reach)] for a, b in zip(da, db)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(cell),
-                                              pa.array(asked, pa.list_(pa.int64()))], ["node", "v", "weight", "cell", "asked"])
+            length = pc.list_value_length(batch.column(1)).to_numpy()
+            for width in np.unique(length).tolist():
+                part = batch.filter(pa.array(length == width))
+                cell, asked = np.zeros(part.num_rows, np.int64), [[0]] * part.num_rows
+                if width in shared.value:
+                    found = shared.value[width]
+                    grid = len(found.codes[1])
+                    da, db = _distances(found, _unit(_matrix(part.column(1), width)))
+                    cell = da.argmin(axis=1).astype(np.int64) * grid + db.argmin(axis=1)
+                    asked = [[i * grid + j for i, j in traverse(a, b, found.reach)] for a, b in zip(da, db)]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(cell), pa.array(asked, pa.list_(pa.int64()))],
+                                                 ["node", "v", "weight", "width", "cell", "asked"])
 
     placed = common.staged(
-        nodes_in.select("node", "v", "weight").mapInArrow(place, "node long, v array<double>, weight long, cell long, asked array<long>"),
-        "embedding-cells")
-    sizes = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("node").alias("last"))
+        nodes.select("node", "v", "weight", "width")
+        .mapInArrow(place, "node long, v array<double>, weight long, width int, cell long, asked array<long>"), "embedding-cells")
+    sizes = placed.groupBy("width", "cell").agg(F.count("*").alias("n"), F.max("node").alias("last"))
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    members = placed.join(sizes, "cell").select("cell", F.pmod(F.xxhash64("node", F.lit(1)), blocks).cast("int").alias("block"),
+    members = placed.join(sizes, ["width", "cell"]).select("width", "cell", F.pmod(F.xxhash64("node", F.lit(1)), blocks).cast("int").alias("block"),
                                                 F.lit(0).alias("kind"), "node", "v", "weight")
     # an asker goes to a cell only for members after it
-    askers = (placed.select("node", F.explode("asked").alias("cell")).join(sizes, "cell").filter(F.col("node") < F.col("last"))
-              .select("node", "cell", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"))
+    askers = (placed.select("node", "width", F.explode("asked").alias("cell")).join(sizes, ["width", "cell"]).filter(F.col("node") < F.col("last"))
+              .select("node", "width", "cell", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"))
               .join(placed.select("node", "v", "weight"), "node")
-              .select("cell", "block", F.lit(1).alias("kind"), "node", "v", "weight"))
-    meetings = members.union(askers).repartition("cell", "block").sortWithinPartitions("cell", "block", "kind", "node")
-    found = common.staged(meetings.mapInArrow(lambda b: _meet(b, width, threshold), "a long, b long, links long"), "embedding-links")
+              .select("width", "cell", "block", F.lit(1).alias("kind"), "node", "v", "weight"))
+    meetings = (members.union(askers).repartition("width", "cell", "block")
+                .sortWithinPartitions("width", "cell", "block", "kind", "node"))
+    found = common.staged(meetings.mapInArrow(lambda b: _meet(b, threshold), "a long, b long, links long"), "embedding-links")
 
     counts = found.filter("links > 0").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("others"))
     linked = common.components(found.filter("b is not null").select("a", "b"))
@@ -197,8 +208,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, recall: float =
     ).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id"))).select(*[f.split()[0] for f in out.split(", ")])
 
 
-def _meet(batches: Iterator[pa.RecordBatch], width: int, threshold: float) -> Iterator[pa.RecordBatch]:
-    """Streams sorted (cell, block, kind, node, v, weight); holds one block of members at a time.
+def _meet(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+    """Streams sorted (width, cell, block, kind, node, v, weight); holds one block of members at a time.
 
     Returns link counts ``(node, NULL, weight of its partners)`` and forest
     links ``(a, b, 0)``.
@@ -220,18 +231,19 @@ def _meet(batches: Iterator[pa.RecordBatch], width: int, threshold: float) -> It
                 yield rows(ids[tied], ids[label[tied]], np.zeros(len(tied), np.int64))
 
     for batch in batches:
-        cells, blocks, kinds, nodes = (batch.column(i).to_numpy() for i in range(4))
-        x, weights = _unit(_matrix(batch.column(4), width)), batch.column(5).to_numpy()
-        change = np.flatnonzero((np.diff(cells) != 0) | (np.diff(blocks) != 0) | (np.diff(kinds) != 0)) + 1
+        widths, cells, blocks, kinds, nodes = (batch.column(i).to_numpy() for i in range(5))
+        weights = batch.column(6).to_numpy()
+        change = np.flatnonzero(sum(np.diff(c) != 0 for c in (widths, cells, blocks, kinds))) + 1
         for lo, hi in zip([0, *change], [*change, len(nodes)]):
             if lo == hi:
                 continue
-            here = (int(cells[lo]), int(blocks[lo]))
+            here = (int(widths[lo]), int(cells[lo]), int(blocks[lo]))
+            x = _unit(_matrix(batch.column(5).slice(lo, hi - lo), here[0]))
             if here != key:
                 yield from close()
                 key, parts, label = here, [], None
             if kinds[lo] == 0:
-                parts.append((nodes[lo:hi], x[lo:hi], weights[lo:hi]))
+                parts.append((nodes[lo:hi], x, weights[lo:hi]))
                 continue
             if label is None:
                 if not parts:
@@ -240,7 +252,7 @@ def _meet(batches: Iterator[pa.RecordBatch], width: int, threshold: float) -> It
                 label, gained = np.arange(len(ids)), np.zeros(len(ids), np.int64)
             for at in range(lo, hi, 512):
                 to = min(hi, at + 512)
-                near = (x[at:to] @ unit.T >= threshold) & (nodes[at:to, None] < ids[None, :])
+                near = (x[at - lo:to - lo] @ unit.T >= threshold) & (nodes[at:to, None] < ids[None, :])
                 hit = np.flatnonzero(near.any(axis=1))
                 if not len(hit):
                     continue

@@ -2,6 +2,7 @@
 
 import duckdb
 import numpy as np
+import pytest
 
 from quarterline.llm import embed_dedup, queries
 
@@ -74,6 +75,26 @@ def test_odd_rows(spark):
     assert embed_dedup.near_duplicates(frame.filter("vec_id = 4")).collect()[0]["n_links"] == 0
 
 
+@pytest.mark.parametrize("lengths", [1, 8])
+def test_vectors_of_every_length_meet_their_own(spark, monkeypatch, lengths):
+    monkeypatch.setattr(embed_dedup, "LENGTHS", lengths)  # the rest without an index
+    monkeypatch.setattr(embed_dedup, "BLOCK", 8)
+    rng = np.random.default_rng(9)
+    vectors = [[1.0, 0.0], [1.0, 0.01], [1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.0, 1.0, 0.1], [2.0], [3.0], [-1.0]]
+    for dim, n in ((5, 60), (4, 40)):
+        base = rng.standard_normal((n // 4, dim))
+        vectors += (np.repeat(base, 4, axis=0) + 0.05 * rng.standard_normal((n, dim))).tolist()
+    rows = list(enumerate(vectors))
+    got = embed_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)).collect()
+    want = brute(rows)
+    if lengths == 1:  # only the most common length passes an index; small ones are whole
+        want, got = ([r for r in x if len(vectors[r[0]]) != 5] for x in (want, map(tuple, got)))
+        assert sorted(got) == sorted(want)
+    else:
+        assert sum(r["n_links"] for r in got) >= 0.95 * sum(r[1] for r in want)
+        assert {r["vec_id"]: r["n_links"] for r in got}[0] == 1
+
+
 def test_traversal_visits_every_cell_in_order():
     rng = np.random.default_rng(4)
     a, b = rng.random(9), rng.random(7)
