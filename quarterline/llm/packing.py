@@ -5,9 +5,10 @@ the sequence length.  Pieces go to partitions by hash.  Each partition packs
 by best-fit decreasing and compares its bin count with a lower bound from
 dual feasible functions (any such function of the fill sums to at most one
 per bin).  A partition at its bound is certified and hands on only its
-emptiest bin; one with a gap hands on its open bins.  Neighbouring partitions
-exchange what they handed on, best-fit decreasing runs again, and a result
-that needs fewer bins replaces the old one, until one group is left.
+emptiest bin; one with a gap hands on all its open bins.  What was handed on
+is dealt over as few groups as hold it, best-fit decreasing runs again, and a
+result that needs fewer bins replaces the old one, until one group is left or
+a round closes next to nothing.
 
 Defined results: a NULL text is packed like an empty one (the end id alone);
 a NULL id is kept; repeated rows are packed each; an empty table gives no
@@ -19,6 +20,8 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Callable, Iterator
+from functools import reduce
+from itertools import compress
 
 import numpy as np
 import pandas as pd
@@ -29,10 +32,11 @@ from pyspark.sql import functions as F
 from quarterline.llm import common
 
 PIECES_PER_PARTITION = 20_000
-MERGE = 8
+LEAST_GAIN = 0.95  # an exchange that leaves more of the open pieces and bins than this is the last
 CACHE_WORDS = 600_000  # of one generation
 # The tokenizer's white space, and Python's, less the four that only Python splits at.
-_PYTHON_ONLY = re.compile("[\x1c-\x1f]")
+_PYTHON_ONLY = "\x1c\x1d\x1e\x1f"
+_SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # an apostrophe may belong to a word
 _WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
 PIECE = "doc_id long, no_id boolean, piece int, start long, length long, ids_crc32 long"
@@ -56,59 +60,69 @@ class Encoder:
         self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.marks = {m: self._each([m])[0] for m in ".,"}
+        self.marks: dict[str, bytes] = {}  # of up to three signs after a word
 
     def _each(self, words: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(words, add_special_tokens=False)
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
     def _together(self, words: list[str]) -> list[bytes]:
         """Words of letters in one call, cut apart at the ids that end a word."""
-        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, dtype="<u4")
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, dtype="<u4")
         ends = (np.flatnonzero(self.closes[ids]) + 1) * 4
         if len(ends) != len(words):  # lower-casing gave some word a mark of its own
             return self._each(words)
         buffer, at = ids.tobytes(), ends.tolist()
         return [buffer[i:j] for i, j in zip([0, *at], at)]
 
+    def _keep(self, words: set[str]) -> set[str]:
+        """Moves words of the older generation to the younger; returns those of neither."""
+        words = words.difference(self.known)
+        new = words.difference(self.older)
+        again = words - new
+        self.known.update(zip(again, map(self.older.__getitem__, again)))
+        return new
+
     def _learn(self, words: set[str]) -> None:
-        known, older = self.known, self.older
-        built, letters, other = [], set(), set()
-        for w in words:
-            ids = older.get(w)
-            if ids is not None:
-                known[w] = ids
+        new = list(self._keep(words))
+        text = "\n".join(new)
+        # the tokenizer lower-cases each character alone; only a capital sigma differs in a word
+        bodies = [w if "Σ" in w else w.lower() for w in new] if "Σ" in text else text.lower().split("\n")
+        plain = list(map(str.isalpha, bodies))
+        letters, other, marked, whole = set(compress(bodies, plain)), set(), [], []
+        for w, body, is_plain in zip(new, bodies, plain):
+            if is_plain:
                 continue
-            # the tokenizer lower-cases each character alone; only a capital sigma differs in a word
-            body, mark = (w if "Σ" in w else w.lower()), b""
-            if body.isalpha():
-                kind = letters
-            elif body[-1] in ".," and body[:-1].isalpha():
-                body, mark, kind = body[:-1], self.marks[body[-1]], letters
+            head = body.rstrip(_SIGNS)
+            tail = body[len(head):]
+            if 0 < len(tail) < 4 and head.isalpha():  # the tokenizer parts signs from letters
+                if tail not in self.marks:
+                    self.marks[tail] = self._each([tail])[0]
+                marked.append((w, head, self.marks[tail]))
+                letters.add(head)
             else:
-                kind = other
-            built.append((w, body, mark))
-            if body not in known:
-                ids = older.get(body)
-                if ids is not None:
-                    known[body] = ids
-                else:
-                    kind.add(body)
-        for all_, encode in ((list(letters), self._together), (list(other), self._each)):
+                whole.append((w, body))
+                other.add(body)
+        known = self.known
+        for all_, encode in ((list(self._keep(letters)), self._together), (list(self._keep(other)), self._each)):
             for lo in range(0, len(all_), 2048):
                 part = all_[lo:lo + 2048]
                 known.update(zip(part, encode(part)))
-        for w, body, mark in built:
+        get = known.__getitem__
+        known.update(zip(compress(new, plain), map(get, compress(bodies, plain))))
+        for w, body in whole:
+            known[w] = known[body]
+        for w, body, mark in marked:
             known[w] = known[body] + mark
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > CACHE_WORDS:
             self.known, self.older = {}, self.known
-        split = [_WORDS.findall(t) if _PYTHON_ONLY.search(t) else t.split() for t in texts]
+        split = [_WORDS.findall(t) if any(c in t for c in _PYTHON_ONLY) else t.split() for t in texts]
         wanted: set[str] = set()
         for words in split:
             wanted.update(words)
-        wanted.difference_update(self.known)
+        wanted = wanted.difference(self.known)
         if wanted:
             self._learn(wanted)
         get = self.known.__getitem__
@@ -191,32 +205,31 @@ def lower_bound(lengths: np.ndarray, capacity: int, stairs: int = 20) -> int:
 STATE = PIECE + ", part long, sequence_id long, offset long, handed boolean, bins long, bound long"
 
 
-def _packed(frame: pd.DataFrame, base: int, capacity: int, most: int) -> pd.DataFrame:
+def _packed(frame: pd.DataFrame, base: int, capacity: int) -> pd.DataFrame:
     lengths = frame["length"].to_numpy()
     where, offset, bins = best_fit(lengths, capacity)
-    return _hand_on(frame.assign(sequence_id=base + where, offset=offset), capacity, most)
+    return _hand_on(frame.assign(sequence_id=base + where, offset=offset), capacity)
 
 
-def _exchange(base: int, stride: int, capacity: int, most: int) -> Callable:
+def _exchange(base: int, stride: int, capacity: int) -> Callable:
     """Packs one group of pieces; pieces that had bins before keep them unless the new packing needs fewer."""
     names = [f.split()[0] for f in STATE.split(", ")]
 
     def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        new = _packed(frame, base + int(key[0]) * stride, capacity, most)
+        new = _packed(frame, base + int(key[0]) * stride, capacity)
         if "sequence_id" in frame and new["sequence_id"].nunique() >= frame["sequence_id"].nunique():
-            new = _hand_on(frame, capacity, most)
+            new = _hand_on(frame, capacity)
         return new[names]
 
     return run
 
 
-def _hand_on(frame: pd.DataFrame, capacity: int, most: int) -> pd.DataFrame:
-    """Marks the bins to exchange: all open ones, emptiest first and ``most`` pieces at most, or one if certified."""
-    fill = frame.groupby("sequence_id")["length"].agg(["sum", "count"])
+def _hand_on(frame: pd.DataFrame, capacity: int) -> pd.DataFrame:
+    """Marks the bins to exchange: all open ones, or the emptiest if certified."""
+    fill = frame.groupby("sequence_id")["length"].sum()
     bound = lower_bound(frame["length"].to_numpy(), capacity)
-    gap = len(fill) > bound
-    loose = fill[fill["sum"] < capacity].sort_values(["sum", "count"], kind="stable")
-    chosen = loose.index[(loose["count"].cumsum() <= most)] if gap else loose.index[:1]
+    loose = fill[fill < capacity].sort_values(kind="stable")
+    chosen = loose.index if len(fill) > bound else loose.index[:1]
     return frame.assign(handed=frame["sequence_id"].isin(chosen), bins=len(fill), bound=bound)
 
 
@@ -228,22 +241,24 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1,
     loose = cut.filter(F.col("length") < capacity)
     parts = max(1, -(-loose.count() // PIECES_PER_PARTITION))
     stride = 1 << 40  # sequence numbers of one group; a group never has as many bins
-    most = PIECES_PER_PARTITION // MERGE
 
-    state = (loose.withColumn("part", F.pmod(F.xxhash64("doc_id", "no_id", "piece", "start", "ids_crc32"), F.lit(parts)))
-             .groupBy("part").applyInPandas(_exchange(0, stride, capacity, most), STATE))
-    done = None
-    base = parts
+    # rows are numbered, so that repeated ones do not meet in one group
+    spread = F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id())
+    state = loose.withColumn("part", F.pmod(spread, F.lit(parts))).groupBy("part").applyInPandas(_exchange(0, stride, capacity), STATE)
+    done, base, before = [], parts, None
     while parts > 1:
         state = common.staged(state, "packing-round")
-        kept = state.filter(~F.col("handed"))
-        done = kept if done is None else done.union(kept)
-
-        parts = -(-parts // MERGE)
-        state = (state.filter("handed").withColumn("part", F.floor(F.col("part") / MERGE))
-                 .groupBy("part").applyInPandas(_exchange(base * stride, stride, capacity, most), STATE))
+        handed, bins = state.filter("handed").agg(F.count("*"), F.count_if(F.col("offset") == 0)).first()
+        if before and handed + bins > LEAST_GAIN * before:
+            break
+        before = handed + bins
+        done.append(state.filter(~F.col("handed")))
+        parts = max(1, -(-handed // PIECES_PER_PARTITION))
+        # bins stay whole; each round deals them anew
+        state = (state.filter("handed").withColumn("part", F.pmod(F.xxhash64("sequence_id", F.lit(base)), F.lit(parts)))
+                 .groupBy("part").applyInPandas(_exchange(base * stride, stride, capacity), STATE))
         base += parts
-    done = state if done is None else done.union(state)
+    done = reduce(DataFrame.union, done, state)
     columns = [F.when(~F.col("no_id"), F.col("doc_id")).alias("doc_id"), "piece", "start", "length", "ids_crc32"]
     alone = full.select(*columns, (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     return done.select(*columns, "sequence_id", "offset").union(alone)

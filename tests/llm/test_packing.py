@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 from tokenizers import Tokenizer
 
@@ -17,7 +18,8 @@ def direct(text):
 
 def test_encoder_matches_the_tokenizer():
     texts = ["", " \n\t", "Hello, World... it's 3.14 a.b,c ...,", "<|endoftext|>x<|startoftext|> end", "ΑΣ ΣΑΣ. ÉCOLE e\u0301a \u0301x",
-             "a\x1cb\x1d c\x85d\u00a0e\u2003f\u200bg", "'S 'll don't DON'T.", "x" * 5000, "数字 漢字。 𝔘𝔫𝔦 İI ǅ ß ﬁ", "tab\tnl\nvt\x0bff\x0c", "a, a. ., ,. é. é,"]
+             "a\x1cb\x1d c\x85d\u00a0e\u2003f\u200bg", "'S 'll don't DON'T.", "x" * 5000, "数字 漢字。 𝔘𝔫𝔦 İI ǅ ß ﬁ", "tab\tnl\nvt\x0bff\x0c", "a, a. ., ,. é. é,",
+             "one!!! two?) three&&&& four.' five's. six_ _seven e\u0301. ΑΣ! ß... 数字--"]
     tokenizer = Tokenizer.from_file(PATH)
     got = packing.Encoder(PATH).encode(texts)
     for t, b in zip(texts, got):
@@ -65,6 +67,20 @@ def test_exchange_rounds_keep_every_piece(spark, monkeypatch):
     assert used <= 1.05 * sum(r["length"] for r in got) / 4096 + 1
 
 
+def test_gapped_groups_hand_on_every_open_bin():
+    frame = pd.DataFrame({"length": [60] * 7 + [41] * 7, "sequence_id": range(14), "offset": 0})
+    assert packing._hand_on(frame, 100)["handed"].all()  # fourteen bins, the bound is lower
+    certified = packing._hand_on(pd.DataFrame({"length": [60] * 3, "sequence_id": range(3)}), 100)
+    assert certified["handed"].sum() == 1
+
+
+def test_repeated_rows_are_spread_over_groups(spark, monkeypatch):
+    monkeypatch.setattr(packing, "PIECES_PER_PARTITION", 50)
+    rows = [(1, "same words " * 40)] * 400 + [(None, "x")] * 200
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), PATH).collect()
+    assert len(got) == 600 and check(got, {}) <= -(-sum(r["length"] for r in got) // 4096) + 4
+
+
 def test_best_fit_and_bounds():
     rng = np.random.default_rng(0)
     for _ in range(40):
