@@ -17,6 +17,7 @@ START = "▁"
 _BYTE = re.compile(r"<0x([0-9A-Fa-f]{2})>$")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _CELLS = 200_000
+_SHORT = 24  # characters of a word whose probabilities need no logarithms
 
 
 class Vocabulary(NamedTuple):
@@ -124,24 +125,46 @@ def marginals(vocab: Vocabulary, logp: np.ndarray, words: list[str]) -> np.ndarr
     return out
 
 
+def _uses(weights: list[np.ndarray]) -> list[np.ndarray]:
+    """Probability of every edge in a segmentation drawn at random, by length and start."""
+    n, size = weights[0].shape
+    if size > _SHORT:
+        alpha = _forward(weights)
+        beta = np.zeros((n, size + 1))
+        for i in range(size - 1, -1, -1):
+            beta[:, i] = _sum(np.stack([beta[:, i + l] + weights[l - 1][:, i] for l in range(1, min(len(weights), size - i) + 1)], axis=1))
+        return [np.exp(alpha[:, :size - l + 1] + w + beta[:, l:] - alpha[:, -1:]) for l, w in enumerate(weights, 1)]
+    # against the reading by single characters, the probabilities of short words stay within floats
+    single = np.zeros((size + 1, n))
+    single[1:] = np.cumsum(weights[0].T, axis=0)
+    odds = [np.exp(w.T - (single[l:] - single[:size - l + 1])) for l, w in enumerate(weights, 1)]
+    some = [l for l, o in enumerate(odds, 1) if o.any()]
+    alpha, beta = np.zeros((size + 1, n)), np.zeros((size + 1, n))
+    alpha[0] = beta[size] = 1.0
+    for j in range(1, size + 1):
+        for l in some:
+            if l <= j:
+                alpha[j] += alpha[j - l] * odds[l - 1][j - l]
+    for i in range(size - 1, -1, -1):
+        for l in some:
+            if l <= size - i:
+                beta[i] += beta[i + l] * odds[l - 1][i]
+    return [(alpha[:size - l + 1] * o * beta[l:] / alpha[-1]).T for l, o in enumerate(odds, 1)]
+
+
 def expected(vocab: Vocabulary, logp: np.ndarray, words: list[str], counts: np.ndarray) -> np.ndarray:
     """Expected uses of every id over ``counts`` occurrences of the words."""
     total = np.zeros(len(logp))
     for some, codes in _groups(words):
         ids, weights, spelled = _edges(vocab, logp, codes)
-        alpha = _forward(weights)
-        n, size = weights[0].shape
-        beta = np.zeros((n, size + 1))
-        for i in range(size - 1, -1, -1):
-            beta[:, i] = _sum(np.stack([beta[:, i + l] + weights[l - 1][:, i] for l in range(1, min(len(weights), size - i) + 1)], axis=1))
         times = counts[some][:, None]
-        for l, (piece, weight) in enumerate(zip(ids, weights), 1):
-            used = np.exp(alpha[:, :size - l + 1] + weight + beta[:, l:] - alpha[:, -1:]) * times
+        for l, (piece, share) in enumerate(zip(ids, _uses(weights)), 1):
             known = piece >= 0
+            used = share * times
             total += np.bincount(piece[known], used[known], minlength=len(total))
             if l == 1 and spelled:
                 for c, spelling in spelled.items():
-                    share = used[(codes == c) & ~known].sum()
+                    part = used[(codes == c) & ~known].sum()
                     for b in spelling:
-                        total[b] += share
+                        total[b] += part
     return total

@@ -1,13 +1,15 @@
 """Language-model scores by subword lattice likelihood.
 
-The pieces and scores of an existing subword vocabulary start a unigram
-model; expectation maximisation over the different words of the training
-documents gives every piece its probability.  A word's lattice has an edge per
-matching piece, and one for the whole word, weighted by its discounted count
-over the training documents; its probability is the sum over all
-segmentations (forward recursion in log space, see ``lattice.py``).  White
-space separates words and no piece crosses it, so the words of a document
-multiply, and an end closes it.
+The pieces and scores of an existing subword vocabulary weigh all
+segmentations of a word (forward recursion in log space, see ``lattice.py``);
+``lattice_score`` is this likelihood alone.  A vocabulary of merges has ranks
+for scores, which become probabilities by Zipf's law; expectation maximisation
+over the different training words, ``rounds`` times, fits them to the corpus.
+``score`` gives a word's lattice one edge more, for the whole word,
+weighted by its discounted count over the training documents: known words get
+most of their probability there, unknown ones all of it from their pieces.
+White space separates words and no piece crosses it, so the words of a
+document multiply, and an end closes it.
 
 Documents use their words again and again.  A document is therefore drawn from
 an urn that starts with the lattice's probabilities, at ``URNS`` strengths in
@@ -17,9 +19,9 @@ are enough, and the score is the log of a probability over texts.
 
 Texts are read once: tasks cut the corpus in chunks and write each chunk as a
 word list (with counts from its training documents) and documents as indexes
-into that list.  Counts over the corpus, the lattice work (once per different
-word) and the way back to the documents are joins on words and chunks; no
-text is shuffled and no table of the corpus is broadcast.
+into that list.  The lists are sorted by word once: a word's entries come in a
+row and are counted, and the word, kept with its places, meets the lattice once
+a round and goes back to its chunks.  No text is shuffled and no table of the corpus is broadcast.
 
 Defined results: a NULL or empty text has only the end token; a NULL id
 counts as training; repeated rows count each; without training documents N is
@@ -33,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,6 +44,8 @@ from quarterline.llm import common, lattice
 
 CHUNK_DOCS = 4096
 CHUNK_BYTES = 16 << 20
+ROWS = 1 << 17  # entries of a task's word list that are put together at once
+PLACES = 4096  # chunks in one row of a word
 SMOOTH = 0.05  # added to the expected count of every piece
 URNS = (30.0, 100.0, 300.0, 1_000.0, 3_000.0, 10_000.0, 1e6)
 _ENCODED = ("kind int, chunk long, idx int, word string, c long, doc_id long, held_out boolean, "
@@ -146,47 +151,98 @@ def urn(p: np.ndarray, times: np.ndarray, row: np.ndarray, rows: int) -> np.ndar
     return top + np.log(np.exp(each - top).mean(axis=0))
 
 
+def _by_word(lists: DataFrame) -> DataFrame:
+    """``lists(word, chunk, idx, c)`` as ``(word, c, head, chunks, idxs)``, one row per word with its whole count.
+
+    A word of more than ``PLACES`` chunks has more rows; ``head`` marks its first.
+    """
+    schema = pa.schema([("word", pa.string()), ("c", pa.int64()), ("head", pa.bool_()),
+                        ("chunks", pa.list_(pa.int64())), ("idxs", pa.list_(pa.int32()))])
+
+    def out(rows: pa.Table, start: np.ndarray, end: int) -> pa.RecordBatch:
+        chunk, idx, c = (rows[n].to_numpy()[:end] for n in ("chunk", "idx", "c"))
+        parts = -(-np.diff(np.r_[start, end]) // PLACES)
+        nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)  # of the word's rows
+        at = np.repeat(start, parts) + nth * PLACES
+        offsets = pa.array(np.r_[at, end], pa.int32())
+        return pa.RecordBatch.from_arrays(
+            [rows["word"].take(pa.array(at)).combine_chunks(), pa.array(np.repeat(np.add.reduceat(c, start), parts)), pa.array(nth == 0),
+             pa.ListArray.from_arrays(offsets, pa.array(chunk)), pa.ListArray.from_arrays(offsets, pa.array(idx))], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            size += batch.num_rows
+            if size < ROWS or batch["word"][0] == batch["word"][-1]:
+                continue
+            rows, start = _starts(held)
+            yield out(rows, start[:-1], start[-1])  # the last word may go on in the next batch
+            held = rows.slice(start[-1]).to_batches()
+            size = sum(b.num_rows for b in held)
+        if held:
+            rows, start = _starts(held)
+            yield out(rows, start, rows.num_rows)
+
+    sorted_ = lists.repartition("word").sortWithinPartitions("word")
+    return sorted_.mapInArrow(run, "word string, c long, head boolean, chunks array<long>, idxs array<int>")
+
+
+def _starts(batches: list[pa.RecordBatch]) -> tuple[pa.Table, np.ndarray]:
+    """Rows in order of word, and where each word starts."""
+    rows = pa.Table.from_batches(batches).combine_chunks()
+    word = rows["word"]
+    return rows, np.r_[0, np.flatnonzero(pc.not_equal(word.slice(1), word.slice(0, len(word) - 1)).to_numpy()) + 1]
+
+
 def score(docs: DataFrame, vocabulary: str, held_out: Column, rounds: int = 4, id_col: str = "doc_id",
           text_col: str = "text") -> DataFrame:
-    """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)`` for every row of ``docs``."""
+    """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, lattice_score)`` for every row of ``docs``.
+
+    ``lattice_score`` is the likelihood under the lattice of the vocabulary's pieces alone.
+    """
     spark = docs.sparkSession
     path = f"{common.shared_dir(spark)}/llm/lm-encoded-{common.uuid.uuid4().hex}"
     encoded = _encoded(docs, held_out, id_col, text_col)
     encoded.write.partitionBy("kind").parquet(path)
     encoded = spark.read.schema(encoded.schema).parquet(path)
-    lists = encoded.filter("kind = 0").select("chunk", "idx", "word", "c")
+    lists = encoded.filter("kind = 0").select("word", "chunk", "idx", "c")
     texts = encoded.filter("kind = 1").select("chunk", "doc_id", "held_out", "ids", "times")
 
-    words = common.staged(lists.groupBy("word").agg(F.sum("c").alias("c")), "lm-words")
+    vocab = load_vocabulary(vocabulary)
+    words = common.staged(_by_word(lists), "lm-words")
+    logp = _learn(words.filter("head"), vocab, rounds)
+    shared = spark.sparkContext.broadcast((vocab, logp))  # the vocabulary, of fixed size
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v, lp = shared.value
+        for b in batches:
+            spelled = lattice.marginals(v, lp, b["word"].to_pylist())
+            row = pc.list_parent_indices(b["chunks"]).to_numpy()
+            yield pa.RecordBatch.from_arrays(
+                [b["chunks"].flatten(), b["idxs"].flatten(), pa.array(b["c"].to_numpy()[row]), pa.array(spelled[row])],
+                ["chunk", "idx", "c", "lp"])
+
+    entries = words.select("word", "c", "chunks", "idxs").mapInArrow(weigh, "chunk long, idx int, c long, lp double")
     documents = texts.filter(~F.col("held_out")).count()
-    used, different, once, twice = words.agg(
+    used, different, once, twice = words.filter("head").agg(
         F.coalesce(F.sum("c"), F.lit(0)), *[F.count_if(x) for x in (F.col("c") > 0, F.col("c") == 1, F.col("c") == 2)]).first()
     tokens, kinds = used + documents, different + (documents > 0)
     under = tokens + 0.5 * (kinds + 1)
-    vocab = load_vocabulary(vocabulary)
-    logp = _learn(words, vocab, rounds)
-    shared = spark.sparkContext.broadcast((vocab, logp))  # the vocabulary, of fixed size
     # a whole-word edge has its count less the discount; the pieces share what that sets free
     discount = once / (once + 2 * twice) if once and twice else 0.5
     free = discount * different / used if used else 1.0
     end = (documents + 0.5) / (tokens + 1)
 
-    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, lp = shared.value
-        for b in batches:
-            c = b.column(1).to_numpy()
-            spelled = lattice.marginals(v, lp, b.column(0).to_pylist()) + np.log(free)
-            whole = np.log(np.maximum(c - discount, 1e-300) / max(used, 1), where=c > 0, out=np.full(len(c), -np.inf))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.logaddexp(spelled, whole))], ["word", "c", "lp"])
-
-    weighed = words.mapInArrow(weigh, "word string, c long, lp double")
-    entries = lists.select("chunk", "idx", "word").join(weighed, "word").select("chunk", "idx", "c", "lp")
-
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         left, right = left.combine_chunks(), right.combine_chunks()
         at, n = right["idx"].to_numpy(), left.num_rows
-        c, lp = np.zeros(len(at) + 1, np.int64), np.zeros(len(at) + 1)
-        c[at], lp[at] = right["c"].to_numpy(), right["lp"].to_numpy()
+        c, spelled = np.zeros(len(at) + 1, np.int64), np.zeros(len(at) + 1)
+        c[at], spelled[at] = right["c"].to_numpy(), right["lp"].to_numpy()
+        whole = np.log(np.maximum(c - discount, 1e-300) / max(used, 1), where=c > 0, out=np.full(len(c), -np.inf))
+        lp = np.logaddexp(spelled + np.log(free), whole)
         p = np.maximum(np.exp(lp), 1e-300)  # the longest words underflow; they stay possible
         base = np.log10((c + 0.5) / under)
         end_base = np.log10((documents + 0.5) / under)
@@ -197,16 +253,19 @@ def score(docs: DataFrame, vocabulary: str, held_out: Column, rounds: int = 4, i
         length = add(t)
         # words too long for a float keep their log; only their first use is affected
         tiny = add(np.where(lp[i] < -690, lp[i] + 690.7755, 0.0))
+        ended = length * np.log1p(-end) + np.log(end)
         return pa.table({
             "doc_id": left["doc_id"], "held_out": left["held_out"],
             "n_tokens": pa.array(length.astype(np.int64) + 1),
             "n_known": pa.array(add(t * (c[i] > 0)).astype(np.int64) + int(documents > 0)),
             "train_tokens": pa.array(np.full(n, tokens, np.int64)),
             "base_score": pa.array(add(t * base[i]) + end_base),
-            "score": pa.array((urn(p[i], t, row, n) + tiny + length * np.log1p(-end) + np.log(end)) / np.log(10))})
+            "score": pa.array((urn(p[i], t, row, n) + tiny + ended) / np.log(10)),
+            "lattice_score": pa.array((add(t * spelled[i]) + ended) / np.log(10))})
 
     # two reads of one table: another name keeps the two sides apart
     texts = spark.read.schema(encoded.schema).parquet(path).filter("kind = 1").select(
         F.col("chunk").alias("of"), "doc_id", "held_out", "ids", "times")
     return texts.groupBy("of").cogroup(entries.groupBy("chunk")).applyInArrow(
-        finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+        finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, "
+                "lattice_score double")

@@ -39,7 +39,9 @@ def segmentations(text, known, logp):
     return out
 
 
-def test_marginals_and_expected_counts_match_enumeration():
+@pytest.mark.parametrize("short", [0, 24])
+def test_marginals_and_expected_counts_match_enumeration(short, monkeypatch):
+    monkeypatch.setattr(lattice, "_SHORT", short)  # all words with logarithms, short ones without
     vocab, logp, known = toy()
     words = ["a", "ab", "aba", "bababa", "xa", "é漢b", "abab" * 3]
     got = lattice.marginals(vocab, logp, words)
@@ -87,9 +89,30 @@ def test_query_matches_contract(spark):
         base = sum(math.log10((train[w] + 0.5) / under) for w in words) + math.log10((n_docs + 0.5) / under)
         assert (r["held_out"], r["n_tokens"], r["train_tokens"]) == (held[r["doc_id"]], len(words) + 1, tokens)
         assert r["n_known"] == sum(w in train for w in words) + 1
+        assert math.isfinite(r["lattice_score"]) and r["lattice_score"] < 0
         assert r["base_score"] == pytest.approx(base, rel=1e-9) and r["score"] < 0
 
 
+def test_lattice_score_is_the_marginal_of_the_words(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "CHUNK_DOCS", 2)  # words in many chunks,
+    monkeypatch.setattr(lm_score, "PLACES", 3)  # in more than one row
+    monkeypatch.setattr(lm_score, "ROWS", 4)
+    texts = ["an old tale of old tales", "an other", "of zxq tales", "old an", "", "An old", "tales " * 5, "an an"] * 3
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = lm_score.score(docs, PATH, F.col("doc_id") % 5 == 1, rounds=0).collect()
+    vocab = lm_score.load_vocabulary(PATH)
+    logp = lattice.first_guess(vocab)
+    train = [t.lower().split() for i, t in enumerate(texts) if i % 5 != 1]
+    tokens = sum(map(len, train)) + len(train)
+    end = (len(train) + 0.5) / (tokens + 1)
+    assert len(got) == len(texts)
+    for r in got:
+        words = texts[r["doc_id"]].lower().split()
+        want = sum(lattice.marginals(vocab, logp, words)) + len(words) * math.log1p(-end) + math.log(end)
+        assert r["train_tokens"] == tokens and r["n_tokens"] == len(words) + 1
+        assert r["lattice_score"] == pytest.approx(want / math.log(10), rel=1e-9)
+
+
 def test_known_text_scores_above_unknown(spark):
     common_words = "the cat sat on the mat and the dog ran to the house by the river"
     rows = [(i, common_words, "x") for i in range(60)] + [(100, None, "n"), (101, "", "e"), (102, "zq xv jk qq wz", "u"), (None, "the cat", "i"),
