@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarterline.functions.arrays import where_late
 from quarterline.functions.metrics import CONCEPT_OF_METRIC, CORE_METRICS, NON_NEGATIVE_METRICS
 from quarterline.functions.periods import (
     FULL_YEAR_DAYS,
@@ -77,7 +78,8 @@ def classify(obs: DataFrame, position: str = "seq") -> DataFrame:
         fiscal_year_of(F.col("end_d")).alias("fiscal_year"),
         fiscal_period_of(F.col("end_d")).alias("derived_period"),
         duration_days("start_d", "end_d").alias("duration"),
-    ).where(
+    )
+    whole = (
         F.col("metric").isNotNull()
         & (F.coalesce(F.col("start_date"), F.lit("")) != "")
         & (F.coalesce(F.col("end_date"), F.lit("")) != "")
@@ -95,7 +97,9 @@ def classify(obs: DataFrame, position: str = "seq") -> DataFrame:
         .when((form == "10-Q") & dur_9, F.when(own_period(fy, fp, year, "Q3"), F.lit("9M")))
         .when((form == "10-K") & dur_y, F.when(own_period(fy, fp, year, "FY"), F.lit("FY")))
     )
-    return typed.withColumn("slot", slot).where(F.col("slot").isNotNull()).drop("start_date", "end_date", "duration")
+    # filtered late: a filter is pushed below as a copy of every date it reads, parsed again
+    kept = where_late(typed.withColumn("slot", slot), whole & F.col("slot").isNotNull(), beside="entity_id")
+    return kept.drop("start_date", "end_date", "duration")
 
 
 def _obs_struct() -> Column:
