@@ -17,10 +17,11 @@ rows.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Callable, Iterator
-from functools import reduce
+from functools import partial, reduce
 from itertools import compress
 
 import numpy as np
@@ -34,14 +35,41 @@ from quarterline.llm import common
 PIECES_PER_PARTITION = 20_000
 LEAST_GAIN = 0.95  # an exchange that leaves more of the open pieces and bins than this is the last
 CACHE_WORDS = 600_000  # of one generation
+AT_ONCE = 128  # words in one call of the tokenizer; with more each takes longer
 # The tokenizer's white space, and Python's, less the four that only Python splits at.
 _PYTHON_ONLY = "\x1c\x1d\x1e\x1f"
 _SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # an apostrophe may belong to a word
 _WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+# Letters that no normalizer changes and no pattern parts from each other.
+_CLIP = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_LATIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
 
 PIECE = "doc_id long, no_id boolean, piece int, start long, length long, ids_crc32 long"
 
 
+def latin_tokenizer(path: str):
+    """For words of ``_LATIN`` letters with spaces between them: the ids of the tokenizer at ``path`` without its normalizers and patterns.
+
+    None where these are not the ones known to leave such words alone.
+    """
+    from tokenizers import Tokenizer
+    from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
+
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    normal, parts = (spec.get(part) or {} for part in ("normalizer", "pre_tokenizer"))
+    normal, parts = normal.get("normalizers", [normal] if normal else []), parts.get("pretokenizers", [])
+    harmless = all(n["type"] in ("NFC", "Lowercase") or n == {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "} for n in normal)
+    if not (harmless and [p["type"] for p in parts] == ["Split", "ByteLevel"]
+            and parts[0] == {"type": "Split", "pattern": {"Regex": _CLIP}, "behavior": "Removed", "invert": True}
+            and not parts[1]["add_prefix_space"] and not parts[1]["use_regex"]):
+        return None
+    plain = Tokenizer.from_file(path)
+    plain.normalizer = None
+    plain.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
+    return plain
+
+
 class Encoder:
     """Token ids of texts as little-endian 32-bit bytes.
 
@@ -55,6 +83,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.latin = latin_tokenizer(path)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.closes = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # ids that end a word
         self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -66,9 +95,10 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
-    def _together(self, words: list[str]) -> list[bytes]:
+    def _together(self, words: list[str], latin: bool = False) -> list[bytes]:
         """Words of letters in one call, cut apart at the ids that end a word."""
-        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, dtype="<u4")
+        tokenizer = self.latin if latin else self.tokenizer
+        ids = np.array(tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, dtype="<u4")
         ends = (np.flatnonzero(self.closes[ids]) + 1) * 4
         if len(ends) != len(words):  # lower-casing gave some word a mark of its own
             return self._each(words)
@@ -104,9 +134,12 @@ class Encoder:
                 whole.append((w, body))
                 other.add(body)
         known = self.known
-        for all_, encode in ((list(self._keep(letters)), self._together), (list(self._keep(other)), self._each)):
-            for lo in range(0, len(all_), 2048):
-                part = all_[lo:lo + 2048]
+        letters = self._keep(letters)
+        latin = list(filter(_LATIN.fullmatch, letters)) if self.latin else []
+        for all_, encode in ((latin, partial(self._together, latin=True)), (list(letters.difference(latin)), self._together),
+                             (list(self._keep(other)), self._each)):
+            for lo in range(0, len(all_), AT_ONCE):
+                part = all_[lo:lo + AT_ONCE]
                 known.update(zip(part, encode(part)))
         get = known.__getitem__
         known.update(zip(compress(new, plain), map(get, compress(bodies, plain))))

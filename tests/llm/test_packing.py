@@ -91,3 +91,35 @@ def test_best_fit_and_bounds():
         assert packing.lower_bound(lengths, 100) <= bins
     assert packing.lower_bound(np.array([51] * 7), 100) == 7  # the sum alone says 4
     assert packing.lower_bound(np.array([34] * 9), 100) == 5  # two fit in a bin
+
+
+def test_latin_words_skip_the_normalizers_and_patterns_and_get_the_same_ids():
+    import json
+    import random
+
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rng = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyzABCXYZßàéîõöøüÿÀÉÞ"
+    words = ["".join(rng.choices(letters, k=rng.randint(1, 14))) for _ in range(3_000)]
+    odd = ["éa", "µm", "ªº", "ſt", "K", "Å", "ŒUVRE", "straße's", "don't", "ÿ÷×", "naïve.", "日本語", "İi", "ÀÉ$$$", "x1y"]
+    texts = [" ".join(words[i:i + 30] + rng.sample(odd, 4)) for i in range(0, len(words), 30)]
+    whole = Tokenizer.from_file(path)
+    encoder = packing.Encoder(path)
+    given: list[str] = []
+
+    class Told:
+        def encode_batch_fast(self, inputs, add_special_tokens):
+            given.extend(w for text in inputs for w in text.split())
+            return whole.encode_batch_fast(inputs, add_special_tokens=add_special_tokens)
+
+    encoder.tokenizer = Told()
+    for text, ids in zip(texts, encoder.encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+    assert not {w.lower() for w in words} & set(given)
+
+    assert packing.latin_tokenizer(path) is not None
+    assert json.loads(whole.to_str())["normalizer"] is not None  # the tokenizer itself keeps them
