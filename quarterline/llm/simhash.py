@@ -79,6 +79,9 @@ def links(fps: DataFrame, max_bits: int = 3) -> DataFrame:
     ``fps(fp)`` must be distinct and cheap to read again (it is scanned a few
     times).  Cold slots return every linked pair; hot slots return a spanning
     forest of their links, so the output stays linear in the input.
+
+    Spark sizes an exploded frame like one row of it, so the joins are told to
+    merge; else all probes may be broadcast through the driver.
     """
     segments = _segments(max_bits)
     radius = max_bits // len(segments)
@@ -97,13 +100,13 @@ def links(fps: DataFrame, max_bits: int = 3) -> DataFrame:
     probes = fps.select("fp", F.explode(keys).alias("slot"))
     sizes = index.groupBy("slot").agg(F.count("*").alias("n"), F.min("fp").alias("only"))
     # a probe that meets nothing but its own fingerprint goes at once
-    found = (probes.join(sizes, "slot").filter((F.col("n") > 1) | (F.col("only") != F.col("fp")))
+    found = (probes.join(sizes.hint("merge"), "slot").filter((F.col("n") > 1) | (F.col("only") != F.col("fp")))
              .select("slot", "fp", "n"))
     found = common.staged(found, "simhash-found")
-    hot = index.join(sizes.filter(F.col("n") > HOT_SLOT).select("slot", "n"), "slot")
+    hot = index.join(sizes.filter(F.col("n") > HOT_SLOT).select("slot", "n").hint("merge"), "slot")
 
     cold_pairs = (found.filter(F.col("n") <= HOT_SLOT).select("slot", F.col("fp").alias("a"))
-                  .join(index.select("slot", F.col("fp").alias("b")), "slot")
+                  .join(index.select("slot", F.col("fp").alias("b")).hint("merge"), "slot")
                   .filter((F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits))
                   .select("a", "b"))
 

@@ -99,3 +99,17 @@ def test_odd_rows(spark):
     assert sorted((r["doc_id"], r["fp"]) for r in kept.collect() if r["doc_id"] is not None) == [(1, "p"), (3, "y"), (4, "t")]
     assert kept.filter("doc_id is null").count() == 1
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_probes_are_not_broadcast(spark, monkeypatch):
+    """Fewer bytes than the limit of broadcasts before the explode, by Spark's estimate after it too."""
+    plans = []
+
+    def staged(df, name, write=simhash.common.staged):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(simhash.common, "staged", staged)
+    found = simhash.links(spark.range(300).selectExpr("xxhash64(id) AS fp"))
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) == 2 and not [p for p in plans if "Broadcast" in p]
